@@ -257,11 +257,25 @@ def q_csv_gzip_load(spark, sf):
 
 
 def _land_raw(spark, sf, root: str) -> str:
-    """Land the six raw tables as gzip Parquet and register them as external tables."""
+    """Land the six raw tables as gzip Parquet and register them as external tables.
+
+    orders is landed first and the baskets are derived from the landed copy;
+    both basket tables come out of one write partitioned by eval_set, and each
+    raw table points at its partition folder.
+    """
     db = f"raw_{_uid()}"
     cat.create_database(spark, db, location=f"{root}/_db/{db}")
-    for name, df in fz.raw_tables(spark, sf).items():
-        path = landing.parquet_landing_write(df, f"{root}/raw", name)
+    raw = f"{root}/raw"
+    paths = {}
+    for name, df in (("orders", fz.orders(spark, sf)), ("products", fz.products(spark, sf)),
+                     ("aisles", fz.aisles(spark, sf)), ("departments", fz.departments(spark, sf))):
+        paths[name] = landing.parquet_landing_write(df, raw, name)
+    baskets = (fz.order_products_all(spark, sf, spark.read.parquet(paths["orders"]))
+               .filter(F.col("eval_set").isin("prior", "train")))
+    base = landing.partitioned_landing(baskets, raw, "order_products", ["eval_set"])
+    paths["order_products__prior"] = f"{base}/eval_set=prior"
+    paths["order_products__train"] = f"{base}/eval_set=train"
+    for name, path in paths.items():
         cat.external_parquet_table(spark, name, db, path, RAW_COLUMNS[name], compression="gzip")
     return db
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Fixed values of the source settings.
 LANDING_COMPRESSION = "gzip"          # replication target writes gzip Parquet
@@ -17,19 +16,24 @@ LANDING_MAX_FILE_KB = 128000          # replication target file cap, in KB
 EXPORT_MAX_RECORDS = 300000           # warehouse export rows per part file
 
 
-def records_per_file(df: DataFrame, max_bytes: int, sample_rows: int = 10_000) -> int:
+# Assumed mean widths (bytes) used to turn a byte cap into a row cap.
+_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "long": 8,
+          "double": 8, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16, "string": 32, "binary": 32}
+
+
+def row_width(schema) -> int:
+    """Estimated uncompressed row width from the schema alone (no job is run);
+    nested and unknown types count 64 bytes."""
+    return max(1, sum(_WIDTH.get(f.dataType.typeName(), 64) for f in schema.fields))
+
+
+def records_per_file(df: DataFrame, max_bytes: int) -> int:
     """Rows per file so that a file stays under ``max_bytes``.
 
-    Spark caps files by record count, not bytes; the row width is the mean
-    JSON-encoded width of at most ``sample_rows`` rows (an over-estimate of
-    the compressed Parquet width, so files come out smaller than the cap).
+    Spark caps files by record count, not bytes.  The estimate uses
+    uncompressed widths, so compressed Parquet files come out below the cap.
     """
-    width = (df.limit(sample_rows)
-             .select(F.avg(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))).alias("w"))
-             .first()["w"])
-    if not width:
-        return 1_000_000
-    return max(1, int(max_bytes // width))
+    return max(1, int(max_bytes // row_width(df.schema)))
 
 
 def landing_path(root: str, schema: str, table: str) -> str:

@@ -4,7 +4,7 @@
 
 1. write the new contents to a fresh folder ``<root>/<db>/<table>/data/snapshot_id=<id>``
    (never over the files being read, so a table can be rebuilt from itself);
-2. append one commit row to ``<root>/<db>/<table>/_log`` (a tiny JSON dataset);
+2. add one commit record ``<root>/<db>/<table>/_log/<sequence>.json`` (a tiny JSON dataset);
 3. point the catalog table ``<db>.<table>`` at the new folder.
 
 Readers take the newest commit.  A failed write leaves no commit row, so the
@@ -16,9 +16,10 @@ writer per table at a time.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, MapType, StringType, StructField, StructType,
                                TimestampType)
@@ -42,6 +43,7 @@ class VersionedTables:
         self.root = root.rstrip("/")
         self.database = database
         self.register = register
+        self._current: dict = {}
         if register:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/{database}'")
 
@@ -52,17 +54,26 @@ class VersionedTables:
     def _log_dir(self, name: str) -> str:
         return f"{self.table_dir(name)}/_log"
 
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _exists(self, path: str) -> bool:
+        p, fs = self._fs(path)
+        return fs.exists(p)
+
     def log(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).json(self._log_dir(name))
-        except Exception as e:  # no commit yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return self.spark.createDataFrame([], LOG_SCHEMA)
-            raise
+        """Commit rows of ``name`` (empty before the first commit)."""
+        if not self._exists(self._log_dir(name)):
+            return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).json(self._log_dir(name))
 
     def current(self, name: str):
         """The newest commit row, or None for a table never published."""
-        return self.log(name).orderBy(F.col("sequence_number").desc()).first()
+        if name not in self._current:
+            self._current[name] = self.log(name).orderBy(F.col("sequence_number").desc()).first()
+        return self._current[name]
 
     # ------------------------------------------------------------ write
     def publish(self, name: str, df: DataFrame, operation: str = "overwrite",
@@ -80,29 +91,43 @@ class VersionedTables:
             "format-version": FORMAT_VERSION,
             **(extra_summary or {}),
         }
-        row = (snapshot_id, None if parent is None else parent["snapshot_id"],
-               0 if parent is None else parent["sequence_number"] + 1,
-               _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), operation, path, summary)
-        (self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
-             .write.mode("append").json(self._log_dir(name)))
+        seq = 0 if parent is None else parent["sequence_number"] + 1
+        commit = Row(snapshot_id=snapshot_id,
+                     parent_id=None if parent is None else parent["snapshot_id"],
+                     sequence_number=seq,
+                     committed_at=_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+                     operation=operation, manifest_list=path, summary=summary)
+        self._write_commit(name, commit)
+        self._current[name] = commit
         if self.register:
-            self._point_catalog(name, path)
+            self._point_catalog(name, path, df.schema)
         return snapshot_id
 
-    def _point_catalog(self, name: str, path: str) -> None:
-        full = f"`{self.database}`.`{name}`"
+    def _write_commit(self, name: str, commit: Row) -> None:
+        """One JSON line per commit, created only if absent: a second writer racing
+        for the same sequence number fails instead of forking the history."""
+        rec = commit.asDict()
+        rec["committed_at"] = rec["committed_at"].isoformat(timespec="microseconds")
+        p, fs = self._fs(f"{self._log_dir(name)}/{commit['sequence_number']:012d}.json")
+        out = fs.create(p, False)
+        try:
+            out.write(bytearray((json.dumps(rec) + "\n").encode("utf-8")))
+        finally:
+            out.close()
+
+    def _point_catalog(self, name: str, path: str, schema) -> None:
+        full = f"{self.database}.{name}"
         # External table: dropping the entry keeps every version's files.
-        self.spark.sql(f"DROP TABLE IF EXISTS {full}")
-        self.spark.sql(f"CREATE TABLE {full} USING PARQUET LOCATION '{path}'")
+        self.spark.sql(f"DROP TABLE IF EXISTS `{self.database}`.`{name}`")
+        self.spark.catalog.createTable(full, path=path, source="parquet", schema=schema)
 
     # ------------------------------------------------------------ read
     def table(self, name: str, snapshot_id: int | None = None) -> DataFrame:
         """Current contents, or those of an older snapshot (time travel)."""
-        log = self.log(name)
         if snapshot_id is None:
-            row = log.orderBy(F.col("sequence_number").desc()).first()
+            row = self.current(name)
         else:
-            row = log.filter(F.col("snapshot_id") == snapshot_id).first()
+            row = self.log(name).filter(F.col("snapshot_id") == snapshot_id).first()
         if row is None:
             raise KeyError(f"no such table/snapshot: {self.database}.{name} {snapshot_id or ''}")
         return self.spark.read.parquet(row["manifest_list"])
