@@ -132,3 +132,27 @@ def test_product_seq_time_tie_breakers(spark):
     ])
     got = {r.order_id: r.product_seq_time for r in fx.product_seq_time(d).collect()}
     assert got == {3: 1, 4: 2, 5: 3}
+
+
+def test_group_row_number_splits_hot_groups_exactly(spark):
+    from pyspark.sql import Window
+    from cartlake.operators.sequence import group_row_number
+    n = 60000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 7 == 0, F.lit(None))
+         .otherwise(F.col("id") % 500).cast("int").alias("u"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 11).cast("int").alias("p"),
+        (F.col("id") * 7919 % 10007).cast("int").alias("o"), F.col("id").alias("tb"))
+    got = group_row_number(df, ["u", "p"], ["o", "tb"], "rn", min_hot_rows=500)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("u", "p").orderBy("o", "tb")))
+    assert dict(got.dtypes)["rn"] == "int"
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "__bucket" in plan and "percentile_approx" in plan
+
+
+def test_product_seq_time_salted_equals_plain_on_fixture(spark):
+    o = R._opp(spark, SF_MID)
+    salted = fx.product_seq_time(o, min_hot_rows=5)
+    plain = fx.product_seq_time(o)
+    assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
