@@ -79,6 +79,25 @@ f_snapshots AS (
          CASE WHEN event_id % 7 = 0 THEN MAP {}::MAP(VARCHAR, VARCHAR)
               ELSE MAP {'spark.app.id': 'app-' || user_id::VARCHAR} END AS summary
   FROM events),
+f_changes AS (
+  SELECT p_partkey::INTEGER AS product_id, 'v1 ' || p_name AS product_name, p_size::INTEGER AS aisle_id,
+         1::INTEGER AS department_id, 1::DOUBLE AS updated_at, 'U' AS op, 1::BIGINT AS seq
+  FROM part WHERE p_partkey % 5 = 0
+  UNION ALL
+  SELECT p_partkey::INTEGER, 'v2 ' || p_name, (p_size + 1)::INTEGER, 1, 2::DOUBLE, 'U', 2 FROM part
+  WHERE p_partkey % 10 = 0
+  UNION ALL
+  SELECT p_partkey::INTEGER, NULL, NULL, NULL, 3::DOUBLE, 'D', 3 FROM part WHERE p_partkey % 15 = 0
+  UNION ALL
+  SELECT (p_partkey + 1000000)::INTEGER, 'new ' || p_name, p_size::INTEGER, 2, 1::DOUBLE, 'I', 1 FROM part
+  WHERE p_partkey % 25 = 0),
+f_latest AS (
+  SELECT * FROM f_changes QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY seq DESC) = 1),
+f_applied AS (
+  SELECT product_id, product_name, aisle_id, department_id, updated_at FROM f_latest WHERE op <> 'D'
+  UNION ALL
+  SELECT * FROM f_target t
+  WHERE NOT EXISTS (SELECT 1 FROM f_latest l WHERE l.product_id = t.product_id)),
 f_pairs AS (
   SELECT user_id, product_id, count(*) AS n_rows, count(order_id) AS n_orders
   FROM f_opp GROUP BY user_id, product_id)
@@ -284,6 +303,8 @@ ORACLE_BODIES: dict[str, str] = {
           FROM (SELECT department_id AS k, count(*) AS n FROM f_updates WHERE department_id IS NOT NULL
                 GROUP BY 1) c)
         GROUP BY table_name, column_name, parent_table, parent_column""",
+    "apply_changes": "SELECT * FROM f_applied",
+    "apply_changes_stream": "SELECT * FROM f_applied",
     # ---- sources / sinks: round trips compare with the table that was written
     "csv_typed_load": """
         SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day,

@@ -374,6 +374,30 @@ def q_snapshots_scan(spark, sf):
     return tables.snapshots(name)
 
 
+def q_apply_changes(spark, sf):
+    from cartlake.streaming.changes import apply_changes
+    return apply_changes(fz.product_target(spark, sf), fz.product_changes(spark, sf), "product_id")
+
+
+def q_apply_changes_stream(spark, sf):
+    """The change feed landed as one Parquet file per sequence number, applied by a
+    stream (one micro-batch per file, a published version per batch)."""
+    from cartlake.streaming.changes import stream_changes
+    root = workspace(spark, "cdc")
+    changes = fz.product_changes(spark, sf)
+    for s in (1, 2, 3):
+        changes.filter(F.col("seq") == s).coalesce(1).write.mode("overwrite").parquet(f"{root}/incoming/seq={s}")
+    # move-in order = sequence order: files are committed one after another
+    tables = VersionedTables(spark, f"{root}/tables", f"cdc_{_uid()}")
+    tables.publish("products", fz.product_target(spark, sf))
+    q = stream_changes(spark, f"{root}/incoming/seq=*", changes.schema, tables, "products", "product_id",
+                       checkpoint=f"{root}/_checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return tables.table("products")
+
+
 QUERIES: dict[str, Query] = {
     "normalize_bool_flag": q_normalize_bool_flag,
     "filter_eq": q_filter_eq,
@@ -407,6 +431,8 @@ QUERIES: dict[str, Query] = {
     "check_not_null": q_check_not_null,
     "check_max_length": q_check_max_length,
     "check_orphans": q_check_orphans,
+    "apply_changes": q_apply_changes,
+    "apply_changes_stream": q_apply_changes_stream,
     # sources / sinks
     "csv_typed_load": q_csv_typed_load,
     "csv_gzip_load": q_csv_gzip_load,

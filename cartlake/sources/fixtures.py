@@ -185,3 +185,31 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("operation"),
         F.concat(F.lit("snap-"), F.col("event_id").cast("string"), F.lit(".avro")).alias("manifest_list"),
         _summary(F.col("event_id"), F.col("user_id")).alias("summary"))
+
+
+def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change feed for products (op I/U/D, seq), several changes per key:
+
+    seq 1: update every 5th part (name 'v1 ...', department 1);
+    seq 2: update every 10th part again (name 'v2 ...', aisle + 1);
+    seq 3: delete every 15th part;
+    seq 1: insert key + 1,000,000 for every 25th part.
+    """
+    p = read(spark, sf_dir, "part")
+    key = F.col("p_partkey").cast("int")
+
+    def change(cond, seq, op, pid, name, aisle, dept, ts):
+        return p.filter(cond).select(
+            pid.cast("int").alias("product_id"), name.alias("product_name"), aisle.cast("int").alias("aisle_id"),
+            dept.cast("int").alias("department_id"), F.lit(ts).cast("double").alias("updated_at"),
+            F.lit(op).alias("op"), F.lit(seq).cast("long").alias("seq"))
+
+    v1 = change(F.col("p_partkey") % 5 == 0, 1, "U", key, F.concat(F.lit("v1 "), F.col("p_name")),
+                F.col("p_size"), F.lit(1), 1.0)
+    v2 = change(F.col("p_partkey") % 10 == 0, 2, "U", key, F.concat(F.lit("v2 "), F.col("p_name")),
+                F.col("p_size") + 1, F.lit(1), 2.0)
+    dl = change(F.col("p_partkey") % 15 == 0, 3, "D", key, F.lit(None).cast("string"),
+                F.lit(None), F.lit(None), 3.0)
+    ins = change(F.col("p_partkey") % 25 == 0, 1, "I", F.col("p_partkey") + 1000000,
+                 F.concat(F.lit("new "), F.col("p_name")), F.col("p_size"), F.lit(2), 1.0)
+    return v1.unionByName(v2).unionByName(dl).unionByName(ins)
