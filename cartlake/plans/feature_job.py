@@ -107,3 +107,32 @@ class FeatureJob:
             if stats is not None:
                 stats.unpersist()
         return published
+
+
+def main(argv: list[str] | None = None) -> int:
+    """spark-submit entry point; every location is a required argument (no defaults)."""
+    import argparse
+
+    from cartlake.session import ensure_checkpoint_dir
+
+    ap = argparse.ArgumentParser(description="Publish the silver feature tables from the raw tables.")
+    ap.add_argument("--raw-database", required=True, help="database holding the six raw tables")
+    ap.add_argument("--raw-catalog", default=None, help="catalog of the raw database (default: session)")
+    ap.add_argument("--silver-root", required=True, help="folder that receives the published tables")
+    ap.add_argument("--silver-database", required=True, help="catalog database for the published tables")
+    args = ap.parse_args(argv)
+    if not args.silver_root.strip("/ "):
+        raise SystemExit("--silver-root must not be empty")
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    spark = SparkSession.builder.appName("cartlake-feature-job").getOrCreate()
+    try:
+        ensure_checkpoint_dir(spark)
+        silver = VersionedTables(spark, args.silver_root.rstrip("/"), args.silver_database)
+        FeatureJob(spark, args.raw_database, silver, args.raw_catalog).run()
+    finally:
+        spark.stop()
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -355,7 +355,7 @@ def q_publish_all(spark, sf):
 def _notebook_flow(spark, sf) -> tuple[VersionedTables, str]:
     """Create, upsert, delete: three commits on a products table."""
     root = workspace(spark, "versions")
-    tables = VersionedTables(spark, root, f"iceberg_{_uid()}")
+    tables = VersionedTables(spark, root, f"versions_{_uid()}")
     tables.publish("products", fz.product_target(spark, sf), operation="overwrite")
     merged = ch.merge_upsert(tables.table("products"), fz.product_updates(spark, sf), "product_id")
     tables.publish("products", merged, operation="overwrite")

@@ -43,14 +43,18 @@ def build_session(master: str = "local[8]", app_name: str = "cartlake",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; set a private one only when none is configured."""
+    """Return the checkpoint folder; set a private one only when none is configured
+    and the session runs in local mode.  A cluster session without
+    ``spark.checkpoint.dir`` is an error: a machine-local folder would not be
+    visible to the other executors."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when nothing is configured (local tests).
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="cartlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -64,3 +68,23 @@ def workspace(spark: SparkSession, purpose: str) -> str:
         root = ensure_checkpoint_dir(spark)
     root = root.rstrip("/")
     return f"{root}/cartlake/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes``
+    before AQE coalesces small ones; scans split files at the same size; a
+    partition five times the median and over 1 GiB counts as skewed and is
+    split by AQE's skew-join handling.  Broadcasts stay at Spark's measured
+    10 MiB default: AQE only broadcasts a side whose runtime size is known.
+    """
+    partitions = max(200, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    }
