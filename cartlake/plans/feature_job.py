@@ -10,8 +10,9 @@ Plan shape (what runs where):
 * user_features_1: partial + final aggregate of orders;
 * the three basket features are read from the *published* order_products_prior
   (lineage cut; the scan reads only the six columns they need), aggregated once
-  per (user, product) with a single shuffle, checkpointed to the shared
-  checkpoint folder, and re-aggregated per user and per product from there.
+  per (user, product) with a single shuffle, written as a Parquet scratch
+  table under the shared checkpoint folder, and re-aggregated per user and
+  per product from there (each reading only the columns it needs).
 
 Tables are published one at a time in a fixed order; the first failure stops
 the job and leaves the tables published so far in place.
@@ -24,6 +25,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from cartlake.operators import features as fx
+from cartlake.session import workspace
 from cartlake.sinks.versioned import VersionedTables
 from cartlake.sources.catalog import read_table
 
@@ -88,24 +90,29 @@ class FeatureJob:
         raw = self.read_raw()
         plans = self.plans(raw)
         published: dict[str, int] = {}
-        stats = None
+
+        def publish(name: str, df: DataFrame) -> None:
+            log.info("publishing %s", name)
+            published[name] = self.silver.publish(name, df)
+
         try:
-            for name in SILVER_TABLES[:9]:
-                log.info("publishing %s", name)
-                published[name] = self.silver.publish(name, plans[name])
+            for name in SILVER_TABLES[:7]:
+                publish(name, plans[name])
+            # Later stages read what earlier stages published (columnar, pruned,
+            # and no recomputation of the union if an executor is lost).
+            publish("order_products_prior",
+                    fx.order_products_prior(raw["orders"], self.silver.table("order_products")))
+            publish("user_features_1", plans["user_features_1"])
             opp = self.silver.table("order_products_prior").select(*PAIR_COLUMNS)
-            stats = fx.pair_stats(opp).checkpoint(eager=True)
-            for name, df in (("user_features_2", fx.user_features_2(stats)),
-                             ("up_features", fx.up_features(stats)),
-                             ("prd_features", fx.prd_features(stats))):
-                log.info("publishing %s", name)
-                published[name] = self.silver.publish(name, df)
+            scratch = f"{workspace(self.spark, 'pair-stats')}"
+            fx.pair_stats(opp).write.parquet(scratch)
+            stats = self.spark.read.parquet(scratch)
+            publish("user_features_2", fx.user_features_2(stats))
+            publish("up_features", fx.up_features(stats))
+            publish("prd_features", fx.prd_features(stats))
         except Exception:
             log.exception("feature job failed after publishing %s", list(published))
             raise
-        finally:
-            if stats is not None:
-                stats.unpersist()
         return published
 
 
