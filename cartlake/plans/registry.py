@@ -31,19 +31,28 @@ from cartlake.sources import fixtures as fz
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _opp(spark: SparkSession, sf: str) -> DataFrame:
-    """order_products_prior built from the raw fixtures with the job's operators."""
+def _raw_baskets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """orders, order_products__prior, order_products__train (raw, text flags).
+
+    Both basket tables are filters of one derived DataFrame, so their shared
+    shuffles are planned once and reused."""
     o = fz.orders(spark, sf)
-    prior = fx.normalize_bool_flag(fz.order_products(spark, sf, "prior", o))
-    train = fx.normalize_bool_flag(fz.order_products(spark, sf, "train", o))
-    return fx.order_products_prior(o, fx.order_products_union(prior, train))
+    everything = fz.order_products_all(spark, sf, o)
+    cols = ["order_id", "product_id", "add_to_cart_order", "reordered"]
+    return (o, everything.filter(F.col("eval_set") == "prior").select(*cols),
+            everything.filter(F.col("eval_set") == "train").select(*cols))
 
 
 def _order_products(spark: SparkSession, sf: str) -> DataFrame:
-    o = fz.orders(spark, sf)
-    prior = fx.normalize_bool_flag(fz.order_products(spark, sf, "prior", o))
-    train = fx.normalize_bool_flag(fz.order_products(spark, sf, "train", o))
-    return fx.order_products_union(prior, train)
+    _, prior, train = _raw_baskets(spark, sf)
+    return fx.order_products_union(fx.normalize_bool_flag(prior), fx.normalize_bool_flag(train))
+
+
+def _opp(spark: SparkSession, sf: str) -> DataFrame:
+    """order_products_prior built from the raw fixtures with the job's operators."""
+    o, prior, train = _raw_baskets(spark, sf)
+    op = fx.order_products_union(fx.normalize_bool_flag(prior), fx.normalize_bool_flag(train))
+    return fx.order_products_prior(o, op)
 
 
 def _uid() -> str:
