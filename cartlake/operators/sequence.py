@@ -1,9 +1,9 @@
-"""row_number() within groups, with hot groups split across tasks.
+"""row_number() / lag() / lead() within groups, with hot groups split across tasks.
 
 A window ``PARTITION BY keys`` sends every row of a group to one task.  When a
 single group holds a large share of the table (a third, say), that task sorts
-a third of the data alone.  ``group_row_number`` keeps the plain window for
-ordinary groups and salts hot ones by order range:
+a third of the data alone.  ``group_window`` (and ``group_row_number``) keeps
+the plain window for ordinary groups and salts hot ones by order range:
 
 1. group sizes: one partial-then-final aggregate over the key columns only;
 2. a group is hot when it holds more than ``max(min_hot_rows, rows / P)`` rows
@@ -14,7 +14,9 @@ ordinary groups and salts hot ones by order range:
    monotone in the ordering, so buckets are consecutive runs of the order;
 4. row_number over (keys, bucket) runs in parallel per bucket; the rows of the
    group's earlier buckets (a prefix sum over at most B counts per group) are
-   added, which makes the numbering exact whatever the quantile error.
+   added, which makes the numbering exact whatever the quantile error;
+5. lag / lead on a bucket's first / last row come from the neighbouring
+   non-empty bucket's last / first row (same small edge table).
 
 NULL keys form a group like any other (null-safe joins throughout).
 """
@@ -39,19 +41,43 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]):
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def group_row_number(df: DataFrame, keys: list[str], order: list[str], out: str = "row_number",
-                     min_hot_rows: int = MIN_HOT_ROWS, buckets: int | None = None) -> DataFrame:
-    """``df`` plus ``out`` = row_number() OVER (PARTITION BY keys ORDER BY order).
+def largest_group(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """(rows, rows of the biggest group): one aggregate over the key columns only."""
+    _, rows, biggest = _sizes_stats(df.select(*keys), keys, None)
+    return rows, biggest
+
+
+def _sizes_stats(df: DataFrame, keys: list[str], sizes: DataFrame | None):
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    stats = sizes.agg(F.sum("__n").alias("rows"), F.max("__n").alias("biggest")).first()
+    return sizes, (stats["rows"] or 0), (stats["biggest"] or 0)
+
+
+def group_window(df: DataFrame, keys: list[str], order: list[str], number: str | None = None,
+                 lag: dict[str, str] | None = None, lead: dict[str, str] | None = None,
+                 min_hot_rows: int | None = None, buckets: int | None = None,
+                 sizes: DataFrame | None = None) -> DataFrame:
+    """Per group of ``keys`` in ``order`` (ascending, NULLs first), add
+
+    * ``number``: row_number(),
+    * ``lag``  {column: output}: the column's value on the previous row,
+    * ``lead`` {column: output}: the column's value on the next row,
 
-    Ordering is ascending with NULLs first (Spark's default).  Give enough
-    ``order`` columns to make the order total if the numbering must be
-    deterministic.
+    exactly as the window functions would.  ``sizes`` (keys + ``__n``) may give
+    upper bounds of the group sizes from a cheaper source; otherwise they are
+    counted from ``df`` (key columns only).
+
+    Hot groups are split into order-range buckets; inside a bucket the plain
+    window runs, and the first / last row of each bucket takes its lag / lead
+    and its number offset from a per-(group, bucket) edge table (count, first
+    and last values), which is at most P x B rows and broadcast.
     """
+    lag, lead = dict(lag or {}), dict(lead or {})
+    min_hot_rows = MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    stats = sizes.agg(F.sum("__n").alias("rows"), F.max("__n").alias("biggest")).first()
-    rows, biggest = (stats["rows"] or 0), (stats["biggest"] or 0)
+    sizes, rows, biggest = _sizes_stats(df, keys, sizes)
     hot_rows = max(min_hot_rows, math.ceil(rows / max(parts, 1)))
     first_type = df.schema[order[0]].dataType
     # Spark's row_number() is a 32-bit int; a group past that size always takes
@@ -59,12 +85,20 @@ def group_row_number(df: DataFrame, keys: list[str], order: list[str], out: str
     out_type = "int" if biggest < 2**31 - 1 else "bigint"
     if (biggest <= hot_rows and out_type == "int") or not isinstance(first_type, _QUANTILE_TYPES):
         w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w))
+        out = df
+        if number:
+            out = out.withColumn(number, F.row_number().over(w))
+        for c, name in lag.items():
+            out = out.withColumn(name, F.lag(c).over(w))
+        for c, name in lead.items():
+            out = out.withColumn(name, F.lead(c).over(w))
+        return out
 
     n_buckets = buckets or min(max(2, math.ceil(biggest / hot_rows)), max(parts, 2))
     pct = [i / n_buckets for i in range(1, n_buckets)]
     accuracy = max(10_000, 50 * n_buckets)
-    # At most rows / hot_rows <= P hot groups: a proven bound for the broadcasts below.
+    # Each hot group holds more than rows / P rows, so there are at most P of
+    # them: a proven bound for every broadcast below.
     hot = sizes.filter(F.col("__n") > hot_rows).select(*keys)
     hot_rows_df = df.join(F.broadcast(hot), _null_safe_on(df, hot, keys), "left_semi")
     bounds = (hot_rows_df.groupBy(*keys)
@@ -76,19 +110,60 @@ def group_row_number(df: DataFrame, keys: list[str], order: list[str], out: str
     bucket = (F.when(F.col("__bounds").isNull(), F.lit(0))
               .otherwise(F.size(F.filter("__bounds", lambda x: x <= v))))
     salted = (df.join(F.broadcast(b), on, "left")
+              .withColumn("__hot", F.col("__bounds").isNotNull())
               .withColumn("__bucket", bucket.cast("int"))
-              .drop(*[f"__b_{k}" for k in keys]))
-
-    counts = (salted.filter(F.col("__bounds").isNotNull())
-              .groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__c")))
-    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(k).alias(f"__o_{k}") for k in keys], F.col("__bucket").alias("__o_b"),
-                            F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__offset"))
-
-    local = F.row_number().over(Window.partitionBy(*keys, "__bucket").orderBy(*order))
-    numbered = salted.withColumn("__local", local)
-    on2 = reduce(lambda x, y: x & y, [numbered[k].eqNullSafe(offsets[f"__o_{k}"]) for k in keys])
-    on2 = on2 & (numbered["__bucket"] == offsets["__o_b"])
-    joined = numbered.join(F.broadcast(offsets), on2, "left")
-    number = F.col("__local").cast("bigint") + F.coalesce(F.col("__offset"), F.lit(0))
-    return joined.select(*df.columns, number.cast(out_type).alias(out))
+              .drop("__bounds", *[f"__b_{k}" for k in keys]))
+
+    # Edge table: rows, first row's lead columns and last row's lag columns per hot bucket.
+    okey = F.struct(*order)
+    edge_aggs = [F.count(F.lit(1)).alias("__c")]
+    if lead:
+        edge_aggs.append(F.min_by(F.struct(*[F.col(c).alias(c) for c in lead]), okey).alias("__first"))
+    if lag:
+        edge_aggs.append(F.max_by(F.struct(*[F.col(c).alias(c) for c in lag]), okey).alias("__last"))
+    edges = salted.filter("__hot").groupBy(*keys, "__bucket").agg(*edge_aggs)
+    per_group = Window.partitionBy(*keys).orderBy("__bucket")
+    before = per_group.rowsBetween(Window.unboundedPreceding, -1)
+    edge_cols = [*[F.col(k).alias(f"__e_{k}") for k in keys], F.col("__bucket").alias("__e_b"), "__c",
+                 F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__offset")]
+    if lag:
+        edge_cols.append(F.lag("__last").over(per_group).alias("__prev_last"))
+    if lead:
+        edge_cols.append(F.lead("__first").over(per_group).alias("__next_first"))
+    edges = edges.select(*edge_cols)
+
+    wl = Window.partitionBy(*keys, "__bucket").orderBy(*order)
+    numbered = salted.withColumn("__local", F.row_number().over(wl))
+    for c in lag:
+        numbered = numbered.withColumn(f"__lag_{c}", F.lag(c).over(wl))
+    for c in lead:
+        numbered = numbered.withColumn(f"__lead_{c}", F.lead(c).over(wl))
+    on2 = reduce(lambda x, y: x & y, [numbered[k].eqNullSafe(edges[f"__e_{k}"]) for k in keys])
+    on2 = on2 & (numbered["__bucket"] == edges["__e_b"])
+    j = numbered.join(F.broadcast(edges), on2, "left")
+    hot_row = F.col("__hot")
+    out_cols = [F.col(c) for c in df.columns]
+    if number:
+        n = F.col("__local").cast("bigint") + F.coalesce(F.col("__offset"), F.lit(0))
+        out_cols.append(n.cast(out_type).alias(number))
+    for c, name in lag.items():
+        first_in_bucket = hot_row & (F.col("__local") == 1)
+        out_cols.append(F.when(first_in_bucket, F.col("__prev_last")[c])
+                        .otherwise(F.col(f"__lag_{c}")).alias(name))
+    for c, name in lead.items():
+        last_in_bucket = hot_row & (F.col("__local") == F.col("__c"))
+        out_cols.append(F.when(last_in_bucket, F.col("__next_first")[c])
+                        .otherwise(F.col(f"__lead_{c}")).alias(name))
+    return j.select(*out_cols)
+
+
+def group_row_number(df: DataFrame, keys: list[str], order: list[str], out: str = "row_number",
+                     min_hot_rows: int | None = None, buckets: int | None = None,
+                     sizes: DataFrame | None = None) -> DataFrame:
+    """``df`` plus ``out`` = row_number() OVER (PARTITION BY keys ORDER BY order).
+
+    Give enough ``order`` columns to make the order total if the numbering
+    must be deterministic.
+    """
+    return group_window(df, keys, order, number=out, min_hot_rows=min_hot_rows, buckets=buckets,
+                        sizes=sizes)

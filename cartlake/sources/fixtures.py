@@ -21,6 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cartlake.operators import sequence
+from cartlake.operators.sequence import group_window, largest_group
+
 RAW_TABLES = ("orders", "products", "aisles", "departments",
               "order_products__prior", "order_products__train")
 
@@ -32,21 +35,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders(order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, days_since_prior)."""
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    seq = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    # "not the user's last order" via lead(): same window as row_number, so one
-    # streaming Window operator and no whole-group buffer for a count(*) frame.
-    has_next = F.lead("o_orderkey").over(seq).isNotNull()
-    prev_date = F.lag("o_orderdate").over(seq)
-    return o.select(
+    # Per-customer numbering, previous order date and "has a later order";
+    # customers holding a large share of all orders are split by date range.
+    seq = group_window(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], number="__rn",
+                       lag={"o_orderdate": "__prev"}, lead={"o_orderkey": "__next"})
+    return seq.select(
         F.col("o_orderkey").cast("int").alias("order_id"),
         F.col("o_custkey").cast("int").alias("user_id"),
-        F.when(has_next, F.lit("prior"))
+        F.when(F.col("__next").isNotNull(), F.lit("prior"))
          .when(F.col("o_custkey") % 2 == 0, F.lit("train"))
          .otherwise(F.lit("test")).alias("eval_set"),
-        F.row_number().over(seq).cast("int").alias("order_number"),
+        F.col("__rn").cast("int").alias("order_number"),
         (F.dayofweek("o_orderdate") - 1).cast("int").alias("order_dow"),
         (F.col("o_orderkey") % 24).cast("int").alias("order_hour_of_day"),
-        F.datediff(F.col("o_orderdate").cast("date"), prev_date.cast("date")).cast("int")
+        F.datediff(F.col("o_orderdate").cast("date"), F.col("__prev").cast("date")).cast("int")
          .alias("days_since_prior"),
     )
 
@@ -55,30 +57,48 @@ def basket_lines(spark: SparkSession, sf_dir: str, orders_df: DataFrame | None =
     """One row per (order, product): order_id, product_id, user_id, eval_set, order_number, add_to_cart_order."""
     if orders_df is None:
         orders_df = orders(spark, sf_dir)
+    li = read(spark, sf_dir, "lineitem")
     # Hash-partition lineitem once by order key: the per-(order, part) dedup,
     # the per-order cart numbering and the join to orders all reuse it.
-    lines = (read(spark, sf_dir, "lineitem")
-             .select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
+    lines = (li.select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
              .repartition("l_orderkey")
              .groupBy("l_orderkey", "l_partkey")
              .agg(F.min("l_linenumber").alias("l_linenumber"),
                   F.min("l_suppkey").alias("l_suppkey")))
-    cart = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    lines = lines.withColumn("add_to_cart_order", F.row_number().over(cart).cast("int"))
+    # Raw line counts per order bound the deduplicated group sizes (key column only).
+    sizes = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
+    lines = group_window(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"],
+                         number="add_to_cart_order", sizes=sizes)
     o = orders_df.select("order_id", "user_id", "eval_set", "order_number",
                          F.col("order_id").cast("bigint").alias("l_orderkey"))
     return lines.join(o, "l_orderkey").select(
         "order_id", F.col("l_partkey").cast("int").alias("product_id"), "user_id", "eval_set",
-        "order_number", "add_to_cart_order")
+        "order_number", F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"))
 
 
 def order_products_all(spark: SparkSession, sf_dir: str, orders_df: DataFrame | None = None) -> DataFrame:
-    """order_products with eval_set kept: reordered = 'true' if bought by the user before."""
+    """order_products with eval_set kept: reordered = 'true' if bought by the user before.
+
+    A (user, product) group has at most as many rows as the user has orders.
+    When no customer is hot, the ranking window is safe and is used.
+    Otherwise "not the first purchase" is computed as
+    order_number > the pair's first order number: an aggregate (combined
+    map-side) joined back.  The two agree because (user, product,
+    order_number) is unique here (one row per order and part, one order number
+    per order).
+    """
     lines = basket_lines(spark, sf_dir, orders_df)
-    seq = Window.partitionBy("user_id", "product_id").orderBy("order_number")
+    _, biggest_customer = largest_group(read(spark, sf_dir, "orders"), ["o_custkey"])
+    if biggest_customer <= sequence.MIN_HOT_ROWS:
+        seq = Window.partitionBy("user_id", "product_id").orderBy("order_number")
+        later = F.row_number().over(seq) > 1
+    else:
+        first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("__first"))
+        lines = lines.join(first, ["user_id", "product_id"])
+        later = F.col("order_number") > F.col("__first")
     return lines.select(
         "order_id", "product_id", "add_to_cart_order",
-        F.when(F.row_number().over(seq) > 1, F.lit("true")).otherwise(F.lit("false")).alias("reordered"),
+        F.when(later, F.lit("true")).otherwise(F.lit("false")).alias("reordered"),
         "eval_set")
 
 

@@ -156,3 +156,40 @@ def test_product_seq_time_salted_equals_plain_on_fixture(spark):
     salted = fx.product_seq_time(o, min_hot_rows=5)
     plain = fx.product_seq_time(o)
     assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+
+
+def test_fixture_windows_salted_path_equals_plain(spark):
+    """Force every customer / order into the hot path and compare with the plain plans."""
+    from cartlake.operators import sequence
+    from cartlake.sources import fixtures as fz
+    sf = "/root/testdata/sf0.001"
+    plain_o = fz.orders(spark, sf).collect()
+    plain_op = fz.order_products_all(spark, sf).collect()
+    old_min, old_p = sequence.MIN_HOT_ROWS, spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        sequence.MIN_HOT_ROWS = 3
+        spark.conf.set("spark.sql.shuffle.partitions", "1000")   # rows / P < 3: most groups are hot
+        o = fz.orders(spark, sf)
+        assert "__bucket" in o._jdf.queryExecution().executedPlan().toString()
+        salted_o = o.collect()
+        salted_op = fz.order_products_all(spark, sf).collect()
+    finally:
+        sequence.MIN_HOT_ROWS = old_min
+        spark.conf.set("spark.sql.shuffle.partitions", old_p)
+    assert sorted(plain_o, key=repr) == sorted(salted_o, key=repr)
+    assert sorted(plain_op, key=repr) == sorted(salted_op, key=repr)
+
+
+def test_group_window_lag_lead_across_buckets(spark):
+    from pyspark.sql import Window
+    from cartlake.operators.sequence import group_window
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 300).cast("int").alias("k"),
+        (F.col("id") * 7919 % 10007).cast("int").alias("o"), F.col("id").alias("tb"),
+        (F.col("id") % 13).alias("x"))
+    w = Window.partitionBy("k").orderBy("o", "tb")
+    want = df.select("*", F.row_number().over(w).alias("rn"), F.lag("x").over(w).alias("px"),
+                     F.lead("tb").over(w).alias("nt"))
+    got = group_window(df, ["k"], ["o", "tb"], number="rn", lag={"x": "px"}, lead={"tb": "nt"},
+                       min_hot_rows=100, buckets=7)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
