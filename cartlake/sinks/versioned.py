@@ -18,6 +18,8 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,16 @@ LOG_SCHEMA = StructType([
 FORMAT_VERSION = "2"
 
 
+@dataclass(frozen=True)
+class Staged:
+    """A written but not yet committed table version."""
+    name: str
+    snapshot_id: int
+    path: str
+    added_records: int
+    schema: StructType
+
+
 class VersionedTables:
     def __init__(self, spark: SparkSession, root: str, database: str, register: bool = True):
         self.spark = spark
@@ -76,32 +88,43 @@ class VersionedTables:
         return self._current[name]
 
     # ------------------------------------------------------------ write
-    def publish(self, name: str, df: DataFrame, operation: str = "overwrite",
-                extra_summary: dict[str, str] | None = None) -> int:
-        """Create or replace ``name`` with ``df``'s rows; returns the new snapshot id."""
-        parent = self.current(name)
+    def stage(self, name: str, df: DataFrame) -> Staged:
+        """Write ``df`` to a fresh version folder of ``name``; nothing becomes
+        visible until ``commit``.  Safe to call from several threads at once."""
         snapshot_id = uuid.uuid4().int >> 65
         path = f"{self.table_dir(name)}/data/snapshot_id={snapshot_id}"
         obs = Observation(f"publish_{name}_{snapshot_id}")
         (df.observe(obs, F.count(F.lit(1)).alias("added_records"))
            .write.mode("errorifexists").parquet(path))
+        return Staged(name, snapshot_id, path, int(obs.get.get("added_records", 0)), df.schema)
+
+    def commit(self, staged: Staged, operation: str = "overwrite",
+               extra_summary: dict[str, str] | None = None) -> int:
+        """Make a staged version current: one commit record, then the catalog pointer."""
+        name = staged.name
+        parent = self.current(name)
         summary = {
             "spark.app.id": self.spark.sparkContext.applicationId,
-            "added-records": str(obs.get.get("added_records", 0)),
+            "added-records": str(staged.added_records),
             "format-version": FORMAT_VERSION,
             **(extra_summary or {}),
         }
         seq = 0 if parent is None else parent["sequence_number"] + 1
-        commit = Row(snapshot_id=snapshot_id,
+        commit = Row(snapshot_id=staged.snapshot_id,
                      parent_id=None if parent is None else parent["snapshot_id"],
                      sequence_number=seq,
                      committed_at=_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-                     operation=operation, manifest_list=path, summary=summary)
+                     operation=operation, manifest_list=staged.path, summary=summary)
         self._write_commit(name, commit)
         self._current[name] = commit
         if self.register:
-            self._point_catalog(name, path, df.schema)
-        return snapshot_id
+            self._point_catalog(name, staged.path, staged.schema)
+        return staged.snapshot_id
+
+    def publish(self, name: str, df: DataFrame, operation: str = "overwrite",
+                extra_summary: dict[str, str] | None = None) -> int:
+        """Create or replace ``name`` with ``df``'s rows; returns the new snapshot id."""
+        return self.commit(self.stage(name, df), operation, extra_summary)
 
     def _write_commit(self, name: str, commit: Row) -> None:
         """One JSON line per commit, created only if absent: a second writer racing
@@ -153,12 +176,35 @@ def create_or_replace_table(tables: VersionedTables, name: str, df: DataFrame) -
     return tables.publish(name, df, operation="overwrite")
 
 
-def publish_all(tables: VersionedTables, frames: list[tuple[str, DataFrame]]) -> dict[str, int]:
-    """Publish tables in the given order, one job each; stop at the first failure
-    (tables already published stay published)."""
-    done = {}
-    for name, df in frames:
-        done[name] = tables.publish(name, df)
+def publish_all(tables: VersionedTables, frames: list[tuple[str, DataFrame]],
+                parallelism: int = 1) -> dict[str, int]:
+    """Publish tables in the given order and stop at the first failure: the
+    tables before it are published, it and the ones after are not.
+
+    With ``parallelism`` > 1 the writes run as concurrent Spark jobs (small
+    tables no longer leave the cluster idle one after another), while the
+    commits still happen one by one in the given order.  A version written
+    after a failed one is never committed, so the visible outcome is the same
+    as publishing sequentially.
+    """
+    done: dict[str, int] = {}
+    if parallelism <= 1:
+        for name, df in frames:
+            done[name] = tables.publish(name, df)
+        return done
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        futures = [(name, pool.submit(tables.stage, name, df)) for name, df in frames]
+        failure = None
+        for name, fut in futures:
+            try:
+                staged = fut.result()
+            except Exception as e:  # keep waiting for the rest, commit nothing after this
+                failure = failure or e
+                continue
+            if failure is None:
+                done[name] = tables.commit(staged)
+    if failure is not None:
+        raise failure
     return done
 
 

@@ -144,3 +144,15 @@ def test_failed_publish_keeps_previous_version(spark):
     assert tables.history("t").count() == 1
     # a fresh reader (no cached state) sees the same current version
     assert VersionedTables(spark, tables.root, "t_silver_fail").table("t").count() == 5
+
+
+def test_publish_all_parallel_stops_at_first_failure(spark):
+    from cartlake.sinks.versioned import publish_all
+    tables = VersionedTables(spark, workspace(spark, "t-pall"), "t_pall")
+    bad = spark.range(5).select((F.lit(1) / (F.col("id") - F.col("id"))).alias("id"))
+    with pytest.raises(Exception):
+        publish_all(tables, [("a", spark.range(3)), ("b", bad), ("c", spark.range(4))], parallelism=3)
+    assert tables.table("a").count() == 3
+    assert tables.current("b") is None and tables.current("c") is None
+    done = publish_all(tables, [("c", spark.range(4)), ("d", spark.range(2))], parallelism=2)
+    assert list(done) == ["c", "d"] and tables.table("d").count() == 2
