@@ -106,3 +106,17 @@ def test_alter_type_overflow_raises(spark):
 def test_stamp_column_is_one_constant(spark):
     out = ch.stamp_column(spark.range(100), "updated_at")
     assert out.select("updated_at").distinct().count() == 1
+
+
+def test_merge_sql_form_reaches_the_catalog(spark):
+    """The mergeInto form is well-formed; the built-in parquet catalog then refuses
+    row-level operations, which is why merge_upsert exists."""
+    import uuid
+    from cartlake.session import workspace
+    name = f"t_merge_{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE TABLE {name} ({T_SCHEMA}) USING PARQUET LOCATION '{workspace(spark, 't-msql')}'")
+    spark.createDataFrame([(31, "Heater", 17, 19, 1.0)], T_SCHEMA).createOrReplaceTempView("tmp_products_updates")
+    with pytest.raises(Exception) as err:
+        ch.merge_upsert_sql(spark, name, "tmp_products_updates", "product_id",
+                            ["product_name", "aisle_id", "department_id", "updated_at"])
+    assert "MERGE" in str(err.value).upper()
