@@ -139,10 +139,19 @@ class VersionedTables:
             out.close()
 
     def _point_catalog(self, name: str, path: str, schema) -> None:
-        full = f"{self.database}.{name}"
-        # External table: dropping the entry keeps every version's files.
-        self.spark.sql(f"DROP TABLE IF EXISTS `{self.database}`.`{name}`")
-        self.spark.catalog.createTable(full, path=path, source="parquet", schema=schema)
+        """Point ``<db>.<name>`` at the new version.  Same columns and types: one
+        location swap in the metastore, so readers always find the table.  A
+        changed schema re-creates the (external) entry; files are never dropped."""
+        full = f"`{self.database}`.`{name}`"
+        shape = [(f.name, f.dataType) for f in schema.fields]
+        if self.spark.catalog.tableExists(f"{self.database}.{name}"):
+            current = [(f.name, f.dataType) for f in self.spark.table(full).schema.fields]
+            if current == shape:
+                self.spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+                self.spark.sql(f"REFRESH TABLE {full}")
+                return
+            self.spark.sql(f"DROP TABLE {full}")
+        self.spark.catalog.createTable(f"{self.database}.{name}", path=path, source="parquet", schema=schema)
 
     # ------------------------------------------------------------ read
     def table(self, name: str, snapshot_id: int | None = None) -> DataFrame:

@@ -156,3 +156,13 @@ def test_publish_all_parallel_stops_at_first_failure(spark):
     assert tables.current("b") is None and tables.current("c") is None
     done = publish_all(tables, [("c", spark.range(4)), ("d", spark.range(2))], parallelism=2)
     assert list(done) == ["c", "d"] and tables.table("d").count() == 2
+
+
+def test_catalog_pointer_follows_versions_and_schema_changes(spark):
+    tables = VersionedTables(spark, workspace(spark, "t-ptr"), "t_ptr")
+    tables.publish("t", spark.range(3))
+    tables.publish("t", spark.range(5))                       # same schema: location swap
+    assert spark.table("t_ptr.t").count() == 5
+    tables.publish("t", spark.range(2).withColumn("x", F.lit("a")))   # new column: re-created entry
+    assert spark.table("t_ptr.t").columns == ["id", "x"] and spark.table("t_ptr.t").count() == 2
+    assert tables.table("t", tables.history("t").orderBy("made_current_at").first().snapshot_id).count() == 3
