@@ -57,7 +57,7 @@ def _sizes_stats(df: DataFrame, keys: list[str], sizes: DataFrame | None):
 def group_window(df: DataFrame, keys: list[str], order: list[str], number: str | None = None,
                  lag: dict[str, str] | None = None, lead: dict[str, str] | None = None,
                  min_hot_rows: int | None = None, buckets: int | None = None,
-                 sizes: DataFrame | None = None) -> DataFrame:
+                 sizes: DataFrame | None = None, stats: tuple[int, int] | None = None) -> DataFrame:
     """Per group of ``keys`` in ``order`` (ascending, NULLs first), add
 
     * ``number``: row_number(),
@@ -66,7 +66,8 @@ def group_window(df: DataFrame, keys: list[str], order: list[str], number: str |
 
     exactly as the window functions would.  ``sizes`` (keys + ``__n``) may give
     upper bounds of the group sizes from a cheaper source; otherwise they are
-    counted from ``df`` (key columns only).
+    counted from ``df`` (key columns only).  ``stats`` = (rows, biggest group),
+    when already known, skips the counting job.
 
     Hot groups are split into order-range buckets; inside a bucket the plain
     window runs, and the first / last row of each bucket takes its lag / lead
@@ -77,7 +78,12 @@ def group_window(df: DataFrame, keys: list[str], order: list[str], number: str |
     min_hot_rows = MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sizes, rows, biggest = _sizes_stats(df, keys, sizes)
+    if stats is None:
+        sizes, rows, biggest = _sizes_stats(df, keys, sizes)
+    else:
+        rows, biggest = stats
+        if sizes is None:
+            sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot_rows = max(min_hot_rows, math.ceil(rows / max(parts, 1)))
     first_type = df.schema[order[0]].dataType
     # Spark's row_number() is a 32-bit int; a group past that size always takes

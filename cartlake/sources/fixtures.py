@@ -32,13 +32,29 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_STATS: dict[tuple[str, str, str], tuple[int, int]] = {}
+
+
+def group_stats(spark: SparkSession, sf_dir: str, table: str, key: str) -> tuple[int, int]:
+    """(rows, rows of the biggest ``key`` group) of a generated input table.
+
+    One key-column aggregate per table and key, remembered for the process:
+    the generated inputs are read-only, so the numbers cannot change.
+    """
+    k = (sf_dir.rstrip("/"), table, key)
+    if k not in _STATS:
+        _STATS[k] = largest_group(read(spark, sf_dir, table), [key])
+    return _STATS[k]
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders(order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, days_since_prior)."""
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     # Per-customer numbering, previous order date and "has a later order";
     # customers holding a large share of all orders are split by date range.
     seq = group_window(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], number="__rn",
-                       lag={"o_orderdate": "__prev"}, lead={"o_orderkey": "__next"})
+                       lag={"o_orderdate": "__prev"}, lead={"o_orderkey": "__next"},
+                       stats=group_stats(spark, sf_dir, "orders", "o_custkey"))
     return seq.select(
         F.col("o_orderkey").cast("int").alias("order_id"),
         F.col("o_custkey").cast("int").alias("user_id"),
@@ -68,7 +84,8 @@ def basket_lines(spark: SparkSession, sf_dir: str, orders_df: DataFrame | None =
     # Raw line counts per order bound the deduplicated group sizes (key column only).
     sizes = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
     lines = group_window(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"],
-                         number="add_to_cart_order", sizes=sizes)
+                         number="add_to_cart_order", sizes=sizes,
+                         stats=group_stats(spark, sf_dir, "lineitem", "l_orderkey"))
     o = orders_df.select("order_id", "user_id", "eval_set", "order_number",
                          F.col("order_id").cast("bigint").alias("l_orderkey"))
     return lines.join(o, "l_orderkey").select(
@@ -88,7 +105,7 @@ def order_products_all(spark: SparkSession, sf_dir: str, orders_df: DataFrame |
     per order).
     """
     lines = basket_lines(spark, sf_dir, orders_df)
-    _, biggest_customer = largest_group(read(spark, sf_dir, "orders"), ["o_custkey"])
+    _, biggest_customer = group_stats(spark, sf_dir, "orders", "o_custkey")
     if biggest_customer <= sequence.MIN_HOT_ROWS:
         seq = Window.partitionBy("user_id", "product_id").orderBy("order_number")
         later = F.row_number().over(seq) > 1
