@@ -57,7 +57,8 @@ def _sizes_stats(df: DataFrame, keys: list[str], sizes: DataFrame | None):
 def group_window(df: DataFrame, keys: list[str], order: list[str], number: str | None = None,
                  lag: dict[str, str] | None = None, lead: dict[str, str] | None = None,
                  min_hot_rows: int | None = None, buckets: int | None = None,
-                 sizes: DataFrame | None = None, stats: tuple[int, int] | None = None) -> DataFrame:
+                 sizes: DataFrame | None = None, stats: tuple[int, int] | None = None,
+                 max_group_rows: int | None = None) -> DataFrame:
     """Per group of ``keys`` in ``order`` (ascending, NULLs first), add
 
     * ``number``: row_number(),
@@ -67,7 +68,8 @@ def group_window(df: DataFrame, keys: list[str], order: list[str], number: str |
     exactly as the window functions would.  ``sizes`` (keys + ``__n``) may give
     upper bounds of the group sizes from a cheaper source; otherwise they are
     counted from ``df`` (key columns only).  ``stats`` = (rows, biggest group),
-    when already known, skips the counting job.
+    when already known, skips the counting job; so does ``max_group_rows``, a
+    caller-known upper bound of the largest group, when it is small.
 
     Hot groups are split into order-range buckets; inside a bucket the plain
     window runs, and the first / last row of each bucket takes its lag / lead
@@ -78,6 +80,8 @@ def group_window(df: DataFrame, keys: list[str], order: list[str], number: str |
     min_hot_rows = MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if max_group_rows is not None and max_group_rows <= min_hot_rows and stats is None:
+        stats = (0, max_group_rows)   # no group can be hot: the plain window is chosen below
     if stats is None:
         sizes, rows, biggest = _sizes_stats(df, keys, sizes)
     else:

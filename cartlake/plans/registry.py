@@ -124,7 +124,9 @@ def q_prd_features(spark, sf):
 
 
 def q_product_seq_time(spark, sf):
-    return fx.product_seq_time(_opp(spark, sf))
+    # one row per (order, product) here, so a pair's group is at most its user's order count
+    _, most_orders = fz.group_stats(spark, sf, "orders", "o_custkey")
+    return fx.product_seq_time(_opp(spark, sf), max_group_rows=most_orders)
 
 
 def q_count_non_null(spark, sf):
