@@ -120,3 +120,12 @@ def test_merge_sql_form_reaches_the_catalog(spark):
         ch.merge_upsert_sql(spark, name, "tmp_products_updates", "product_id",
                             ["product_name", "aisle_id", "department_id", "updated_at"])
     assert "MERGE" in str(err.value).upper()
+
+
+def test_delete_then_merge_restores(spark):
+    t = fz.product_target(spark, SF_MID)
+    removed = t.filter("product_id % 7 = 3")
+    shrunk = ch.delete_where(t, "product_id % 7 = 3")
+    assert shrunk.count() + removed.count() == t.count()
+    restored = ch.merge_upsert(shrunk, removed, "product_id")
+    assert restored.exceptAll(t).isEmpty() and t.exceptAll(restored).isEmpty()
