@@ -26,13 +26,25 @@ DEFAULT_CONF = {
 }
 
 
+def _default_driver_memory() -> str:
+    """Local mode runs everything in the driver JVM: 60% of physical memory,
+    between 2 and 16 GiB."""
+    try:
+        with open("/proc/meminfo") as f:
+            kib = next(int(line.split()[1]) for line in f if line.startswith("MemTotal:"))
+        gib = int(kib * 0.6 / (1024 * 1024))
+    except (OSError, StopIteration, ValueError):
+        gib = 4
+    return f"{max(2, min(16, gib))}g"
+
+
 def build_session(master: str = "local[8]", app_name: str = "cartlake",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench.  Clusters pass their own conf."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("CARTLAKE_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("CARTLAKE_DRIVER_MEMORY", _default_driver_memory())
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
