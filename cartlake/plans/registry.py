@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartlake.functions import flag_else_zero, flag_or_null, guarded_ratio
 from cartlake.operators import changes as ch
 from cartlake.operators import features as fx
 from cartlake.operators import quality as qc
@@ -27,6 +28,7 @@ from cartlake.sinks.versioned import VersionedTables, audit_log, create_or_repla
 from cartlake.sources import catalog as cat
 from cartlake.sources import files
 from cartlake.sources import fixtures as fz
+from cartlake.streaming.changes import apply_changes, stream_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,13 +84,11 @@ def q_filter_range(spark, sf):
 
 
 def q_case_flag_else(spark, sf):
-    from cartlake.functions import flag_else_zero
     return _opp(spark, sf).select("order_id", "product_id",
                                   flag_else_zero(F.col("reordered") == 1).alias("reordered_flag"))
 
 
 def q_case_flag_null(spark, sf):
-    from cartlake.functions import flag_or_null
     return _opp(spark, sf).select("order_id", "product_id",
                                   flag_or_null(F.col("order_number") > 1).alias("repeat_order_flag"))
 
@@ -138,13 +138,11 @@ def q_count_star(spark, sf):
 
 
 def q_conditional_sum(spark, sf):
-    from cartlake.functions import flag_else_zero
     return _order_products(spark, sf).groupBy("order_id").agg(
         F.sum(flag_else_zero(F.col("reordered") == 1)).alias("reordered_items"))
 
 
 def q_guarded_ratio(spark, sf):
-    from cartlake.functions import flag_else_zero, flag_or_null, guarded_ratio
     return _opp(spark, sf).groupBy("order_id").agg(
         guarded_ratio(F.sum(flag_else_zero(F.col("reordered") == 1)),
                       F.count(flag_or_null(F.col("order_number") > 1))).alias("reorder_ratio"))
@@ -386,14 +384,12 @@ def q_snapshots_scan(spark, sf):
 
 
 def q_apply_changes(spark, sf):
-    from cartlake.streaming.changes import apply_changes
     return apply_changes(fz.product_target(spark, sf), fz.product_changes(spark, sf), "product_id")
 
 
 def q_apply_changes_stream(spark, sf):
     """The change feed landed as one Parquet file per sequence number, applied by a
     stream (one micro-batch per file, a published version per batch)."""
-    from cartlake.streaming.changes import stream_changes
     root = workspace(spark, "cdc")
     changes = fz.product_changes(spark, sf)
     for s in (1, 2, 3):
