@@ -144,13 +144,16 @@ def main(argv: list[str] | None = None) -> int:
     """spark-submit entry point; every location is a required argument (no defaults)."""
     import argparse
 
-    from cartlake.session import ensure_checkpoint_dir
+    from cartlake.session import ensure_checkpoint_dir, scale_conf
 
     ap = argparse.ArgumentParser(description="Publish the silver feature tables from the raw tables.")
     ap.add_argument("--raw-database", required=True, help="database holding the six raw tables")
     ap.add_argument("--raw-catalog", default=None, help="catalog of the raw database (default: session)")
     ap.add_argument("--silver-root", required=True, help="folder that receives the published tables")
     ap.add_argument("--silver-database", required=True, help="catalog database for the published tables")
+    ap.add_argument("--parallelism", type=int, default=4, help="table writes staged at the same time")
+    ap.add_argument("--input-gb", type=float, default=None,
+                    help="raw input size; sizes shuffle partitions and scan splits (session.scale_conf)")
     args = ap.parse_args(argv)
     if not args.silver_root.strip("/ "):
         raise SystemExit("--silver-root must not be empty")
@@ -158,8 +161,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("cartlake-feature-job").getOrCreate()
     try:
         ensure_checkpoint_dir(spark)
+        if args.input_gb:
+            for k, v in scale_conf(int(args.input_gb * 1024 ** 3)).items():
+                spark.conf.set(k, v)   # runtime SQL settings only
         silver = VersionedTables(spark, args.silver_root.rstrip("/"), args.silver_database)
-        FeatureJob(spark, args.raw_database, silver, args.raw_catalog).run()
+        FeatureJob(spark, args.raw_database, silver, args.raw_catalog).run(parallelism=args.parallelism)
     finally:
         spark.stop()
     return 0

@@ -52,3 +52,16 @@ def test_catalog_points_at_current_versions(spark, silver):
 def test_job_requires_raw_database(spark):
     with pytest.raises(ValueError):
         FeatureJob(spark, "  ", None)
+
+
+def test_cli_requires_locations():
+    from cartlake.plans.feature_job import main
+    with pytest.raises(SystemExit):
+        main(["--raw-database", "raw"])
+
+
+def test_scale_conf_sizes_partitions():
+    from cartlake.session import scale_conf
+    conf = scale_conf(100 * 1024 ** 4)          # 100 TiB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1)["spark.sql.shuffle.partitions"] == "200"
