@@ -31,11 +31,16 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = build_session(master=f"local[{cpus}]", app_name="cartlake-bench", shuffle_partitions=cpus)
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):   # stage / task times without the web UI
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = build_session(master=f"local[{cpus}]", app_name="cartlake-bench", shuffle_partitions=cpus,
+                          extra=extra)
     # Warm-up: JVM class loading and the first file listing are not query time.
     QUERIES["user_features_1"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for key in HEADLINE:
+        spark.sparkContext.setJobDescription(key)
         t0 = time.perf_counter()
         QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[key] = round(time.perf_counter() - t0, 3)

@@ -84,6 +84,8 @@ class VersionedTables:
     def current(self, name: str):
         """The newest commit row, or None for a table never published."""
         if name not in self._current:
+            if not self._exists(self._log_dir(name)):
+                return None          # never published: no job needed
             self._current[name] = self.log(name).orderBy(F.col("sequence_number").desc()).first()
         return self._current[name]
 
