@@ -126,3 +126,45 @@ def check_orphans(relations: list[tuple[str, DataFrame, str, str, DataFrame, str
                     F.lit(parent_name).alias("parent_table"), F.lit(pk).alias("parent_column"),
                     "n_orphan_keys", "n_orphan_rows"))
     return _union_all(frames)
+
+
+# ---------------------------------------------------------------- whole raw layer
+
+def check_raw_layer(tables: dict[str, DataFrame], include_disabled: bool = False) -> dict[str, DataFrame]:
+    """Every constraint declared on the source tables, as summary frames.
+
+    ``tables`` maps raw table names to DataFrames (missing tables are skipped).
+    Composite keys and foreign keys were declared but disabled at the source;
+    ``include_disabled`` checks them too.
+    """
+    from cartlake.sources import schema
+
+    def have(names):
+        return all(n in tables for n in names)
+
+    out = {
+        "primary_key": check_primary_key({t: (tables[t], k) for t, k in schema.PRIMARY_KEYS.items()
+                                          if t in tables}),
+        "not_null": check_not_null({t: (tables[t], c) for t, c in schema.NOT_NULL.items() if t in tables}),
+        "max_length": check_max_length({t: (tables[t], m) for t, m in schema.MAX_LENGTH.items()
+                                        if t in tables}),
+    }
+    if include_disabled:
+        out["composite_key"] = check_composite_key({t: (tables[t], k) for t, k in schema.COMPOSITE_KEYS.items()
+                                                    if t in tables})
+        out["orphans"] = check_orphans([(c, tables[c], fk, p, tables[p], pk)
+                                        for c, fk, p, pk in schema.FOREIGN_KEYS if have([c, p])])
+    return out
+
+
+def violations_found(report: dict[str, DataFrame]) -> DataFrame:
+    """One row per failed check of a ``check_raw_layer`` report (empty when clean)."""
+    counts = {"primary_key": ["n_null_keys", "n_duplicate_keys"], "not_null": ["n_nulls"],
+              "max_length": ["n_too_long"], "composite_key": ["n_null_keys", "n_duplicate_keys"],
+              "orphans": ["n_orphan_rows"]}
+    frames = []
+    for check, df in report.items():
+        bad = reduce(lambda a, b: a | b, [F.col(c) > 0 for c in counts[check]])
+        frames.append(df.filter(bad).select(F.lit(check).alias("check"), "table_name",
+                                            F.to_json(F.struct(*df.columns)).alias("detail")))
+    return _union_all(frames)

@@ -28,29 +28,17 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from cartlake.operators import features as fx
+from cartlake.operators.quality import check_raw_layer, violations_found
 from cartlake.session import workspace
 from cartlake.sinks.versioned import VersionedTables
 from cartlake.sources.catalog import read_table
+from cartlake.sources.schema import RAW_COLUMNS  # noqa: F401  (re-exported)
 
 log = logging.getLogger(__name__)
 
 RAW_TABLES = ("order_products__train", "order_products__prior", "orders", "products",
               "departments", "aisles")
 
-# Declared raw-table schemas (name, type), as the raw catalog declares them.
-RAW_COLUMNS = {
-    "departments": [("department_id", "int"), ("department", "string")],
-    "aisles": [("aisle_id", "int"), ("aisle", "string")],
-    "products": [("product_id", "int"), ("product_name", "string"), ("aisle_id", "int"),
-                 ("department_id", "int")],
-    "orders": [("order_id", "int"), ("user_id", "int"), ("eval_set", "string"), ("order_number", "int"),
-               ("order_dow", "int"), ("order_hour_of_day", "int"), ("days_since_prior", "int")],
-    "order_products__prior": [("order_id", "int"), ("product_id", "int"), ("add_to_cart_order", "int"),
-                              ("reordered", "string")],
-    "order_products__train": [("order_id", "int"), ("product_id", "int"), ("add_to_cart_order", "int"),
-                              ("reordered", "string")],
-}
-
 # Published tables, in publishing order.
 SILVER_TABLES = ("products", "aisles", "departments", "orders", "order_products__prior",
                  "order_products__train", "order_products", "order_products_prior",
@@ -89,7 +77,14 @@ class FeatureJob:
             "user_features_1": fx.user_features_1(raw["orders"]),
         }
 
-    def run(self, parallelism: int = 4) -> dict[str, int]:
+    def quality_gate(self, raw: dict[str, DataFrame]) -> None:
+        """Raise if the raw tables break a declared constraint (keys, NOT NULL, lengths)."""
+        bad = violations_found(check_raw_layer(raw)).limit(20).collect()
+        if bad:
+            raise ValueError("raw layer violates declared constraints: "
+                             + "; ".join(f"{r.check} {r.table_name} {r.detail}" for r in bad))
+
+    def run(self, parallelism: int = 4, check_quality: bool = False) -> dict[str, int]:
         """Publish the twelve tables; commits happen in SILVER_TABLES order.
 
         Writes that do not depend on an earlier output are staged as
@@ -98,6 +93,8 @@ class FeatureJob:
         leaves exactly the earlier tables published.
         """
         raw = self.read_raw()
+        if check_quality:
+            self.quality_gate(raw)
         plans = self.plans(raw)
         published: dict[str, int] = {}
         pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
@@ -152,6 +149,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--silver-root", required=True, help="folder that receives the published tables")
     ap.add_argument("--silver-database", required=True, help="catalog database for the published tables")
     ap.add_argument("--parallelism", type=int, default=4, help="table writes staged at the same time")
+    ap.add_argument("--check-quality", action="store_true",
+                    help="refuse to publish when the raw tables break a declared constraint")
     ap.add_argument("--input-gb", type=float, default=None,
                     help="raw input size; sizes shuffle partitions and scan splits (session.scale_conf)")
     args = ap.parse_args(argv)
@@ -165,7 +164,8 @@ def main(argv: list[str] | None = None) -> int:
             for k, v in scale_conf(int(args.input_gb * 1024 ** 3)).items():
                 spark.conf.set(k, v)   # runtime SQL settings only
         silver = VersionedTables(spark, args.silver_root.rstrip("/"), args.silver_database)
-        FeatureJob(spark, args.raw_database, silver, args.raw_catalog).run(parallelism=args.parallelism)
+        FeatureJob(spark, args.raw_database, silver, args.raw_catalog).run(
+            parallelism=args.parallelism, check_quality=args.check_quality)
     finally:
         spark.stop()
     return 0

@@ -20,7 +20,7 @@ from cartlake.functions import flag_else_zero, flag_or_null, guarded_ratio
 from cartlake.operators import changes as ch
 from cartlake.operators import features as fx
 from cartlake.operators import quality as qc
-from cartlake.plans.feature_job import RAW_COLUMNS, SILVER_TABLES, FeatureJob
+from cartlake.plans.feature_job import SILVER_TABLES, FeatureJob
 from cartlake.plans.oracle import TEST_EPOCH
 from cartlake.session import workspace
 from cartlake.sinks import landing
@@ -28,6 +28,7 @@ from cartlake.sinks.versioned import VersionedTables, audit_log, create_or_repla
 from cartlake.sources import catalog as cat
 from cartlake.sources import files
 from cartlake.sources import fixtures as fz
+from cartlake.sources.schema import MAX_LENGTH, NOT_NULL, PRIMARY_KEYS, RAW_COLUMNS
 from cartlake.streaming.changes import apply_changes, stream_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,11 +194,11 @@ def q_alter_column_type(spark, sf):
 
 def q_check_primary_key(spark, sf):
     return qc.check_primary_key({
-        "orders": (fz.orders(spark, sf), "order_id"),
-        "products": (fz.products(spark, sf), "product_id"),
-        "aisles": (fz.aisles(spark, sf), "aisle_id"),
-        "departments": (fz.departments(spark, sf), "department_id"),
-        "product_updates": (fz.product_updates(spark, sf), "product_id"),
+        "orders": (fz.orders(spark, sf), PRIMARY_KEYS["orders"]),
+        "products": (fz.products(spark, sf), PRIMARY_KEYS["products"]),
+        "aisles": (fz.aisles(spark, sf), PRIMARY_KEYS["aisles"]),
+        "departments": (fz.departments(spark, sf), PRIMARY_KEYS["departments"]),
+        "product_updates": (fz.product_updates(spark, sf), PRIMARY_KEYS["products"]),
     })
 
 
@@ -210,21 +211,19 @@ def q_check_composite_key(spark, sf):
 
 def q_check_not_null(spark, sf):
     return qc.check_not_null({
-        "orders": (fz.orders(spark, sf), ["user_id", "eval_set", "order_number", "order_dow",
-                                          "order_hour_of_day"]),
-        "product_updates": (fz.product_updates(spark, sf), ["product_name", "aisle_id", "department_id"]),
-        "order_products_raw": (fz.flag_variants(spark, sf),
-                               ["order_id", "product_id", "add_to_cart_order", "reordered"]),
+        "orders": (fz.orders(spark, sf), NOT_NULL["orders"]),
+        "product_updates": (fz.product_updates(spark, sf), NOT_NULL["products"]),
+        "order_products_raw": (fz.flag_variants(spark, sf), NOT_NULL["order_products__prior"]),
     })
 
 
 def q_check_max_length(spark, sf):
     return qc.check_max_length({
-        "orders": (fz.orders(spark, sf), {"eval_set": 20}),
-        "products": (fz.products(spark, sf), {"product_name": 255}),
-        "aisles": (fz.aisles(spark, sf), {"aisle": 255}),
-        "departments": (fz.departments(spark, sf), {"department": 255}),
-        "product_updates": (fz.product_updates(spark, sf), {"product_name": 255}),
+        "orders": (fz.orders(spark, sf), MAX_LENGTH["orders"]),
+        "products": (fz.products(spark, sf), MAX_LENGTH["products"]),
+        "aisles": (fz.aisles(spark, sf), MAX_LENGTH["aisles"]),
+        "departments": (fz.departments(spark, sf), MAX_LENGTH["departments"]),
+        "product_updates": (fz.product_updates(spark, sf), MAX_LENGTH["products"]),
     })
 
 

@@ -65,3 +65,15 @@ def test_scale_conf_sizes_partitions():
     conf = scale_conf(100 * 1024 ** 4)          # 100 TiB
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(1)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_quality_gate_blocks_dirty_raw_layer(spark):
+    root = workspace(spark, "t-gate")
+    raw_db = R._land_raw(spark, SF_SMALL, root)
+    tables = VersionedTables(spark, f"{root}/silver", "t_silver_gate")
+    job = FeatureJob(spark, raw_db, tables)
+    raw = job.read_raw()
+    job.quality_gate(raw)                                  # the landed fixture is clean
+    dirty = dict(raw, orders=raw["orders"].unionByName(raw["orders"].limit(1)))   # duplicate key
+    with pytest.raises(ValueError, match="primary_key"):
+        job.quality_gate(dirty)

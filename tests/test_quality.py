@@ -38,3 +38,21 @@ def test_orphans_pre_aggregated(spark):
     assert rows(qc.orphan_violations(child, "fk", parent, "pk")) == [(5, 3)]
     s = qc.check_orphans([("c", child, "fk", "p", parent, "pk")]).first()
     assert (s.n_orphan_keys, s.n_orphan_rows) == (1, 3)
+
+
+def test_raw_layer_report_on_landed_fixture_is_clean(spark):
+    from cartlake.sources import fixtures as fz
+    sf = "/root/testdata/sf0.001"
+    report = qc.check_raw_layer(fz.raw_tables(spark, sf), include_disabled=True)
+    assert set(report) == {"primary_key", "not_null", "max_length", "composite_key", "orphans"}
+    assert qc.violations_found(report).count() == 0
+    assert report["orphans"].count() == 6 and report["primary_key"].count() == 4
+
+
+def test_raw_layer_report_finds_dirty_rows(spark):
+    orders = spark.createDataFrame(
+        [(1, 1, "prior", 1, 0, 0, None), (1, 2, "x" * 30, 1, 0, 0, None), (2, None, "prior", 1, 0, 0, 3)],
+        "order_id int, user_id int, eval_set string, order_number int, order_dow int, "
+        "order_hour_of_day int, days_since_prior int")
+    found = {(r.check, r.table_name) for r in qc.violations_found(qc.check_raw_layer({"orders": orders})).collect()}
+    assert found == {("primary_key", "orders"), ("not_null", "orders"), ("max_length", "orders")}
