@@ -21,7 +21,7 @@ from cartlake.session import build_session  # noqa: E402
 
 HEADLINE = [
     "order_products_prior", "user_features_1", "user_features_2", "up_features", "prd_features",
-    "product_seq_time", "normalize_bool_flag", "order_products_union", "merge_upsert",
+    "product_seq_time", "normalize_bool_flag", "order_products_union", "merge_upsert", "apply_changes",
     "check_primary_key", "check_composite_key", "check_orphans", "publish_all",
 ]
 

@@ -65,7 +65,13 @@ def drop_and_create_target(df: DataFrame, root: str, table: str, schema: str = "
 
 def partitioned_landing(df: DataFrame, root: str, table: str, partition_by: list[str],
                         schema: str = "public", **kw) -> str:
-    """Landing write with one folder per partition value (readers prune by folder)."""
+    """Landing write with one folder per partition value (readers prune by folder).
+
+    Rows are not reshuffled by the partition column first: each task writes at
+    most one file per value it holds, so a value holding most rows is written
+    by all tasks in parallel rather than by one.  Meant for low-cardinality
+    columns (dates, eval sets).
+    """
     return parquet_landing_write(df, root, table, schema=schema, partition_by=partition_by, **kw)
 
 
