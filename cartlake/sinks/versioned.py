@@ -23,6 +23,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+
+from cartlake.functions import map_value
 from pyspark.sql.types import (LongType, MapType, StringType, StructField, StructType,
                                TimestampType)
 
@@ -225,5 +227,6 @@ def audit_log(history: DataFrame, snapshots: DataFrame) -> DataFrame:
     h, s = history.alias("h"), snapshots.alias("s")
     return (h.join(s, F.col("h.snapshot_id") == F.col("s.snapshot_id"))
             .select(F.col("h.made_current_at"), F.col("s.operation"), F.col("h.snapshot_id"),
-                    F.col("h.is_current_ancestor"), F.col("s.summary")["spark.app.id"].alias("spark_app_id"))
+                    F.col("h.is_current_ancestor"),
+                    map_value(F.col("s.summary"), "spark.app.id").alias("spark_app_id"))
             .orderBy("made_current_at"))
