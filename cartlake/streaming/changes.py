@@ -9,8 +9,9 @@ sequence number) to a published table, in batch or as a stream.
 * ``stream_changes`` runs it per micro-batch with ``foreachBatch`` and
   publishes a new version per batch.  Because a replayed batch is idempotent,
   a batch re-run after a failure between publish and checkpoint commit does not
-  change the result.  Change files must arrive in sequence order (as a change
-  log writes them); they are taken oldest first, one file per batch by default.
+  change the result.  The last applied sequence number per key is kept in a
+  companion table (``<table>__applied_seq``, deletes as tombstones), so a late
+  or replayed older change is ignored instead of overwriting newer state.
 """
 
 from __future__ import annotations
@@ -33,11 +34,31 @@ def latest_changes(changes: DataFrame, key: str, seq: str) -> DataFrame:
     return latest.select(key, *[F.col(f"__c.{c}").alias(c) for c in [seq, *rest]]).select(*changes.columns)
 
 
+def fresh_changes(latest: DataFrame, applied: DataFrame | None, key: str, seq: str) -> DataFrame:
+    """Drop changes whose sequence number is not newer than the one already applied
+    for their key (``applied``: key, seq; deletes stay there as tombstones)."""
+    if applied is None:
+        return latest
+    done = applied.select(key, F.col(seq).alias("__applied"))
+    return (latest.join(done, key, "left")
+            .filter(F.col("__applied").isNull() | (F.col(seq) > F.col("__applied")))
+            .drop("__applied"))
+
+
+def applied_sequences(applied: DataFrame | None, latest: DataFrame, key: str, seq: str) -> DataFrame:
+    """The per-key last applied sequence number after this batch."""
+    batch = latest.select(key, seq)
+    if applied is None:
+        return batch
+    return applied.select(key, seq).unionByName(batch).groupBy(key).agg(F.max(seq).alias(seq))
+
+
 def apply_changes(target: DataFrame, changes: DataFrame, key: str, seq: str = "seq",
-                  op: str = "op") -> DataFrame:
+                  op: str = "op", applied: DataFrame | None = None) -> DataFrame:
     """Target after the change batch: the latest change per key wins; 'D' deletes,
-    any other op (I / U) upserts every target column."""
-    latest = latest_changes(changes, key, seq)
+    any other op (I / U) upserts every target column.  With ``applied`` (key,
+    last applied seq), changes no newer than what was already applied are ignored."""
+    latest = fresh_changes(latest_changes(changes, key, seq), applied, key, seq)
     deleted = latest.filter(F.col(op) == F.lit(DELETE)).select(key)
     upserts = latest.filter(F.col(op).isNull() | (F.col(op) != F.lit(DELETE)))
     kept = target.join(deleted, key, "left_anti")
@@ -52,12 +73,19 @@ def stream_changes(spark: SparkSession, source: str, schema: StructType | str, t
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(source))
 
+    seq_table = f"{table}__applied_seq"
+
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
         current = tables.table(table)
-        tables.publish(table, apply_changes(current, batch, key, seq, op),
-                       operation="overwrite", extra_summary={"stream-epoch": str(epoch_id)})
+        applied = tables.table(seq_table) if tables.current(seq_table) is not None else None
+        latest = fresh_changes(latest_changes(batch, key, seq), applied, key, seq)
+        summary = {"stream-epoch": str(epoch_id)}
+        tables.publish(table, apply_changes(current, latest, key, seq, op),
+                       operation="overwrite", extra_summary=summary)
+        # Published second: a crash in between replays this batch, which is idempotent.
+        tables.publish(seq_table, applied_sequences(applied, latest, key, seq), extra_summary=summary)
 
     writer = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

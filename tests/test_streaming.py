@@ -46,3 +46,27 @@ def test_stream_applies_each_batch_and_matches_batch(spark):
                         checkpoint=f"{root}/ck")
     q2.awaitTermination()
     assert tables.history("products").count() == 4
+
+
+def test_stream_ignores_late_older_changes(spark):
+    root = workspace(spark, "t-cdc-late")
+    changes = fz.product_changes(spark, SF_SMALL)
+    # newest batch lands first, the older ones afterwards
+    for i, s in enumerate((3, 2, 1)):
+        changes.filter(F.col("seq") == s).coalesce(1).write.parquet(f"{root}/in/b={i}")
+    tables = VersionedTables(spark, f"{root}/t", "t_cdc_late")
+    tables.publish("products", fz.product_target(spark, SF_SMALL))
+    q = stream_changes(spark, f"{root}/in/b=*", changes.schema, tables, "products", "product_id",
+                       checkpoint=f"{root}/ck")
+    q.awaitTermination()
+    assert q.exception() is None
+    want = apply_changes(fz.product_target(spark, SF_SMALL), changes, "product_id")
+    got = tables.table("products")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_apply_changes_with_applied_sequences(spark):
+    t = spark.createDataFrame([(1, "a", 1, 1, 0.0)], SCHEMA)
+    c = spark.createDataFrame([(1, "old", 1, 1, 1.0, "U", 1), (2, "zombie", 1, 1, 1.0, "I", 1)], CH)
+    applied = spark.createDataFrame([(1, 5), (2, 3)], "product_id int, seq long")   # 2 was deleted at 3
+    assert rows(apply_changes(t, c, "product_id", applied=applied)) == [(1, "a", 1, 1, 0.0)]
