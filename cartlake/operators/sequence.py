@@ -23,6 +23,7 @@ NULL keys form a group like any other (null-safe joins throughout).
 
 from __future__ import annotations
 
+import logging
 import math
 from functools import reduce
 
@@ -36,6 +37,8 @@ _QUANTILE_TYPES = (ByteType, ShortType, IntegerType, LongType, FloatType, Double
 
 MIN_HOT_ROWS = 1_000_000
 
+log = logging.getLogger(__name__)
+
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]):
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
@@ -75,6 +78,12 @@ def group_window(df: DataFrame, keys: list[str], order: list[str], number: str |
     window runs, and the first / last row of each bucket takes its lag / lead
     and its number offset from a per-(group, bucket) edge table (count, first
     and last values), which is at most P x B rows and broadcast.
+
+    On the hot path ``df`` is read up to four times (sizes, quantiles, edges,
+    numbering), three of them as narrow column sets; pass a written table
+    rather than a long derived plan when ``df`` is expensive to compute.  The
+    first ordering column must be numeric, date or timestamp to be split;
+    otherwise hot groups fall back to the plain window, with a warning.
     """
     lag, lead = dict(lag or {}), dict(lead or {})
     min_hot_rows = MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows
@@ -93,6 +102,9 @@ def group_window(df: DataFrame, keys: list[str], order: list[str], number: str |
     # Spark's row_number() is a 32-bit int; a group past that size always takes
     # the salted path, whose numbers are 64-bit.
     out_type = "int" if biggest < 2**31 - 1 else "bigint"
+    if biggest > hot_rows and not isinstance(first_type, _QUANTILE_TYPES):
+        log.warning("group_window: hot groups (%d rows) but %s cannot be split by quantiles; "
+                    "using one task per group", biggest, order[0])
     if (biggest <= hot_rows and out_type == "int") or not isinstance(first_type, _QUANTILE_TYPES):
         w = Window.partitionBy(*keys).orderBy(*order)
         out = df
