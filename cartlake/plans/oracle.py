@@ -97,10 +97,7 @@ f_applied AS (
   SELECT product_id, product_name, aisle_id, department_id, updated_at FROM f_latest WHERE op <> 'D'
   UNION ALL
   SELECT * FROM f_target t
-  WHERE NOT EXISTS (SELECT 1 FROM f_latest l WHERE l.product_id = t.product_id)),
-f_pairs AS (
-  SELECT user_id, product_id, count(*) AS n_rows, count(order_id) AS n_orders
-  FROM f_opp GROUP BY user_id, product_id)
+  WHERE NOT EXISTS (SELECT 1 FROM f_latest l WHERE l.product_id = t.product_id))
 """
 
 
