@@ -326,16 +326,15 @@ def q_dated_batch_export(spark, sf):
 
 
 def q_select_tables_like(spark, sf):
-    """Copy every raw table whose name matches 'order_products%' to the landing zone and
-    report rows per copied table (read back from the copies)."""
+    """Full load of every raw table whose name matches 'order_products%' (copied
+    concurrently), reporting rows per copied table read back from the copies."""
     root = workspace(spark, "like")
     db = _land_raw(spark, sf, root)
-    out = []
-    for name in cat.list_tables_like(spark, db, "order_products%"):
-        path = landing.parquet_landing_write(spark.read.table(f"{db}.{name}"), f"{root}/copy", name)
-        out.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
-                   .select(F.lit(name).alias("table_name"), "n_rows"))
-    return qc._union_all(out)
+    paths = landing.full_load(spark, db, f"{root}/copy", "order_products%")
+    return qc._union_all([
+        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"),
+                                                                                  "n_rows")
+        for name, path in sorted(paths.items())])
 
 
 def q_create_or_replace_table(spark, sf):

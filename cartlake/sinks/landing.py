@@ -7,6 +7,7 @@ the output committer), so a lost executor only re-runs its tasks.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 LANDING_COMPRESSION = "gzip"          # replication target writes gzip Parquet
 LANDING_MAX_FILE_KB = 128000          # replication target file cap, in KB
 EXPORT_MAX_RECORDS = 300000           # warehouse export rows per part file
+FULL_LOAD_PARALLEL_TABLES = 8         # tables loaded at the same time in a full load
 
 
 # Assumed mean widths (bytes) used to turn a byte cap into a row cap.
@@ -82,12 +84,29 @@ def dated_export_path(root: str, table: str, run_date: _dt.date | _dt.datetime |
 
 def dated_batch_export(df: DataFrame, root: str, table: str,
                        run_date: _dt.date | _dt.datetime | None = None,
-                       max_records: int = EXPORT_MAX_RECORDS) -> str | None:
+                       max_records: int = EXPORT_MAX_RECORDS,
+                       column_case: str | None = None) -> str | None:
     """Export a table under ``root/table/YYYY/MM/DD`` (UTC run date) in parts of at
     most ``max_records`` rows, all with the table's one schema.  An empty table
-    writes nothing and returns None."""
+    writes nothing and returns None.  ``column_case`` 'upper' / 'lower' renames
+    the columns (warehouses often report upper-case names)."""
     if df.isEmpty():
         return None
+    if column_case in ("upper", "lower"):
+        df = df.toDF(*[c.upper() if column_case == "upper" else c.lower() for c in df.columns])
     path = dated_export_path(root, table, run_date)
     df.write.mode("overwrite").option("maxRecordsPerFile", max_records).parquet(path)
     return path
+
+
+def full_load(spark, database: str, root: str, pattern: str = "%", schema: str = "public",
+              parallelism: int = FULL_LOAD_PARALLEL_TABLES, **kw) -> dict[str, str]:
+    """Copy every table of ``database`` whose name matches the LIKE ``pattern`` to
+    ``root/schema/<table>``, replacing earlier contents; up to ``parallelism``
+    tables are copied as concurrent Spark jobs.  Returns table -> landing path."""
+    from cartlake.sources.catalog import list_tables_like
+    names = list_tables_like(spark, database, pattern)
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        futures = {n: pool.submit(drop_and_create_target, spark.read.table(f"{database}.{n}"), root, n,
+                                  schema, **kw) for n in names}
+        return {n: f.result() for n, f in futures.items()}

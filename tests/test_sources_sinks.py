@@ -166,3 +166,16 @@ def test_catalog_pointer_follows_versions_and_schema_changes(spark):
     tables.publish("t", spark.range(2).withColumn("x", F.lit("a")))   # new column: re-created entry
     assert spark.table("t_ptr.t").columns == ["id", "x"] and spark.table("t_ptr.t").count() == 2
     assert tables.table("t", tables.history("t").orderBy("made_current_at").first().snapshot_id).count() == 3
+
+
+def test_full_load_and_export_column_case(spark):
+    from cartlake.plans import registry as R
+    root = workspace(spark, "t-full")
+    db = R._land_raw(spark, SF_SMALL, root)
+    paths = landing.full_load(spark, db, f"{root}/copy", "%", parallelism=3)
+    assert sorted(paths) == ["aisles", "departments", "order_products__prior", "order_products__train",
+                             "orders", "products"]
+    assert spark.read.parquet(paths["orders"]).count() == 1500
+    out = landing.dated_batch_export(spark.read.parquet(paths["aisles"]), root, "aisles",
+                                     run_date=dt.date(2025, 1, 2), column_case="upper")
+    assert spark.read.parquet(out).columns == ["AISLE_ID", "AISLE"]
