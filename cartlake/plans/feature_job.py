@@ -4,9 +4,10 @@ Plan shape (what runs where):
 
 * copies of products / aisles / departments / orders: scan -> write;
 * order_products__prior / __train: scan -> flag normalisation -> write;
-* order_products: by-name union -> write;
-* order_products_prior: orders(prior) JOIN order_products -> write; AQE picks
-  broadcast or sort-merge from the measured sizes and splits skewed keys;
+* order_products: by-name union of the two *published* normalised tables -> write;
+* order_products_prior: published orders(prior) JOIN published order_products
+  -> write; AQE picks broadcast or sort-merge from the measured sizes and
+  splits skewed keys;
 * user_features_1: partial + final aggregate of orders;
 * the three basket features are read from the *published* order_products_prior
   (lineage cut; the scan reads only the six columns they need), aggregated once
@@ -110,14 +111,17 @@ class FeatureJob:
 
         try:
             for name in ("products", "aisles", "departments", "orders", "order_products__prior",
-                         "order_products__train", "order_products", "user_features_1"):
+                         "order_products__train", "user_features_1"):
                 stage(name, plans[name])
-            for name in SILVER_TABLES[:7]:
+            for name in SILVER_TABLES[:6]:
                 commit(name)
-            # Later stages read what earlier stages published (columnar, pruned,
-            # and no recomputation of the union if an executor is lost).
+            # Later stages read what earlier stages published: snappy, columnar,
+            # already normalised, and no recomputation if an executor is lost.
+            stage("order_products", fx.order_products_union(self.silver.table("order_products__prior"),
+                                                            self.silver.table("order_products__train")))
+            commit("order_products")
             stage("order_products_prior",
-                  fx.order_products_prior(raw["orders"], self.silver.table("order_products")))
+                  fx.order_products_prior(self.silver.table("orders"), self.silver.table("order_products")))
             commit("order_products_prior")
             commit("user_features_1")
             opp = self.silver.table("order_products_prior").select(*PAIR_COLUMNS)
