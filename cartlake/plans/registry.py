@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -274,10 +275,11 @@ def _land_raw(spark, sf, root: str) -> str:
     db = f"raw_{_uid()}"
     cat.create_database(spark, db, location=f"{root}/_db/{db}")
     raw = f"{root}/raw"
-    paths = {}
-    for name, df in (("orders", fz.orders(spark, sf)), ("products", fz.products(spark, sf)),
-                     ("aisles", fz.aisles(spark, sf)), ("departments", fz.departments(spark, sf))):
-        paths[name] = landing.parquet_landing_write(df, raw, name)
+    small = (("orders", fz.orders(spark, sf)), ("products", fz.products(spark, sf)),
+             ("aisles", fz.aisles(spark, sf)), ("departments", fz.departments(spark, sf)))
+    with ThreadPoolExecutor(max_workers=len(small)) as pool:     # independent writes run together
+        futures = {name: pool.submit(landing.parquet_landing_write, df, raw, name) for name, df in small}
+        paths = {name: f.result() for name, f in futures.items()}
     baskets = (fz.order_products_all(spark, sf, spark.read.parquet(paths["orders"]))
                .filter(F.col("eval_set").isin("prior", "train")))
     base = landing.partitioned_landing(baskets, raw, "order_products", ["eval_set"])
