@@ -77,3 +77,15 @@ def test_quality_gate_blocks_dirty_raw_layer(spark):
     dirty = dict(raw, orders=raw["orders"].unionByName(raw["orders"].limit(1)))   # duplicate key
     with pytest.raises(ValueError, match="primary_key"):
         job.quality_gate(dirty)
+
+
+def test_pair_stats_scan_of_published_table_is_pruned(silver):
+    import re
+    from cartlake.operators import features as fx
+    from cartlake.plans.feature_job import PAIR_COLUMNS
+    df = fx.pair_stats(silver.table("order_products_prior").select(*PAIR_COLUMNS))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert len(schemas) == 1
+    assert sorted(c.split(":")[0] for c in schemas[0].split(",")) == sorted(PAIR_COLUMNS)
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
