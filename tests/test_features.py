@@ -193,3 +193,17 @@ def test_group_window_lag_lead_across_buckets(spark):
     got = group_window(df, ["k"], ["o", "tb"], number="rn", lag={"x": "px"}, lead={"tb": "nt"},
                        min_hot_rows=100, buckets=7)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_empty_inputs_and_null_groups(spark):
+    from cartlake.operators import changes as ch
+    from cartlake.operators.sequence import group_window
+    empty = opp(spark, [])
+    for f in (fx.user_features_2, fx.up_features, fx.prd_features, fx.product_seq_time):
+        assert f(empty).count() == 0
+    assert group_window(empty, ["user_id"], ["order_number"], number="n", lag={"order_id": "p"}).count() == 0
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert rows(ch.merge_upsert(t, t.limit(0), "k")) == [(1, "a")]
+    # a NULL product is its own (user, product) group, as in the window form
+    d = opp(spark, [(1, 1, "prior", 1, 0, 0, None, None, 1, 0), (2, 1, "prior", 2, 0, 0, 5, None, 1, 1)])
+    assert rows(fx.prd_features(d)) == rows(fx.prd_features_window(d)) == [(None, 2, 1, 1, 1)]
