@@ -146,10 +146,13 @@ def main(argv: list[str] | None = None) -> int:
     import argparse
 
     from cartlake.session import ensure_checkpoint_dir, scale_conf
+    from cartlake.sources.catalog import register_raw_layer
 
     ap = argparse.ArgumentParser(description="Publish the silver feature tables from the raw tables.")
     ap.add_argument("--raw-database", required=True, help="database holding the six raw tables")
     ap.add_argument("--raw-catalog", default=None, help="catalog of the raw database (default: session)")
+    ap.add_argument("--raw-root", default=None,
+                    help="landing folder; registers <raw-root>/public/<table> as the raw tables first")
     ap.add_argument("--silver-root", required=True, help="folder that receives the published tables")
     ap.add_argument("--silver-database", required=True, help="catalog database for the published tables")
     ap.add_argument("--parallelism", type=int, default=4, help="table writes staged at the same time")
@@ -167,6 +170,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.input_gb:
             for k, v in scale_conf(int(args.input_gb * 1024 ** 3)).items():
                 spark.conf.set(k, v)   # runtime SQL settings only
+        if args.raw_root:
+            register_raw_layer(spark, args.raw_database, args.raw_root)
         silver = VersionedTables(spark, args.silver_root.rstrip("/"), args.silver_database)
         FeatureJob(spark, args.raw_database, silver, args.raw_catalog).run(
             parallelism=args.parallelism, check_quality=args.check_quality)

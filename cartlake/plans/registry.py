@@ -266,27 +266,31 @@ def q_csv_gzip_load(spark, sf):
 
 
 def _land_raw(spark, sf, root: str) -> str:
-    """Land the six raw tables as gzip Parquet and register them as external tables.
+    """Land the six raw tables as gzip Parquet under ``root/raw/public/<table>`` and
+    register them as external tables; returns the raw database name.
 
-    orders is landed first and the baskets are derived from the landed copy;
-    both basket tables come out of one write partitioned by eval_set, and each
-    raw table points at its partition folder.
+    The four small tables are written concurrently.  orders is landed first and
+    the baskets are derived once from the landed copy into a scratch table,
+    from which both basket tables are landed.
     """
-    db = f"raw_{_uid()}"
-    cat.create_database(spark, db, location=f"{root}/_db/{db}")
     raw = f"{root}/raw"
     small = (("orders", fz.orders(spark, sf)), ("products", fz.products(spark, sf)),
              ("aisles", fz.aisles(spark, sf)), ("departments", fz.departments(spark, sf)))
     with ThreadPoolExecutor(max_workers=len(small)) as pool:     # independent writes run together
         futures = {name: pool.submit(landing.parquet_landing_write, df, raw, name) for name, df in small}
         paths = {name: f.result() for name, f in futures.items()}
-    baskets = (fz.order_products_all(spark, sf, spark.read.parquet(paths["orders"]))
-               .filter(F.col("eval_set").isin("prior", "train")))
-    base = landing.partitioned_landing(baskets, raw, "order_products", ["eval_set"])
-    paths["order_products__prior"] = f"{base}/eval_set=prior"
-    paths["order_products__train"] = f"{base}/eval_set=train"
-    for name, path in paths.items():
-        cat.external_parquet_table(spark, name, db, path, RAW_COLUMNS[name], compression="gzip")
+    scratch = f"{root}/_baskets"
+    (fz.order_products_all(spark, sf, spark.read.parquet(paths["orders"]))
+       .filter(F.col("eval_set").isin("prior", "train")).write.parquet(scratch))
+    baskets = spark.read.parquet(scratch)
+    cols = ["order_id", "product_id", "add_to_cart_order", "reordered"]
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for f in [pool.submit(landing.parquet_landing_write,
+                              baskets.filter(F.col("eval_set") == e).select(*cols), raw, f"order_products__{e}")
+                  for e in ("prior", "train")]:
+            f.result()
+    db = f"raw_{_uid()}"
+    cat.register_raw_layer(spark, db, raw, db_location=f"{root}/_db/{db}")
     return db
 
 

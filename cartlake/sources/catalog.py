@@ -93,3 +93,15 @@ def temp_view(df: DataFrame, name: str) -> DataFrame:
     """Expose a DataFrame to SQL under ``name`` for this session."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def register_raw_layer(spark: SparkSession, database: str, raw_root: str, schema: str = "public",
+                       compression: str = "gzip", db_location: str | None = None,
+                       columns: dict[str, list[tuple[str, str]]] | None = None) -> dict[str, DataFrame]:
+    """Create ``database`` and register every declared raw table as an external
+    Parquet table over ``raw_root/schema/<table>`` (the landing layout)."""
+    from cartlake.sources.schema import RAW_COLUMNS
+    create_database(spark, database, location=db_location)
+    root = raw_root.rstrip("/")
+    return {name: external_parquet_table(spark, name, database, f"{root}/{schema}/{name}", cols, compression)
+            for name, cols in (columns or RAW_COLUMNS).items()}

@@ -89,3 +89,28 @@ def test_pair_stats_scan_of_published_table_is_pruned(silver):
     assert len(schemas) == 1
     assert sorted(c.split(":")[0] for c in schemas[0].split(",")) == sorted(PAIR_COLUMNS)
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+
+
+def test_spark_submit_end_to_end(spark, tmp_path):
+    """The job as a cluster would run it: zipped package, spark-submit, raw tables
+    registered from the landing folder, quality gate on."""
+    import os
+    import shutil
+    import subprocess
+
+    import pyspark
+    root = workspace(spark, "t-submit")
+    R._land_raw(spark, SF_SMALL, root)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    pkg = shutil.make_archive(str(tmp_path / "cartlake"), "zip", repo, "cartlake")
+    submit = os.path.join(os.path.dirname(pyspark.__file__), "bin", "spark-submit")
+    cmd = [submit, "--master", "local[2]", "--conf", "spark.ui.enabled=false", "--py-files", pkg,
+           os.path.join(repo, "cartlake", "plans", "feature_job.py"),
+           "--raw-database", "raw_submit", "--raw-root", f"{root}/raw",
+           "--silver-root", f"{root}/silver", "--silver-database", "silver_submit", "--check-quality"]
+    done = subprocess.run(cmd, cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-3000:]
+    tables = VersionedTables(spark, f"{root}/silver", "silver_submit", register=False)
+    assert tables.table("prd_features").count() == 200
+    assert tables.table("order_products_prior").count() == 5345
+    assert [r.operation for r in tables.snapshots("user_features_2").collect()] == ["overwrite"]
