@@ -7,11 +7,12 @@ the plain window for ordinary groups and salts hot ones by order range:
 
 1. group sizes: one partial-then-final aggregate over the key columns only;
 2. a group is hot when it holds more than ``max(min_hot_rows, rows / P)`` rows
-   (P = shuffle partitions), so there are at most P hot groups: the tables
-   below are bounded by P rows and P x B boundaries and are broadcast;
-3. each hot group gets B - 1 approximate quantiles of the first ordering
-   column; a row's bucket is the number of boundaries <= its value, which is
-   monotone in the ordering, so buckets are consecutive runs of the order;
+   (P = shuffle partitions), so there are at most P hot groups: the side
+   tables below are bounded by P rows and about 2P buckets and are broadcast;
+3. each hot group's range of the first ordering column (a partial min / max
+   aggregate) is cut into ceil(group rows / threshold) equal-width buckets, so
+   all buckets together number about P at most; a row's bucket is monotone in
+   the ordering, so buckets are consecutive runs of the order;
 4. row_number over (keys, bucket) runs in parallel per bucket; the rows of the
    group's earlier buckets (a prefix sum over at most B counts per group) are
    added, which makes the numbering exact whatever the quantile error;
@@ -44,6 +45,20 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]):
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
+def _as_number(c, dtype):
+    """A double that orders like ``c`` (numbers, dates, timestamps; NTZ without any
+    time-zone shift)."""
+    if isinstance(dtype, DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(dtype, TimestampNTZType):
+        micros_of_day = (F.hour(c).cast("double") * 3_600_000_000 + F.minute(c).cast("double") * 60_000_000
+                         + F.extract(F.lit("SECOND"), c).cast("double") * 1_000_000)
+        return F.unix_date(c.cast("date")).cast("double") * 86_400_000_000 + micros_of_day
+    return c.cast("double")
+
+
 def largest_group(df: DataFrame, keys: list[str]) -> tuple[int, int]:
     """(rows, rows of the biggest group): one aggregate over the key columns only."""
     _, rows, biggest = _sizes_stats(df.select(*keys), keys, None)
@@ -77,13 +92,14 @@ def group_window(df: DataFrame, keys: list[str], order: list[str], number: str |
     Hot groups are split into order-range buckets; inside a bucket the plain
     window runs, and the first / last row of each bucket takes its lag / lead
     and its number offset from a per-(group, bucket) edge table (count, first
-    and last values), which is at most P x B rows and broadcast.
+    and last values), which has about 2P rows at most and is broadcast.
 
-    On the hot path ``df`` is read up to four times (sizes, quantiles, edges,
+    On the hot path ``df`` is read up to four times (sizes, ranges, edges,
     numbering), three of them as narrow column sets; pass a written table
     rather than a long derived plan when ``df`` is expensive to compute.  The
     first ordering column must be numeric, date or timestamp to be split;
-    otherwise hot groups fall back to the plain window, with a warning.
+    otherwise hot groups fall back to the plain window, with a warning.  Very
+    uneven values of that column give uneven buckets, never wrong numbers.
     """
     lag, lead = dict(lag or {}), dict(lead or {})
     min_hot_rows = MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows
@@ -103,7 +119,7 @@ def group_window(df: DataFrame, keys: list[str], order: list[str], number: str |
     # the salted path, whose numbers are 64-bit.
     out_type = "int" if biggest < 2**31 - 1 else "bigint"
     if biggest > hot_rows and not isinstance(first_type, _QUANTILE_TYPES):
-        log.warning("group_window: hot groups (%d rows) but %s cannot be split by quantiles; "
+        log.warning("group_window: hot groups (%d rows) but %s cannot be split by range; "
                     "using one task per group", biggest, order[0])
     if (biggest <= hot_rows and out_type == "int") or not isinstance(first_type, _QUANTILE_TYPES):
         w = Window.partitionBy(*keys).orderBy(*order)
@@ -116,25 +132,31 @@ def group_window(df: DataFrame, keys: list[str], order: list[str], number: str |
             out = out.withColumn(name, F.lead(c).over(w))
         return out
 
-    n_buckets = buckets or min(max(2, math.ceil(biggest / hot_rows)), max(parts, 2))
-    pct = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy = max(10_000, 50 * n_buckets)
     # Each hot group holds more than rows / P rows, so there are at most P of
-    # them: a proven bound for every broadcast below.
-    hot = sizes.filter(F.col("__n") > hot_rows).select(*keys)
-    hot_rows_df = df.join(F.broadcast(hot), _null_safe_on(df, hot, keys), "left_semi")
-    bounds = (hot_rows_df.groupBy(*keys)
-              .agg(F.percentile_approx(order[0], pct, accuracy).alias("__bounds")))
-
-    b = bounds.select(*[F.col(k).alias(f"__b_{k}") for k in keys], "__bounds")
-    on = reduce(lambda x, y: x & y, [df[k].eqNullSafe(b[f"__b_{k}"]) for k in keys])
-    v = F.col(order[0])
-    bucket = (F.when(F.col("__bounds").isNull(), F.lit(0))
-              .otherwise(F.size(F.filter("__bounds", lambda x: x <= v))))
+    # them, and Σ ceil(n_g / hot_rows) buckets is at most about 2P: proven
+    # bounds for every broadcast below.
+    hot = sizes.filter(F.col("__n") > hot_rows)
+    x = _as_number(F.col(order[0]), first_type)
+    per_bucket = F.lit(buckets) if buckets else F.ceil(F.col("__n") / F.lit(hot_rows))
+    ranges = (df.select(*keys, x.alias("__x"))
+              .join(F.broadcast(hot), _null_safe_on(df, hot, keys), "left_semi")
+              .groupBy(*keys).agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
+              .join(F.broadcast(hot), keys, "inner")
+              .select(*keys, "__lo", "__hi", per_bucket.cast("int").alias("__nb")))
+
+    b = ranges.select(*[F.col(k).alias(f"__b_{k}") for k in keys], "__lo", "__hi", "__nb")
+    on = reduce(lambda x_, y: x_ & y, [df[k].eqNullSafe(b[f"__b_{k}"]) for k in keys])
+    # Equal-width ranges of the first ordering column: monotone in the order,
+    # NULLs (sorted first) land in bucket 0.
+    width = (F.col("__hi") - F.col("__lo")) / F.col("__nb")
+    raw_bucket = F.floor((_as_number(F.col(order[0]), first_type) - F.col("__lo")) / width)
+    bucket = (F.when(F.col("__nb").isNull() | (F.col("__hi") == F.col("__lo")), F.lit(0))
+              .otherwise(F.least(F.greatest(F.coalesce(raw_bucket, F.lit(0)), F.lit(0)),
+                                 F.col("__nb") - 1)))
     salted = (df.join(F.broadcast(b), on, "left")
-              .withColumn("__hot", F.col("__bounds").isNotNull())
+              .withColumn("__hot", F.col("__nb").isNotNull())
               .withColumn("__bucket", bucket.cast("int"))
-              .drop("__bounds", *[f"__b_{k}" for k in keys]))
+              .drop("__lo", "__hi", "__nb", *[f"__b_{k}" for k in keys]))
 
     # Edge table: rows, first row's lead columns and last row's lag columns per hot bucket.
     okey = F.struct(*order)
