@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartlake.operators import features as fx
 from cartlake.operators.quality import check_raw_layer, violations_found
-from cartlake.session import workspace
+from cartlake.session import remove_path, workspace
 from cartlake.sinks.versioned import VersionedTables
 from cartlake.sources.catalog import read_table
 from cartlake.sources.schema import RAW_COLUMNS  # noqa: F401  (re-exported)
@@ -98,6 +98,7 @@ class FeatureJob:
             self.quality_gate(raw)
         plans = self.plans(raw)
         published: dict[str, int] = {}
+        scratch = None
         pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
         staged = {}
 
@@ -138,6 +139,8 @@ class FeatureJob:
             raise
         finally:
             pool.shutdown(wait=True, cancel_futures=True)
+            if scratch is not None:
+                remove_path(self.spark, scratch)
         return published
 
 

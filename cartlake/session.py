@@ -100,3 +100,20 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
         "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     }
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(Path, FileSystem) for ``path`` through the session's Hadoop configuration, so
+    the same code works on local disks, HDFS and object stores."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a scratch folder recursively (best effort); True when it is gone."""
+    try:
+        p, fs = hadoop_path(spark, path)
+        return fs.delete(p, True) or not fs.exists(p)
+    except Exception:  # scratch cleanup must never fail a job
+        return False

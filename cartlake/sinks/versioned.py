@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cartlake.functions import map_value
+from cartlake.session import hadoop_path
 from pyspark.sql.types import (LongType, MapType, StringType, StructField, StructType,
                                TimestampType)
 
@@ -69,9 +70,7 @@ class VersionedTables:
         return f"{self.table_dir(name)}/_log"
 
     def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return hadoop_path(self.spark, path)
 
     def _exists(self, path: str) -> bool:
         p, fs = self._fs(path)

@@ -114,3 +114,15 @@ def test_spark_submit_end_to_end(spark, tmp_path):
     assert tables.table("prd_features").count() == 200
     assert tables.table("order_products_prior").count() == 5345
     assert [r.operation for r in tables.snapshots("user_features_2").collect()] == ["overwrite"]
+
+
+def test_job_leaves_no_scratch_behind(spark):
+    import glob
+    import os
+    base = workspace(spark, "probe").rsplit("/", 1)[0]
+    local = base[len("file:"):] if base.startswith("file:") else base
+    before = set(glob.glob(os.path.join(local, "pair-stats-*")))
+    root = workspace(spark, "t-scratch")
+    raw_db = R._land_raw(spark, SF_SMALL, root)
+    FeatureJob(spark, raw_db, VersionedTables(spark, f"{root}/silver", "t_silver_scratch")).run()
+    assert set(glob.glob(os.path.join(local, "pair-stats-*"))) == before
