@@ -85,7 +85,8 @@ class FeatureJob:
             raise ValueError("raw layer violates declared constraints: "
                              + "; ".join(f"{r.check} {r.table_name} {r.detail}" for r in bad))
 
-    def run(self, parallelism: int = 4, check_quality: bool = False) -> dict[str, int]:
+    def run(self, parallelism: int = 4, check_quality: bool = False,
+            keep_versions: int | None = None) -> dict[str, int]:
         """Publish the twelve tables; commits happen in SILVER_TABLES order.
 
         Writes that do not depend on an earlier output are staged as
@@ -141,6 +142,9 @@ class FeatureJob:
             pool.shutdown(wait=True, cancel_futures=True)
             if scratch is not None:
                 remove_path(self.spark, scratch)
+        if keep_versions:
+            for name in published:
+                self.silver.expire_versions(name, keep_versions)
         return published
 
 
@@ -161,6 +165,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--parallelism", type=int, default=4, help="table writes staged at the same time")
     ap.add_argument("--check-quality", action="store_true",
                     help="refuse to publish when the raw tables break a declared constraint")
+    ap.add_argument("--keep-versions", type=int, default=None,
+                    help="after a successful run keep only this many versions of each table")
     ap.add_argument("--input-gb", type=float, default=None,
                     help="raw input size; sizes shuffle partitions and scan splits (session.scale_conf)")
     args = ap.parse_args(argv)
@@ -177,7 +183,7 @@ def main(argv: list[str] | None = None) -> int:
             register_raw_layer(spark, args.raw_database, args.raw_root)
         silver = VersionedTables(spark, args.silver_root.rstrip("/"), args.silver_database)
         FeatureJob(spark, args.raw_database, silver, args.raw_catalog).run(
-            parallelism=args.parallelism, check_quality=args.check_quality)
+            parallelism=args.parallelism, check_quality=args.check_quality, keep_versions=args.keep_versions)
     finally:
         spark.stop()
     return 0

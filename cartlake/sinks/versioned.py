@@ -165,8 +165,26 @@ class VersionedTables:
             row = self.log(name).filter(F.col("snapshot_id") == snapshot_id).first()
         if row is None:
             raise KeyError(f"no such table/snapshot: {self.database}.{name} {snapshot_id or ''}")
+        if snapshot_id is not None and not self._exists(row["manifest_list"]):
+            raise KeyError(f"snapshot {snapshot_id} of {self.database}.{name} has expired")
         return self.spark.read.parquet(row["manifest_list"])
 
+    def expire_versions(self, name: str, keep_last: int = 1) -> list[int]:
+        """Delete the data of all but the newest ``keep_last`` versions (each version
+        is a full copy).  Commit records stay, so history is complete; reading an
+        expired version raises.  Returns the expired snapshot ids."""
+        if keep_last < 1:
+            raise ValueError("keep_last must be at least 1")
+        old = (self.log(name).orderBy(F.col("sequence_number").desc())
+               .select("snapshot_id", "manifest_list").offset(keep_last).collect())  # one row per commit
+        expired = []
+        for r in old:
+            p, fs = self._fs(r["manifest_list"])
+            if fs.exists(p):
+                fs.delete(p, True)
+                expired.append(r["snapshot_id"])
+        return expired
+
     def history(self, name: str) -> DataFrame:
         """made_current_at, snapshot_id, parent_id, is_current_ancestor.
 

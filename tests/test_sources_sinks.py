@@ -179,3 +179,14 @@ def test_full_load_and_export_column_case(spark):
     out = landing.dated_batch_export(spark.read.parquet(paths["aisles"]), root, "aisles",
                                      run_date=dt.date(2025, 1, 2), column_case="upper")
     assert spark.read.parquet(out).columns == ["AISLE_ID", "AISLE"]
+
+
+def test_expire_versions_keeps_history(spark):
+    tables = VersionedTables(spark, workspace(spark, "t-exp-v"), "t_expire")
+    ids = [tables.publish("t", spark.range(n)) for n in (1, 2, 3, 4)]
+    assert tables.expire_versions("t", keep_last=2) == ids[:2][::-1]
+    assert tables.table("t").count() == 4 and tables.table("t", ids[2]).count() == 3
+    with pytest.raises(KeyError, match="expired"):
+        tables.table("t", ids[0])
+    assert tables.history("t").count() == 4
+    assert tables.expire_versions("t", keep_last=2) == []
