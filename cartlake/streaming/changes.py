@@ -68,8 +68,12 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str, seq: str = "s
 
 def stream_changes(spark: SparkSession, source: str, schema: StructType | str, tables: VersionedTables,
                    table: str, key: str, checkpoint: str, seq: str = "seq", op: str = "op",
-                   files_per_batch: int = 1, available_now: bool = True) -> StreamingQuery:
-    """Start a stream that applies change files under ``source`` to ``tables.table``."""
+                   files_per_batch: int = 1, available_now: bool = True,
+                   keep_versions: int | None = 2) -> StreamingQuery:
+    """Start a stream that applies change files under ``source`` to ``tables.table``.
+
+    Every micro-batch publishes full new versions; ``keep_versions`` (default 2,
+    so readers of the previous version can finish) expires older ones."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(source))
 
@@ -86,6 +90,9 @@ def stream_changes(spark: SparkSession, source: str, schema: StructType | str, t
                        operation="overwrite", extra_summary=summary)
         # Published second: a crash in between replays this batch, which is idempotent.
         tables.publish(seq_table, applied_sequences(applied, latest, key, seq), extra_summary=summary)
+        if keep_versions:
+            tables.expire_versions(table, keep_versions)
+            tables.expire_versions(seq_table, keep_versions)
 
     writer = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
