@@ -87,3 +87,27 @@ def test_pair_decomposition_matches_direct_forms(spark, rows_):
     assert same(fx.user_features_2(d), direct_uf2)
     assert same(fx.up_features(d), direct_up)
     assert same(fx.prd_features(d), fx.prd_features_window(d))
+
+
+@SLOW
+@given(rows_=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.one_of(st.none(), st.text("ab", max_size=5))),
+                      max_size=30),
+       parents=st.lists(st.integers(0, 6), max_size=5))
+def test_quality_checks_match_python(spark, rows_, parents):
+    from collections import Counter
+
+    from cartlake.operators import quality as qc
+    df = spark.createDataFrame(rows_, "k int, s string")
+    counts = Counter(k for k, _ in rows_)
+    pk = qc.check_primary_key({"t": (df, "k")}).first()
+    assert (pk.n_rows, pk.n_null_keys, pk.n_duplicate_keys) == (
+        len(rows_), counts.get(None, 0), sum(1 for k, n in counts.items() if k is not None and n > 1))
+    nn = {r.column_name: r.n_nulls for r in qc.check_not_null({"t": (df, ["k", "s"])}).collect()}
+    assert nn == {"k": counts.get(None, 0), "s": sum(1 for _, s in rows_ if s is None)}
+    ml = qc.check_max_length({"t": (df, {"s": 3})}).first()
+    lengths = [len(s) for _, s in rows_ if s is not None]
+    assert (ml.longest, ml.n_too_long) == (max(lengths) if lengths else None, sum(n > 3 for n in lengths))
+    parent = spark.createDataFrame([(p,) for p in parents], "pk int")
+    orphan = qc.check_orphans([("t", df, "k", "p", parent, "pk")]).first()
+    missing = {k for k in counts if k is not None and k not in set(parents)}
+    assert (orphan.n_orphan_keys, orphan.n_orphan_rows) == (len(missing), sum(counts[k] for k in missing))
