@@ -184,7 +184,11 @@ def product_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert batch: every 10th part; keys divisible by 20 update, the rest insert
-    (key + 1,000,000); names NULL for keys divisible by 40."""
+    (key + 1,000,000); names NULL for keys divisible by 40.
+
+    The key conditions choose which rows change (a change batch is a subset by
+    nature); the merge itself always runs over the whole products table.
+    """
     p = read(spark, sf_dir, "part").filter(F.col("p_partkey") % 10 == 0)
     return p.select(
         F.when(F.col("p_partkey") % 20 == 0, F.col("p_partkey"))
@@ -231,6 +235,9 @@ def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq 2: update every 10th part again (name 'v2 ...', aisle + 1);
     seq 3: delete every 15th part;
     seq 1: insert key + 1,000,000 for every 25th part.
+
+    As for ``product_updates``, the key conditions choose which rows change;
+    the change feed is applied to the whole products table.
     """
     p = read(spark, sf_dir, "part")
     key = F.col("p_partkey").cast("int")
