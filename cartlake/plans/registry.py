@@ -365,7 +365,7 @@ def q_publish_all(spark, sf):
         for t in SILVER_TABLES])
 
 
-def _notebook_flow(spark, sf) -> tuple[VersionedTables, str]:
+def _versioned_products_flow(spark, sf) -> tuple[VersionedTables, str]:
     """Create, upsert, delete: three commits on a products table."""
     root = workspace(spark, "versions")
     tables = VersionedTables(spark, root, f"versions_{_uid()}")
@@ -378,12 +378,12 @@ def _notebook_flow(spark, sf) -> tuple[VersionedTables, str]:
 
 
 def q_history_scan(spark, sf):
-    tables, name = _notebook_flow(spark, sf)
+    tables, name = _versioned_products_flow(spark, sf)
     return tables.history(name)
 
 
 def q_snapshots_scan(spark, sf):
-    tables, name = _notebook_flow(spark, sf)
+    tables, name = _versioned_products_flow(spark, sf)
     return tables.snapshots(name)
 
 
