@@ -72,6 +72,39 @@ def _sizes_stats(df: DataFrame, keys: list[str], sizes: DataFrame | None):
     return sizes, (stats["rows"] or 0), (stats["biggest"] or 0)
 
 
+def _salt(df: DataFrame, keys: list[str], first: str, first_type, sizes: DataFrame, hot_rows: int,
+          buckets: int | None) -> DataFrame:
+    """``df`` plus ``__hot`` (row of a hot group) and ``__bucket`` (its order range)."""
+    # Each hot group holds more than rows / P rows, so there are at most P of
+    # them, and Σ ceil(n_g / hot_rows) buckets is at most about 2P: proven
+    # bounds for every broadcast below.
+    hot = sizes.filter(F.col("__n") > hot_rows)
+    x = _as_number(F.col(first), first_type)
+    per_bucket = F.lit(buckets) if buckets else F.ceil(F.col("__n") / F.lit(hot_rows))
+    spans = (df.select(*keys, x.alias("__x"))
+             .join(F.broadcast(hot), _null_safe_on(df, hot, keys), "left_semi")
+             .groupBy(*keys).agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi")))
+    h = hot.select(*[F.col(k).alias(f"__h_{k}") for k in keys], "__n")
+    on_h = reduce(lambda a, c: a & c, [spans[k].eqNullSafe(h[f"__h_{k}"]) for k in keys])
+    ranges = (spans.join(F.broadcast(h), on_h, "inner")      # null-safe: a NULL key can be hot too
+              .select(*keys, "__lo", "__hi", per_bucket.cast("int").alias("__nb")))
+
+    b = ranges.select(*[F.col(k).alias(f"__b_{k}") for k in keys], "__lo", "__hi", "__nb")
+    on = reduce(lambda x_, y: x_ & y, [df[k].eqNullSafe(b[f"__b_{k}"]) for k in keys])
+    # Equal-width ranges of the first ordering column: monotone in the order,
+    # NULLs (sorted first) land in bucket 0.
+    width = (F.col("__hi") - F.col("__lo")) / F.col("__nb")
+    raw_bucket = F.floor((_as_number(F.col(first), first_type) - F.col("__lo")) / width)
+    bucket = (F.when(F.col("__nb").isNull() | (F.col("__hi") == F.col("__lo")), F.lit(0))
+              .otherwise(F.least(F.greatest(F.coalesce(raw_bucket, F.lit(0)), F.lit(0)),
+                                 F.col("__nb") - 1)))
+    salted = (df.join(F.broadcast(b), on, "left")
+              .withColumn("__hot", F.col("__nb").isNotNull())
+              .withColumn("__bucket", bucket.cast("int"))
+              .drop("__lo", "__hi", "__nb", *[f"__b_{k}" for k in keys]))
+    return salted
+
+
 def group_window(df: DataFrame, keys: list[str], order: list[str], number: str | None = None,
                  lag: dict[str, str] | None = None, lead: dict[str, str] | None = None,
                  min_hot_rows: int | None = None, buckets: int | None = None,
@@ -132,31 +165,7 @@ def group_window(df: DataFrame, keys: list[str], order: list[str], number: str |
             out = out.withColumn(name, F.lead(c).over(w))
         return out
 
-    # Each hot group holds more than rows / P rows, so there are at most P of
-    # them, and Σ ceil(n_g / hot_rows) buckets is at most about 2P: proven
-    # bounds for every broadcast below.
-    hot = sizes.filter(F.col("__n") > hot_rows)
-    x = _as_number(F.col(order[0]), first_type)
-    per_bucket = F.lit(buckets) if buckets else F.ceil(F.col("__n") / F.lit(hot_rows))
-    ranges = (df.select(*keys, x.alias("__x"))
-              .join(F.broadcast(hot), _null_safe_on(df, hot, keys), "left_semi")
-              .groupBy(*keys).agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
-              .join(F.broadcast(hot), keys, "inner")
-              .select(*keys, "__lo", "__hi", per_bucket.cast("int").alias("__nb")))
-
-    b = ranges.select(*[F.col(k).alias(f"__b_{k}") for k in keys], "__lo", "__hi", "__nb")
-    on = reduce(lambda x_, y: x_ & y, [df[k].eqNullSafe(b[f"__b_{k}"]) for k in keys])
-    # Equal-width ranges of the first ordering column: monotone in the order,
-    # NULLs (sorted first) land in bucket 0.
-    width = (F.col("__hi") - F.col("__lo")) / F.col("__nb")
-    raw_bucket = F.floor((_as_number(F.col(order[0]), first_type) - F.col("__lo")) / width)
-    bucket = (F.when(F.col("__nb").isNull() | (F.col("__hi") == F.col("__lo")), F.lit(0))
-              .otherwise(F.least(F.greatest(F.coalesce(raw_bucket, F.lit(0)), F.lit(0)),
-                                 F.col("__nb") - 1)))
-    salted = (df.join(F.broadcast(b), on, "left")
-              .withColumn("__hot", F.col("__nb").isNotNull())
-              .withColumn("__bucket", bucket.cast("int"))
-              .drop("__lo", "__hi", "__nb", *[f"__b_{k}" for k in keys]))
+    salted = _salt(df, keys, order[0], first_type, sizes, hot_rows, buckets)
 
     # Edge table: rows, first row's lead columns and last row's lag columns per hot bucket.
     okey = F.struct(*order)

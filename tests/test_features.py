@@ -222,3 +222,21 @@ def test_group_window_hot_path_on_timestamps(spark):
     got = group_window(df, ["k"], ["ts", "tb"], number="rn", lag={"ts": "p"}, min_hot_rows=100)
     assert "__bucket" in got._jdf.queryExecution().executedPlan().toString()
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_group_window_splits_a_hot_null_group(spark):
+    from pyspark.sql import Window
+    from cartlake.operators.sequence import group_window
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") % 50).cast("int").alias("k"),
+        (F.col("id") * 31 % 997).cast("int").alias("o"), F.col("id").alias("tb"))
+    got = group_window(df, ["k"], ["o", "tb"], number="n", min_hot_rows=100)
+    w = Window.partitionBy("k").orderBy("o", "tb")
+    want = df.withColumn("n", F.row_number().over(w))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    # the NULL group (half of all rows) is the hot one and is split into several buckets
+    from cartlake.operators.sequence import _salt
+    sizes = df.groupBy("k").agg(F.count(F.lit(1)).alias("__n"))
+    salted = _salt(df, ["k"], "o", df.schema["o"].dataType, sizes, hot_rows=750, buckets=None)
+    null_buckets = salted.filter(F.col("k").isNull()).select("__bucket").distinct().count()
+    assert null_buckets == 4 and salted.filter(F.col("k").isNotNull() & F.col("__hot")).isEmpty()
