@@ -11,11 +11,11 @@ the plain window for ordinary groups and salts hot ones by order range:
    tables below are bounded by P rows and about 2P buckets and are broadcast;
 3. each hot group's range of the first ordering column (a partial min / max
    aggregate) is cut into ceil(group rows / threshold) equal-width buckets, so
-   all buckets together number about P at most; a row's bucket is monotone in
-   the ordering, so buckets are consecutive runs of the order;
+   all buckets together number about 2P at most; a row's bucket is monotone
+   in the ordering, so buckets are consecutive runs of the order;
 4. row_number over (keys, bucket) runs in parallel per bucket; the rows of the
-   group's earlier buckets (a prefix sum over at most B counts per group) are
-   added, which makes the numbering exact whatever the quantile error;
+   group's earlier buckets (a prefix sum over the group's bucket counts) are
+   added, which makes the numbering exact however uneven the buckets are;
 5. lag / lead on a bucket's first / last row come from the neighbouring
    non-empty bucket's last / first row (same small edge table).
 
