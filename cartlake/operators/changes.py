@@ -10,6 +10,8 @@ same change as ``DataFrame.mergeInto``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,82 +38,97 @@ def conform(df: DataFrame, target: DataFrame) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _all_not_null(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def _bounded_rows(df: DataFrame, limit: int) -> bool:
     """True when df has at most ``limit`` rows; reads at most limit + 1 rows."""
     return df.limit(limit + 1).count() <= limit
 
 
-def check_merge_cardinality(target: DataFrame, updates: DataFrame, key: str) -> None:
+def check_merge_cardinality(target: DataFrame, updates: DataFrame, key: str | list[str]) -> None:
     """Raise if a source key appears more than once AND matches a target row.
 
     Pre-aggregates the source keys (partial aggregation, skew-safe); the
     target contributes only its key column.  An empty duplicate set lets AQE
     drop the semi-join and the target scan altogether.
     """
-    dup = (updates.filter(F.col(key).isNotNull()).groupBy(key).count()
-           .filter(F.col("count") > 1).select(key))
-    hit = dup.join(target.select(key), key, "left_semi")
+    keys = _keys(key)
+    dup = (updates.filter(_all_not_null(keys)).groupBy(*keys).count()
+           .filter(F.col("count") > 1).select(*keys))
+    hit = dup.join(target.select(*keys), keys, "left_semi")
     if not hit.isEmpty():
         raise MergeCardinalityError(
             f"MERGE matched a target row with several source rows on key {key!r}")
 
 
-def merge_upsert(target: DataFrame, updates: DataFrame, key: str, set_cols: list[str] | None = None,
+def merge_upsert(target: DataFrame, updates: DataFrame, key: str | list[str],
+                 set_cols: list[str] | None = None,
                  *, check_cardinality: bool = True,
                  broadcast_max_rows: int = MERGE_BROADCAST_MAX_ROWS) -> DataFrame:
     """MERGE target USING updates ON target.key = updates.key
          WHEN MATCHED THEN UPDATE SET <set_cols> = updates.<set_cols>
          WHEN NOT MATCHED THEN INSERT *
 
-    NULL keys never match (a NULL-key update row is inserted); NULL source
-    values overwrite.  Target columns outside ``set_cols`` keep their value on
-    a match.
+    ``key`` is one column or a list (composite key).  A NULL in any key part
+    never matches (such an update row is inserted); NULL source values
+    overwrite.  Target columns outside ``set_cols`` keep their value on a match.
 
     Plan choice: when the update batch is provably small, the target is
     streamed once against a broadcast of the updates (no shuffle of the
     target), and the inserts are the updates whose key found no target row.
     Otherwise a full outer join on the key shuffles both sides once.
     """
+    keys = _keys(key)
     u = conform(updates, target)
-    non_key = [c for c in target.columns if c != key]
+    non_key = [c for c in target.columns if c not in keys]
     set_cols = list(non_key if set_cols is None else set_cols)
     unknown = [c for c in set_cols if c not in non_key]
     if unknown:
         raise ValueError(f"set columns {unknown} are not non-key target columns")
     if check_cardinality:
-        check_merge_cardinality(target, u, key)
+        check_merge_cardinality(target, u, keys)
 
     if _bounded_rows(u, broadcast_max_rows):
-        return _merge_broadcast(target, u, key, set_cols)
-    return _merge_full_outer(target, u, key, set_cols)
+        return _merge_broadcast(target, u, keys, set_cols)
+    return _merge_full_outer(target, u, keys, set_cols)
 
 
 def _merged_value(c: str, set_cols: list[str], t: Column, s: Column, matched: Column) -> Column:
     return F.when(matched, s).otherwise(t) if c in set_cols else t
 
 
-def _merge_broadcast(target: DataFrame, u: DataFrame, key: str, set_cols: list[str]) -> DataFrame:
+def _key_match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k] == right[f"__u_{k}"] for k in keys])
+
+
+def _merge_broadcast(target: DataFrame, u: DataFrame, keys: list[str], set_cols: list[str]) -> DataFrame:
     src = u.select([F.col(c).alias(f"__u_{c}") for c in u.columns]).withColumn("__u", F.lit(True))
-    j = target.join(F.broadcast(src), target[key] == src[f"__u_{key}"], "left")
+    j = target.join(F.broadcast(src), _key_match(target, src, keys), "left")
     matched = F.col("__u").isNotNull()
     kept = j.select([
         _merged_value(c, set_cols, target[c], F.col(f"__u_{c}"), matched).alias(c)
         for c in target.columns])
     # Source keys that hit the target: bounded by the size of the batch.
-    hit_keys = target.select(key).join(F.broadcast(u.select(key)), key, "left_semi").distinct()
-    inserts = u.join(F.broadcast(hit_keys), key, "left_anti")
+    hit_keys = target.select(*keys).join(F.broadcast(u.select(*keys)), keys, "left_semi").distinct()
+    inserts = u.join(F.broadcast(hit_keys), keys, "left_anti")
     return kept.unionByName(inserts)
 
 
-def _merge_full_outer(target: DataFrame, u: DataFrame, key: str, set_cols: list[str]) -> DataFrame:
+def _merge_full_outer(target: DataFrame, u: DataFrame, keys: list[str], set_cols: list[str]) -> DataFrame:
     t = target.withColumn("__t", F.lit(True))
     s = u.select([F.col(c).alias(f"__u_{c}") for c in u.columns]).withColumn("__u", F.lit(True))
-    j = t.join(s, t[key] == s[f"__u_{key}"], "full_outer")
+    j = t.join(s, _key_match(t, s, keys), "full_outer")
     in_t, in_u = F.col("__t").isNotNull(), F.col("__u").isNotNull()
     out = []
     for c in target.columns:
         sc = F.col(f"__u_{c}")
-        if c == key:
+        if c in keys:
             v = F.when(in_t, t[c]).otherwise(sc)
         elif c in set_cols:
             v = F.when(in_u, sc).otherwise(t[c])
@@ -121,11 +138,13 @@ def _merge_full_outer(target: DataFrame, u: DataFrame, key: str, set_cols: list[
     return j.select(out)
 
 
-def merge_upsert_sql(spark, table: str, updates_view: str, key: str, set_cols: list[str]) -> DataFrame:
+def merge_upsert_sql(spark, table: str, updates_view: str, key: str | list[str],
+                     set_cols: list[str]) -> DataFrame:
     """The same change through ``DataFrame.mergeInto`` for catalogs with row-level operations."""
     src = spark.table(updates_view)
     assignments = {c: F.col(f"source.{c}") for c in set_cols}
-    return (src.alias("source").mergeInto(table, F.expr(f"{table}.{key} = source.{key}"))
+    cond = " AND ".join(f"{table}.{k} = source.{k}" for k in _keys(key))
+    return (src.alias("source").mergeInto(table, F.expr(cond))
             .whenMatched().update(assignments)
             .whenNotMatched().insertAll()
             .merge())

@@ -27,47 +27,56 @@ from cartlake.sinks.versioned import VersionedTables
 DELETE = "D"
 
 
-def latest_changes(changes: DataFrame, key: str, seq: str) -> DataFrame:
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def latest_changes(changes: DataFrame, key: str | list[str], seq: str) -> DataFrame:
     """One row per key: the change with the highest ``seq`` (ties: larger other values win)."""
-    rest = [c for c in changes.columns if c not in (key, seq)]
-    latest = changes.groupBy(key).agg(F.max(F.struct(seq, *rest)).alias("__c"))
-    return latest.select(key, *[F.col(f"__c.{c}").alias(c) for c in [seq, *rest]]).select(*changes.columns)
+    keys = _keys(key)
+    rest = [c for c in changes.columns if c not in (*keys, seq)]
+    latest = changes.groupBy(*keys).agg(F.max(F.struct(seq, *rest)).alias("__c"))
+    return latest.select(*keys, *[F.col(f"__c.{c}").alias(c) for c in [seq, *rest]]).select(*changes.columns)
 
 
-def fresh_changes(latest: DataFrame, applied: DataFrame | None, key: str, seq: str) -> DataFrame:
+def fresh_changes(latest: DataFrame, applied: DataFrame | None, key: str | list[str], seq: str) -> DataFrame:
     """Drop changes whose sequence number is not newer than the one already applied
     for their key (``applied``: key, seq; deletes stay there as tombstones)."""
     if applied is None:
         return latest
-    done = applied.select(key, F.col(seq).alias("__applied"))
-    return (latest.join(done, key, "left")
+    keys = _keys(key)
+    done = applied.select(*keys, F.col(seq).alias("__applied"))
+    return (latest.join(done, keys, "left")
             .filter(F.col("__applied").isNull() | (F.col(seq) > F.col("__applied")))
             .drop("__applied"))
 
 
-def applied_sequences(applied: DataFrame | None, latest: DataFrame, key: str, seq: str) -> DataFrame:
+def applied_sequences(applied: DataFrame | None, latest: DataFrame, key: str | list[str],
+                      seq: str) -> DataFrame:
     """The per-key last applied sequence number after this batch."""
-    batch = latest.select(key, seq)
+    keys = _keys(key)
+    batch = latest.select(*keys, seq)
     if applied is None:
         return batch
-    return applied.select(key, seq).unionByName(batch).groupBy(key).agg(F.max(seq).alias(seq))
+    return applied.select(*keys, seq).unionByName(batch).groupBy(*keys).agg(F.max(seq).alias(seq))
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, key: str, seq: str = "seq",
+def apply_changes(target: DataFrame, changes: DataFrame, key: str | list[str], seq: str = "seq",
                   op: str = "op", applied: DataFrame | None = None) -> DataFrame:
     """Target after the change batch: the latest change per key wins; 'D' deletes,
     any other op (I / U) upserts every target column.  With ``applied`` (key,
     last applied seq), changes no newer than what was already applied are ignored."""
-    latest = fresh_changes(latest_changes(changes, key, seq), applied, key, seq)
-    deleted = latest.filter(F.col(op) == F.lit(DELETE)).select(key)
+    keys = _keys(key)
+    latest = fresh_changes(latest_changes(changes, keys, seq), applied, keys, seq)
+    deleted = latest.filter(F.col(op) == F.lit(DELETE)).select(*keys)
     upserts = latest.filter(F.col(op).isNull() | (F.col(op) != F.lit(DELETE)))
-    kept = target.join(deleted, key, "left_anti")
+    kept = target.join(deleted, keys, "left_anti")
     # keys are unique after latest_changes, so the cardinality check is moot
-    return merge_upsert(kept, upserts.select(*target.columns), key, check_cardinality=False)
+    return merge_upsert(kept, upserts.select(*target.columns), keys, check_cardinality=False)
 
 
 def stream_changes(spark: SparkSession, source: str, schema: StructType | str, tables: VersionedTables,
-                   table: str, key: str, checkpoint: str, seq: str = "seq", op: str = "op",
+                   table: str, key: str | list[str], checkpoint: str, seq: str = "seq", op: str = "op",
                    files_per_batch: int = 1, available_now: bool = True,
                    keep_versions: int | None = 2) -> StreamingQuery:
     """Start a stream that applies change files under ``source`` to ``tables.table``.

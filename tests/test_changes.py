@@ -129,3 +129,16 @@ def test_delete_then_merge_restores(spark):
     assert shrunk.count() + removed.count() == t.count()
     restored = ch.merge_upsert(shrunk, removed, "product_id")
     assert restored.exceptAll(t).isEmpty() and t.exceptAll(restored).isEmpty()
+
+
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_merge_on_composite_key(spark, max_rows):
+    sch = "order_id int, product_id int, add_to_cart_order int, reordered int"
+    t = spark.createDataFrame([(1, 10, 1, 0), (1, 11, 2, 0), (2, 10, 1, 1), (None, 10, 9, 9)], sch)
+    u = spark.createDataFrame([(1, 11, 5, 1), (3, 10, 1, 0), (None, 10, 7, 7)], sch)
+    got = rows(ch.merge_upsert(t, u, ["order_id", "product_id"], ["add_to_cart_order"],
+                               broadcast_max_rows=max_rows))
+    assert got == sorted([(1, 10, 1, 0), (1, 11, 5, 0), (2, 10, 1, 1), (None, 10, 9, 9),
+                          (3, 10, 1, 0), (None, 10, 7, 7)], key=repr)
+    with pytest.raises(ch.MergeCardinalityError):
+        ch.merge_upsert(t, u.unionByName(u.filter("order_id = 1")), ["order_id", "product_id"])

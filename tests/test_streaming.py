@@ -70,3 +70,11 @@ def test_apply_changes_with_applied_sequences(spark):
     c = spark.createDataFrame([(1, "old", 1, 1, 1.0, "U", 1), (2, "zombie", 1, 1, 1.0, "I", 1)], CH)
     applied = spark.createDataFrame([(1, 5), (2, 3)], "product_id int, seq long")   # 2 was deleted at 3
     assert rows(apply_changes(t, c, "product_id", applied=applied)) == [(1, "a", 1, 1, 0.0)]
+
+
+def test_apply_changes_on_composite_key(spark):
+    sch = "order_id int, product_id int, add_to_cart_order int"
+    t = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], sch)
+    c = spark.createDataFrame([(1, 10, 4, "U", 1), (1, 11, None, "D", 1), (2, 10, 1, "I", 1)],
+                              sch + ", op string, seq long")
+    assert rows(apply_changes(t, c, ["order_id", "product_id"])) == [(1, 10, 4), (2, 10, 1)]
