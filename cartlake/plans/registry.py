@@ -409,52 +409,53 @@ def q_apply_changes_stream(spark, sf):
     return tables.table("products")
 
 
+# key -> query; the comment names the SURVEY §2 inventory id(s) it exercises.
 QUERIES: dict[str, Query] = {
-    "normalize_bool_flag": q_normalize_bool_flag,
-    "filter_eq": q_filter_eq,
-    "filter_not_null": q_filter_not_null,
-    "filter_or": q_filter_or,
-    "filter_range": q_filter_range,
-    "case_flag_else": q_case_flag_else,
-    "case_flag_null": q_case_flag_null,
-    "literal_column": q_literal_column,
-    "order_products_union": q_order_products_union,
-    "order_products_prior": q_order_products_prior,
-    "user_features_1": q_user_features_1,
-    "user_features_2": q_user_features_2,
-    "up_features": q_up_features,
-    "prd_features": q_prd_features,
-    "product_seq_time": q_product_seq_time,
-    "count_non_null": q_count_non_null,
-    "count_star": q_count_star,
-    "conditional_sum": q_conditional_sum,
-    "guarded_ratio": q_guarded_ratio,
-    "count_distinct": q_count_distinct,
-    "snapshot_audit_join": q_snapshot_audit_join,
-    "order_by": q_order_by,
-    "limit_show": q_limit_show,
-    "merge_upsert": q_merge_upsert,
-    "delete_where": q_delete_where,
-    "update_round": q_update_round,
-    "alter_column_type": q_alter_column_type,
-    "check_primary_key": q_check_primary_key,
-    "check_composite_key": q_check_composite_key,
-    "check_not_null": q_check_not_null,
-    "check_max_length": q_check_max_length,
-    "check_orphans": q_check_orphans,
-    "apply_changes": q_apply_changes,
-    "apply_changes_stream": q_apply_changes_stream,
+    "normalize_bool_flag": q_normalize_bool_flag,         # P1, P3
+    "filter_eq": q_filter_eq,                             # P6
+    "filter_not_null": q_filter_not_null,                 # P7
+    "filter_or": q_filter_or,                             # P8
+    "filter_range": q_filter_range,                       # P9
+    "case_flag_else": q_case_flag_else,                   # P12
+    "case_flag_null": q_case_flag_null,                   # P13
+    "literal_column": q_literal_column,                   # P14
+    "order_products_union": q_order_products_union,       # U1
+    "order_products_prior": q_order_products_prior,       # J1, P4
+    "user_features_1": q_user_features_1,                 # A1
+    "user_features_2": q_user_features_2,                 # A2, A8, A9
+    "up_features": q_up_features,                         # A3
+    "prd_features": q_prd_features,                       # A4
+    "product_seq_time": q_product_seq_time,               # W1
+    "count_non_null": q_count_non_null,                   # A5
+    "count_star": q_count_star,                           # A6
+    "conditional_sum": q_conditional_sum,                 # A7
+    "guarded_ratio": q_guarded_ratio,                     # A8
+    "count_distinct": q_count_distinct,                   # A9
+    "snapshot_audit_join": q_snapshot_audit_join,         # J2
+    "order_by": q_order_by,                               # O1
+    "limit_show": q_limit_show,                           # O2
+    "merge_upsert": q_merge_upsert,                       # D1
+    "delete_where": q_delete_where,                       # D2
+    "update_round": q_update_round,                       # D3
+    "alter_column_type": q_alter_column_type,             # D4
+    "check_primary_key": q_check_primary_key,             # Q1
+    "check_composite_key": q_check_composite_key,         # Q5
+    "check_not_null": q_check_not_null,                   # Q2
+    "check_max_length": q_check_max_length,               # Q3
+    "check_orphans": q_check_orphans,                     # Q4
+    "apply_changes": q_apply_changes,                     # §2.11
+    "apply_changes_stream": q_apply_changes_stream,       # §2.11
     # sources / sinks
-    "csv_typed_load": q_csv_typed_load,
-    "csv_gzip_load": q_csv_gzip_load,
-    "external_parquet_table": q_external_parquet_table,
-    "parquet_landing_write": q_parquet_landing_write,
-    "drop_and_create_target": q_drop_and_create_target,
-    "partitioned_landing": q_partitioned_landing,
-    "dated_batch_export": q_dated_batch_export,
-    "select_tables_like": q_select_tables_like,
-    "create_or_replace_table": q_create_or_replace_table,
-    "publish_all": q_publish_all,
-    "history_scan": q_history_scan,
-    "snapshots_scan": q_snapshots_scan,
+    "csv_typed_load": q_csv_typed_load,                   # K4
+    "csv_gzip_load": q_csv_gzip_load,                     # K5
+    "external_parquet_table": q_external_parquet_table,   # K1, K2, K3
+    "parquet_landing_write": q_parquet_landing_write,     # K8
+    "drop_and_create_target": q_drop_and_create_target,   # K9
+    "partitioned_landing": q_partitioned_landing,         # K14
+    "dated_batch_export": q_dated_batch_export,           # K13
+    "select_tables_like": q_select_tables_like,           # K7
+    "create_or_replace_table": q_create_or_replace_table, # K10
+    "publish_all": q_publish_all,                         # K11
+    "history_scan": q_history_scan,                       # K17
+    "snapshots_scan": q_snapshots_scan,                   # K17
 }
