@@ -62,8 +62,8 @@ def test_cli_requires_locations():
 
 def test_scale_conf_sizes_partitions():
     from cartlake.session import scale_conf
-    conf = scale_conf(100 * 1024 ** 4)          # 100 TiB
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "100000"   # 100 TiB: capped
+    assert scale_conf(10 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "20480"     # 10 TiB
     assert scale_conf(1)["spark.sql.shuffle.partitions"] == "200"
 
 
