@@ -126,3 +126,43 @@ def test_job_leaves_no_scratch_behind(spark):
     raw_db = R._land_raw(spark, SF_SMALL, root)
     FeatureJob(spark, raw_db, VersionedTables(spark, f"{root}/silver", "t_silver_scratch")).run()
     assert set(glob.glob(os.path.join(local, "pair-stats-*"))) == before
+
+
+RETRY_SCRIPT = r'''
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from cartlake.sinks.versioned import VersionedTables
+
+spark = (SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+
+def fail_first_attempt(batches):
+    ctx = TaskContext.get()
+    for b in batches:
+        if ctx.partitionId() == 1 and ctx.attemptNumber() == 0:
+            raise RuntimeError("simulated lost task")
+        yield b
+
+df = spark.range(0, 100000, numPartitions=4).mapInPandas(fail_first_attempt, "id long")
+tables = VersionedTables(spark, sys.argv[2], "retry_db")
+tables.publish("t", df)
+out = tables.table("t")
+print("RESULT", out.count(), out.distinct().count())
+'''
+
+
+def test_publish_survives_a_failed_task(spark, tmp_path):
+    """A task that dies once is retried; the commit protocol keeps exactly one copy."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "retry.py"
+    script.write_text(RETRY_SCRIPT)
+    done = subprocess.run([sys.executable, str(script), repo, workspace(spark, "t-retry")],
+                          cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert "simulated lost task" in done.stderr          # the first attempt really failed
+    assert "RESULT 100000 100000" in done.stdout
