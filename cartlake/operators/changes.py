@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from cartlake.functions import float_to_int, round_half_even
 
-# Updates with at most this many rows are broadcast to the target's scan; the
-# bound is checked with a limited count before the plan is chosen.
+# Updates with at most this many rows and bytes are broadcast to the target's
+# scan; both bounds are measured on at most MAX_ROWS + 1 rows before the plan
+# is chosen.
 MERGE_BROADCAST_MAX_ROWS = 200_000
+MERGE_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
 class MergeCardinalityError(ValueError):
@@ -46,9 +48,13 @@ def _all_not_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def _bounded_rows(df: DataFrame, limit: int) -> bool:
-    """True when df has at most ``limit`` rows; reads at most limit + 1 rows."""
-    return df.limit(limit + 1).count() <= limit
+def _bounded(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes
+    (JSON-encoded width, an over-estimate of the in-memory size).  One job that
+    reads at most max_rows + 1 rows."""
+    width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
 def check_merge_cardinality(target: DataFrame, updates: DataFrame, key: str | list[str]) -> None:
@@ -70,7 +76,8 @@ def check_merge_cardinality(target: DataFrame, updates: DataFrame, key: str | li
 def merge_upsert(target: DataFrame, updates: DataFrame, key: str | list[str],
                  set_cols: list[str] | None = None,
                  *, check_cardinality: bool = True,
-                 broadcast_max_rows: int = MERGE_BROADCAST_MAX_ROWS) -> DataFrame:
+                 broadcast_max_rows: int = MERGE_BROADCAST_MAX_ROWS,
+                 broadcast_max_bytes: int = MERGE_BROADCAST_MAX_BYTES) -> DataFrame:
     """MERGE target USING updates ON target.key = updates.key
          WHEN MATCHED THEN UPDATE SET <set_cols> = updates.<set_cols>
          WHEN NOT MATCHED THEN INSERT *
@@ -79,7 +86,8 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str | list[str],
     never matches (such an update row is inserted); NULL source values
     overwrite.  Target columns outside ``set_cols`` keep their value on a match.
 
-    Plan choice: when the update batch is provably small, the target is
+    Plan choice: when the update batch is provably small (rows and bytes
+    measured on a bounded read), the target is
     streamed once against a broadcast of the updates (no shuffle of the
     target), and the inserts are the updates whose key found no target row.
     Otherwise a full outer join on the key shuffles both sides once.
@@ -94,7 +102,7 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str | list[str],
     if check_cardinality:
         check_merge_cardinality(target, u, keys)
 
-    if _bounded_rows(u, broadcast_max_rows):
+    if _bounded(u, broadcast_max_rows, broadcast_max_bytes):
         return _merge_broadcast(target, u, keys, set_cols)
     return _merge_full_outer(target, u, keys, set_cols)
 

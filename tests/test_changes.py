@@ -142,3 +142,13 @@ def test_merge_on_composite_key(spark, max_rows):
                           (3, 10, 1, 0), (None, 10, 7, 7)], key=repr)
     with pytest.raises(ch.MergeCardinalityError):
         ch.merge_upsert(t, u.unionByName(u.filter("order_id = 1")), ["order_id", "product_id"])
+
+
+def test_merge_broadcast_needs_both_row_and_byte_bounds(spark):
+    t, u = fz.product_target(spark, SF_MID), fz.product_updates(spark, SF_MID)
+    small = ch.merge_upsert(t, u, "product_id")._jdf.queryExecution().executedPlan().toString()
+    wide = ch.merge_upsert(t, u, "product_id", broadcast_max_bytes=1000)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "SortMergeJoin" not in small
+    assert "FullOuter" in wide or "SortMergeJoin" in wide
+    assert ch._bounded(u, 200, 10_000_000) and not ch._bounded(u, 200, 100) and not ch._bounded(u, 10, 10**9)
