@@ -166,3 +166,12 @@ def test_publish_survives_a_failed_task(spark, tmp_path):
     assert done.returncode == 0, done.stderr[-3000:]
     assert "simulated lost task" in done.stderr          # the first attempt really failed
     assert "RESULT 100000 100000" in done.stdout
+
+
+def test_raw_tables_through_a_named_catalog(spark):
+    root = workspace(spark, "t-cat")
+    raw_db = R._land_raw(spark, SF_SMALL, root)
+    job = FeatureJob(spark, raw_db, VersionedTables(spark, f"{root}/silver", "t_silver_cat"),
+                     raw_catalog="spark_catalog")
+    raw = job.read_raw()
+    assert raw["orders"].count() == 1500 and raw["order_products__prior"].count() == 5345
