@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from cartlake.functions import parse_pg_boolean
 
@@ -23,8 +23,14 @@ from cartlake.functions import parse_pg_boolean
 def csv_typed_load(spark: SparkSession, path: str, schema: StructType | str,
                    delimiter: str = ",", header: bool = True,
                    partitions: int | None = None) -> DataFrame:
+    """Typed CSV load (header line skipped, malformed rows fail the load).
+
+    ``schema`` is a StructType or DDL text ('order_id INT, reordered BOOLEAN').
+    BOOLEAN columns are read as text and parsed with the COPY spellings.
+    ``partitions`` spreads the rows after the read (gzip files are one task each).
+    """
     if isinstance(schema, str):
-        schema = _parse_datatype_string(schema)
+        schema = StructType.fromDDL(schema)
     read_schema = StructType([
         StructField(f.name, StringType() if isinstance(f.dataType, BooleanType) else f.dataType, f.nullable)
         for f in schema.fields])
