@@ -31,3 +31,11 @@ def test_entry_smoke(spark):
     assert df.columns == ["product_id", "total_purchases", "total_reorders", "first_time_purchases",
                           "second_time_purchases"]
     assert df.count() == 200
+
+
+def test_schemas_stable_across_scales(spark):
+    from tests.conftest import SF_MID
+    qs = entry.queries()
+    unstable = {k: (a, b) for k in KEYS
+                for a, b in [(qs[k](spark, SF_SMALL).dtypes, qs[k](spark, SF_MID).dtypes)] if a != b}
+    assert unstable == {}
