@@ -57,6 +57,15 @@ def main(argv):
     print(f"{len(rows)} stages, {total / 1000:.1f} s of stage time")
     for ms, sid, tasks, name, desc in rows[:top]:
         print(f"{ms / 1000:7.2f}s  stage {sid:5d}  tasks {tasks:4d}  {name}  {desc}")
+    per_desc: dict[str, list[int]] = {}
+    for ms, _, tasks, _, desc in rows:
+        acc = per_desc.setdefault(desc or "(no description)", [0, 0, 0])
+        acc[0] += ms
+        acc[1] += 1
+        acc[2] += tasks
+    print("\nstage time per job description (query / published table):")
+    for desc, (ms, n, tasks) in sorted(per_desc.items(), key=lambda kv: -kv[1][0]):
+        print(f"{ms / 1000:7.2f}s  {n:4d} stages  {tasks:6d} tasks  {desc}")
 
 
 if __name__ == "__main__":
