@@ -128,7 +128,11 @@ class FeatureJob:
             commit("user_features_1")
             opp = self.silver.table("order_products_prior").select(*PAIR_COLUMNS)
             scratch = workspace(self.spark, "pair-stats")
-            fx.pair_stats(opp).write.parquet(scratch)
+            self.spark.sparkContext.setJobDescription("feature job: per (user, product) statistics")
+            try:
+                fx.pair_stats(opp).write.parquet(scratch)
+            finally:
+                self.spark.sparkContext.setJobDescription(None)
             stats = self.spark.read.parquet(scratch)
             stage("user_features_2", fx.user_features_2(stats))
             stage("up_features", fx.up_features(stats))
