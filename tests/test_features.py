@@ -240,3 +240,16 @@ def test_group_window_splits_a_hot_null_group(spark):
     salted = _salt(df, ["k"], "o", df.schema["o"].dataType, sizes, hot_rows=750, buckets=None)
     null_buckets = salted.filter(F.col("k").isNull()).select("__bucket").distinct().count()
     assert null_buckets == 4 and salted.filter(F.col("k").isNotNull() & F.col("__hot")).isEmpty()
+
+
+def test_group_window_hot_path_lead_only(spark):
+    from pyspark.sql import Window
+    from cartlake.operators.sequence import group_window
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 40).cast("int").alias("k"),
+        (F.col("id") * 17 % 1013).cast("int").alias("o"), F.col("id").alias("tb"))
+    w = Window.partitionBy("k").orderBy("o", "tb")
+    want = df.withColumn("nxt", F.lead("tb").over(w))
+    got = group_window(df, ["k"], ["o", "tb"], lead={"tb": "nxt"}, min_hot_rows=200, buckets=5)
+    assert got.columns == ["k", "o", "tb", "nxt"]
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
