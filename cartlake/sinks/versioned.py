@@ -139,7 +139,8 @@ class VersionedTables:
         """One JSON line per commit, created only if absent: a second writer racing
         for the same sequence number fails instead of forking the history."""
         rec = commit.asDict()
-        rec["committed_at"] = rec["committed_at"].isoformat(timespec="microseconds")
+        # Explicit UTC offset: readers in any session time zone get the same instant.
+        rec["committed_at"] = rec["committed_at"].isoformat(timespec="microseconds") + "+00:00"
         p, fs = self._fs(f"{self._log_dir(name)}/{commit['sequence_number']:012d}.json")
         out = fs.create(p, False)
         try:

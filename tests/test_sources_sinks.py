@@ -190,3 +190,17 @@ def test_expire_versions_keeps_history(spark):
         tables.table("t", ids[0])
     assert tables.history("t").count() == 4
     assert tables.expire_versions("t", keep_last=2) == []
+
+
+def test_commit_time_is_an_absolute_instant(spark):
+    import datetime as _d
+    tables = VersionedTables(spark, workspace(spark, "t-tz"), "t_tz", register=False)
+    before = _d.datetime.now(_d.timezone.utc).timestamp()
+    tables.publish("t", spark.range(1))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        micros = tables.history("t").selectExpr("unix_micros(made_current_at) AS u").first().u
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert abs(micros / 1e6 - before) < 120
