@@ -91,7 +91,11 @@ def stream_changes(spark: SparkSession, source: str, schema: StructType | str, t
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        current = tables.table(table)
+        if tables.current(table) is None:       # first batch of a new table
+            cols = [c for c in batch.columns if c not in (seq, op)]
+            current = spark.createDataFrame([], batch.select(*cols).schema)
+        else:
+            current = tables.table(table)
         applied = tables.table(seq_table) if tables.current(seq_table) is not None else None
         latest = fresh_changes(latest_changes(batch, key, seq), applied, key, seq)
         summary = {"stream-epoch": str(epoch_id)}

@@ -94,3 +94,18 @@ def test_replay_after_crash_between_commits_is_harmless(spark):
     seqs = applied_sequences(old_applied, latest, "product_id", "seq")
     got = {r.product_id: r.seq for r in seqs.filter("product_id IN (10, 30)").collect()}
     assert got == {10: 2, 30: 3}   # 10: updated at 1 and 2; 30: updated at 1 and 2, deleted at 3
+
+
+def test_stream_creates_the_table_from_nothing(spark):
+    root = workspace(spark, "t-cdc-new")
+    changes = fz.product_changes(spark, SF_SMALL)
+    changes.coalesce(1).write.parquet(f"{root}/in/b=0")
+    tables = VersionedTables(spark, f"{root}/t", "t_cdc_new")
+    q = stream_changes(spark, f"{root}/in/b=*", changes.schema, tables, "products", "product_id",
+                       checkpoint=f"{root}/ck")
+    q.awaitTermination()
+    assert q.exception() is None
+    empty = spark.createDataFrame([], changes.drop("op", "seq").schema)
+    want = apply_changes(empty, changes, "product_id")
+    got = tables.table("products")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() > 0
