@@ -97,11 +97,25 @@ def temp_view(df: DataFrame, name: str) -> DataFrame:
 
 def register_raw_layer(spark: SparkSession, database: str, raw_root: str, schema: str = "public",
                        compression: str = "gzip", db_location: str | None = None,
-                       columns: dict[str, list[tuple[str, str]]] | None = None) -> dict[str, DataFrame]:
+                       columns: dict[str, list[tuple[str, str]]] | None = None,
+                       require_existing: bool = True) -> dict[str, DataFrame]:
     """Create ``database`` and register every declared raw table as an external
-    Parquet table over ``raw_root/schema/<table>`` (the landing layout)."""
+    Parquet table over ``raw_root/schema/<table>`` (the landing layout).
+
+    A missing landing folder is an error (rather than an empty table that would
+    publish empty features), unless ``require_existing`` is False.
+    """
+    from cartlake.session import hadoop_path
     from cartlake.sources.schema import RAW_COLUMNS
-    create_database(spark, database, location=db_location)
     root = raw_root.rstrip("/")
+    if require_existing:
+        missing = []
+        for name in (columns or RAW_COLUMNS):
+            p, fs = hadoop_path(spark, f"{root}/{schema}/{name}")
+            if not fs.exists(p):
+                missing.append(name)
+        if missing:
+            raise FileNotFoundError(f"no landing folder under {root}/{schema} for {missing}")
+    create_database(spark, database, location=db_location)
     return {name: external_parquet_table(spark, name, database, f"{root}/{schema}/{name}", cols, compression)
             for name, cols in (columns or RAW_COLUMNS).items()}

@@ -204,3 +204,10 @@ def test_commit_time_is_an_absolute_instant(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert abs(micros / 1e6 - before) < 120
+
+
+def test_register_raw_layer_refuses_missing_folders(spark):
+    root = workspace(spark, "t-missing")
+    landing.parquet_landing_write(fz.orders(spark, SF_SMALL), f"{root}/raw", "orders")
+    with pytest.raises(FileNotFoundError, match="products"):
+        cat.register_raw_layer(spark, "t_missing_raw", f"{root}/raw", db_location=f"{root}/db")
