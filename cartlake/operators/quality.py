@@ -142,19 +142,20 @@ def check_raw_layer(tables: dict[str, DataFrame], include_disabled: bool = False
     def have(names):
         return all(n in tables for n in names)
 
-    out = {
-        "primary_key": check_primary_key({t: (tables[t], k) for t, k in schema.PRIMARY_KEYS.items()
+    specs = {
+        "primary_key": (check_primary_key, {t: (tables[t], k) for t, k in schema.PRIMARY_KEYS.items()
+                                            if t in tables}),
+        "not_null": (check_not_null, {t: (tables[t], c) for t, c in schema.NOT_NULL.items() if t in tables}),
+        "max_length": (check_max_length, {t: (tables[t], m) for t, m in schema.MAX_LENGTH.items()
                                           if t in tables}),
-        "not_null": check_not_null({t: (tables[t], c) for t, c in schema.NOT_NULL.items() if t in tables}),
-        "max_length": check_max_length({t: (tables[t], m) for t, m in schema.MAX_LENGTH.items()
-                                        if t in tables}),
     }
     if include_disabled:
-        out["composite_key"] = check_composite_key({t: (tables[t], k) for t, k in schema.COMPOSITE_KEYS.items()
-                                                    if t in tables})
-        out["orphans"] = check_orphans([(c, tables[c], fk, p, tables[p], pk)
-                                        for c, fk, p, pk in schema.FOREIGN_KEYS if have([c, p])])
-    return out
+        specs["composite_key"] = (check_composite_key, {t: (tables[t], k) for t, k in schema.COMPOSITE_KEYS.items()
+                                                        if t in tables})
+        specs["orphans"] = (check_orphans, [(c, tables[c], fk, p, tables[p], pk)
+                                            for c, fk, p, pk in schema.FOREIGN_KEYS if have([c, p])])
+    # a check with none of its tables present is skipped, not run on nothing
+    return {name: check(args) for name, (check, args) in specs.items() if args}
 
 
 def violations_found(report: dict[str, DataFrame]) -> DataFrame:
@@ -162,6 +163,8 @@ def violations_found(report: dict[str, DataFrame]) -> DataFrame:
     counts = {"primary_key": ["n_null_keys", "n_duplicate_keys"], "not_null": ["n_nulls"],
               "max_length": ["n_too_long"], "composite_key": ["n_null_keys", "n_duplicate_keys"],
               "orphans": ["n_orphan_rows"]}
+    if not report:
+        raise ValueError("empty report: none of the declared tables was given")
     frames = []
     for check, df in report.items():
         bad = reduce(lambda a, b: a | b, [F.col(c) > 0 for c in counts[check]])

@@ -56,3 +56,13 @@ def test_raw_layer_report_finds_dirty_rows(spark):
         "order_hour_of_day int, days_since_prior int")
     found = {(r.check, r.table_name) for r in qc.violations_found(qc.check_raw_layer({"orders": orders})).collect()}
     assert found == {("primary_key", "orders"), ("not_null", "orders"), ("max_length", "orders")}
+
+
+def test_raw_layer_report_skips_absent_tables(spark):
+    import pytest
+    aisles = spark.createDataFrame([(1, "a")], "aisle_id int, aisle string")
+    report = qc.check_raw_layer({"aisles": aisles}, include_disabled=True)
+    assert set(report) == {"primary_key", "not_null", "max_length"}
+    assert qc.violations_found(report).count() == 0
+    with pytest.raises(ValueError):
+        qc.violations_found(qc.check_raw_layer({}))
