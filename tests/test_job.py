@@ -114,6 +114,15 @@ def test_spark_submit_end_to_end(spark, tmp_path):
     assert tables.table("prd_features").count() == 200
     assert tables.table("order_products_prior").count() == 5345
     assert [r.operation for r in tables.snapshots("user_features_2").collect()] == ["overwrite"]
+    # a second run replaces every table and, with --keep-versions 1, drops the old data
+    again = subprocess.run(cmd + ["--keep-versions", "1", "--input-gb", "1"], cwd=tmp_path,
+                           capture_output=True, text=True, timeout=600)
+    assert again.returncode == 0, again.stderr[-3000:]
+    tables = VersionedTables(spark, f"{root}/silver", "silver_submit", register=False)
+    assert tables.history("prd_features").count() == 2 and tables.table("prd_features").count() == 200
+    old_id = tables.history("prd_features").orderBy("made_current_at").first().snapshot_id
+    with pytest.raises(KeyError, match="expired"):
+        tables.table("prd_features", old_id)
 
 
 def test_job_leaves_no_scratch_behind(spark):
