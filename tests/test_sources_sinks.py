@@ -211,3 +211,18 @@ def test_register_raw_layer_refuses_missing_folders(spark):
     landing.parquet_landing_write(fz.orders(spark, SF_SMALL), f"{root}/raw", "orders")
     with pytest.raises(FileNotFoundError, match="products"):
         cat.register_raw_layer(spark, "t_missing_raw", f"{root}/raw", db_location=f"{root}/db")
+
+
+def test_landing_export_and_databases_are_parameters(spark):
+    """T13 / T15: landing and export locations are independent, and the published
+    database is a parameter (two databases under one root stay apart)."""
+    root = workspace(spark, "t-params")
+    src = fz.aisles(spark, SF_SMALL)
+    landed = landing.parquet_landing_write(src, f"{root}/landing", "aisles")
+    exported = landing.dated_batch_export(src, f"{root}/export", "aisles", run_date=dt.date(2025, 1, 1))
+    assert landed.startswith(f"{root}/landing/") and exported.startswith(f"{root}/export/")
+    a = VersionedTables(spark, f"{root}/silver", "t_params_a")
+    b = VersionedTables(spark, f"{root}/silver", "t_params_b")
+    a.publish("aisles", src)
+    b.publish("aisles", src.limit(3))
+    assert spark.table("t_params_a.aisles").count() == 50 and spark.table("t_params_b.aisles").count() == 3
