@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, url_filter
+from . import bpe, mixing, url_filter
 from .common import table
 
 
@@ -18,7 +18,13 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op8_mix_sources)}
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return bpe.digests(table(spark, sf_dir, "documents"),
+                       public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (op2_url_filter, op8_mix_sources, op10_bpe)}
 
 ORACLE_SQL = {
     "op8_mix_sources": r"""
