@@ -5,14 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, pii, url_filter
+from . import bpe, mixing, pii, topk, toxicity, url_filter
 from .common import table
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors)
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
 
@@ -35,9 +48,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op7_pii, op8_mix_sources, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_url_filter, op4_toxicity, op7_pii, op8_mix_sources, op10_bpe)}
 
 ORACLE_SQL = {
+    "op1_topk": """
+WITH fit AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda x: x[1] * x[2]))::BIGINT AS score
+  FROM fit q JOIN fit c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
     "op8_mix_sources": r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
