@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, pii, topk, toxicity, url_filter
+from . import bpe, mixing, near_dup, pii, topk, toxicity, url_filter
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity_pct=85)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels")))
@@ -48,7 +52,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_url_filter, op4_toxicity, op7_pii, op8_mix_sources, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_url_filter, op3_minhash, op4_toxicity, op7_pii, op8_mix_sources, op10_bpe)}
 
 ORACLE_SQL = {
     "op1_topk": """
@@ -60,6 +64,25 @@ pairs AS (
   FROM fit q JOIN fit c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op3_minhash": r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM split),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS an, b.n AS bn, count(*) AS shared
+  FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * shared >= 85 * (an + bn - shared)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, at) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.at = edges.a),
+lowest AS (SELECT doc_id, min(at) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN lowest USING (doc_id)
 """,
     "op8_mix_sources": r"""
 WITH RECURSIVE sized AS (
