@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, near_dup, pii, topk, toxicity, url_filter
+from . import bpe, fingerprint, mixing, near_dup, pii, repeats, topk, toxicity, url_filter
 from .common import table
 
 
@@ -30,6 +30,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.find(table(spark, sf_dir, "documents"))
+
+
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
 
@@ -52,7 +60,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_url_filter, op3_minhash, op4_toxicity, op7_pii, op8_mix_sources, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_url_filter, op3_minhash, op4_toxicity, op5_repeats, op6_fingerprint, op7_pii, op8_mix_sources, op10_bpe)}
 
 ORACLE_SQL = {
     "op1_topk": """
@@ -79,9 +87,9 @@ common AS (
   FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS (SELECT a, b FROM common WHERE 100 * shared >= 85 * (an + bn - shared)),
 edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach(doc_id, at) AS (
-  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.at = edges.a),
-lowest AS (SELECT doc_id, min(at) AS component_id FROM reach GROUP BY doc_id)
+reach(doc_id, node) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.node = edges.a),
+lowest AS (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN lowest USING (doc_id)
 """,
     "op8_mix_sources": r"""
