@@ -307,6 +307,23 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str,
     return _apply(docs, id_col, text_col, "doc_id, ids string, decoded string", work)
 
 
+def encode(docs: DataFrame, ranks_path: str, pattern: str,
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids), checked by decoding: a text that would not come back is an error."""
+    def work(texts):
+        codec = _codec(ranks_path, pattern)
+        n, out = [], []
+        for t in texts:
+            text = t.as_py() or ""
+            ids = codec.encode(text)
+            if "".join(codec.decode(ids)) != text:
+                raise ValueError("a text does not come back from its ids")
+            n.append(ids.count(" ") + 1 if ids else 0)
+            out.append(ids)
+        return [pa.array(n, pa.int64()), pa.array(out, pa.string())]
+    return _apply(docs, id_col, text_col, "doc_id, n_tokens bigint, ids string", work)
+
+
 def digests(docs: DataFrame, ranks_path: str, pattern: str,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) without keeping the ids."""

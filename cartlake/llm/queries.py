@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, mixing, near_dup, pii, repeats, topk, toxicity, url_filter
+from . import bpe, fingerprint, licences, mixing, near_dup, pii, repeats, topk, toxicity, url_filter
 from .common import table
 
 
@@ -54,13 +54,17 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return bpe.digests(table(spark, sf_dir, "documents"),
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_url_filter, op3_minhash, op4_toxicity, op5_repeats, op6_fingerprint, op7_pii, op8_mix_sources, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_url_filter, op3_minhash, op4_toxicity, op5_repeats, op6_fingerprint, op7_pii, op8_mix_sources, op9_licences, op10_bpe)}
 
 ORACLE_SQL = {
     "op1_topk": """

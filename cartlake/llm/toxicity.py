@@ -34,6 +34,7 @@ MAX_PER_CLASS = 1200
 SPAN, DECAY, BITS = 6, 0.85, 18
 LANDMARKS = 192
 LOWEST = -3.0
+LIMIT = 0.3
 MAX_STRINGS = 400_000
 STEPS = tuple((a, b) for b in range(2, SPAN) for a in range(1, b))
 SPACED = re.compile(r"(?<!\w)(?:\w[^\w\n]){2,}\w(?!\w)")
@@ -216,7 +217,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
           keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, score, *keep), a row for each row of ``docs``."""
+    """(doc_id, score, k0, k1, ...: the columns in ``keep``), a row for each row of ``docs``."""
     schema = ", ".join([f"doc_id {docs.schema[id_col].dataType.simpleString()}", "score double",
                         *(f"`k{i}` {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))])
 
@@ -240,8 +241,14 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
     out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                       *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep))).mapInArrow(run, schema)
-    return out.select("doc_id", "score", *(F.col(f"k{i}").alias(c if c not in ("doc_id", "score") else f"kept_{c}")
-                                           for i, c in enumerate(keep)))
+    return out
+
+
+def reject(docs: DataFrame, model: Model | None, limit: float = LIMIT, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``limit``, with all their columns."""
+    names = docs.columns
+    scored = score(docs.select("*", F.lit(0).alias("__row")), model, "__row", text_col, tuple(names))
+    return scored.where(F.col("score") < limit).select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(names)))
 
 
 def held_out(id_column):
