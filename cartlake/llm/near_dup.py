@@ -11,9 +11,9 @@ Rounds over the lists find the components without pairing everything with everyt
 
 * equal sets are one class from the start, so copies never meet in a list;
 * first every list pairs its members with one leader;
-* a list whose members are all in one component is done; the others pair members of
-  different components, all of them in short lists, with several new leaders a round in
-  long ones, until no member is left that has not been compared or connected.
+* a list whose members are all in one component is done; in the others every member
+  outside the list's largest component leads once, LEADERS of them a turn, and meets the
+  members that are then in other components.
 
 A pair goes on if the sketch of the union estimates enough overlap, and is a link if the
 exact similarity of the full sets reaches the limit.  Pairs grow with the lists, not with
@@ -40,8 +40,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 K = 32
-SHORT = 32
-LEADERS = 8
+LEADERS = 128
 MAX_WORDS = 500_000
 _LOWER = bytes(range(256)).lower()
 
@@ -191,38 +190,34 @@ def class_components(docs: DataFrame, classes: DataFrame, id_col: str, text_col:
     leaders = lists.groupBy("value").agg(F.min_by("sig", F.struct("n", "sig")).alias("leader"))
     pairs = (lists.join(leaders, "value").where(F.col("sig") != F.col("leader"))
              .select(*_pairs(F.col("sig"), F.col("leader"))).distinct())
-    links = done = None
-    lists = lists.withColumn("led", F.lit(False))
-    comp = None
+    links = done = plan = None
+    turn = 0
     while True:
         found = _links(pairs, small, sets, pct, k, "dup")
         links = found if links is None else links.unionByName(found)
         comp = None if links.isEmpty() else components(links, "dup")
         done = pairs if done is None else done.unionByName(pairs)
-        now = _label(lists, comp)
-        open_ = now.groupBy("value").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("m"),
-                                         F.count(F.when(~F.col("led"), 1)).alias("left"),
-                                         *(F.min(F.when(~F.col("led"), F.struct(F.xxhash64("sig", F.lit(i)), "sig")))["sig"].alias(f"l{i}")
-                                           for i in range(LEADERS)))
-        open_ = open_.where((F.col("c0") != F.col("c1")) & (F.col("left") > 1))
-        left = materialize(now.join(open_.drop("c0", "c1", "left"), "value"), "dup-open")
-        if left.isEmpty():
+        if plan is None:
+            # in each list still open, who is not in its largest component leads in some turn
+            now = _label(lists, comp)
+            shares = now.groupBy("value", "comp").agg(F.count("*").alias("rows"))
+            major = shares.groupBy("value").agg(F.max_by("comp", F.struct("rows", "comp")).alias("major"),
+                                                (F.sum("rows") - F.max("rows")).alias("minors")).where("minors > 0")
+            turns = F.ceil(F.col("minors") / LEADERS).cast("int")
+            plan = materialize(now.join(major, "value").select(
+                "value", "sig", "n", turns.alias("turns"), F.when(F.col("comp") != F.col("major"), F.pmod(
+                    F.xxhash64("sig"), turns).cast("int")).alias("turn")), "dup-plan")
+            last = plan.agg(F.max("turns")).first()[0] or 0
+        if turn >= last:
             return comp
-        # short lists: every two members of different components, once
-        short = left.where(F.col("m") <= SHORT).select("value", "sig", "n", "comp")
-        other = short.select("value", F.col("sig").alias("other"), F.col("n").alias("other_n"), F.col("comp").alias("other_comp"))
-        fits = F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * pct
-        few = short.join(other, "value").where((F.col("sig") < F.col("other")) & (F.col("comp") != F.col("other_comp")) & fits).select(
-            F.col("sig").alias("a"), F.col("other").alias("b"))
-        chosen = F.array_distinct(F.array(*(f"l{i}" for i in range(LEADERS))))
-        long_ = left.where(F.col("m") > SHORT).withColumn("chosen", F.filter(chosen, lambda x: x.isNotNull()))
-        many = long_.select("sig", "comp", F.explode("chosen").alias("leader"))
-        many = _label(many.withColumnRenamed("sig", "mine").withColumnRenamed("comp", "my_comp").withColumnRenamed("leader", "sig"), comp)
-        many = many.where((F.col("sig") != F.col("mine")) & (F.col("comp") != F.col("my_comp"))).select(
-            *_pairs(F.col("mine"), F.col("sig")))
-        pairs = materialize(few.unionByName(many).distinct().join(done, ["a", "b"], "left_anti"), "dup-pairs")
-        lists = materialize(long_.select("value", "sig", "n", (F.col("led") | F.array_contains("chosen", F.col("sig"))).alias("led")),
-                            "dup-lists")
+        now = _label(plan.where(F.col("turns") > turn), comp)
+        lead = now.where(F.col("turn") == turn).select(
+            "value", F.col("sig").alias("leader"), F.col("n").alias("lead_n"), F.col("comp").alias("lead_comp"))
+        fits = F.least("n", "lead_n") * 100 >= F.greatest("n", "lead_n") * pct
+        met = now.join(lead, "value").where((F.col("comp") != F.col("lead_comp")) & fits)
+        pairs = materialize(met.select(*_pairs(F.col("sig"), F.col("leader"))).distinct()
+                            .join(done, ["a", "b"], "left_anti"), "dup-pairs")
+        turn += 1
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
