@@ -40,7 +40,7 @@ LENGTH = 400
 GRAM = 128
 BLOCK_BYTES = 1 << 18
 #: positions of one block of the merge, and names of one of its buckets
-MERGE_BYTES = 1 << 22
+MERGE_BYTES = 1 << 20
 BUCKET_NAMES = 2_000_000
 _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
