@@ -44,13 +44,13 @@ def round_half_even(c) -> Column:
     return F.rint(_col(c))
 
 
-def float_to_int(c) -> Column:
+def float_to_int(c, type_name: str = "int") -> Column:
     """``real::integer`` semantics: round to nearest (ties to even), then cast.
 
     A plain Spark cast truncates; with ANSI mode an out-of-range value raises,
     as the source database does.
     """
-    return F.rint(_col(c)).cast("int")
+    return F.rint(_col(c)).cast(type_name)
 
 
 def parse_pg_boolean(c) -> Column:

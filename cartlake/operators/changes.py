@@ -179,7 +179,7 @@ def alter_column_type(df: DataFrame, column: str, type_name: str) -> DataFrame:
     src = df.schema[column].dataType.typeName()
     integral = type_name.lower() in ("int", "integer", "bigint", "long", "smallint", "short")
     if integral and src in ("float", "double"):
-        expr = float_to_int(column).cast(type_name)
+        expr = float_to_int(column, type_name)
     else:
         expr = F.col(column).cast(type_name)
     return df.withColumn(column, expr)

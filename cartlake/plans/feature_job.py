@@ -80,7 +80,7 @@ class FeatureJob:
 
     def quality_gate(self, raw: dict[str, DataFrame]) -> None:
         """Raise if the raw tables break a declared constraint (keys, NOT NULL, lengths)."""
-        bad = violations_found(check_raw_layer(raw)).limit(20).collect()
+        bad = violations_found(check_raw_layer(raw)).collect()
         if bad:
             raise ValueError("raw layer violates declared constraints: "
                              + "; ".join(f"{r.check} {r.table_name} {r.detail}" for r in bad))

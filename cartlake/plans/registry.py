@@ -377,16 +377,6 @@ def _versioned_products_flow(spark, sf) -> tuple[VersionedTables, str]:
     return tables, "products"
 
 
-def q_history_scan(spark, sf):
-    tables, name = _versioned_products_flow(spark, sf)
-    return tables.history(name)
-
-
-def q_snapshots_scan(spark, sf):
-    tables, name = _versioned_products_flow(spark, sf)
-    return tables.snapshots(name)
-
-
 def q_apply_changes(spark, sf):
     return apply_changes(fz.product_target(spark, sf), fz.product_changes(spark, sf), "product_id")
 
@@ -456,6 +446,4 @@ QUERIES: dict[str, Query] = {
     "select_tables_like": q_select_tables_like,           # K7
     "create_or_replace_table": q_create_or_replace_table, # K10
     "publish_all": q_publish_all,                         # K11
-    "history_scan": q_history_scan,                       # K17
-    "snapshots_scan": q_snapshots_scan,                   # K17
 }

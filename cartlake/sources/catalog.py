@@ -6,7 +6,7 @@ Parquet files (schema on read).  Dropping such a table keeps its files.
 
 from __future__ import annotations
 
-import fnmatch
+import re
 import re
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -77,9 +77,10 @@ def list_tables_like(spark: SparkSession, database: str, pattern: str = "%") ->
 
     Catalog metadata only (one name per table), never table data.
     """
-    glob = "".join("*" if ch == "%" else "?" if ch == "_" else ch for ch in pattern)
+    parts = re.findall(r"\\.|.", pattern, re.S)          # a backslash escapes the next character
+    like = re.compile("".join(".*" if p == "%" else "." if p == "_" else re.escape(p[-1]) for p in parts), re.S)
     names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
-    return sorted(n for n in names if fnmatch.fnmatchcase(n, glob))
+    return sorted(n for n in names if like.fullmatch(n))
 
 
 def rows_to_df(spark: SparkSession, rows: list[dict], schema: StructType | str | None = None) -> DataFrame:

@@ -78,11 +78,11 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str | list[str], s
 def stream_changes(spark: SparkSession, source: str, schema: StructType | str, tables: VersionedTables,
                    table: str, key: str | list[str], checkpoint: str, seq: str = "seq", op: str = "op",
                    files_per_batch: int = 1, available_now: bool = True,
-                   keep_versions: int | None = 2) -> StreamingQuery:
+                   keep_versions: int | None = None) -> StreamingQuery:
     """Start a stream that applies change files under ``source`` to ``tables.table``.
 
-    Every micro-batch publishes full new versions; ``keep_versions`` (default 2,
-    so readers of the previous version can finish) expires older ones."""
+    Every micro-batch publishes full new versions; ``keep_versions`` (2 or more,
+    so readers of the previous version can finish) expires older ones; None keeps all."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(source))
 

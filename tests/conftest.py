@@ -27,6 +27,17 @@ def duck():
     return con
 
 
+def products_by_hand(opp):
+    """Expected product features of a small table, counted row by row."""
+    seen, out = {}, {}
+    for r in sorted(opp.collect(), key=lambda r: r.order_number):
+        n = seen[r.user_id, r.product_id] = seen.get((r.user_id, r.product_id), 0) + 1
+        t = out.setdefault(r.product_id, [0, 0, 0, 0])
+        for i, hit in enumerate((True, r.reordered == 1, n == 1, n == 2)):
+            t[i] += hit
+    return sorted(((k, *v) for k, v in out.items()), key=repr)
+
+
 def rows(df):
     """Collected rows as sorted tuples (order-insensitive comparison)."""
     return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cartlake.operators import features as fx
 from cartlake.plans import registry as R
-from tests.conftest import SF_MID, rows
+from tests.conftest import SF_MID, products_by_hand, rows
 
 OPP_SCHEMA = ("order_id int, user_id int, eval_set string, order_number int, order_dow int, "
               "order_hour_of_day int, days_since_prior int, product_id int, add_to_cart_order int, "
@@ -94,16 +94,15 @@ def test_prd_features_rank_counts_match_window_form(spark):
         (5, 3, "prior", 1, 0, 0, None, None, 1, 0),
         (6, 3, "prior", 2, 0, 0, 4, None, 1, 1),
     ])
-    assert rows(fx.prd_features(d)) == rows(fx.prd_features_window(d))
+    assert rows(fx.prd_features(d)) == products_by_hand(d)
     out = {r.product_id: r for r in fx.prd_features(d).collect()}
     assert (out[7].total_purchases, out[7].total_reorders, out[7].first_time_purchases,
             out[7].second_time_purchases) == (4, 2, 2, 1)
 
 
-def test_prd_features_equals_window_form_on_fixture(spark):
+def test_prd_features_equals_a_count_by_hand_on_fixture(spark):
     o = R._opp(spark, SF_MID)
-    assert fx.prd_features(o).exceptAll(fx.prd_features_window(o)).isEmpty()
-    assert fx.prd_features_window(o).exceptAll(fx.prd_features(o)).isEmpty()
+    assert rows(fx.prd_features(o)) == products_by_hand(o)
 
 
 def test_metamorphic_sums(spark):
@@ -206,7 +205,7 @@ def test_empty_inputs_and_null_groups(spark):
     assert rows(ch.merge_upsert(t, t.limit(0), "k")) == [(1, "a")]
     # a NULL product is its own (user, product) group, as in the window form
     d = opp(spark, [(1, 1, "prior", 1, 0, 0, None, None, 1, 0), (2, 1, "prior", 2, 0, 0, 5, None, 1, 1)])
-    assert rows(fx.prd_features(d)) == rows(fx.prd_features_window(d)) == [(None, 2, 1, 1, 1)]
+    assert rows(fx.prd_features(d)) == products_by_hand(d) == [(None, 2, 1, 1, 1)]
 
 
 def test_group_window_hot_path_on_timestamps(spark):

@@ -48,7 +48,6 @@ def test_pair_stats_one_exchange_and_partial_aggregate(raw):
 def test_prd_features_has_no_window(raw):
     opp = fx.order_products_prior(raw["orders"], fx.normalize_bool_flag(raw["order_products__prior"]))
     assert "Window" not in plan(fx.prd_features(opp))
-    assert "Window" in plan(fx.prd_features_window(opp))
 
 
 def test_features_scan_prunes_columns(raw):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartlake.operators import changes as ch
 from cartlake.operators.sequence import group_window
+from tests.conftest import products_by_hand, rows
 
 SCHEMA = "k int, a string, b int"
 keys = st.one_of(st.none(), st.integers(0, 12))
@@ -86,7 +87,7 @@ def test_pair_decomposition_matches_direct_forms(spark, rows_):
         F.max("order_number").alias("max_order_number"), F.mean("add_to_cart_order").alias("avg_add_to_cart_order"))
     assert same(fx.user_features_2(d), direct_uf2)
     assert same(fx.up_features(d), direct_up)
-    assert same(fx.prd_features(d), fx.prd_features_window(d))
+    assert rows(fx.prd_features(d)) == products_by_hand(d)
 
 
 @SLOW
