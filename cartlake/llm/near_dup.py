@@ -36,56 +36,92 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import materialize
+from .common import grouped, materialize
 
 K = 32
 LEADERS = 128
-MAX_WORDS = 500_000
+BLOCK_BYTES = 1 << 18
+PIECE_BYTES = 1 << 22
 _LOWER = bytes(range(256)).lower()
-
-
-class _Names(dict):
-    """64-bit names of words; emptied at a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MAX_WORDS:
-            self.clear()
-        name = self[word] = xxhash.xxh3_64_intdigest(word)
-        return name
-
-
-_NAMES = _Names()
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_U = np.uint64
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> np.uint64(32))
-
-
-def shingle_names(text: str | None, n: int) -> np.ndarray:
-    """Sorted distinct names of a text's word n-grams."""
-    words = (text or "").encode("utf-8").translate(_LOWER).split()
-    if not words:
-        return np.zeros(0, np.int64)
-    names = np.fromiter(map(_NAMES.__getitem__, words), np.uint64, len(words))
-    size = min(n, len(words))
-    h = np.full(len(words) - size + 1, size if len(words) < n else 0, np.uint64)
-    for i in range(size):
-        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + names[i:i + len(h)])
-    return np.unique(h.view(np.int64))
+    h = (h ^ (h >> _U(33))) * _U(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> _U(29))) * _U(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> _U(32))
+
+
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, name) of each word of a block of bytes."""
+    at = np.flatnonzero(~_SPACE[data])
+    opens = np.ones(len(at), bool)
+    opens[1:] = np.diff(at) > 1
+    first = np.flatnonzero(opens)
+    if not len(first):
+        return first, np.zeros(0, _U)
+    place = np.arange(1, len(at) + 1) - np.repeat(first, np.diff(np.append(first, len(at))))
+    letters = _mixed(data[at].astype(_U) + place.astype(_U) * _U(0x165667B19E3779F9))
+    return at[first], _mixed(np.add.reduceat(letters, first))
+
+
+def _pieces(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Parts of about PIECE_BYTES that end between words, so that a long text is named in bounded memory."""
+    lo = 0
+    while lo < len(data):
+        hi = min(lo + PIECE_BYTES, len(data))
+        while hi < len(data) and not _SPACE[data[hi]]:
+            hi += 1
+        yield lo, data[lo:hi]
+        lo = hi
+
+
+def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
+    """Sorted distinct names of each text's word n-grams."""
+    raw = [(t or "").encode("utf-8").translate(_LOWER) for t in texts]
+    data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+    parts = [(lo + start, name) for lo, piece in _pieces(data) for start, name in [_words(piece)]]
+    starts, names = (np.concatenate(x) for x in zip(*parts))
+    bounds = np.searchsorted(starts, np.cumsum([0, *(len(r) + 1 for r in raw)]))
+
+    def grams(words: np.ndarray, size: int, seed: int) -> np.ndarray:
+        h = np.full(max(len(words) - size + 1, 0), seed, _U)
+        for i in range(size):
+            h = _mixed(h * _U(0x9E3779B97F4A7C15) + words[i:i + len(h)])
+        return h
+
+    every = grams(names, n, 0)
+    out = []
+    for lo, hi in zip(bounds, bounds[1:]):
+        if hi - lo >= n:
+            own = every[lo:hi - n + 1]
+        else:
+            own = grams(names[lo:hi], hi - lo, hi - lo) if hi > lo else np.zeros(0, _U)
+        out.append(np.unique(own.view(np.int64)))
+    return out
+
+
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """(first columns, texts) of rows of about BLOCK_BYTES."""
+    for batch in batches:
+        rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        for some in grouped(rows, lambda r: len(r[1] or ""), BLOCK_BYTES):
+            yield [r[0] for r in some], [r[1] for r in some]
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, n: int, k: int) -> DataFrame:
     """(doc_id, n, sig, sketch): sig names the whole set."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_names(t.as_py(), n) for t in batch.column(1)]
+        for ids, texts in _blocks(batches):
+            sets = shingle_sets(texts, n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                [pa.array(ids, id_type), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                  pa.array([s[:k] for s in sets], pa.list_(pa.int64()))], names=["doc_id", "n", "sig", "sketch"])
+    id_type = to_arrow_type(docs.schema[id_col].dataType)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"doc_id {kind}, n long, sig binary, sketch array<long>")
@@ -94,15 +130,13 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, n: int, k: int) -> Da
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(sig, names) of the classes in wanted (doc_id, sig): the texts are read again."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                sets = [shingle_names(t.as_py(), n) for t in part.column(1)]
-                sigs = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                fits = [i for i, (a, b) in enumerate(zip(sigs, part.column(0).to_pylist())) if a == b]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([sigs[i] for i in fits], pa.binary()),
-                     pa.array([sets[i] for i in fits], pa.list_(pa.int64()))], names=["sig", "names"])
+        for wanted_sigs, texts in _blocks(batches):
+            sets = shingle_sets(texts, n)
+            sigs = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            fits = [i for i, (a, b) in enumerate(zip(sigs, wanted_sigs)) if a == b]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([sigs[i] for i in fits], pa.binary()),
+                 pa.array([sets[i] for i in fits], pa.list_(pa.int64()))], names=["sig", "names"])
     joined = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).join(
         wanted, F.col("__id").eqNullSafe(F.col("doc_id")))
     return joined.select("sig", "__text").mapInArrow(run, "sig binary, names array<long>").dropDuplicates(["sig"])
