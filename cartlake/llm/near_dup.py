@@ -212,6 +212,23 @@ def _pairs(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _merged(links: DataFrame, comp: DataFrame | None) -> DataFrame | None:
+    """The components ``comp`` (node, comp) after ``links`` are added: only links between two
+    components, as links of their labels, are walked."""
+    if comp is None:
+        return None if links.isEmpty() else components(links, "dup")
+    for side in ("a", "b"):
+        label = comp.select(F.col("node").alias(side), F.col("comp").alias("label"))
+        links = links.join(label, side, "left").withColumn(side, F.coalesce("label", side)).drop("label")
+    between = materialize(links.where("a != b").distinct(), "dup-between")
+    if between.isEmpty():
+        return comp
+    joined = components(between, "dup")
+    moved = (comp.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+             .select("node", F.coalesce("to", "comp").alias("comp")))
+    return materialize(moved.unionByName(joined.join(comp.select("node"), "node", "left_anti")), "dup-comp")
+
+
 def class_components(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, n: int, pct: int,
                      k: int) -> DataFrame | None:
     """(node, comp) of the classes (by sig) that have links; None without any."""
@@ -224,12 +241,10 @@ def class_components(docs: DataFrame, classes: DataFrame, id_col: str, text_col:
     leaders = lists.groupBy("value").agg(F.min_by("sig", F.struct("n", "sig")).alias("leader"))
     pairs = (lists.join(leaders, "value").where(F.col("sig") != F.col("leader"))
              .select(*_pairs(F.col("sig"), F.col("leader"))).distinct())
-    links = done = plan = None
+    comp = done = plan = None
     turn = 0
     while True:
-        found = _links(pairs, small, sets, pct, k, "dup")
-        links = found if links is None else links.unionByName(found)
-        comp = None if links.isEmpty() else components(links, "dup")
+        comp = _merged(_links(pairs, small, sets, pct, k, "dup"), comp)
         done = pairs if done is None else done.unionByName(pairs)
         if plan is None:
             # in each list still open, who is not in its largest component leads in some turn
