@@ -197,3 +197,24 @@ def test_licences(spark, texts):
                                   (52, "you need a driving licence here", "s", 0.0)])
     got = {r.doc_id: r.families for r in licences.scan(docs).collect()}
     assert got[50] == "MIT" and got[51] == "Apache-2.0" and got[52] == "" and got[900] == ""
+
+
+def test_shingle_names_of_blocks_equal_brute_force(monkeypatch):
+    from cartlake.llm import near_dup
+    texts = [None, "", " \t\r\n", "a", "a b", "A  B", "b a", "a b c", "a b c a b c", "x y éÉ z w",
+             "w" * 50 + " tail of it", "a b c", " ".join(str(i % 7) for i in range(500))]
+
+    def brute(text):
+        words = (text or "").encode().translate(bytes(range(256)).lower()).split()
+        if not words:
+            return set()
+        size = min(3, len(words))
+        return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)}
+
+    for piece in (1 << 22, 5):                     # pieces end between words, however small
+        monkeypatch.setattr(near_dup, "PIECE_BYTES", piece)
+        got = [set(s.tolist()) for s in near_dup.shingle_sets(texts, 3)]
+        want = [brute(t) for t in texts]
+        assert [len(s) for s in got] == [len(s) for s in want]
+        assert all((len(a & b) == len(c & d)) for a, c in zip(got, want) for b, d in zip(got, want))
+    assert [len(s) for s in near_dup.shingle_sets([""], 3)] == [0]
