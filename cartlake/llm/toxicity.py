@@ -14,9 +14,11 @@ much the text's character 5-grams are commoner in toxic texts); sentences of cle
 all count as clean, represented by their worst strings.
 
 Defined results: a NULL or empty text, or one without a string of three characters, gets
-the score of the lowest margin; long texts are read whole; equal texts score alike; with
-no labelled row of either label there is nothing to learn and every score is 0; labels,
-language, source and id are never inputs of a score; other columns are ignored.
+the score of the lowest margin; long texts are read whole, a string longer than WINDOW
+characters in windows that overlap by OVERLAP, so a passage of up to OVERLAP characters
+lies whole in one of them wherever it stands; equal texts score alike; with no labelled
+row of either label there is nothing to learn and every score is 0; labels, language,
+source and id are never inputs of a score; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,24 +38,32 @@ LANDMARKS = 192
 LOWEST = -3.0
 LIMIT = 0.3
 MAX_STRINGS = 400_000
+WINDOW, OVERLAP = 64, 32
 STEPS = tuple((a, b) for b in range(2, SPAN) for a in range(1, b))
 SPACED = re.compile(r"(?<!\w)(?:\w[^\w\n]){2,}\w(?!\w)")
 MARKS = ".,;:!?\"'()[]{}<>*_-~`"
 
 
+def pieces(string: str) -> list[str]:
+    """A string as it is, or the overlapping windows of a long one."""
+    if len(string) <= WINDOW:
+        return [string]
+    return [string[i:i + WINDOW] for i in range(0, len(string) - OVERLAP, WINDOW - OVERLAP)]
+
+
 def strings(text: str) -> set[str]:
     """The strings of a text that the kernel judges."""
     low = text.lower()
     out = {w.strip(MARKS) for w in low.split()}
     for run in SPACED.findall(low):
         out.add(re.sub(r"\W", "", run))
-    return {w for w in out if len(w) >= 3}
+    return {p for w in out if len(w) >= 3 for p in pieces(w)}
 
 
 def _triples(items: list[str]):
     """Yields (feature, weight, valid) of every character of the items' joined codes for
     each spread, after the starts of the items."""
-    marked = ["^" + w[:256] for w in items]
+    marked = ["^" + w for w in items]
     lengths = np.fromiter(map(len, marked), np.int64, len(marked))
     codes = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
     starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))

@@ -180,6 +180,23 @@ def test_toxicity_learns_gapped_insults(spark):
     assert toxicity.fit(rows, [0] * 80) is None
 
 
+def test_toxicity_reads_long_strings_whole(spark):
+    rng = random.Random(8)
+    calm = ["the", "cat", "went", "over", "under", "with", "house", "table", "river"]
+    rows = [" ".join(rng.choice(calm) for _ in range(20)) for _ in range(80)]
+    bad = [r + " you " + rng.choice(["blockhead", "numbskull"]) for r in rows[:40]]
+    model = toxicity.fit(rows + bad, [0] * 80 + [1] * 40)
+    plain = "".join(rng.choice(calm) for _ in range(300))
+    docs = spark.createDataFrame([(0, plain)] + [(at, plain[:at] + "blockhead" + plain[at:]) for at in (40, 251, 300, 1000)],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert len(plain) > 1000 and min(got[at] for at in (40, 251, 300, 1000)) > got[0]
+    for n in (63, 64, 65, 96, 97, 1000):
+        word = "".join(chr(0x4E00 + i) for i in range(n))
+        found = toxicity.strings(word)
+        assert all(any(word[i:i + toxicity.OVERLAP] in w for w in found) for i in range(n - toxicity.OVERLAP + 1))
+
+
 def test_url_verdicts(spark):
     rows = [(1, "http://A.Example.NET/en/1"), (2, "https://x.net/a"), (3, None), (4, "no url"), (5, "http://h.example.com/de/4?x#y"),
             (6, "http://h.example.com/en/4"), (7, "ftp://my.org/fr/"), (8, "http://q.com"), (2, "https://x.net/a")]
