@@ -2,18 +2,25 @@
 
 The kernel compares two strings by the character triples they share as subsequences:
 a triple spread over s characters counts DECAY ** (s - 3), up to SPAN characters, so
-inserted characters and gaps ("id-iot", "i d i o t") weaken a match and do not break it.
-A sentence is represented by its strings: its words, and runs of single letters joined
-to one string; its margin is that of its most toxic string, a text's that of its most
-toxic sentence, and a logistic curve turns the margin into a score.
+inserted characters and gaps weaken a match and do not break it; of inserted letters that
+is up to two in every gap, or four in one.
+A text is represented by its strings: its words, runs of single letters joined to one
+string, and windows over all its letters and digits with white space and punctuation left
+out ("id iot", "i - d - i - o - t", "i--d--i--o--t").  A window is a run of tokens of at
+most JOINED characters from the start of one to the end of another; in tokens longer than
+that, and in scripts written without spaces, one starts at every character, so there
+insults of two characters count too.  A text's margin is that of its most toxic string,
+and a logistic curve turns the margin into a score.
 
 Training uses at most ``max_per_class`` labelled rows of either label, the first in the
 order of a hash of the text.  Sentences of toxic texts are not labelled one by one, so the
 string that stands for a toxic text is chosen again after each fit (the first time by how
 much the text's character 5-grams are commoner in toxic texts); sentences of clean texts
-all count as clean, represented by their worst strings.
+all count as clean, represented by their worst strings.  Each fit adds the worst window
+of every text to its strings.  There are far more windows than words, so their margins are
+lowered by as much as the highest ones of clean texts exceed those of words.
 
-Defined results: a NULL or empty text, or one without a string of three characters, gets
+Defined results: a NULL or empty text, or one without a window of two characters, gets
 the score of the lowest margin; long texts are read whole, a string longer than WINDOW
 characters in windows that overlap by OVERLAP, so a passage of up to OVERLAP characters
 lies whole in one of them wherever it stands; equal texts score alike; with no labelled
@@ -32,13 +39,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import grouped
+
 MAX_PER_CLASS = 1200
-SPAN, DECAY, BITS = 6, 0.85, 18
+SPAN, DECAY, BITS = 7, 0.85, 18
 LANDMARKS = 192
 LOWEST = -3.0
 LIMIT = 0.3
+CLEAN = 0.998
 MAX_STRINGS = 400_000
 WINDOW, OVERLAP = 64, 32
+JOINED, BLOCK = 20, 1 << 17
+#: lengths of the windows inside long tokens, and more in scripts without spaces (from code point UNSPACED on)
+INNER, SHORT, UNSPACED = (4, 6, 9, 14, JOINED), (2, 3), 0x2E80
+#: all but white space, punctuation and invisible marks
+TOKEN = re.compile(r"[^\s\x00-/:-@\[-`{-\xbf\u2000-\u206f\u3000-\u303f\ufe00-\ufe0f\ufeff\uff01-\uff0f\uff1a-\uff20]+")
 STEPS = tuple((a, b) for b in range(2, SPAN) for a in range(1, b))
 SPACED = re.compile(r"(?<!\w)(?:\w[^\w\n]){2,}\w(?!\w)")
 MARKS = ".,;:!?\"'()[]{}<>*_-~`"
@@ -57,7 +72,20 @@ def strings(text: str) -> set[str]:
     out = {w.strip(MARKS) for w in low.split()}
     for run in SPACED.findall(low):
         out.add(re.sub(r"\W", "", run))
-    return {p for w in out if len(w) >= 3 for p in pieces(w)}
+    return {p for w in out if len(w) >= 3 or len(w) == 2 and ord(w[0]) >= UNSPACED for p in pieces(w)}
+
+
+def _parts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return codes * np.uint64(0x9E3779B97F4A7C15), codes * np.uint64(0xC2B2AE3D27D4EB4F), codes * np.uint64(0x165667B19E3779F9)
+
+
+def _feature(x: np.ndarray, y: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """The names of triples, from the ``_parts`` of their characters."""
+    h = x + y
+    h += z
+    h >>= np.uint64(29)
+    h &= np.uint64((1 << BITS) - 1)
+    return h.view(np.int64)
 
 
 def _triples(items: list[str]):
@@ -69,14 +97,12 @@ def _triples(items: list[str]):
     starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     ends = np.repeat(starts + lengths, lengths)
     at = np.arange(len(codes))
-    mask = np.uint64((1 << BITS) - 1)
+    x, y, z = _parts(codes)
     for a, b in STEPS:
         n = len(codes) - b
         if n <= 0:
             continue
-        h = (codes[:n] * np.uint64(0x9E3779B97F4A7C15) + codes[a:a + n] * np.uint64(0xC2B2AE3D27D4EB4F)
-             + codes[b:b + n] * np.uint64(0x165667B19E3779F9))
-        yield starts, ((h >> np.uint64(29)) & mask).astype(np.int64), DECAY ** (b - 2), at[:n] + b < ends[:n]
+        yield starts, _feature(x[:n], y[a:a + n], z[b:b + n]), DECAY ** (b - 2), at[:n] + b < ends[:n]
 
 
 def margins(items: list[str], weights: np.ndarray) -> np.ndarray:
@@ -94,6 +120,89 @@ def margins(items: list[str], weights: np.ndarray) -> np.ndarray:
     return np.add.reduceat(total, starts) / np.sqrt(np.maximum(np.add.reduceat(norm, starts), 1e-9))
 
 
+def _runs(text_ends: np.ndarray, begins: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the windows of joined tokens that lie between ``begins`` and ``ends``;
+    ``text_ends`` holds the end of each token's text."""
+    lows, highs = [], []
+    at, k = np.arange(len(begins)), 0
+    while len(at):
+        at = at[at + k < len(begins)]
+        at = at[(ends[at + k] <= text_ends[at]) & (ends[at + k] - begins[at] <= JOINED)]
+        lows.append(begins[at])
+        highs.append(ends[at + k])
+        k += 1
+    long = np.repeat(ends - begins > JOINED, ends - begins)
+    limit = np.repeat(text_ends, ends - begins)
+    unspaced = codes >= UNSPACED
+    for sizes, where in ((INNER, np.flatnonzero(long | unspaced)), (SHORT, np.flatnonzero(unspaced))):
+        for size in sizes:
+            lows.append(where)
+            highs.append(np.minimum(where + size, limit[where]))
+    return np.concatenate(lows), np.concatenate(highs)
+
+
+def _worst(texts: list[str], weights: np.ndarray) -> list[tuple[float, str]]:
+    """(margin, window) of each text's window of the largest margin: what ``margins`` gives
+    for the window as a string, from sums over the triples before each place."""
+    none = (-np.inf, "")
+    tokens = [TOKEN.findall(t.lower()) for t in texts]
+    sizes = np.fromiter((len(w) for t in tokens for w in t), np.int64)
+    if not len(sizes):
+        return [none] * len(texts)
+    joined = "".join(w for t in tokens for w in t)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in tokens])
+    ends = np.cumsum(sizes)
+    last = np.searchsorted(owner, owner, "right") - 1
+    low, high = _runs(ends[last], ends - sizes, ends, codes)
+    fits = high - low >= 2
+    low, high = low[fits], high[fits]
+    if not len(low):
+        return [none] * len(texts)
+    length = high - low
+    n = len(codes)
+    x, y, z = _parts(np.concatenate((codes, np.zeros(SPAN, np.uint64))))
+    mark = _parts(np.array([ord("^")], np.uint64))[0]
+    start = np.zeros(n, bool)
+    start[low] = True
+    start = np.flatnonzero(start)
+    place = np.zeros(n, np.int64)
+    place[start] = np.arange(len(start))
+    first = np.zeros((len(start), SPAN))                        # triples with the mark of the start
+    norm = np.zeros(JOINED + 1)
+    total = np.zeros(len(low))
+    for b in range(2, SPAN):
+        scale, inner, opening = DECAY ** (b - 2), np.zeros(n + 1), np.zeros(len(start))
+        for a in range(1, b):
+            if n > b:
+                inner[1:n - b + 1] += weights[_feature(x[:n - b], y[a:n - b + a], z[b:n])]
+            opening += weights[_feature(mark, y[start + a - 1], z[start + b - 1])]
+        first[:, b] = opening * scale
+        inner = np.cumsum(inner) * scale
+        total += inner[np.maximum(high - b, low)] - inner[low]
+        norm += (b - 1) * np.maximum(0, np.arange(JOINED + 1) + 1 - b) * scale ** 2
+    total += np.cumsum(first, axis=1)[place[low], np.minimum(length, SPAN - 1)]
+    margin = total / np.sqrt(np.maximum(norm[length], 1e-9))
+    text = np.repeat(owner, sizes)[low]
+    best = np.full(len(texts), -np.inf)
+    np.maximum.at(best, text, margin)
+    out = [none] * len(texts)
+    for i in np.flatnonzero(margin == best[text]).tolist():
+        out[text[i]] = (float(margin[i]), joined[low[i]:high[i]])
+    return out
+
+
+def worst_windows(texts: list[str], weights: np.ndarray) -> list[tuple[float, str]]:
+    """``_worst`` in blocks of about BLOCK characters; a longer text is read in parts that
+    overlap by as much as holds any window whose separators are not extremely long."""
+    parts = [(i, t[at:at + BLOCK]) for i, t in enumerate(texts) for at in range(0, max(1, len(t) - BLOCK // 8), BLOCK * 7 // 8)]
+    out = [(-np.inf, "")] * len(texts)
+    for some in grouped(parts, lambda x: len(x[1]), BLOCK):
+        for (i, _), got in zip(some, _worst([t for _, t in some], weights)):
+            out[i] = max(out[i], got)
+    return out
+
+
 def _matrix(items: list[str], columns: dict[int, int]) -> np.ndarray:
     """Normalised triple counts of the items, on the columns the landmarks have."""
     lookup = np.full(1 << BITS, -1, np.int64)
@@ -124,10 +233,11 @@ def _svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 300) ->
 
 
 class Model:
-    """Weights of triples, an offset and the curve from margins to scores."""
+    """Weights of triples, offsets of words and windows and the curve from margins to scores."""
 
     def __init__(self, weights: np.ndarray, offset: float, slope: float, shift: float):
         self.weights, self.offset, self.slope, self.shift = weights, offset, slope, shift
+        self.window_offset = offset
 
     def scores(self, items: list[str]) -> np.ndarray:
         return margins(items, self.weights) + self.offset
@@ -136,12 +246,13 @@ class Model:
         return float(1 / (1 + np.exp(-(self.slope * margin + self.shift))))
 
 
-def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds: int = 3) -> Model | None:
+def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds: int = 4) -> Model | None:
     """A model from labelled texts; None if one of the labels is missing."""
     y = np.array(labels)
     if not (y == 1).any() or not (y == 0).any():
         return None
     sets = [sorted(strings(t)) for t in texts]
+    n_words = [len(s) for s in sets]
     # first choice of toxic strings: 5-grams that are commoner in toxic texts
     seen = [Counter(), Counter()]
     grams = [{("^" + w)[i:i + 5] for w in s for i in range(max(1, len(w) - 3))} for s in sets]
@@ -172,7 +283,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
     phi = _matrix(marks, columns)                               # landmarks x triples
     value, vector = np.linalg.eigh((phi @ phi.T).astype(float) + 1e-3 * np.eye(len(marks)))
     root = vector @ np.diag(np.maximum(value, 1e-6) ** -0.5) @ vector.T      # kernel ** -1/2
-    model = None
+    model, windows = None, []
     for _ in range(rounds):
         positive, negative = [], Counter()
         best: list[float] = []
@@ -199,9 +310,19 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
         model = Model(weights, b, 1.0, 0.0)
         names = list(known)
         known = dict(zip(names, model.scores(names).tolist()))
+        windows = worst_windows(texts, weights)
+        for (margin, w), s, label in zip(windows, sets, y):
+            if w and w not in s:
+                s.append(w)
+                known[w] = margin + b
+                (toxic_use if label else clean_use)[w] += 1
     if model is None:
         return None
-    top = np.array([max((known[w] for w in s), default=LOWEST) for s in sets])
+    top = np.array([max((known[w] for w in s[:n]), default=LOWEST) for s, n in zip(sets, n_words)])
+    joined = np.array([max(margin + model.offset, LOWEST) for margin, _ in windows])
+    excess = np.quantile(joined[y == 0], CLEAN) - np.quantile(top[y == 0], CLEAN)
+    model.window_offset -= max(0.0, float(excess))
+    top = np.maximum(top, joined + model.window_offset - model.offset)
     slope, shift = 1.0, 0.0
     for _ in range(2000):                                       # logistic curve
         p = 1 / (1 + np.exp(-(slope * top + shift)))
@@ -236,7 +357,8 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
         for batch in batches:
             values = np.zeros(batch.num_rows)
             for lo in range(0, batch.num_rows, 256) if model else ():
-                sets = [strings(t.as_py() or "") for t in batch.column(1)[lo:lo + 256]]
+                texts = [t.as_py() or "" for t in batch.column(1)[lo:lo + 256]]
+                sets = [strings(t) for t in texts]
                 new = list({w for s in sets for w in s if w not in margin_of})
                 if len(margin_of) > MAX_STRINGS:
                     margin_of.clear()
@@ -244,8 +366,10 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                 for i in range(0, len(new), 50_000):
                     part = new[i:i + 50_000]
                     margin_of.update(zip(part, model.scores(part).tolist()))
-                for i, s in enumerate(sets):
-                    values[lo + i] = model.probability(max(map(margin_of.__getitem__, s), default=LOWEST))
+                for i, (s, (margin, _)) in enumerate(zip(sets, worst_windows(texts, model.weights))):
+                    top = max(map(margin_of.__getitem__, s), default=-np.inf)
+                    top = max(top, margin + model.window_offset)
+                    values[lo + i] = model.probability(LOWEST if top == -np.inf else top)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values), *batch.columns[2:]],
                                              names=["doc_id", "score", *(f"k{i}" for i in range(len(keep)))])
 

@@ -197,6 +197,24 @@ def test_toxicity_reads_long_strings_whole(spark):
         assert all(any(word[i:i + toxicity.OVERLAP] in w for w in found) for i in range(n - toxicity.OVERLAP + 1))
 
 
+def test_toxicity_windows_join_what_separators_part(spark):
+    rng = random.Random(6)
+    calm = ["the", "cat", "went", "over", "under", "with", "house", "table", "river"]
+    rows = [" ".join(rng.choice(calm) for _ in range(20)) for _ in range(80)]
+    bad = [r + " you " + rng.choice(["blockhead", "numbskull", "笨蛋"]) for r in rows[:60]]
+    model = toxicity.fit(rows + bad, [0] * 80 + [1] * 60)
+    shapes = ["b l o c k h e a d", "b - l - o - c - k - h - e - a - d", "block head", "b--l--o--c--k--h--e--a--d",
+              "b.\nl.\no.\nc.\nk.\nh.\ne.\na.\nd", "thecat" * 60 + "blockhead" + "overthehouse" * 9, "笨蛋", "你好笨蛋你们", "笨 蛋"]
+    docs = spark.createDataFrame([(i, "the cat went " + x + " over") for i, x in enumerate(shapes + ["t a b l e", "你好"])],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert all(got[i] >= toxicity.LIMIT for i in range(len(shapes))), got
+    assert got[len(shapes)] < toxicity.LIMIT and got[len(shapes) + 1] < toxicity.LIMIT
+    for t in [*rows[:5], *bad, "a b c 笨蛋你好 " + "z" * 70]:      # a window weighs what it weighs as a string
+        margin, window = toxicity.worst_windows([t], model.weights)[0]
+        assert abs(margin - toxicity.margins([window], model.weights)[0]) < 1e-9
+
+
 def test_url_verdicts(spark):
     rows = [(1, "http://A.Example.NET/en/1"), (2, "https://x.net/a"), (3, None), (4, "no url"), (5, "http://h.example.com/de/4?x#y"),
             (6, "http://h.example.com/en/4"), (7, "ftp://my.org/fr/"), (8, "http://q.com"), (2, "https://x.net/a")]
