@@ -6,11 +6,13 @@ kind's check (parts of an ip, Luhn, number of digits); a match that fails is dro
 Beyond them, high-recall generators propose spans that may overlap one another and the
 base spans: bracketed and spaced addresses, numbers of 7 to 19 digits in any grouping,
 dotted and colon-separated addresses.  Gradient-boosted trees score each candidate by its
-format and the text around it.  They learn from the corpus itself, on at most
-``max_train`` candidates in the order of a hash: a candidate that covers a base span is
-personal, one that looks alike and fails the base check is not.  On a second, disjoint
-sample a threshold is set for each kind, the lowest at which precision reaches
-``precision``; a kind that never reaches it adds nothing.  Of the chosen candidates that
+format and the text around it.  They learn from the corpus itself: a candidate that covers
+a base span is personal, one that looks alike and fails the base check is not.  Copies of a
+candidate in the same context are one; a hash deals them to two halves.  The trees are fit
+on about ``max_train`` of the first half, as many of each kind and label as there are, up to
+an equal share.  On all of the second half, copies counted, a threshold is set for each
+kind, the lowest at which precision reaches ``precision``; a kind that never reaches it
+adds nothing.  Of the chosen candidates that
 overlap no base span, the best one of each overlapping cluster is added.
 
 Patterns use possessive and anchored forms of the plain ones: they match the same spans
@@ -181,28 +183,36 @@ def _against_base(rows: DataFrame) -> DataFrame:
             .drop("is_base", "last_end", "next_start", "same_end"))
 
 
-def _chosen(rows: DataFrame, max_train: int, precision: float) -> DataFrame | None:
-    """(uid, added: array<struct<kind, start, end>>) from rows (uid, base, candidates); None if nothing can be learnt."""
-    flat = _against_base(rows).withColumn("draw", F.xxhash64("hit", "prev", "next", "start"))
-    flat = materialize(_features(flat), "pii-candidates")
+def _labelled(flat: DataFrame) -> DataFrame:
+    """(kind, hit, prev, next, label, draw, n): the distinct labelled candidates, and how many there are of each."""
     # a covering candidate is personal; one that overlaps a base span otherwise says nothing
-    labelled = (flat.where(F.col("covers") | ~F.col("taken"))
-                .select("kind", "draw", "features", F.col("covers").cast("double").alias("label")))
+    some = flat.where(F.col("covers") | ~F.col("taken")).withColumn("label", F.col("covers").cast("double"))
+    some = some.withColumn("draw", F.xxhash64("kind", "hit", "prev", "next"))
+    return some.groupBy("kind", "hit", "prev", "next", "label", "draw").agg(F.count("*").alias("n"))
 
-    def sample(fold: int) -> DataFrame:
-        rows = labelled.where(F.col("draw").bitwiseAND(1) == fold)
-        return materialize(rows.orderBy("draw", "kind", "label").limit(max_train), f"pii-fold{fold}")
 
-    train, tune = sample(0), sample(1)
-    if train.agg(F.countDistinct("label")).first()[0] < 2:
+def _chosen(rows: DataFrame, max_train: int, precision: float) -> DataFrame | None:
+    """(uid, added: array<struct<kind, start, end>>) from rows (uid, base, candidates); None if nothing can be learnt."""
+    flat = materialize(_against_base(rows), "pii-candidates")
+    known = materialize(_labelled(flat), "pii-labelled")
+    train, tune = known.where("draw & 1 = 0"), known.where("draw & 1 = 1")
+    sizes = train.groupBy("kind", "label").agg(F.count("*").alias("n")).collect()
+    if len({r["label"] for r in sizes}) < 2:
+        return None
+    share = max_train / (2 * len(KINDS))
+    rate = F.coalesce(*(F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]), F.lit(share / r["n"]))
+                        for r in sizes))
+    some = train.where(F.pmod(F.shiftright("draw", 1), F.lit(1 << 20)) < rate * (1 << 20))
+    some = materialize(_features(some).select("features", "label"), "pii-train")
+    if some.agg(F.countDistinct("label")).first()[0] < 2:
         return None
-    model = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=7, maxBins=32).fit(train)
+    model = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=7, maxBins=32).fit(some)
 
     def score(df: DataFrame) -> DataFrame:
-        return model.transform(df).withColumn("p", F.element_at(vector_to_array("probability"), 2))
+        return model.transform(_features(df)).withColumn("p", F.element_at(vector_to_array("probability"), 2))
 
     bins = (score(tune).groupBy("kind", F.floor(F.col("p") * 100).alias("bin"))
-            .agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect())
+            .agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect())
     limits = {}
     for kind in range(len(KINDS)):
         good = n = 0.0

@@ -136,6 +136,20 @@ def test_base_spans_equal_plain_patterns(spark):
     assert pii.find(empty(spark)).count() == 0
 
 
+def number(rng, n=16):
+    return "".join(rng.choice("0123456789") for _ in range(n))
+
+
+def test_personal_data_limits_see_all_candidates(spark):
+    """Few addresses among many numbers and many copies still get a limit."""
+    rng = random.Random(5)
+    texts = [f"see {number(rng)} and {number(rng, 8)} here" for _ in range(1500)] + ["copy 5555 1234 x"] * 2000
+    texts += [f"mail u{i}@host{i % 7}.org today" for i in range(120)] + ["mail joe @ example.org today"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.s for r in pii.find(docs, max_train=200).select("doc_id", pii.as_text(pii.F.col("spans")).alias("s")).collect()}
+    assert got[len(texts) - 1] == "email:5:22"
+
+
 def test_mix_meets_targets(spark, texts):
     docs = docs_of(spark, texts)
     rows = mixing.mix(docs).collect()
