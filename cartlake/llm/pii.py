@@ -7,7 +7,11 @@ Beyond them, high-recall generators propose spans that may overlap one another a
 base spans: bracketed and spaced addresses, numbers of 7 to 19 digits in any grouping,
 dotted and colon-separated addresses.  Gradient-boosted trees score each candidate by its
 format and the text around it.  They learn from the corpus itself: a candidate that covers
-a base span is personal, one that looks alike and fails the base check is not.  Copies of a
+a base span is personal, and so is the same one rewritten into the formats that only the
+generators know (bracketed and spaced address, number without plus or with other marks,
+colon-separated address of the same context); one that overlaps no base span and fails a
+real check (top-level name, parts of an ip, Luhn, number of digits, or a word such as
+"order" before it) is not.  Other candidates have no label.  Copies of a
 candidate in the same context are one; a hash deals them to two halves.  The trees are fit
 on about ``max_train`` of the first half, as many of each kind and label as there are, up to
 an equal share.  On all of the second half, copies counted, a threshold is set for each
@@ -183,12 +187,41 @@ def _against_base(rows: DataFrame) -> DataFrame:
             .drop("is_base", "last_end", "next_start", "same_end"))
 
 
+def _fails(kind: Column, hit: Column, prev: Column) -> Column:
+    """Whether a candidate is known not to be personal."""
+    checks = [hit.rlike(r"(?i)[a-z]{2,}$"), hit.contains(":") | _passes("ip", hit), _passes("card", hit), _passes("phone", hit)]
+    fails = F.coalesce(*(F.when(kind == k, ~ok) for k, ok in enumerate(checks)))
+    return fails | ((kind != KINDS.index("email")) & prev.rlike(NOT_CUES) & ~prev.rlike(CUES))
+
+
+def _rewritten(kind: Column, hit: Column) -> Column:
+    """array<string>: a personal hit as it is and in the formats that only the generators know."""
+    def swap(pattern: str, new: str, of: Column = hit) -> Column:
+        return F.regexp_replace(of, pattern, new)
+    number, at = swap(r"^[+(]+", ""), r"\x20?@\x20?"
+    forms = {
+        "email": [swap(at, " @ "), swap(at, " (at) "), swap(at, "[at]")]
+                 + [F.concat(swap("@.*", ""), F.lit(a), swap(r"\.", d, swap("^[^@]*@", ""))) for a, d in ((" (at) ", " (dot) "), (" [at] ", "[dot]"))],
+        "ip": [swap("(.{4})(?=.)", "$1:", F.md5(hit)), swap("(.{4})(?=.)", "$1:", F.upper(F.md5(hit)))],
+        "card": [swap(r"[\x20-]", "."), swap(r"[\x20-]", "/"), swap(r"[\x20-]", "  ")],
+        "phone": [number, swap(r"[\x20()-]+", ".", number), swap(r"[\x20().]+", "-", number), swap(r"[().-]+", " ", number)],
+    }
+    own = F.coalesce(*(F.when(kind == k, F.array(*forms[name])) for k, name in enumerate(KINDS)))
+    # a form counts if its generator proposes it whole
+    whole = F.coalesce(*(F.when(kind == k, F.filter(own, lambda x, p=LOOSE[name]: x.rlike(f"^(?:{p})$")))
+                         for k, name in enumerate(KINDS)))
+    return F.array_distinct(F.concat(F.array(hit), whole))
+
+
 def _labelled(flat: DataFrame) -> DataFrame:
-    """(kind, hit, prev, next, label, draw, n): the distinct labelled candidates, and how many there are of each."""
-    # a covering candidate is personal; one that overlaps a base span otherwise says nothing
-    some = flat.where(F.col("covers") | ~F.col("taken")).withColumn("label", F.col("covers").cast("double"))
+    """(kind, hit, prev, next, label, draw, n): the distinct labelled candidates, and how many
+    there are of each.  The rewritten forms of a candidate have its draw, so they stay in its half."""
+    fails = _fails(F.col("kind"), F.col("hit"), F.col("prev"))
+    some = flat.where(F.col("covers") | (~F.col("taken") & fails)).withColumn("label", F.col("covers").cast("double"))
     some = some.withColumn("draw", F.xxhash64("kind", "hit", "prev", "next"))
-    return some.groupBy("kind", "hit", "prev", "next", "label", "draw").agg(F.count("*").alias("n"))
+    some = some.groupBy("kind", "hit", "prev", "next", "label", "draw").agg(F.count("*").alias("n"))
+    forms = F.when(F.col("label") == 1, _rewritten(F.col("kind"), F.col("hit"))).otherwise(F.array("hit"))
+    return some.withColumn("hit", F.explode(forms))
 
 
 def _chosen(rows: DataFrame, max_train: int, precision: float) -> DataFrame | None:

@@ -150,6 +150,24 @@ def test_personal_data_limits_see_all_candidates(spark):
     assert got[len(texts) - 1] == "email:5:22"
 
 
+def test_personal_data_in_loose_formats_is_found(spark):
+    rng = random.Random(7)
+    texts = []
+    for i in range(160):
+        texts += [f"write to u{i}.x@host{i % 9}.org now", f"host {rng.randint(1, 254)}.{rng.randint(0, 255)}.0.{i} is up",
+                  f"call +1 ({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)} soon",
+                  f"order {number(rng, 11)} came", f"sum {number(rng, 8)} and {number(rng, 18)} here",
+                  f"v {rng.randint(256, 999)}.1.2.{i} old", f"paid {i} @ 3.{10 + i} each"]
+    loose = ["joe (at) example (dot) org", "joe @ example.org", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "1 (456) 555-2186"]
+    bad = ["order 45655521861 x", "300.1.2.3 x", "7 @ 3.50 x"]
+    docs = spark.createDataFrame(list(enumerate(texts + [f"call or write {x} today" for x in loose] + bad * 12)), "doc_id long, text string")
+    got = {r.doc_id: r.s for r in pii.find(docs).select("doc_id", pii.as_text(pii.F.col("spans")).alias("s")).collect()}
+    kinds = ["email", "email", "ip", "phone"]
+    n = len(texts)
+    assert [got[n + i] for i in range(4)] == [f"{k}:14:{14 + len(x)}" for k, x in zip(kinds, loose)]
+    assert got[n + 4] == "" and got[n + 5] == ""
+
+
 def test_mix_meets_targets(spark, texts):
     docs = docs_of(spark, texts)
     rows = mixing.mix(docs).collect()
