@@ -206,11 +206,12 @@ def _rewritten(kind: Column, hit: Column) -> Column:
         "card": [swap(r"[\x20-]", "."), swap(r"[\x20-]", "/"), swap(r"[\x20-]", "  ")],
         "phone": [number, swap(r"[\x20()-]+", ".", number), swap(r"[\x20().]+", "-", number), swap(r"[().-]+", " ", number)],
     }
-    own = F.coalesce(*(F.when(kind == k, F.array(*forms[name])) for k, name in enumerate(KINDS)))
-    # a form counts if its generator proposes it whole
-    whole = F.coalesce(*(F.when(kind == k, F.filter(own, lambda x, p=LOOSE[name]: x.rlike(f"^(?:{p})$")))
-                         for k, name in enumerate(KINDS)))
-    return F.array_distinct(F.concat(F.array(hit), whole))
+
+    def whole(name: str) -> Column:
+        """The forms of a kind that its generator proposes whole."""
+        return F.filter(F.array(*forms[name]), lambda x: x.rlike(f"^(?:{LOOSE[name]})$"))
+    own = F.coalesce(*(F.when(kind == k, whole(name)) for k, name in enumerate(KINDS)))
+    return F.array_distinct(F.concat(F.array(hit), own))
 
 
 def _labelled(flat: DataFrame) -> DataFrame:

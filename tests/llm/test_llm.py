@@ -168,6 +168,15 @@ def test_personal_data_in_loose_formats_is_found(spark):
     assert got[n + 4] == "" and got[n + 5] == ""
 
 
+def test_personal_data_is_rewritten_into_loose_formats(spark):
+    hits = [(0, "joe@x.example.org"), (1, "10.2.3.4"), (2, "4111 1111-1111 1111"), (3, "+1 (456) 555-2186")]
+    df = spark.createDataFrame(hits, "kind int, hit string").select("kind", pii._rewritten(pii.F.col("kind"), pii.F.col("hit")).alias("x"))
+    got = {r.kind: r.x for r in df.collect()}
+    assert {"joe@x.example.org", "joe @ x.example.org", "joe (at) x (dot) example (dot) org", "joe[at]x.example.org"} <= set(got[0])
+    assert sum(x.count(":") == 7 for x in got[1]) == 2
+    assert "4111.1111.1111.1111" in got[2] and "1 (456) 555-2186" in got[3] and "1.456.555.2186" in got[3]
+
+
 def test_mix_meets_targets(spark, texts):
     docs = docs_of(spark, texts)
     rows = mixing.mix(docs).collect()
