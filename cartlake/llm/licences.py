@@ -1,12 +1,18 @@
 """Licence statements: paragraph classifier and template comparison (DataFrame operations only).
 
-Paragraphs (lines) that hold a cue word go to a multinomial logistic regression over hashed
-word unigrams and bigrams.  It is trained on the templates below, whole and with words left
-out, against lines of the corpus (at most ``max_lines``, the first in the order of a hash)
-and statements that name no licence; the class "unknown" takes both.  The probability
-above which a family counts is set on held-out variants so that no more than ``false_rate``
-of the unknown ones pass.  A prediction is confirmed if enough of the bigrams of one of the
-family's templates stand in the paragraph.
+Texts are split at blank lines, after comment marks are taken off the starts of lines.  A
+paragraph that holds a cue word is read in units: its lines that hold one, and windows of
+WINDOW words over its joined lines, so that wrapped notices are seen whole.  Units go to a
+multinomial logistic regression over hashed word unigrams and bigrams.  It is trained on the
+templates below, whole and with words left out, against lines of the corpus (at most
+``max_lines``, the first in the order of a hash) and statements that name no licence; the
+class "unknown" takes both.  The probability above which a family counts is set on held-out
+variants so that no more than ``false_rate`` of the unknown ones pass.
+
+A unit confirms every family of which it holds enough of a template's bigrams, and either
+is predicted as this family or holds enough of those bigrams that no other family has; a
+paragraph that names another version or kind of the GNU licences does not confirm GPL-3.0 or
+LGPL-3.0.
 
 Defined results: a NULL or empty text has no paragraphs; long texts are read whole;
 repeated rows and repeated paragraphs each count; of two families as likely the first in
@@ -15,6 +21,8 @@ the table is predicted; an empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -50,6 +58,11 @@ TEMPLATES = {
 NO_FAMILY = ("Licensed under the terms below", "See the license for details", "All rights reserved", "Copyright the authors",
              "This work is licensed under its own terms", "a driving license is needed", "Released under a commercial license")
 CUES = r"(?i)licen[cs]e|copyright|permission is hereby|redistribut|public domain|creative commons|all rights reserved"
+#: family -> what must not stand in a paragraph, unless the second pattern does
+OTHERS = {"GPL-3.0": (r"(?i)\b(?:lesser|library|affero)\b|\bversion\s[0-24-9]", r"(?i)\bGNU\s+General\s+Public\s+License[^.]{0,120}\bversion\s3"),
+          "LGPL-3.0": (r"(?i)\bversion\s[0-24-9]", r"(?i)\bversion\s3")}
+MARKS = r"(?m)^[\x20\t]*+(?:/\*++|\*++/?+|//++|#++|--++|;++|%++|>++|<!--|dnl\b|REM\b)?+[\x20\t]*+"
+WINDOW, STEP = 24, 8
 MAX_LINES = 2_000
 FALSE_RATE = 0.01
 CONTAINED = 0.6
@@ -80,10 +93,47 @@ def _variants(spark: SparkSession, families: list[str]) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, paragraphs): those with a cue word, lines kept."""
     text = text_or_empty(text_col)
-    lines = F.when(text.rlike(CUES), F.filter(F.split(text, "\n", -1), lambda x: x.rlike(CUES))).otherwise(
-        F.array().cast("array<string>"))
-    return docs.select(F.col(id_col).alias("doc_id"), lines.alias("paragraphs"))
+    blocks = F.split(F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), MARKS, ""), r"\n\s*\n", -1)
+    joined = F.filter(blocks, lambda x: F.regexp_replace(x, r"\s+", " ").rlike(CUES))
+    cue = F.regexp_replace(text, r"[\s/*#;%>-]+", " ").rlike(CUES) | text.rlike(CUES)
+    return docs.select(F.col(id_col).alias("doc_id"), F.when(cue, joined).otherwise(
+        F.array().cast("array<string>")).alias("paragraphs"))
+
+
+def units(paragraph: Column) -> Column:
+    """array<string>: the lines with a cue word, and windows over the joined words."""
+    lines = F.filter(F.split(paragraph, "\n", -1), lambda x: x.rlike(CUES))
+    every = F.filter(F.split(paragraph, r"\s+", -1), lambda w: w != "")
+
+    def windows(words: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(words) - WINDOW + STEP - 1, F.lit(0)), F.lit(STEP))
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, F.lit(WINDOW)), " "))
+    return F.array_distinct(F.concat(lines, F.transform(F.array(every), windows)[0]))
+
+
+def _held(pairs: Column) -> Column:
+    """array<struct<family, own>>: the templates of which enough bigrams stand in ``pairs``, and
+    whether enough of those do that no other family has."""
+    families = list(TEMPLATES)
+    grams = {t: _plain_bigrams(t) for ts in TEMPLATES.values() for t in ts}
+    rows = []
+    for f, ts in TEMPLATES.items():
+        other = {g for k, us in TEMPLATES.items() if k != f for u in us for g in grams[u]}
+        rows += [F.struct(F.lit(families.index(f)).alias("family"), F.array(*map(F.lit, grams[t])).alias("pairs"),
+                          F.array(*map(F.lit, [g for g in grams[t] if g not in other])).cast("array<string>").alias("own"))
+                 for t in ts]
+
+    def share(some: Column) -> Column:
+        return F.size(F.array_intersect(some, pairs)) / F.greatest(F.size(some), F.lit(1))
+    return F.transform(F.array(*rows), lambda t: F.struct(
+        t["family"].alias("family"), share(t["pairs"]).alias("share"), share(t["own"]).alias("own")))
+
+
+def _plain_bigrams(text: str) -> list[str]:
+    tokens = [w for w in re.split(r"[^\w.]+|\.(?=\s|$)", text.lower()) if w]
+    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(tokens, tokens[1:])))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lines: int = MAX_LINES,
@@ -105,17 +155,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_li
         p = vector_to_array(F.col("probability"))
         return model.transform(df).withColumn("p", p).withColumn("best", F.array_max(F.slice("p", 1, len(families)))).withColumn(
             "family", (F.array_position("p", F.col("best")) - 1).cast("int"))
-
     wrong = predicted(known.where(f"fold = 0 AND label = {len(families)}"))
     limit = max(0.5, wrong.agg(F.percentile("best", F.lit(1 - false_rate))).first()[0] or 0.0)
-    templates = F.array(*(F.struct(F.lit(families.index(f)).alias("family"), bigrams(words(F.lit(t))).alias("pairs"))
-                          for f, ts in TEMPLATES.items() for t in ts))
-    flat = _features(rows.select("uid", F.explode("paragraphs").alias("paragraph")))
-    shared = F.exists(templates, lambda t: (t["family"] == F.col("family")) & (
-        F.size(F.array_intersect(t["pairs"], F.col("pairs"))) >= F.size(t["pairs"]) * contained))
-    sure = predicted(flat).where((F.col("best") >= limit) & shared)
+    joined = F.regexp_replace(F.col("whole"), r"\s+", " ")
+    barred = F.array_compact(F.array(*(F.when(joined.rlike(words) & ~joined.rlike(unless), F.lit(families.index(f)))
+                                       for f, (words, unless) in OTHERS.items())))
+    flat = rows.select("uid", F.posexplode("paragraphs").alias("at", "whole")).select(
+        "uid", "at", barred.alias("barred"), F.explode(units(F.col("whole"))).alias("paragraph"))
+    flat = _features(flat).withColumn("held", F.filter(_held(F.col("pairs")), lambda t: (t["share"] >= contained)
+                                           & ~F.array_contains("barred", t["family"])))
+    sure = predicted(flat.where(F.size("held") > 0)).where(F.col("best") >= limit)
+    found = F.filter("held", lambda t: (t["family"] == F.col("family")) | (t["own"] >= contained))
+    sure = sure.select("uid", "at", F.explode(F.transform(found, lambda t: t["family"])).alias("family"))
     names = F.array(*map(F.lit, families))
-    per = sure.groupBy("uid").agg(F.count("*").alias("n"), F.sort_array(F.collect_set(F.get(names, F.col("family")))).alias("names"))
+    per = sure.groupBy("uid").agg(F.countDistinct("at").alias("n"), F.sort_array(F.collect_set(F.get(names, F.col("family")))).alias("names"))
     return rows.join(per, "uid", "left").select(
         "doc_id", F.size("paragraphs").cast("long").alias("n_candidates"), F.coalesce("n", F.lit(0)).alias("n_confirmed"),
         F.coalesce(F.array_join("names", ","), F.lit("")).alias("families"))

@@ -275,6 +275,20 @@ def test_licences(spark, texts):
     assert got[50] == "MIT" and got[51] == "Apache-2.0" and got[52] == "" and got[900] == ""
 
 
+def test_licence_notices_wrapped_or_double(spark, texts):
+    gpl = ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by",
+           "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."]
+    mpl = ["This Source Code Form is subject to the terms of the Mozilla Public", "License, v. 2.0. If a copy of the MPL was not distributed with this",
+           "file, You can obtain one at http://mozilla.org/MPL/2.0/."]
+    gpl2 = [x.replace("version 3", "version 2") for x in gpl]
+    docs = docs_of(spark, texts, [(i, t, "s", 0.0) for i, t in enumerate([
+        "Name\n\n" + "\n".join(gpl) + "\n\nmore", "\n".join(" * " + x for x in ["Name", "", *gpl]), "\n".join("# " + x for x in mpl),
+        "This project is licensed under the terms of the MIT license or the Apache License, Version 2.0.", "\n".join(gpl2),
+        "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"], 50)])
+    got = {r.doc_id: r.families for r in licences.scan(docs).collect()}
+    assert [got[i] for i in range(50, 56)] == ["GPL-3.0", "GPL-3.0", "MPL-2.0", "Apache-2.0,MIT", "", "CC-BY-NC-4.0"]
+
+
 def test_shingle_names_of_blocks_equal_brute_force(monkeypatch):
     from cartlake.llm import near_dup
     texts = [None, "", " \t\r\n", "a", "a b", "A  B", "b a", "a b c", "a b c a b c", "x y éÉ z w",
