@@ -2,9 +2,9 @@
 
 A document's set holds a 64-bit name of each of its distinct word n-grams.  One hash
 function orders all names; the k smallest of a set are its sketch.  Two sets with Jaccard
-similarity t share about t * k sketch values, and fewer than half of k only with a
-probability below 1e-5 at t = 0.8 and k = 32, so it is enough to look at each sketch's
-k - k/2 + 1 rarest values (sets smaller than k: the exact counterpart): two similar sets
+similarity t share about t * k sketch values, and fewer than ``needed`` only with a
+probability of at most MISS (binomial quantile; k grows if a low t needs it), so it is
+enough to look at each sketch's k - needed + 1 rarest values (sets smaller than k: the exact counterpart): two similar sets
 meet in the inverted list of at least one.
 
 Rounds over the lists find the components without pairing everything with everything:
@@ -29,6 +29,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -41,6 +42,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import grouped, materialize
 
 K = 32
+MISS = 1e-5
 LEADERS = 128
 BLOCK_BYTES = 1 << 18
 PIECE_BYTES = 1 << 22
@@ -49,6 +51,24 @@ _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _U = np.uint64
 
 
+def needed(k: int, pct: int) -> int:
+    """The largest count that sets of similarity pct / 100 share among k sketch values but with a probability of MISS."""
+    t, below, m = pct / 100, 0.0, 0
+    while m <= k:
+        below += math.comb(k, m) * t ** m * (1 - t) ** (k - m)
+        if below > MISS:
+            break
+        m += 1
+    return min(m, k)
+
+
+def sketch_size(k: int, pct: int) -> int:
+    """k, or the smallest size above it at which similar sets share a value but with a probability of MISS."""
+    while pct > 0 and needed(k, pct) < 1:
+        k += 1
+    return k
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> _U(33))) * _U(0xFF51AFD7ED558CCD)
     h = (h ^ (h >> _U(29))) * _U(0xC4CEB9FE1A85EC53)
@@ -174,7 +194,8 @@ def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, pct: int, k: i
     # the union's k smallest names are among both sketches; those in both sketches are shared
     union = F.slice(F.array_sort(F.array_union("a_sketch", "b_sketch")), 1, k)
     overlap = F.size(F.array_intersect(union, F.array_intersect(F.col("a_sketch"), F.col("b_sketch"))))
-    near = near.where((small * 100 >= large * pct) & (overlap * 2 >= F.size(union)))
+    enough = F.when(F.size(union) < k, overlap * 100 >= F.size(union) * pct).otherwise(overlap >= needed(k, pct))
+    near = near.where((small * 100 >= large * pct) & enough)
     near = materialize(near.select("a", "b"), f"{purpose}-near")
     full = near.join(side(sets, "b", "names"), "b").join(side(sets, "a", "names"), "a")
     both = _shared(F.col("a_names"), F.col("b_names"))
@@ -189,7 +210,7 @@ def _rare_entries(classes: DataFrame, pct: int, k: int) -> DataFrame:
     often = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     hits = entries.join(often, "value")
     # values in one list only come first in the order of rarity; they are not in ``hits``
-    need = F.when(F.col("kept") < k, F.ceil(F.col("n") * pct / 100)).otherwise(F.lit(k // 2))
+    need = F.when(F.col("kept") < k, F.ceil(F.col("n") * pct / 100)).otherwise(F.lit(needed(k, pct)))
     place = F.row_number().over(Window.partitionBy("sig").orderBy("df", "value"))
     alone = F.col("kept") - F.count("*").over(Window.partitionBy("sig"))
     return hits.withColumn("place", place + alone).where(F.col("place") <= F.col("kept") - need + 1).select("value", "sig", "n")
@@ -273,6 +294,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     similarity_pct: int = 80, k: int = K) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row a document; ``similarity_pct`` of
     100 * intersection >= pct * union links two documents."""
+    k = sketch_size(k, similarity_pct)
     marks = materialize(_sketches(docs, id_col, text_col, words, k), "dup-marks")
     classes = materialize(_classes(marks), "dup-classes")
     comp = class_components(docs, classes, id_col, text_col, words, similarity_pct, k)

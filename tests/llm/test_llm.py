@@ -308,3 +308,12 @@ def test_shingle_names_of_blocks_equal_brute_force(monkeypatch):
         assert [len(s) for s in got] == [len(s) for s in want]
         assert all((len(a & b) == len(c & d)) for a, c in zip(got, want) for b, d in zip(got, want))
     assert [len(s) for s in near_dup.shingle_sets([""], 3)] == [0]
+
+
+def test_sketch_overlap_follows_the_similarity():
+    from math import comb
+    for k, pct in ((32, 50), (32, 80), (32, 85), (32, 100), (64, 30)):
+        m, t = near_dup.needed(k, pct), pct / 100
+        assert 1 <= m <= k and sum(comb(k, i) * t ** i * (1 - t) ** (k - i) for i in range(m)) <= 1e-5
+    assert near_dup.needed(32, 50) < 16 and near_dup.needed(32, 80) < 16
+    assert near_dup.sketch_size(32, 80) == 32 and near_dup.needed(near_dup.sketch_size(32, 10), 10) >= 1
