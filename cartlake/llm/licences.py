@@ -162,9 +162,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_li
                                        for f, (words, unless) in OTHERS.items())))
     flat = rows.select("uid", F.posexplode("paragraphs").alias("at", "whole")).select(
         "uid", "at", barred.alias("barred"), F.explode(units(F.col("whole"))).alias("paragraph"))
-    flat = _features(flat).withColumn("held", F.filter(_held(F.col("pairs")), lambda t: (t["share"] >= contained)
+    # cut here: the optimizer would copy the bigrams' expression into every template's comparison
+    flat = materialize(_features(materialize(flat, "lic-units")).select("uid", "at", "barred", "paragraph", "features", "pairs"), "lic-pairs")
+    flat = flat.withColumn("held", F.filter(_held(F.col("pairs")), lambda t: (t["share"] >= contained)
                                            & ~F.array_contains("barred", t["family"])))
-    sure = predicted(flat.where(F.size("held") > 0)).where(F.col("best") >= limit)
+    sure = predicted(materialize(flat.drop("pairs"), "lic-held").where(F.size("held") > 0)).where(F.col("best") >= limit)
     found = F.filter("held", lambda t: (t["family"] == F.col("family")) | (t["own"] >= contained))
     sure = sure.select("uid", "at", F.explode(F.transform(found, lambda t: t["family"])).alias("family"))
     names = F.array(*map(F.lit, families))
