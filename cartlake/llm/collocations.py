@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ TOP = 2_000
 SUBSUMED_PCT = 50
 #: text bytes a bucket is meant for: its summary then holds some 3 million counters
 BUCKET_BYTES = 64 << 20
-SUMMARY_BYTES = 8 << 20
+SUMMARY_NAMES = 2 << 20
 FILTER_BITS = 27
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -78,8 +79,7 @@ class Grams:
 
 def _hashed(values: pa.Array) -> np.ndarray:
     """64-bit hashes of strings, the same in every process."""
-    import pandas as pd
-    return pd.util.hash_array(values.to_numpy(zero_copy_only=False).astype(object), categorize=False)
+    return np.fromiter((xxhash.xxh64_intdigest(x) for x in values.cast(pa.large_binary()).to_pylist()), np.uint64, len(values))
 
 
 def pack(names: np.ndarray, counts: np.ndarray) -> bytes:
@@ -118,10 +118,8 @@ def summaries(rows: DataFrame, bits: int) -> DataFrame:
     """(bucket, mass, packed): the names of blocks of (lang, text) by the top ``bits`` bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some in _gathered(T.blocks(batches, "text"), SUMMARY_BYTES):
-            found = [Grams(b.column("lang"), b.column("text")) for b in some]
-            names = np.concatenate([x for g in found for _, _, x in g.by_length()])
-            names, counts = np.unique(names >> np.uint64(32 - bits), return_counts=True)
+        for names in _gathered(block_names(b) for b in T.blocks(batches, "text")):
+            names, counts = tallied(names, 32 - bits)
             edge = np.searchsorted(names, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
             full = np.flatnonzero(np.diff(edge))
             inner = (names & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -133,16 +131,32 @@ def summaries(rows: DataFrame, bits: int) -> DataFrame:
     return rows.mapInArrow(run, "bucket int, mass long, packed binary")
 
 
-def _gathered(items: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[pa.RecordBatch]]:
+def tallied(names: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct names without their last ``shift`` bits, counts); sorts in place."""
+    names >>= np.uint64(shift)
+    names.sort()
+    opens = np.ones(len(names), bool)
+    np.not_equal(names[1:], names[:-1], out=opens[1:])
+    opens = np.flatnonzero(opens).astype(np.int32)
+    return names[opens], np.diff(opens, append=np.int32(len(names)))
+
+
+def block_names(block: pa.RecordBatch) -> np.ndarray:
+    grams = Grams(block.column("lang"), block.column("text"))
+    return np.concatenate([names for _, _, names in grams.by_length()])
+
+
+def _gathered(parts: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """The names of several blocks together, about SUMMARY_NAMES at a time."""
     some, size = [], 0
-    for item in items:
-        some.append(item)
-        size += item.nbytes
-        if size >= limit:
-            yield some
+    for names in parts:
+        some.append(names)
+        size += len(names)
+        if size >= SUMMARY_NAMES:
+            yield np.concatenate(some)
             some, size = [], 0
     if some:
-        yield some
+        yield np.concatenate(some)
 
 
 def frequent(found: DataFrame, bits: int, threshold: int) -> DataFrame:
