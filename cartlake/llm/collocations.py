@@ -42,6 +42,7 @@ SUBSUMED_PCT = 50
 #: text bytes a bucket is meant for: its summary then holds some 3 million counters
 BUCKET_BYTES = 64 << 20
 SUMMARY_NAMES = 2 << 20
+SENT_PHRASES = 1 << 19
 FILTER_BITS = 27
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -180,41 +181,83 @@ def frequent(found: DataFrame, bits: int, threshold: int) -> DataFrame:
     return found.groupBy("bucket").applyInArrow(merged, "bucket int, marks binary")
 
 
-def counted(rows: DataFrame, table: np.ndarray) -> DataFrame:
-    """(lang, phrase, n_words, a): exact counts of the n-grams whose name is marked in ``table``; the
-    row with no phrase (n_words 0) holds a language's number of words."""
+def counted(rows: DataFrame, table: np.ndarray, bits: int, threshold: int) -> DataFrame:
+    """(lang, phrase, a): exact counts of the n-grams whose name is marked in ``table`` and that reach
+    ``threshold``; the empty phrase holds a language's number of words.
+
+    Counts travel as packed lists of sorted phrases, by language and bucket."""
     held = rows.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = held.value
+        some, size = [], 0
         for block in T.blocks(batches, "text"):
-            g = Grams(block.column("lang"), block.column("text"))
-            langs = np.bincount(g.lang, minlength=len(g.langs))
-            yield _rows(g, np.flatnonzero(langs), pa.array([""] * int((langs > 0).sum()), pa.large_string()), 0, langs[langs > 0])
-            for n, at, names in g.by_length():
-                place = names >> np.uint64(64 - FILTER_BITS)
-                marked = (marks[place >> np.uint64(3)] >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8)) & 1
-                at, names = at[marked > 0], names[marked > 0]
-                order, first = T.same(names, [g.lang[at], *(g.code[at + j] for j in range(n))])
-                opens = np.flatnonzero(first)
-                one = at[order[opens]]
-                words = [g.words.take(pa.array(g.code[one + j])) for j in range(n)]
-                phrase = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string()))
-                yield _rows(g, g.lang[one], phrase, n, np.diff(np.append(opens, len(order))))
-
-    flat = rows.mapInArrow(run, "lang string, phrase string, n_words int, a long")
-    return flat.groupBy("lang", "phrase", "n_words").agg(F.sum("a").alias("a"))
-
-
-def _rows(g: Grams, lang: np.ndarray, phrase: pa.Array, n: int, a: np.ndarray) -> pa.RecordBatch:
+            for part in block_phrases(block, held.value, bits):
+                some.append(part)
+                size += part.num_rows
+            if size >= SENT_PHRASES:
+                yield packed_phrases(pa.concat_tables(some))
+                some, size = [], 0
+        if some:
+            yield packed_phrases(pa.concat_tables(some))
+
+    def merged(cell: pa.Table) -> pa.Table:
+        whole = zstandard.ZstdDecompressor()
+        phrases = pa.chunked_array([pa.array(whole.decompress(x.as_py())[:-1].split(b"\n"), pa.binary()) for x in cell["phrases"]])
+        counts = pa.chunked_array([pa.array(np.frombuffer(whole.decompress(x.as_py()), "<i8")) for x in cell["counts"]])
+        total = pa.table({"phrase": phrases, "a": counts}).group_by("phrase").aggregate([("a", "sum")])
+        enough = pc.or_(pc.greater_equal(total["a_sum"], threshold), pc.equal(total["phrase"], pa.scalar(b"", pa.binary())))
+        total = total.filter(enough)
+        return pa.table({"lang": pa.array([cell["lang"][0].as_py()] * total.num_rows, pa.string()),
+                         "phrase": total["phrase"].cast(pa.string()), "a": total["a_sum"]})
+
+    sent = rows.mapInArrow(run, "lang string, bucket int, phrases binary, counts binary")
+    return sent.groupBy("lang", "bucket").applyInArrow(merged, "lang string, phrase string, a long")
+
+
+def block_phrases(block: pa.RecordBatch, marks: np.ndarray, bits: int) -> Iterator[pa.Table]:
+    """(lang, bucket, phrase, a) of a block's n-grams that are marked, by n; and its words by language."""
+    g = Grams(block.column("lang"), block.column("text"))
+    langs = np.bincount(g.lang, minlength=len(g.langs))
+    yield _phrases(g, np.flatnonzero(langs), np.zeros(int((langs > 0).sum()), np.int32),
+                   pa.array([""] * int((langs > 0).sum()), pa.large_string()), langs[langs > 0])
+    for n, at, names in g.by_length():
+        place = names >> np.uint64(64 - FILTER_BITS)
+        marked = (marks[place >> np.uint64(3)] >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8)) & 1
+        at, names = at[marked > 0], names[marked > 0]
+        order, first = T.same(names, [g.lang[at], *(g.code[at + j] for j in range(n))])
+        opens = np.flatnonzero(first)
+        one = at[order[opens]]
+        words = [g.words.take(pa.array(g.code[one + j])) for j in range(n)]
+        bucket = (names[order[opens]] >> np.uint64(64 - bits) if bits else np.zeros(len(opens))).astype(np.int32)
+        yield _phrases(g, g.lang[one], bucket, pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())),
+                       np.diff(np.append(opens, len(order))))
+
+
+def _phrases(g: Grams, lang: np.ndarray, bucket: np.ndarray, phrase: pa.Array, a: np.ndarray) -> pa.Table:
+    return pa.table({"lang": g.langs.take(pa.array(lang, pa.int64())), "bucket": pa.array(bucket, pa.int32()),
+                     "phrase": phrase, "a": pa.array(a, pa.int64())})
+
+
+def packed_phrases(rows: pa.Table) -> pa.RecordBatch:
+    """One row per language and bucket: its phrases in order, each ended by a line feed (no word holds one), and counts."""
+    rows = rows.group_by(["lang", "bucket", "phrase"]).aggregate([("a", "sum")])
+    rows = rows.sort_by([(x, "ascending") for x in ("lang", "bucket", "phrase")]).combine_chunks()
+    lang, bucket = T.numbered(rows["lang"].combine_chunks())[0], rows["bucket"].to_numpy()
+    edge = np.flatnonzero(np.append((lang[1:] != lang[:-1]) | (bucket[1:] != bucket[:-1]), True)) + 1
+    edge = np.concatenate([[0], edge])
+    ended = pc.binary_join_element_wise(rows["phrase"], pa.scalar("\n", pa.large_string()), pa.scalar("", pa.large_string()))
+    data, bounds = T.joined(ended.combine_chunks())
+    counts, small = rows["a_sum"].to_numpy().astype("<i8"), zstandard.ZstdCompressor(level=1)
+    first = pa.array(edge[:-1])
     return pa.RecordBatch.from_arrays(
-        [g.langs.take(pa.array(lang, pa.int64())).cast(pa.string()), phrase.cast(pa.string()),
-         pa.array(np.full(len(a), n), pa.int32()), pa.array(a, pa.int64())], names=["lang", "phrase", "n_words", "a"])
+        [rows["lang"].combine_chunks().take(first).cast(pa.string()), rows["bucket"].combine_chunks().take(first),
+         pa.array([small.compress(data[bounds[lo]:bounds[hi]].tobytes()) for lo, hi in zip(edge, edge[1:])], pa.binary()),
+         pa.array([small.compress(counts[lo:hi].tobytes()) for lo, hi in zip(edge, edge[1:])], pa.binary())], names=["lang", "bucket", "phrases", "counts"])
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", threshold: int = THRESHOLD) -> DataFrame:
     """(lang, phrase, n_words, a) of every n-gram of up to LONGEST words that occurs ``threshold``
-    times or more in its language, and the number of words of each language under n_words 0."""
+    times or more in its language, and the number of words of each language under the empty phrase, n_words 0."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text_or_empty(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -224,7 +267,9 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     part = len(table) >> bits
     for row in frequent(summaries(rows, bits), bits, threshold).collect():  # FILTER_BITS bits in all
         table[row.bucket * part:(row.bucket + 1) * part] = np.frombuffer(row.marks, np.uint8)
-    return counted(rows, table).where((F.col("a") >= threshold) | (F.col("n_words") == 0))
+    found = counted(rows, table, bits, threshold)
+    n = F.when(F.col("phrase") == "", F.lit(0)).otherwise(F.size(F.split("phrase", " ", -1)))
+    return found.select("lang", "phrase", n.alias("n_words"), "a")
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", threshold: int = THRESHOLD,
