@@ -17,13 +17,6 @@ from pyspark.sql import functions as F
 
 from cartlake.functions import float_to_int, round_half_even
 
-# Updates with at most this many rows and bytes are broadcast to the target's
-# scan; both bounds are measured on at most MAX_ROWS + 1 rows before the plan
-# is chosen.
-MERGE_BROADCAST_MAX_ROWS = 200_000
-MERGE_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-
-
 class MergeCardinalityError(ValueError):
     """A target row is matched by more than one source row."""
 
@@ -48,21 +41,11 @@ def _all_not_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def _bounded(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes
-    (JSON-encoded width, an over-estimate of the in-memory size).  One job that
-    reads at most max_rows + 1 rows."""
-    width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
-    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
-
-
 def check_merge_cardinality(target: DataFrame, updates: DataFrame, key: str | list[str]) -> None:
     """Raise if a source key appears more than once AND matches a target row.
 
-    Pre-aggregates the source keys (partial aggregation, skew-safe); the
-    target contributes only its key column.  An empty duplicate set lets AQE
-    drop the semi-join and the target scan altogether.
+    For callers that want the error before they start; ``merge_upsert`` finds it on its
+    own.  Pre-aggregates the source keys; the target contributes only its key columns.
     """
     keys = _keys(key)
     dup = (updates.filter(_all_not_null(keys)).groupBy(*keys).count()
@@ -74,10 +57,7 @@ def check_merge_cardinality(target: DataFrame, updates: DataFrame, key: str | li
 
 
 def merge_upsert(target: DataFrame, updates: DataFrame, key: str | list[str],
-                 set_cols: list[str] | None = None,
-                 *, check_cardinality: bool = True,
-                 broadcast_max_rows: int = MERGE_BROADCAST_MAX_ROWS,
-                 broadcast_max_bytes: int = MERGE_BROADCAST_MAX_BYTES) -> DataFrame:
+                 set_cols: list[str] | None = None, *, check_cardinality: bool = True) -> DataFrame:
     """MERGE target USING updates ON target.key = updates.key
          WHEN MATCHED THEN UPDATE SET <set_cols> = updates.<set_cols>
          WHEN NOT MATCHED THEN INSERT *
@@ -85,65 +65,62 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str | list[str],
     ``key`` is one column or a list (composite key).  A NULL in any key part
     never matches (such an update row is inserted); NULL source values
     overwrite.  Target columns outside ``set_cols`` keep their value on a match.
+    A target row that several update rows match raises when the result is computed.
+
+    One pass over the target, whatever the sizes:
+
+    * the updates are combined per key (map-side first) to one row and its count;
+    * one full outer join on the key; AQE sizes and coalesces its partitions.
+      A match with a count above 1 raises there, so the count needs no job of its own;
+    * update rows whose key repeats, or has a NULL, cannot be updates any more
+      (the former would have raised), so they are appended as inserts without
+      looking at the target again.
 
-    Plan choice: when the update batch is provably small (rows and bytes
-    measured on a bounded read), the target is
-    streamed once against a broadcast of the updates (no shuffle of the
-    target), and the inserts are the updates whose key found no target row.
-    Otherwise a full outer join on the key shuffles both sides once.
+    Target rows with a NULL in the key cannot match; they are spread over all
+    tasks by a hash of the row instead of meeting in one.  Rows of the target
+    that share a key meet in one task.  ``check_cardinality=False`` says that
+    update keys are unique and skips the combination.
     """
     keys = _keys(key)
     u = conform(updates, target)
-    non_key = [c for c in target.columns if c not in keys]
+    columns = target.columns
+    non_key = [c for c in columns if c not in keys]
     set_cols = list(non_key if set_cols is None else set_cols)
     unknown = [c for c in set_cols if c not in non_key]
     if unknown:
         raise ValueError(f"set columns {unknown} are not non-key target columns")
+
+    # t0, t1, ... and s0, s1, ...: no name of the inputs can clash with those made here
+    place = {c: i for i, c in enumerate(columns)}
+    keyed, blank = u.filter(_all_not_null(keys)), u.filter(~_all_not_null(keys))
+    source = keyed.select(*[F.col(c).alias(f"s{i}") for c, i in place.items()])
+    source_keys = [f"s{place[k]}" for k in keys]
+    if check_cardinality:
+        rest = [f"s{i}" for c, i in place.items() if c not in keys]
+        combined = source.groupBy(*source_keys).agg(F.count(F.lit(1)).alias("n"), *[F.any_value(c).alias(c) for c in rest])
+    else:
+        combined = source.withColumn("n", F.lit(1).cast("long"))
+    combined = combined.withColumn("s_spread", F.when(F.col(source_keys[0]).isNotNull(), F.lit(0)))
+    hashed = [F.col(f.name) for f in target.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread = F.when(_all_not_null(keys), F.lit(0)).otherwise(F.pmod(F.xxhash64(*hashed), F.lit(1 << 20)).cast("int") + 1)
+    t = target.select(*[F.col(c).alias(f"t{i}") for c, i in place.items()], spread.alias("t_spread"))
+    on = reduce(lambda a, b: a & b, [F.col(f"t{place[k]}") == F.col(f"s{place[k]}") for k in keys])
+    joined = t.join(combined, on & (F.col("t_spread") == F.col("s_spread")), "full_outer")
+    in_t, in_s = F.col("t_spread").isNotNull(), F.col("n").isNotNull()
+    if check_cardinality:
+        message = F.lit(f"MERGE matched a target row with several source rows on key {key!r}")
+        several = F.when(in_t & (F.col("n") > 1), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+        joined = joined.filter(several).filter(in_t | (F.col("n") == 1))
+
+    def value(c: str) -> Column:
+        t_c, s_c = F.col(f"t{place[c]}"), F.col(f"s{place[c]}")
+        return (F.when(in_s, s_c).otherwise(t_c) if c in set_cols else F.when(in_t, t_c).otherwise(s_c)).alias(c)
+
+    out = joined.select(*[value(c) for c in columns]).unionByName(blank)
     if check_cardinality:
-        check_merge_cardinality(target, u, keys)
-
-    if _bounded(u, broadcast_max_rows, broadcast_max_bytes):
-        return _merge_broadcast(target, u, keys, set_cols)
-    return _merge_full_outer(target, u, keys, set_cols)
-
-
-def _merged_value(c: str, set_cols: list[str], t: Column, s: Column, matched: Column) -> Column:
-    return F.when(matched, s).otherwise(t) if c in set_cols else t
-
-
-def _key_match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k] == right[f"__u_{k}"] for k in keys])
-
-
-def _merge_broadcast(target: DataFrame, u: DataFrame, keys: list[str], set_cols: list[str]) -> DataFrame:
-    src = u.select([F.col(c).alias(f"__u_{c}") for c in u.columns]).withColumn("__u", F.lit(True))
-    j = target.join(F.broadcast(src), _key_match(target, src, keys), "left")
-    matched = F.col("__u").isNotNull()
-    kept = j.select([
-        _merged_value(c, set_cols, target[c], F.col(f"__u_{c}"), matched).alias(c)
-        for c in target.columns])
-    # Source keys that hit the target: bounded by the size of the batch.
-    hit_keys = target.select(*keys).join(F.broadcast(u.select(*keys)), keys, "left_semi").distinct()
-    inserts = u.join(F.broadcast(hit_keys), keys, "left_anti")
-    return kept.unionByName(inserts)
-
-
-def _merge_full_outer(target: DataFrame, u: DataFrame, keys: list[str], set_cols: list[str]) -> DataFrame:
-    t = target.withColumn("__t", F.lit(True))
-    s = u.select([F.col(c).alias(f"__u_{c}") for c in u.columns]).withColumn("__u", F.lit(True))
-    j = t.join(s, _key_match(t, s, keys), "full_outer")
-    in_t, in_u = F.col("__t").isNotNull(), F.col("__u").isNotNull()
-    out = []
-    for c in target.columns:
-        sc = F.col(f"__u_{c}")
-        if c in keys:
-            v = F.when(in_t, t[c]).otherwise(sc)
-        elif c in set_cols:
-            v = F.when(in_u, sc).otherwise(t[c])
-        else:  # not updated: target value on a match, source value on an insert
-            v = F.when(in_t, t[c]).otherwise(sc)
-        out.append(v.alias(c))
-    return j.select(out)
+        repeated = combined.filter(F.col("n") > 1).select(*[F.col(f"s{place[k]}").alias(k) for k in keys])
+        out = out.unionByName(keyed.join(repeated, keys, "left_semi").select(*columns))
+    return out
 
 
 def merge_upsert_sql(spark, table: str, updates_view: str, key: str | list[str],

@@ -145,6 +145,29 @@ UNION ALL
 SELECT * FROM f_target t WHERE NOT EXISTS (SELECT 1 FROM f_updates u WHERE u.product_id = t.product_id)
 """
 
+_MESSY = """
+, m_target AS (
+  SELECT * FROM f_target UNION ALL SELECT NULL, product_name, aisle_id, department_id, updated_at FROM f_target WHERE product_id % 60 = 1),
+m_updates AS (
+  SELECT * FROM f_updates
+  UNION ALL SELECT NULL, product_name, aisle_id, department_id, updated_at FROM f_target WHERE product_id % 50 = 7
+  UNION ALL SELECT (product_id + 2000000)::INTEGER, product_name, aisle_id, department_id, stamp::DOUBLE
+            FROM f_target, (VALUES (2), (3)) times(stamp) WHERE product_id % 30 = 11)
+SELECT * FROM m_updates
+UNION ALL
+SELECT * FROM m_target t WHERE NOT EXISTS (SELECT 1 FROM m_updates u WHERE u.product_id = t.product_id)
+"""
+
+_KEYED = """
+, m_changes AS (
+  SELECT * FROM f_changes
+  UNION ALL SELECT NULL, product_name, aisle_id, department_id, updated_at, 'U', product_id FROM f_target WHERE product_id % 100 = 3),
+m_latest AS (SELECT * FROM m_changes QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY seq DESC) = 1)
+SELECT product_id, product_name, aisle_id, department_id, updated_at FROM m_latest WHERE op <> 'D'
+UNION ALL
+SELECT * FROM f_target t WHERE NOT EXISTS (SELECT 1 FROM m_latest l WHERE l.product_id IS NOT DISTINCT FROM t.product_id)
+"""
+
 ORACLE_BODIES: dict[str, str] = {
     # ---- projections / filters
     "normalize_bool_flag": """
@@ -200,6 +223,7 @@ ORACLE_BODIES: dict[str, str] = {
     "limit_show": "SELECT * FROM f_products ORDER BY product_id LIMIT 5",
     # ---- row-level changes
     "merge_upsert": _MERGED,
+    "merge_upsert_messy": _MESSY,
     "delete_where": "SELECT * FROM f_orders WHERE NOT coalesce(days_since_prior > 20, false)",
     "update_round": """
         SELECT event_id, round_even(value::FLOAT, 0)::FLOAT AS value FROM events""",
@@ -302,6 +326,7 @@ ORACLE_BODIES: dict[str, str] = {
         GROUP BY table_name, column_name, parent_table, parent_column""",
     "apply_changes": "SELECT * FROM f_applied",
     "apply_changes_stream": "SELECT * FROM f_applied",
+    "apply_changes_keyed": _KEYED,
     # ---- sources / sinks: round trips compare with the table that was written
     "csv_typed_load": """
         SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day,

@@ -257,3 +257,26 @@ def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ins = change(F.col("p_partkey") % 25 == 0, 1, "I", F.col("p_partkey") + 1000000,
                  F.concat(F.lit("new "), F.col("p_name")), F.col("p_size"), F.lit(2), 1.0)
     return v1.unionByName(v2).unionByName(dl).unionByName(ins)
+
+
+def messy_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``product_target`` with a copy of every 60th row that has lost its key."""
+    t = product_target(spark, sf_dir)
+    return t.unionByName(t.filter(F.col("product_id") % 60 == 1).withColumn("product_id", F.lit(None).cast("int")))
+
+
+def messy_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``product_updates`` with rows that have no key, and keys unknown to the target that come twice."""
+    u, t = product_updates(spark, sf_dir), product_target(spark, sf_dir)
+    lost = t.filter(F.col("product_id") % 50 == 7).withColumn("product_id", F.lit(None).cast("int"))
+    twice = (t.filter(F.col("product_id") % 30 == 11).withColumn("product_id", (F.col("product_id") + 2_000_000).cast("int"))
+             .withColumn("updated_at", F.explode(F.array(F.lit(2.0), F.lit(3.0)))))
+    return u.unionByName(lost).unionByName(twice)
+
+
+def messy_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``product_changes`` with changes of the row without a key: seq grows with the part, the last one wins."""
+    t = product_target(spark, sf_dir).filter(F.col("product_id") % 100 == 3)
+    lost = t.select(F.lit(None).cast("int").alias("product_id"), "product_name", "aisle_id", "department_id", "updated_at",
+                    F.lit("U").alias("op"), F.col("product_id").cast("long").alias("seq"))
+    return product_changes(spark, sf_dir).unionByName(lost)

@@ -1,27 +1,35 @@
 """Incremental loads: apply a change feed (insert / update / delete rows with a
-sequence number) to a published table, in batch or as a stream.
+sequence number) to a table, in batch or as a stream.
 
 * ``latest_changes`` keeps the last change per key with a plain aggregate
   (``max`` of a struct led by the sequence number), so a key with millions of
   changes is pre-combined map-side instead of ranked in one task.
-* ``apply_changes`` drops deleted keys from the target and upserts the rest
-  with ``merge_upsert``; applying the same batch twice gives the same table.
+* ``apply_changes`` is one full outer join of the target and the latest changes;
+  applying the same batch twice gives the same table.
 * ``stream_changes`` runs it per micro-batch with ``foreachBatch`` and
   publishes a new version per batch.  Because a replayed batch is idempotent,
   a batch re-run after a failure between publish and checkpoint commit does not
   change the result.  The last applied sequence number per key is kept in a
   companion table (``<table>__applied_seq``, deletes as tombstones), so a late
   or replayed older change is ignored instead of overwriting newer state.
+* ``cartlake.streaming.keyed`` applies changes to the key buckets they touch only.
+
+One rule for keys: a change names its row by the key as it stands, NULL parts
+included.  NULL equals NULL here (unlike MERGE, where it matches nothing): a
+replayed insert of a NULL key finds the row it made, and a change of a NULL key
+changes every row that has it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from cartlake.operators.changes import merge_upsert
+from cartlake.operators.changes import conform
 from cartlake.sinks.versioned import VersionedTables
 
 DELETE = "D"
@@ -31,6 +39,10 @@ def _keys(key: str | list[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _same_key(left: list[str], right: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
+
+
 def latest_changes(changes: DataFrame, key: str | list[str], seq: str) -> DataFrame:
     """One row per key: the change with the highest ``seq`` (ties: larger other values win)."""
     keys = _keys(key)
@@ -45,10 +57,10 @@ def fresh_changes(latest: DataFrame, applied: DataFrame | None, key: str | list[
     if applied is None:
         return latest
     keys = _keys(key)
-    done = applied.select(*keys, F.col(seq).alias("__applied"))
-    return (latest.join(done, keys, "left")
-            .filter(F.col("__applied").isNull() | (F.col(seq) > F.col("__applied")))
-            .drop("__applied"))
+    done = applied.select(*[F.col(k).alias(f"done{i}") for i, k in enumerate(keys)], F.col(seq).alias("done_seq"))
+    newer = F.col("done_seq").isNull() | (F.col(f"now.{seq}") > F.col("done_seq"))
+    same = _same_key([f"now.{k}" for k in keys], [f"done{i}" for i in range(len(keys))])
+    return latest.alias("now").join(done, same, "left").filter(newer).select("now.*")
 
 
 def applied_sequences(applied: DataFrame | None, latest: DataFrame, key: str | list[str],
@@ -68,11 +80,17 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str | list[str], s
     last applied seq), changes no newer than what was already applied are ignored."""
     keys = _keys(key)
     latest = fresh_changes(latest_changes(changes, keys, seq), applied, keys, seq)
-    deleted = latest.filter(F.col(op) == F.lit(DELETE)).select(*keys)
-    upserts = latest.filter(F.col(op).isNull() | (F.col(op) != F.lit(DELETE)))
-    kept = target.join(deleted, keys, "left_anti")
-    # keys are unique after latest_changes, so the cardinality check is moot
-    return merge_upsert(kept, upserts.select(*target.columns), keys, check_cardinality=False)
+    columns = target.columns
+    change = conform(latest, target).columns  # a missing column is an error
+    cast = {f.name: f.dataType for f in target.schema.fields}
+    c = latest.select(*[F.col(x).cast(cast[x]).alias(f"c{i}") for i, x in enumerate(change)],
+                      F.coalesce(F.col(op) == DELETE, F.lit(False)).alias("c_deletes"))
+    t = target.select(*[F.col(x).alias(f"t{i}") for i, x in enumerate(columns)])
+    at = [columns.index(k) for k in keys]
+    joined = t.join(c, _same_key([f"t{i}" for i in at], [f"c{i}" for i in at]), "full_outer")
+    changed = F.col("c_deletes").isNotNull()
+    return joined.filter(~F.coalesce("c_deletes", F.lit(False))).select(*[
+        F.when(changed, F.col(f"c{i}")).otherwise(F.col(f"t{i}")).alias(x) for i, x in enumerate(columns)])
 
 
 def stream_changes(spark: SparkSession, source: str, schema: StructType | str, tables: VersionedTables,

@@ -74,8 +74,8 @@ def test_drop_create_table_and_views(spark):
     cat.drop_create_table(spark, "t_ddl_orders", [("order_id", "int"), ("eval_set", "string")],
                           location=f"{root}/t2")
     assert spark.table("t_ddl_orders").count() == 0
-    cat.temp_view(fz.products(spark, SF_SMALL), "tmp_products_updates")
-    assert spark.sql("SELECT * FROM (SELECT * FROM tmp_products_updates) AS u").count() == 200
+    cat.temp_view(fz.products(spark, SF_SMALL), "shelf_list")
+    assert spark.sql("SELECT count(*) AS n FROM (SELECT product_id FROM shelf_list) AS listed").first().n == 200
 
 
 def test_landing_gzip_file_cap_and_overwrite(spark):
