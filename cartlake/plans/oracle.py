@@ -196,9 +196,15 @@ ORACLE_BODIES: dict[str, str] = {
     "prd_features": _PRD,
     "product_seq_time": """
         SELECT *, row_number() OVER (PARTITION BY user_id, product_id
-                                     ORDER BY order_number, order_id, add_to_cart_order)::INTEGER
+                                     ORDER BY order_number, order_id, add_to_cart_order)
                     AS product_seq_time
         FROM f_opp""",
+    "product_seq_time_hot": """
+        SELECT *, row_number() OVER (PARTITION BY user_id, product_id ORDER BY order_number, order_id, add_to_cart_order)
+                    AS product_seq_time
+        FROM (SELECT * REPLACE (CASE WHEN order_id % 3 = 0 THEN 0 ELSE user_id END AS user_id,
+                                CASE WHEN order_id % 3 = 0 THEN 0 ELSE product_id END AS product_id,
+                                CASE WHEN order_id % 3 = 0 THEN 1 ELSE order_number END AS order_number) FROM f_opp)""",
     "count_non_null": """
         SELECT user_id, count(days_since_prior)::BIGINT AS n_known_gaps FROM f_orders GROUP BY user_id""",
     "count_star": """

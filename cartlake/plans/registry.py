@@ -132,6 +132,16 @@ def q_product_seq_time(spark, sf):
     return fx.product_seq_time(_opp(spark, sf), max_group_rows=most_orders)
 
 
+def q_product_seq_time_hot(spark, sf):
+    """A third of all rows moved into one (user, product) pair, tied in order_number."""
+    moved, path = F.col("order_id") % 3 == 0, workspace(spark, "hot-pair")
+    opp = _opp(spark, sf)
+    for c, v in (("user_id", 0), ("product_id", 0), ("order_number", 1)):
+        opp = opp.withColumn(c, F.when(moved, F.lit(v)).otherwise(F.col(c)))
+    opp.write.parquet(path)
+    return fx.product_seq_time(spark.read.parquet(path), min_hot_rows=1)
+
+
 def q_count_non_null(spark, sf):
     return fz.orders(spark, sf).groupBy("user_id").agg(F.count("days_since_prior").alias("n_known_gaps"))
 
@@ -428,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "up_features": q_up_features,                         # A3
     "prd_features": q_prd_features,                       # A4
     "product_seq_time": q_product_seq_time,               # W1
+    "product_seq_time_hot": q_product_seq_time_hot,       # W1: a hot, tied pair
     "count_non_null": q_count_non_null,                   # A5
     "count_star": q_count_star,                           # A6
     "conditional_sum": q_conditional_sum,                 # A7

@@ -82,23 +82,18 @@ def workspace(spark: SparkSession, purpose: str) -> str:
     return f"{root}/cartlake/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Settings for a cluster run sized from the input volume.
 
     * Scans split files at ``target_partition_bytes``.
     * Shuffle partitions: one per 2 x ``target_partition_bytes`` of input
-      (projection and map-side combining shrink what is shuffled), between 200
-      and 100,000.  The cap keeps map-output tracking on the driver bounded;
+      (projection and map-side combining shrink what is shuffled), 200 at least.
       AQE coalesces small partitions towards the advisory size, and a
       partition five times the median and over 1 GiB is split as skewed.
     * Broadcasts stay at Spark's measured 10 MiB default: AQE only broadcasts a
       side whose runtime size is known.
     """
-    partitions = min(MAX_SHUFFLE_PARTITIONS,
-                     max(200, -(-int(input_bytes) // (2 * target_partition_bytes))))
+    partitions = max(200, -(-int(input_bytes) // (2 * target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),

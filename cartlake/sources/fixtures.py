@@ -18,10 +18,9 @@ Everything is a DataFrame plan over the full input tables; nothing is sampled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlake.operators import sequence
 from cartlake.operators.sequence import group_window, largest_group
 
 RAW_TABLES = ("orders", "products", "aisles", "departments",
@@ -96,23 +95,14 @@ def basket_lines(spark: SparkSession, sf_dir: str, orders_df: DataFrame | None =
 def order_products_all(spark: SparkSession, sf_dir: str, orders_df: DataFrame | None = None) -> DataFrame:
     """order_products with eval_set kept: reordered = 'true' if bought by the user before.
 
-    A (user, product) group has at most as many rows as the user has orders.
-    When no customer is hot, the ranking window is safe and is used.
-    Otherwise "not the first purchase" is computed as
-    order_number > the pair's first order number: an aggregate (combined
-    map-side) joined back.  The two agree because (user, product,
-    order_number) is unique here (one row per order and part, one order number
-    per order).
+    "Not the first purchase" is order_number > the pair's first order number: an
+    aggregate (combined map-side) joined back, so no task needs a pair's rows together.
     """
     lines = basket_lines(spark, sf_dir, orders_df)
-    _, biggest_customer = group_stats(spark, sf_dir, "orders", "o_custkey")
-    if biggest_customer <= sequence.MIN_HOT_ROWS:
-        seq = Window.partitionBy("user_id", "product_id").orderBy("order_number")
-        later = F.row_number().over(seq) > 1
-    else:
-        first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("__first"))
-        lines = lines.join(first, ["user_id", "product_id"])
-        later = F.col("order_number") > F.col("__first")
+    first = (lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("__first"))
+             .select(F.col("user_id").alias("__user"), F.col("product_id").alias("__product"), "__first"))
+    lines = lines.join(first, (F.col("user_id") == F.col("__user")) & (F.col("product_id") == F.col("__product")))
+    later = F.col("order_number") > F.col("__first")
     return lines.select(
         "order_id", "product_id", "add_to_cart_order",
         F.when(later, F.lit("true")).otherwise(F.lit("false")).alias("reordered"),

@@ -143,13 +143,45 @@ def test_group_row_number_splits_hot_groups_exactly(spark):
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 11).cast("int").alias("p"),
         (F.col("id") * 7919 % 10007).cast("int").alias("o"), F.col("id").alias("tb"))
     got = group_row_number(df, ["u", "p"], ["o", "tb"], "rn", min_hot_rows=500)
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("u", "p").orderBy("o", "tb")))
-    assert dict(got.dtypes)["rn"] == "int"
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("u", "p").orderBy("o", "tb")).cast("bigint"))
+    assert dict(got.dtypes)["rn"] == "bigint"
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "__bucket" in plan
 
 
+def test_fully_tied_hot_group_is_split_into_even_ranges(spark):
+    """All rows of the hot pair tie in the whole order, which starts with a string."""
+    from cartlake.operators import sequence
+    n = 40000
+    df = spark.range(n).select(F.when(F.col("id") % 4 > 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"),
+                               F.lit("same").alias("o"), F.col("id").alias("x"))
+    got = sequence.group_window(df, ["k"], ["o"], number="n", min_hot_rows=1000)
+    hot = [r.n for r in got.filter("k = 'hot'").collect()]
+    assert sorted(hot) == list(range(1, 30001)) and dict(got.dtypes)["n"] == "bigint"
+    assert got.filter("k <> 'hot' AND n <> 1").isEmpty()
+    sizes, rows_, _ = sequence._sizes_stats(df, ["k"], None)
+    place = F.struct(F.col("o").alias("o0"), sequence._row_hash(df).alias("tie"))
+    hot_rows = max(1000, rows_ // 8)
+    cuts = sequence._splitters(df, ["k"], place, sizes.filter(F.col("__n") > hot_rows), hot_rows, None)
+    ranges = [r["count"] for r in df.join(cuts, F.col("k") == F.col("__b_k")).groupBy(sequence._range_of(place)).count().collect()]
+    assert len(ranges) == 6 and sum(ranges) == 30000 and max(ranges) < 2 * hot_rows
+
+
+def test_range_of_equals_counting_on_long_splitter_lists(spark):
+    from cartlake.operators import sequence
+    cuts = [3 * i for i in range(1000)]
+    df = spark.createDataFrame([(x, cuts[:n]) for x in (-1, 0, 1, 190, 191, 192, 193, 1500, 2997, 5000) for n in (1, 2, 63, 64, 65, 129, 1000)], "x int, __cuts array<int>")
+    assert all(r.got == sum(c < r.x for c in r["__cuts"]) for r in df.withColumn("got", sequence._range_of(F.col("x"))).collect())
+
+
+def test_without_hot_groups_no_side_table_is_built(spark):
+    from cartlake.operators.sequence import group_window
+    df = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
+    plan = group_window(df, ["k"], ["id"], number="n")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Window [") == 1
+
+
 def test_product_seq_time_salted_equals_plain_on_fixture(spark):
     o = R._opp(spark, SF_MID)
     salted = fx.product_seq_time(o, min_hot_rows=5)
@@ -234,11 +266,11 @@ def test_group_window_splits_a_hot_null_group(spark):
     want = df.withColumn("n", F.row_number().over(w))
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     # the NULL group (half of all rows) is the hot one and is split into several buckets
-    from cartlake.operators.sequence import _salt
-    sizes = df.groupBy("k").agg(F.count(F.lit(1)).alias("__n"))
-    salted = _salt(df, ["k"], "o", df.schema["o"].dataType, sizes, hot_rows=750, buckets=None)
-    null_buckets = salted.filter(F.col("k").isNull()).select("__bucket").distinct().count()
-    assert null_buckets == 4 and salted.filter(F.col("k").isNotNull() & F.col("__hot")).isEmpty()
+    from cartlake.operators import sequence
+    sizes, _, _ = sequence._sizes_stats(df, ["k"], None)
+    place = F.struct(F.col("o").alias("o0"), F.col("tb").alias("o1"), sequence._row_hash(df).alias("tie"))
+    cuts = sequence._splitters(df, ["k"], place, sizes.filter("__n > 750"), 750, None).collect()
+    assert len(cuts) == 1 and cuts[0]["__b_k"] is None and len(set(cuts[0]["__cuts"])) == 3
 
 
 def test_group_window_hot_path_lead_only(spark):

@@ -62,7 +62,7 @@ def test_cli_requires_locations():
 
 def test_scale_conf_sizes_partitions():
     from cartlake.session import scale_conf
-    assert scale_conf(100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "100000"   # 100 TiB: capped
+    assert scale_conf(100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "204800"   # 100 TiB
     assert scale_conf(10 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "20480"     # 10 TiB
     assert scale_conf(1)["spark.sql.shuffle.partitions"] == "200"
 
