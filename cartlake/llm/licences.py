@@ -2,17 +2,20 @@
 
 Texts are split at blank lines, after comment marks are taken off the starts of lines.  A
 paragraph that holds a cue word is read in units: its lines that hold one, and windows of
-WINDOW words over its joined lines, so that wrapped notices are seen whole.  Units go to a
-multinomial logistic regression over hashed word unigrams and bigrams.  It is trained on the
-templates below, whole and with words left out, against lines of the corpus (at most
-``max_lines``, the first in the order of a hash) and statements that name no licence; the
-class "unknown" takes both.  The probability above which a family counts is set on held-out
-variants so that no more than ``false_rate`` of the unknown ones pass.
-
-A unit confirms every family of which it holds enough of a template's bigrams, and either
-is predicted as this family or holds enough of those bigrams that no other family has; a
-paragraph that names another version or kind of the GNU licences does not confirm GPL-3.0 or
-LGPL-3.0.
+WINDOW words over its joined lines, so that wrapped notices are seen whole.  What is worked
+out per paragraph is written before paragraphs are cut into units, so that work stays in
+proportion to their length.  Units that share a word pair with a template go to a
+multinomial logistic regression over hashed word unigrams and bigrams; no other unit could
+be confirmed.  It is trained on the templates below, whole and with words left out, against
+the class "unknown": statements that name no licence, and units of the corpus that share
+word pairs with templates but hold less than half of what a confirmation takes (at most
+``max_lines`` different ones, the first in the order of a hash).  The probability from which a
+family counts is set on all such units that the fit has not seen, so that no more than
+``false_rate`` of them reach it for any family.
+
+A unit confirms every family that the regression gives this probability and of which the unit
+holds enough of a template's word pairs; a paragraph that names another version or kind
+of the GNU licences does not confirm GPL-3.0 or LGPL-3.0.
 
 Defined results: a NULL or empty text has no paragraphs; long texts are read whole;
 repeated rows and repeated paragraphs each count; of two families as likely the first in
@@ -86,7 +89,8 @@ def _features(df: DataFrame) -> DataFrame:
 def _variants(spark: SparkSession, families: list[str]) -> DataFrame:
     """(label, paragraph): every statement whole, and with each word in turn left out."""
     rows = [(families.index(f), t) for f, ts in TEMPLATES.items() for t in ts] + [(len(families), t) for t in NO_FAMILY]
-    whole = spark.createDataFrame(rows, "label int, text string").withColumn("w", F.split("text", " "))
+    given = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(text).alias("text")) for label, text in rows])
+    whole = spark.range(1).select(F.inline(given)).withColumn("w", F.split("text", " "))
     at = F.sequence(F.lit(0), F.size("w"))
     shorter = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("i")), F.slice("w", F.col("i") + 2, F.size("w"))), " ")
     return whole.withColumn("i", F.explode(at)).select("label", shorter.alias("paragraph"))
@@ -114,21 +118,14 @@ def units(paragraph: Column) -> Column:
 
 
 def _held(pairs: Column) -> Column:
-    """array<struct<family, own>>: the templates of which enough bigrams stand in ``pairs``, and
-    whether enough of those do that no other family has."""
+    """array<struct<family, share>>: the share of each template's bigrams that stand in ``pairs``."""
     families = list(TEMPLATES)
-    grams = {t: _plain_bigrams(t) for ts in TEMPLATES.values() for t in ts}
-    rows = []
-    for f, ts in TEMPLATES.items():
-        other = {g for k, us in TEMPLATES.items() if k != f for u in us for g in grams[u]}
-        rows += [F.struct(F.lit(families.index(f)).alias("family"), F.array(*map(F.lit, grams[t])).alias("pairs"),
-                          F.array(*map(F.lit, [g for g in grams[t] if g not in other])).cast("array<string>").alias("own"))
-                 for t in ts]
+    rows = [F.struct(F.lit(families.index(f)).alias("family"), F.array(*map(F.lit, _plain_bigrams(t))).alias("pairs"))
+            for f, ts in TEMPLATES.items() for t in ts]
 
     def share(some: Column) -> Column:
-        return F.size(F.array_intersect(some, pairs)) / F.greatest(F.size(some), F.lit(1))
-    return F.transform(F.array(*rows), lambda t: F.struct(
-        t["family"].alias("family"), share(t["pairs"]).alias("share"), share(t["own"]).alias("own")))
+        return F.size(F.array_intersect(some, pairs)) / F.size(some)
+    return F.transform(F.array(*rows), lambda t: F.struct(t["family"].alias("family"), share(t["pairs"]).alias("share")))
 
 
 def _plain_bigrams(text: str) -> list[str]:
@@ -141,33 +138,34 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_li
     """(doc_id, n_candidates, n_confirmed, families): families as names in order, comma-joined."""
     spark = docs.sparkSession
     families = list(TEMPLATES)
+    unknown = len(families)
     rows = materialize(paragraphs(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()), "lic-paragraphs")
-    line = F.element_at(F.split(text_or_empty(text_col), "\n", -1), 1)
-    plain = (docs.select(line.alias("paragraph")).where((F.col("paragraph") != "") & ~F.col("paragraph").rlike(CUES))
-             .withColumn("draw", F.xxhash64("paragraph")).orderBy("draw", "paragraph").limit(max_lines)
-             .select(F.lit(len(families)).alias("label"), "paragraph"))
-    known = _features(_variants(spark, families).unionByName(plain)).withColumn(
-        "fold", F.pmod(F.xxhash64("paragraph"), F.lit(4)))
-    known = materialize(known.select("label", "features", "fold", "paragraph").coalesce(1).sort("label", "paragraph"), "lic-train")
-    model = LogisticRegression(maxIter=30, regParam=1e-3, family="multinomial").fit(known.where("fold != 0"))
-
-    def predicted(df: DataFrame) -> DataFrame:
-        p = vector_to_array(F.col("probability"))
-        return model.transform(df).withColumn("p", p).withColumn("best", F.array_max(F.slice("p", 1, len(families)))).withColumn(
-            "family", (F.array_position("p", F.col("best")) - 1).cast("int"))
-    wrong = predicted(known.where(f"fold = 0 AND label = {len(families)}"))
-    limit = max(0.5, wrong.agg(F.percentile("best", F.lit(1 - false_rate))).first()[0] or 0.0)
     joined = F.regexp_replace(F.col("whole"), r"\s+", " ")
     barred = F.array_compact(F.array(*(F.when(joined.rlike(words) & ~joined.rlike(unless), F.lit(families.index(f)))
                                        for f, (words, unless) in OTHERS.items())))
-    flat = rows.select("uid", F.posexplode("paragraphs").alias("at", "whole")).select(
-        "uid", "at", barred.alias("barred"), F.explode(units(F.col("whole"))).alias("paragraph"))
-    # cut here: the optimizer would copy the bigrams' expression into every template's comparison
-    flat = materialize(_features(materialize(flat, "lic-units")).select("uid", "at", "barred", "paragraph", "features", "pairs"), "lic-pairs")
-    flat = flat.withColumn("held", F.filter(_held(F.col("pairs")), lambda t: (t["share"] >= contained)
-                                           & ~F.array_contains("barred", t["family"])))
-    sure = predicted(materialize(flat.drop("pairs"), "lic-held").where(F.size("held") > 0)).where(F.col("best") >= limit)
-    found = F.filter("held", lambda t: (t["family"] == F.col("family")) | (t["own"] >= contained))
+    # written here: above the next explode these patterns would run once per unit over the whole paragraph
+    whole = materialize(rows.select("uid", F.posexplode("paragraphs").alias("at", "whole")).withColumn("barred", barred), "lic-whole")
+    grams = F.array(*map(F.lit, sorted({g for ts in TEMPLATES.values() for t in ts for g in _plain_bigrams(t)})))
+    flat = whole.select("uid", "at", "barred", F.explode(units(F.col("whole"))).alias("paragraph"))
+    # and here: the optimizer would copy the bigrams' expression into every template's comparison
+    flat = materialize(_features(flat).where(F.arrays_overlap("pairs", grams)).select("uid", "at", "barred", "paragraph", "features", "pairs"), "lic-pairs")
+    flat = materialize(flat.withColumn("shares", _held(F.col("pairs"))).drop("pairs").withColumn(
+        "most", F.array_max(F.transform("shares", lambda t: t["share"]))), "lic-shares")
+    seen = F.pmod(F.xxhash64("paragraph"), F.lit(4)) != 0
+    vague = flat.where(F.col("most") < contained / 2).select(F.lit(unknown).alias("label"), "paragraph", "features")
+    some = vague.where(seen).groupBy("paragraph").agg(F.first("features").alias("features")).withColumn("draw", F.xxhash64("paragraph"))
+    some = some.orderBy("draw", "paragraph").limit(max_lines).select(F.lit(unknown).alias("label"), "paragraph", "features")
+    given = _features(_variants(spark, families)).select("label", "paragraph", "features")
+    known = materialize(given.where(seen).unionByName(some).coalesce(1).sort("label", "paragraph"), "lic-train")
+    model = LogisticRegression(maxIter=30, regParam=1e-3, family="multinomial").fit(known)
+
+    def predicted(df: DataFrame) -> DataFrame:
+        return model.transform(df).withColumn("p", vector_to_array(F.col("probability")))
+    unseen = vague.where(~seen).unionByName(given.where(~seen & (F.col("label") == unknown)))
+    limit = predicted(unseen).agg(F.percentile_approx(F.array_max(F.slice("p", 1, unknown)), F.lit(1 - false_rate), F.lit(10_000))).first()[0]
+    limit = 0.5 if limit is None else limit
+    sure = predicted(flat.where(F.col("most") >= contained))
+    found = F.filter("shares", lambda t: (t["share"] >= contained) & ~F.array_contains("barred", t["family"]) & (F.get("p", t["family"]) > limit))
     sure = sure.select("uid", "at", F.explode(F.transform(found, lambda t: t["family"])).alias("family"))
     names = F.array(*map(F.lit, families))
     per = sure.groupBy("uid").agg(F.countDistinct("at").alias("n"), F.sort_array(F.collect_set(F.get(names, F.col("family")))).alias("names"))
