@@ -12,8 +12,9 @@ that, and in scripts written without spaces, one starts at every character, so t
 insults of two characters count too.  A text's margin is that of its most toxic string,
 and a logistic curve turns the margin into a score.
 
-Training uses at most ``max_per_class`` labelled rows of either label, the first in the
-order of a hash of the text.  Sentences of toxic texts are not labelled one by one, so the
+Training uses at most ``max_per_class`` different labelled texts of either label, the first in
+the order of a hash of the text; of their clean strings every so many-th goes into a fit, about
+CLEAN_STRINGS of them beside the worst ones.  Sentences of toxic texts are not labelled one by one, so the
 string that stands for a toxic text is chosen again after each fit (the first time by how
 much the text's character 5-grams are commoner in toxic texts); sentences of clean texts
 all count as clean, represented by their worst strings.  Each fit adds the worst window
@@ -36,12 +37,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped
+from .common import grouped, materialize
 
 MAX_PER_CLASS = 1200
+CLEAN_STRINGS = 4000
 SPAN, DECAY, BITS = 7, 0.85, 18
 LANDMARKS = 192
 LOWEST = -3.0
@@ -301,7 +303,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
         positive = [w for w in positive if w not in negative or toxic_use[w] > 3 * clean_use[w]]
         if not positive or not negative:
             break
-        spread = sorted(clean_use)[:: max(1, len(clean_use) // 4000)]
+        spread = sorted(clean_use)[:: max(1, len(clean_use) // CLEAN_STRINGS)]
         bad = sorted(set(negative) | set(spread))
         x = np.vstack([_matrix(part, columns) @ phi.T @ root for part in (positive, bad)])
         w, b = _svm(x, np.array([1.0] * len(positive) + [-1.0] * len(bad)))
@@ -333,23 +335,51 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
     return model
 
 
+#: a text's place in the order of the sample, and a second hash that tells texts with one place apart
+DRAWS = 1 << 40
+
+
+def _drawn(text: Column) -> list[Column]:
+    return [F.pmod(F.xxhash64(text), F.lit(DRAWS)).alias("draw"), F.xxhash64(text, F.lit(1)).alias("again")]
+
+
+def _chosen(keys: DataFrame, max_per_class: int) -> DataFrame:
+    """The ``max_per_class`` first rows of (draw, again, label, ...) of either label, as a broadcast of that bounded size.
+
+    ``keys`` holds a row per different text; only draws below a bound that leaves four times as many are gathered."""
+    counts = {r["label"]: r["count"] for r in keys.groupBy("label").count().collect()}
+    found: list = []
+    for label in (0, 1):
+        n = counts.get(label, 0)
+        for bound in (4 * max_per_class * DRAWS // max(n, 1), DRAWS):
+            some = keys.where((F.col("label") == label) & (F.col("draw") < min(bound, DRAWS))).orderBy("draw", "again").limit(max_per_class).collect()
+            if len(some) == min(n, max_per_class):
+                break
+        found += some
+    return F.broadcast(keys.sparkSession.createDataFrame(found, keys.schema))
+
+
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
           max_per_class: int = MAX_PER_CLASS) -> Model | None:
-    """Fits on at most ``max_per_class`` rows of each label of (text, label)."""
-    texts, labels = [], []
+    """Fits on at most ``max_per_class`` different texts of each label of (text, label).
+
+    Texts are chosen by their hashes; only the chosen ones are sent, whole."""
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("label"))
-    for label in (0, 1):
-        some = (rows.where((F.col("label") == label) & F.col("text").isNotNull())
-                .withColumn("draw", F.xxhash64("text")).orderBy("draw", "text").limit(max_per_class).collect())
-        texts += [r["text"] for r in some]
-        labels += [label] * len(some)
-    return fit(texts, labels)
+    rows = rows.where(F.col("text").isNotNull() & F.col("label").isin(0, 1)).select("text", "label", *_drawn(F.col("text")))
+    keys = ["draw", "again", "label"]
+    chosen = _chosen(materialize(rows.select(*keys).distinct(), "toxic-draws"), max_per_class)
+    some = rows.join(chosen, keys).groupBy(*keys).agg(F.first("text").alias("text")).orderBy("label", "draw", "again").collect()
+    return fit([r["text"] for r in some], [r["label"] for r in some])
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
           keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, score, k0, k1, ...: the columns in ``keep``), a row for each row of ``docs``."""
-    schema = ", ".join([f"doc_id {docs.schema[id_col].dataType.simpleString()}", "score double",
+    return _scored(docs, model, F.col(id_col), docs.schema[id_col].dataType.simpleString(), text_col, keep)
+
+
+def _scored(docs: DataFrame, model: Model | None, id_column: Column, id_type: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    schema = ", ".join([f"doc_id {id_type}", "score double",
                         *(f"`k{i}` {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +403,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values), *batch.columns[2:]],
                                              names=["doc_id", "score", *(f"k{i}" for i in range(len(keep)))])
 
-    out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+    out = docs.select(id_column.alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                       *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep))).mapInArrow(run, schema)
     return out
 
@@ -381,7 +411,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 def reject(docs: DataFrame, model: Model | None, limit: float = LIMIT, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below ``limit``, with all their columns."""
     names = docs.columns
-    scored = score(docs.select("*", F.lit(0).alias("__row")), model, "__row", text_col, tuple(names))
+    scored = _scored(docs, model, F.lit(0), "int", text_col, tuple(names))
     return scored.where(F.col("score") < limit).select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(names)))
 
 
@@ -390,8 +420,16 @@ def held_out(id_column):
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "toxic") -> DataFrame:
-    """(text, toxic) of the documents whose id is not held out."""
-    marked = labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("toxic")).where(~held_out(F.col("__id")))
-    return docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("text")).join(
-        marked, F.col("__doc") == F.col("__id")).select("text", "toxic")
+                  label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS) -> DataFrame:
+    """(text, toxic): at most ``max_per_class`` different texts of each label, the first in the
+    order of a hash of the text, of the documents whose id is not held out.
+
+    Only ids, hashes and labels are joined; the texts are fetched by a broadcast of the chosen ids."""
+    marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where(
+        F.col("label").isin(0, 1) & ~held_out(F.col("id")))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
+    texts = texts.select("id", "text", *_drawn(F.col("text")))
+    keys = texts.select("id", "draw", "again").join(marked, "id").groupBy("draw", "again", "label").agg(F.min("id").alias("id"))
+    chosen = _chosen(materialize(keys, "toxic-draws"), max_per_class)
+    some = texts.join(chosen, ["id", "draw", "again"]).groupBy("draw", "again", "label").agg(F.first("text").alias("text"))
+    return materialize(some.select("text", F.col("label").alias("toxic")), "toxic-labelled")
