@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -171,3 +171,22 @@ def violations_found(report: dict[str, DataFrame]) -> DataFrame:
         frames.append(df.filter(bad).select(F.lit(check).alias("check"), "table_name",
                                             F.to_json(F.struct(*df.columns)).alias("detail")))
     return _union_all(frames)
+
+
+def content_digest(df: DataFrame) -> DataFrame:
+    """One row (n_rows, digest): equal for equal bags of rows, whatever their order, files or columns' order.
+
+    A row's text is its values in the order of the column names, NULL as a mark no value has;
+    floating-point values count in millionths.  Digests of rows (60 bits of MD5) are added up,
+    so tasks sum on their own and any SQL engine can repeat it; copies of a row count each.
+    """
+    def text(field) -> Column:
+        c = F.col(f"`{field.name}`")
+        if field.dataType.typeName() in ("float", "double"):
+            c = F.floor(c.cast("double") * 1_000_000 + 0.5)
+        return F.coalesce(c.cast("string"), F.lit("\u2205"))
+
+    fields = sorted(df.schema.fields, key=lambda f: f.name)
+    row = F.md5(F.concat_ws("|", *map(text, fields)))
+    value = F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(20,0)")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(value).cast("string"), F.lit("0")).alias("digest"))

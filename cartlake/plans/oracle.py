@@ -168,6 +168,41 @@ UNION ALL
 SELECT * FROM f_target t WHERE NOT EXISTS (SELECT 1 FROM m_latest l WHERE l.product_id IS NOT DISTINCT FROM t.product_id)
 """
 
+#: table -> (rows, its columns in the order of their names; those with * are floating-point)
+_BASKET = "add_to_cart_order order_id product_id reordered"
+_SILVER_COLUMNS = {
+    "products": "aisle_id department_id product_id product_name", "aisles": "aisle aisle_id",
+    "departments": "department department_id",
+    "orders": "days_since_prior eval_set order_dow order_hour_of_day order_id order_number user_id",
+    "order_products__prior": _BASKET, "order_products__train": _BASKET, "order_products": _BASKET,
+    "order_products_prior": "add_to_cart_order days_since_prior eval_set order_dow order_hour_of_day order_id order_number product_id reordered user_id",
+    "user_features_1": "avg_days_since_prior_order* max_order_num sum_days_since_prior_order user_id",
+    "user_features_2": "total_number_distinct_products total_number_products user_id user_reorder_ratio*",
+    "up_features": "avg_add_to_cart_order* max_order_number min_order_number product_id total_number_orders user_id",
+    "prd_features": "first_time_purchases product_id second_time_purchases total_purchases total_reorders",
+}
+_SILVER = {
+    "products": "SELECT * FROM f_products", "aisles": "SELECT * FROM f_aisles", "departments": "SELECT * FROM f_departments",
+    "orders": "SELECT * FROM f_orders", "order_products__prior": "SELECT * FROM f_opn_prior",
+    "order_products__train": "SELECT * FROM f_opn_train", "order_products": "SELECT * FROM f_order_products",
+    "order_products_prior": "SELECT * FROM f_opp", "user_features_1": _UF1, "user_features_2": _UF2, "up_features": _UP,
+    "prd_features": _PRD,
+}
+
+
+def _digests(tables: dict[str, str]) -> str:
+    """The content digest of each table, in plain SQL."""
+    def text(column: str) -> str:
+        value = f"floor({column[:-1]} * 1000000 + 0.5)::BIGINT" if column.endswith("*") else column
+        return f"coalesce({value}::VARCHAR, '\u2205')"
+
+    def one(name: str, rows: str) -> str:
+        line = " || '|' || ".join(text(c) for c in _SILVER_COLUMNS[name].split())
+        return (f"SELECT '{name}' AS table_name, count(*)::BIGINT AS n_rows, "
+                f"coalesce(sum(('0x' || substr(md5({line}), 1, 15))::BIGINT), 0)::VARCHAR AS digest FROM ({rows})")
+    return " UNION ALL ".join(one(*x) for x in tables.items())
+
+
 ORACLE_BODIES: dict[str, str] = {
     # ---- projections / filters
     "normalize_bool_flag": """
@@ -338,31 +373,20 @@ ORACLE_BODIES: dict[str, str] = {
         SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day,
                days_since_prior::FLOAT AS days_since_prior
         FROM f_orders""",
+    "csv_quoted_load": r"""
+        SELECT doc_id, CASE WHEN doc_id % 5 = 1 THEN '' WHEN doc_id % 5 <> 2 THEN regexp_replace(text, '\r', ' ', 'g') END AS text, lang
+        FROM documents""",
     "csv_gzip_load": """
         SELECT order_id, product_id, add_to_cart_order, (reordered = 'true') AS reordered FROM f_op_prior""",
     "external_parquet_table": "SELECT * FROM f_op_prior",
     "parquet_landing_write": "SELECT * FROM f_orders",
+    "landing_byte_cap": "SELECT * FROM documents",
     "drop_and_create_target": "SELECT * FROM f_op_prior",
     "partitioned_landing": "SELECT * FROM f_orders",
     "dated_batch_export": "SELECT * FROM f_op_prior",
-    "select_tables_like": """
-        SELECT 'order_products__prior' AS table_name, count(*)::BIGINT AS n_rows FROM f_op_prior
-        UNION ALL
-        SELECT 'order_products__train', count(*)::BIGINT FROM f_op_train""",
+    "select_tables_like": _digests({"order_products__prior": "SELECT * FROM f_op_prior", "order_products__train": "SELECT * FROM f_op_train"}),
     "create_or_replace_table": f"SELECT *, {TEST_EPOCH}::DOUBLE AS updated_at FROM f_products",
-    "publish_all": """
-        SELECT 'products' AS table_name, count(*)::BIGINT AS n_rows FROM f_products
-        UNION ALL SELECT 'aisles', count(*)::BIGINT FROM f_aisles
-        UNION ALL SELECT 'departments', count(*)::BIGINT FROM f_departments
-        UNION ALL SELECT 'orders', count(*)::BIGINT FROM f_orders
-        UNION ALL SELECT 'order_products__prior', count(*)::BIGINT FROM f_op_prior
-        UNION ALL SELECT 'order_products__train', count(*)::BIGINT FROM f_op_train
-        UNION ALL SELECT 'order_products', count(*)::BIGINT FROM f_order_products
-        UNION ALL SELECT 'order_products_prior', count(*)::BIGINT FROM f_opp
-        UNION ALL SELECT 'user_features_1', count(DISTINCT user_id)::BIGINT FROM f_orders
-        UNION ALL SELECT 'user_features_2', count(DISTINCT user_id)::BIGINT FROM f_opp
-        UNION ALL SELECT 'up_features', count(*)::BIGINT FROM (SELECT DISTINCT user_id, product_id FROM f_opp)
-        UNION ALL SELECT 'prd_features', count(DISTINCT product_id)::BIGINT FROM f_opp""",
+    "publish_all": _digests(_SILVER),
 }
 
 

@@ -272,6 +272,24 @@ def q_csv_typed_load(spark, sf):
     return files.csv_typed_load(spark, path, ORDERS_CSV_SCHEMA)
 
 
+def q_csv_quoted_load(spark, sf):
+    """Whole document texts in COPY's CSV form, made by SQL text functions and not by the CSV
+    writer: quotes doubled, line breaks inside fields, "" for an empty string, a gap for NULL.
+    (Carriage returns become spaces first: the reader takes them for line breaks.)"""
+    path = workspace(spark, "csvq") + "/documents"
+    d = fz.read(spark, sf, "documents")
+    text = F.when(F.col("doc_id") % 5 == 1, F.lit("")).when(F.col("doc_id") % 5 != 2, F.regexp_replace("text", "\r", " "))
+    field = F.coalesce(F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+    line = F.concat(F.col("doc_id").cast("string"), F.lit(","), field, F.lit(","), F.coalesce(F.col("lang"), F.lit("")))
+    # a file per shuffle partition, each with a header line
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = d.select(F.pmod(F.xxhash64("doc_id"), F.lit(parts)).alias("part"), "doc_id", line.alias("line"))
+    head = rows.select("part").distinct().select("part", F.lit(None).cast("long").alias("doc_id"), F.lit("doc_id,text,lang").alias("line"))
+    both = rows.unionByName(head).repartition("part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first())
+    both.select("part", F.col("line").alias("value")).write.partitionBy("part").text(path)
+    return files.csv_typed_load(spark, f"{path}/part=*", "doc_id LONG, text STRING, lang STRING", multiline=True)
+
+
 def q_csv_gzip_load(spark, sf):
     """Prior baskets as gzip CSV with the flag spelled 1/0 -> typed load with BOOLEAN."""
     path = workspace(spark, "csvgz") + "/order_products__prior"
@@ -326,6 +344,12 @@ def q_parquet_landing_write(spark, sf):
     return spark.read.parquet(path)
 
 
+def q_landing_byte_cap(spark, sf):
+    """Whole documents landed under a cap of 100 KB a file; the rows read back."""
+    path = landing.parquet_landing_write(fz.read(spark, sf, "documents"), workspace(spark, "landing-cap"), "documents", max_file_kb=100)
+    return spark.read.parquet(path)
+
+
 def q_drop_and_create_target(spark, sf):
     root = workspace(spark, "reload")
     landing.drop_and_create_target(fz.order_products(spark, sf, "train"), root, "order_products")
@@ -349,14 +373,16 @@ def q_dated_batch_export(spark, sf):
 
 def q_select_tables_like(spark, sf):
     """Full load of every raw table whose name matches 'order_products%' (copied
-    concurrently), reporting rows per copied table read back from the copies."""
+    concurrently), with the digest of each copy's contents."""
     root = workspace(spark, "like")
     db = _land_raw(spark, sf, root)
     paths = landing.full_load(spark, db, f"{root}/copy", "order_products%")
-    return qc._union_all([
-        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"),
-                                                                                  "n_rows")
-        for name, path in sorted(paths.items())])
+    return _digests({name: spark.read.parquet(path) for name, path in sorted(paths.items())})
+
+
+def _digests(tables: dict[str, DataFrame]) -> DataFrame:
+    return qc._union_all([qc.content_digest(df).select(F.lit(name).alias("table_name"), "n_rows", "digest")
+                          for name, df in tables.items()])
 
 
 def q_create_or_replace_table(spark, sf):
@@ -370,15 +396,13 @@ def q_create_or_replace_table(spark, sf):
 
 
 def q_publish_all(spark, sf):
-    """End to end: land raw tables, register them, run the feature job, count each
-    published table from its published files."""
+    """End to end: land raw tables, register them, run the feature job; the digest of each
+    published table's contents."""
     root = workspace(spark, "job")
     raw_db = _land_raw(spark, sf, root)
     silver = VersionedTables(spark, f"{root}/silver", f"silver_{_uid()}")
     FeatureJob(spark, raw_db, silver).run()
-    return qc._union_all([
-        silver.table(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
-        for t in SILVER_TABLES])
+    return _digests({t: silver.table(t) for t in SILVER_TABLES})
 
 
 def q_apply_changes(spark, sf):
@@ -462,9 +486,11 @@ QUERIES: dict[str, Query] = {
     "apply_changes_keyed": q_apply_changes_keyed,         # §2.11: key buckets, NULL keys, replay
     # sources / sinks
     "csv_typed_load": q_csv_typed_load,                   # K4
+    "csv_quoted_load": q_csv_quoted_load,                 # K4: quotes, line breaks, "" and NULL
     "csv_gzip_load": q_csv_gzip_load,                     # K5
     "external_parquet_table": q_external_parquet_table,   # K1, K2, K3
     "parquet_landing_write": q_parquet_landing_write,     # K8
+    "landing_byte_cap": q_landing_byte_cap,               # K8: bytes measured
     "drop_and_create_target": q_drop_and_create_target,   # K9
     "partitioned_landing": q_partitioned_landing,         # K14
     "dated_batch_export": q_dated_batch_export,           # K13

@@ -7,9 +7,12 @@ the output committer), so a lost executor only re-runs its tasks.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Fixed values of the source settings.
 LANDING_COMPRESSION = "gzip"          # replication target writes gzip Parquet
@@ -18,24 +21,39 @@ EXPORT_MAX_RECORDS = 300000           # warehouse export rows per part file
 FULL_LOAD_PARALLEL_TABLES = 8         # tables loaded at the same time in a full load
 
 
-# Assumed mean widths (bytes) used to turn a byte cap into a row cap.
+# Bytes of values of a fixed width.
 _WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "long": 8,
-          "double": 8, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16, "string": 32, "binary": 32}
+          "double": 8, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16}
+# Bytes of a file that are not rows: footer, page headers.
+_FILE_BYTES = 8 * 1024
+# Standard deviations by which a file's rows may be wider than the mean.
+_SPREAD = 4
 
 
-def row_width(schema) -> int:
-    """Estimated uncompressed row width from the schema alone (no job is run);
-    nested and unknown types count 64 bytes."""
-    return max(1, sum(_WIDTH.get(f.dataType.typeName(), 64) for f in schema.fields))
+def row_width(df: DataFrame) -> Column:
+    """Uncompressed bytes of a row: texts and binaries as long as they are, nested values as JSON."""
+    def width(field) -> Column:
+        c, kind = F.col(f"`{field.name}`"), field.dataType.typeName()
+        if kind in _WIDTH:
+            return F.lit(_WIDTH[kind])
+        return F.coalesce(F.octet_length(c if kind in ("string", "binary") else F.to_json(F.struct(c))), F.lit(0)) + 4
+    return reduce(lambda a, b: a + b, [width(f) for f in df.schema.fields], F.lit(0)).cast("double")
 
 
 def records_per_file(df: DataFrame, max_bytes: int) -> int:
     """Rows per file so that a file stays under ``max_bytes``.
 
-    Spark caps files by record count, not bytes.  The estimate uses
-    uncompressed widths, so compressed Parquet files come out below the cap.
+    Spark caps files by record count, not bytes.  One aggregate measures the mean and the
+    deviation of the rows' widths; n rows then take about mean * n bytes, and hardly ever
+    more than _SPREAD deviations * sqrt(n) beyond.  Widths are uncompressed, so files come out smaller.
     """
-    return max(1, int(max_bytes // row_width(df.schema)))
+    w = row_width(df)
+    m, s = df.agg(F.avg(w), F.coalesce(F.stddev_pop(w), F.lit(0.0))).first()
+    room = max(max_bytes - _FILE_BYTES, 1)
+    if not m:
+        return max(1, room)
+    s *= _SPREAD
+    return max(1, int(((math.sqrt(s * s + 4 * m * room) - s) / (2 * m)) ** 2))
 
 
 def landing_path(root: str, schema: str, table: str) -> str:
@@ -51,7 +69,9 @@ def parquet_landing_write(df: DataFrame, root: str, table: str, schema: str = "p
     mode 'overwrite' replaces the target's contents on every full load (drop
     and create); ``partition_by`` gives a Hive-style folder per value.  Column
     statistics stay on (Spark's default), unlike a statistics-free landing:
-    they let later scans skip row groups for pushed-down filters.
+    they let later scans skip row groups for pushed-down filters.  Without
+    ``max_records`` the rows per file follow from measured widths (one aggregate
+    over ``df``: pass a written table if it is expensive).
     """
     path = landing_path(root, schema, table)
     n = max_records or records_per_file(df, max_file_kb * 1024)

@@ -6,7 +6,6 @@ Parquet files (schema on read).  Dropping such a table keeps its files.
 
 from __future__ import annotations
 
-import re
 import re
 
 from pyspark.sql import DataFrame, Row, SparkSession
