@@ -212,8 +212,8 @@ ORACLE_BODIES: dict[str, str] = {
         FROM f_flags""",
     "filter_eq": "SELECT * FROM f_orders WHERE eval_set = 'prior'",
     "filter_not_null": "SELECT * FROM f_orders WHERE days_since_prior IS NOT NULL",
-    "filter_or": "SELECT * FROM f_products WHERE product_id = 31 OR product_id = 32",
-    "filter_range": "SELECT * FROM f_products WHERE product_id > 30 AND product_id < 35",
+    "filter_or": "SELECT * FROM f_products WHERE product_id < 25 OR product_id = 140 OR product_id > 1900",
+    "filter_range": "SELECT * FROM f_products WHERE product_id > 120 AND product_id < 170",
     "case_flag_else": """
         SELECT order_id, product_id, (CASE WHEN reordered = 1 THEN 1 ELSE 0 END)::INTEGER AS reordered_flag
         FROM f_opp""",
@@ -265,11 +265,21 @@ ORACLE_BODIES: dict[str, str] = {
     # ---- row-level changes
     "merge_upsert": _MERGED,
     "merge_upsert_messy": _MESSY,
+    "upsert_flow": """
+        , u_updates AS (
+          SELECT * FROM f_updates
+          UNION ALL VALUES (88, 'pearl barley', 4, 7, 2::DOUBLE), (5000001, 'buckwheat', 5, 7, 2::DOUBLE))
+        SELECT * FROM u_updates
+        UNION ALL
+        SELECT * FROM f_target t WHERE NOT EXISTS (SELECT 1 FROM u_updates u WHERE u.product_id = t.product_id)""",
+    "delete_point": "SELECT * FROM f_products WHERE product_id <> 140",
     "delete_where": "SELECT * FROM f_orders WHERE NOT coalesce(days_since_prior > 20, false)",
     "update_round": """
         SELECT event_id, round_even(value::FLOAT, 0)::FLOAT AS value FROM events""",
     "alter_column_type": """
         SELECT event_id, (value::FLOAT)::INTEGER AS value FROM events""",
+    "alter_column_type_bigint": """
+        SELECT event_id, (value::FLOAT)::BIGINT AS value FROM events""",
     # ---- quality checks
     "check_primary_key": """
         SELECT table_name, key_columns, sum(n)::BIGINT AS n_rows,
@@ -383,6 +393,9 @@ ORACLE_BODIES: dict[str, str] = {
     "landing_byte_cap": "SELECT * FROM documents",
     "drop_and_create_target": "SELECT * FROM f_op_prior",
     "partitioned_landing": "SELECT * FROM f_orders",
+    "partition_reload": """
+        SELECT * REPLACE ((order_hour_of_day + CASE WHEN eval_set = 'train' THEN 100 ELSE 0 END)::INTEGER AS order_hour_of_day) FROM f_orders""",
+    "drop_create_table": "SELECT * FROM f_orders",
     "dated_batch_export": "SELECT * FROM f_op_prior",
     "select_tables_like": _digests({"order_products__prior": "SELECT * FROM f_op_prior", "order_products__train": "SELECT * FROM f_op_train"}),
     "create_or_replace_table": f"SELECT *, {TEST_EPOCH}::DOUBLE AS updated_at FROM f_products",

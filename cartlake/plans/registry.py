@@ -78,12 +78,22 @@ def q_filter_not_null(spark, sf):
     return fz.orders(spark, sf).filter("days_since_prior IS NOT NULL")
 
 
+def _landed_products(spark, sf):
+    """products landed in the order of their id: bounds on it reach the scan and skip row groups."""
+    path = landing.parquet_landing_write(fz.products(spark, sf), workspace(spark, "sorted"), "products", sort_by=["product_id"])
+    return spark.read.parquet(path)
+
+
 def q_filter_or(spark, sf):
-    return fz.products(spark, sf).filter("product_id == 31 OR product_id == 32")
+    return _landed_products(spark, sf).filter("product_id < 25 OR product_id = 140 OR product_id > 1900")
 
 
 def q_filter_range(spark, sf):
-    return fz.products(spark, sf).filter((F.col("product_id") > 30) & (F.col("product_id") < 35))
+    return _landed_products(spark, sf).filter((F.col("product_id") > 120) & (F.col("product_id") < 170))
+
+
+def q_delete_point(spark, sf):
+    return ch.delete_where(_landed_products(spark, sf), "product_id = 140")
 
 
 def q_case_flag_else(spark, sf):
@@ -191,6 +201,19 @@ def q_merge_upsert_messy(spark, sf):
     return ch.merge_upsert(fz.messy_target(spark, sf), fz.messy_updates(spark, sf), "product_id")
 
 
+#: a hand-written batch: one product that is there, one that is not
+PRICE_LIST = ({"product_id": 88, "product_name": "pearl barley", "aisle_id": 4, "department_id": 7, "updated_at": 2.0},
+              {"product_id": 5_000_001, "product_name": "buckwheat", "aisle_id": 5, "department_id": 7, "updated_at": 2.0})
+
+
+def q_upsert_flow(spark, sf):
+    """Literal rows and an update batch behind one view, a derived table of it as MERGE source."""
+    target, batch = fz.product_target(spark, sf), fz.product_updates(spark, sf)
+    view = f"restock_{_uid()}"
+    cat.temp_view(batch.unionByName(cat.rows_to_df(spark, list(PRICE_LIST), target.schema)), view)
+    return ch.merge_upsert(target, spark.sql(f"SELECT * FROM (SELECT * FROM {view}) AS listed"), "product_id")
+
+
 def q_delete_where(spark, sf):
     return ch.delete_where(fz.orders(spark, sf), F.col("days_since_prior") > 20)
 
@@ -207,6 +230,10 @@ def q_alter_column_type(spark, sf):
     return ch.alter_column_type(_event_values(spark, sf), "value", "int")
 
 
+def q_alter_column_type_bigint(spark, sf):
+    return ch.alter_column_type(_event_values(spark, sf), "value", "bigint")
+
+
 # ------------------------------------------------------------------ quality checks
 
 def q_check_primary_key(spark, sf):
@@ -364,6 +391,26 @@ def q_partitioned_landing(spark, sf):
     return spark.read.parquet(path).select(*src.columns)
 
 
+def q_partition_reload(spark, sf):
+    """All orders landed by eval_set, then one eval_set loaded again with later hours: the others stay."""
+    root, src = workspace(spark, "reload-parts"), fz.orders(spark, sf)
+    landing.partitioned_landing(src, root, "orders", ["eval_set"])
+    again = src.filter("eval_set = 'train'").withColumn("order_hour_of_day", F.col("order_hour_of_day") + 100)
+    path = landing.partitioned_landing(again, root, "orders", ["eval_set"], reload=True)
+    return spark.read.parquet(path).select(*src.columns)
+
+
+def q_drop_create_table(spark, sf):
+    """Create with the declared columns, load, drop and create again, load all orders, read."""
+    root, name = workspace(spark, "ddl"), f"orders_{_uid()}"
+    src = fz.orders(spark, sf)
+    for i in (1, 2):
+        cat.drop_create_table(spark, name, [("order_id", "int"), ("user_id", "int"), ("eval_set", "varchar(20)"), ("order_number", "int"),
+                                            ("order_dow", "int"), ("order_hour_of_day", "int"), ("days_since_prior", "int")], f"{root}/{i}")
+        loaded = cat.load_table(src, name, not_null=tuple(NOT_NULL["orders"]))
+    return loaded
+
+
 def q_dated_batch_export(spark, sf):
     root = workspace(spark, "export")
     path = landing.dated_batch_export(fz.order_products(spark, sf, "prior"), root, "order_products__prior",
@@ -473,9 +520,12 @@ QUERIES: dict[str, Query] = {
     "limit_show": q_limit_show,                           # O2
     "merge_upsert": q_merge_upsert,                       # D1
     "merge_upsert_messy": q_merge_upsert_messy,           # D1, J3: NULL and repeated keys
+    "upsert_flow": q_upsert_flow,                         # K15, K16, P15, D1
     "delete_where": q_delete_where,                       # D2
+    "delete_point": q_delete_point,                       # P10, D2
     "update_round": q_update_round,                       # D3
     "alter_column_type": q_alter_column_type,             # D4
+    "alter_column_type_bigint": q_alter_column_type_bigint,  # D4
     "check_primary_key": q_check_primary_key,             # Q1
     "check_composite_key": q_check_composite_key,         # Q5
     "check_not_null": q_check_not_null,                   # Q2
@@ -493,6 +543,8 @@ QUERIES: dict[str, Query] = {
     "landing_byte_cap": q_landing_byte_cap,               # K8: bytes measured
     "drop_and_create_target": q_drop_and_create_target,   # K9
     "partitioned_landing": q_partitioned_landing,         # K14
+    "partition_reload": q_partition_reload,               # K9, K14
+    "drop_create_table": q_drop_create_table,             # K18
     "dated_batch_export": q_dated_batch_export,           # K13
     "select_tables_like": q_select_tables_like,           # K7
     "create_or_replace_table": q_create_or_replace_table, # K10

@@ -63,21 +63,31 @@ def landing_path(root: str, schema: str, table: str) -> str:
 def parquet_landing_write(df: DataFrame, root: str, table: str, schema: str = "public",
                           compression: str = LANDING_COMPRESSION, max_file_kb: int = LANDING_MAX_FILE_KB,
                           max_records: int | None = None, mode: str = "overwrite",
-                          partition_by: list[str] | None = None) -> str:
+                          partition_by: list[str] | None = None, sort_by: list[str] | None = None,
+                          reload: bool = False) -> str:
     """Write ``df`` as Parquet under ``root/schema/table``.
 
     mode 'overwrite' replaces the target's contents on every full load (drop
     and create); ``partition_by`` gives a Hive-style folder per value.  Column
     statistics stay on (Spark's default), unlike a statistics-free landing:
-    they let later scans skip row groups for pushed-down filters.  Without
+    they let later scans skip row groups for pushed-down filters; ``sort_by`` orders the rows
+    of each file (no shuffle), so that row groups hold narrow ranges of these columns.
+    ``reload`` (with ``partition_by``) replaces only the partitions that ``df`` brings and
+    keeps the others.  Without
     ``max_records`` the rows per file follow from measured widths (one aggregate
     over ``df``: pass a written table if it is expensive).
     """
     path = landing_path(root, schema, table)
     n = max_records or records_per_file(df, max_file_kb * 1024)
+    if reload and not partition_by:
+        raise ValueError("a reload of partitions needs partition_by")
+    if sort_by:
+        df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
     w = df.write.mode(mode).option("compression", compression).option("maxRecordsPerFile", n)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if reload:
+        w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
     return path
 

@@ -7,10 +7,12 @@
 2. add one commit record ``<root>/<db>/<table>/_log/<sequence>.json`` (a tiny JSON dataset);
 3. point the catalog table ``<db>.<table>`` at the new folder.
 
-Readers take the newest commit.  A failed write leaves no commit row, so the
-previous version stays current.  ``history`` and ``snapshots`` expose the log
-with the usual metadata-table columns.  The log has one row per commit; one
-writer per table at a time.
+Readers take the newest commit, looked up each time.  A commit record is written under
+another name and renamed, so it is whole or not there; what a crash left of an unfinished
+one is not a commit, and the next commit takes its place.  A failed write leaves no commit,
+so the previous version stays current; ``repair`` points the catalog at it if a crash came
+between the two.  ``history`` and ``snapshots`` expose the log with the usual
+metadata-table columns.  The log has one row per commit; one writer per table at a time.
 """
 
 from __future__ import annotations
@@ -58,7 +60,6 @@ class VersionedTables:
         self.root = root.rstrip("/")
         self.database = database
         self.register = register
-        self._current: dict = {}
         if register:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/{database}'")
 
@@ -76,19 +77,54 @@ class VersionedTables:
         p, fs = self._fs(path)
         return fs.exists(p)
 
+    def _commits(self, name: str) -> list[str]:
+        """Paths of the commit records, the newest first (file names only, one per commit)."""
+        p, fs = self._fs(self._log_dir(name))
+        if not fs.exists(p):
+            return []
+        names = [str(f.getPath()) for f in fs.listStatus(p) if f.getPath().getName()[:1] not in "._"]
+        return sorted((n for n in names if n.endswith(".json")), reverse=True)
+
+    def _read_commit(self, path: str) -> Row | None:
+        """A commit record; None for one that a crash left unfinished."""
+        p, fs = self._fs(path)
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            rec = json.loads(text)
+            rec["committed_at"] = _dt.datetime.fromisoformat(rec["committed_at"]).astimezone(_dt.timezone.utc).replace(tzinfo=None)
+            return Row(**{f.name: rec[f.name] for f in LOG_SCHEMA.fields})
+        except (ValueError, KeyError, TypeError):
+            return None
+
     def log(self, name: str) -> DataFrame:
         """Commit rows of ``name`` (empty before the first commit)."""
-        if not self._exists(self._log_dir(name)):
+        paths = self._commits(name)
+        if not paths:
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).json(self._log_dir(name))
+        return self.spark.read.schema(LOG_SCHEMA).json(paths).filter("manifest_list IS NOT NULL")
 
     def current(self, name: str):
         """The newest commit row, or None for a table never published."""
-        if name not in self._current:
-            if not self._exists(self._log_dir(name)):
-                return None          # never published: no job needed
-            self._current[name] = self.log(name).orderBy(F.col("sequence_number").desc()).first()
-        return self._current[name]
+        for path in self._commits(name):
+            row = self._read_commit(path)
+            if row is not None:
+                return row
+        return None
+
+    def repair(self, name: str) -> None:
+        """Point the catalog at the current version again (after a crash between commit and catalog)."""
+        row = self.current(name)
+        if row is not None and self.register:
+            self._point_catalog(name, row["manifest_list"], self.spark.read.parquet(row["manifest_list"]).schema)
+
+    def discard(self, staged: Staged) -> None:
+        """Delete a staged version that will not be committed."""
+        p, fs = self._fs(staged.path)
+        fs.delete(p, True)
 
     # ------------------------------------------------------------ write
     def stage(self, name: str, df: DataFrame) -> Staged:
@@ -125,7 +161,6 @@ class VersionedTables:
                      committed_at=_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
                      operation=operation, manifest_list=staged.path, summary=summary)
         self._write_commit(name, commit)
-        self._current[name] = commit
         if self.register:
             self._point_catalog(name, staged.path, staged.schema)
         return staged.snapshot_id
@@ -136,17 +171,26 @@ class VersionedTables:
         return self.commit(self.stage(name, df), operation, extra_summary)
 
     def _write_commit(self, name: str, commit: Row) -> None:
-        """One JSON line per commit, created only if absent: a second writer racing
-        for the same sequence number fails instead of forking the history."""
+        """One JSON line per commit, renamed into place whole; a second writer that took the same
+        sequence number first makes this one fail instead of forking the history."""
         rec = commit.asDict()
         # Explicit UTC offset: readers in any session time zone get the same instant.
         rec["committed_at"] = rec["committed_at"].isoformat(timespec="microseconds") + "+00:00"
-        p, fs = self._fs(f"{self._log_dir(name)}/{commit['sequence_number']:012d}.json")
-        out = fs.create(p, False)
+        place = f"{self._log_dir(name)}/{commit['sequence_number']:012d}.json"
+        p, fs = self._fs(place)
+        part, _ = self._fs(f"{self._log_dir(name)}/.{commit['snapshot_id']}.part")
+        out = fs.create(part, False)
         try:
             out.write(bytearray((json.dumps(rec) + "\n").encode("utf-8")))
         finally:
             out.close()
+        if fs.exists(p):
+            if self._read_commit(place) is not None:
+                fs.delete(part, False)
+                raise FileExistsError(f"commit {commit['sequence_number']} of {self.database}.{name} was made by another writer")
+            fs.delete(p, False)      # the rest of an unfinished commit
+        if not fs.rename(part, p):
+            raise FileExistsError(f"commit {commit['sequence_number']} of {self.database}.{name} was made by another writer")
 
     def _point_catalog(self, name: str, path: str, schema) -> None:
         """Point ``<db>.<name>`` at the new version.  Same columns and types: one
@@ -221,7 +265,7 @@ def publish_all(tables: VersionedTables, frames: list[tuple[str, DataFrame]],
     With ``parallelism`` > 1 the writes run as concurrent Spark jobs (small
     tables no longer leave the cluster idle one after another), while the
     commits still happen one by one in the given order.  A version written
-    after a failed one is never committed, so the visible outcome is the same
+    after a failed one is deleted and never committed, so the visible outcome is the same
     as publishing sequentially.
     """
     done: dict[str, int] = {}
@@ -235,11 +279,12 @@ def publish_all(tables: VersionedTables, frames: list[tuple[str, DataFrame]],
         for name, fut in futures:
             try:
                 staged = fut.result()
+                if failure is None:
+                    done[name] = tables.commit(staged)
+                else:
+                    tables.discard(staged)
             except Exception as e:  # keep waiting for the rest, commit nothing after this
                 failure = failure or e
-                continue
-            if failure is None:
-                done[name] = tables.commit(staged)
     if failure is not None:
         raise failure
     return done

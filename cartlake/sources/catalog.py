@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 COMPRESSIONS = ("gzip", "snappy")
@@ -44,7 +45,8 @@ def external_parquet_table(spark: SparkSession, name: str, database: str, locati
     """Register declared columns over a Parquet folder and return the table.
 
     ``compression`` documents the files' codec (readers detect it per file);
-    it must be gzip or snappy.  Re-registering an existing name is a no-op.
+    it must be gzip or snappy.  Re-registering an existing name at its location is a
+    no-op; at another location it is an error (drop the table first: its files stay).
     """
     if compression not in COMPRESSIONS:
         raise ValueError(f"compression must be one of {COMPRESSIONS}, got {compression!r}")
@@ -52,6 +54,10 @@ def external_parquet_table(spark: SparkSession, name: str, database: str, locati
         f"CREATE TABLE IF NOT EXISTS {_ident(database)}.{_ident(name)} ({ddl(columns)}) "
         f"USING PARQUET LOCATION '{location}' "
         f"TBLPROPERTIES ('classification'='parquet', 'compressionType'='{compression}')")
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(database)}.{_ident(name)}").filter("col_name = 'Location'").first()
+    there, asked = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x).toUri().getPath().rstrip("/") for x in (row["data_type"], location))
+    if there != asked:
+        raise ValueError(f"{database}.{name} is registered at {row['data_type']}, not at {location}")
     return read_table(spark, database, name)
 
 
@@ -63,7 +69,10 @@ def read_table(spark: SparkSession, database: str, name: str, catalog: str | Non
 
 def drop_create_table(spark: SparkSession, name: str, columns: list[tuple[str, str]],
                       location: str | None = None) -> None:
-    """DROP TABLE IF EXISTS + CREATE TABLE (Parquet; constraints become quality checks)."""
+    """DROP TABLE IF EXISTS + CREATE TABLE (Parquet).
+
+    ``varchar(n)`` columns are Spark's own: an insert of a longer value fails.  NOT NULL is
+    checked by ``load_table``, keys by the quality checks."""
     spark.sql(f"DROP TABLE IF EXISTS {_ident(name)}")
     sql = f"CREATE TABLE {_ident(name)} ({ddl(columns)}) USING PARQUET"
     if location:
@@ -71,6 +80,20 @@ def drop_create_table(spark: SparkSession, name: str, columns: list[tuple[str, s
     spark.sql(sql)
 
 
+def load_table(df: DataFrame, name: str, not_null: tuple[str, ...] = ()) -> DataFrame:
+    """INSERT INTO ``name`` by column name; a NULL in a ``not_null`` column, like a value too long
+    for its varchar(n), fails the load and leaves the table as it was."""
+    spark = df.sparkSession
+    columns = spark.table(name).columns
+
+    def checked(c: str):
+        fail = F.raise_error(F.lit(f"NULL in column {c} of {name}")).cast(df.schema[c].dataType)
+        return (F.when(F.col(c).isNull(), fail).otherwise(F.col(c)) if c in not_null else F.col(c)).alias(c)
+
+    df.select(*map(checked, columns)).write.insertInto(name)
+    return spark.table(name)
+
+
 def list_tables_like(spark: SparkSession, database: str, pattern: str = "%") -> list[str]:
     """Table names of ``database`` matching a SQL LIKE pattern ('%' any run, '_' one char).
 

@@ -56,3 +56,36 @@ def test_copy_csv_tells_empty_strings_from_nulls(spark):
     assert rows(got) == sorted(want, key=repr)
     # and the writer's files read back the same
     assert rows(files.csv_typed_load(spark, files.write_csv(got, f"{path}/out"), schema)) == rows(got)
+
+
+def test_bounds_reach_the_scan_of_a_sorted_landing(spark):
+    from cartlake.plans import registry as R
+    for query, bounds in ((R.q_filter_range, ("GreaterThan(product_id,120)", "LessThan(product_id,170)")),
+                          (R.q_filter_or, ("Or(", "EqualTo(product_id,140)"))):
+        df = query(spark, SF_MID)
+        pushed = next(x for x in df._jdf.queryExecution().toString().splitlines() if "PushedFilters" in x)
+        assert all(b in pushed for b in bounds), pushed
+        assert df.count() > 4
+
+
+def test_reload_keeps_the_partitions_it_does_not_bring(spark):
+    root = workspace(spark, "t-reload")
+    df = spark.createDataFrame([(i, "abc"[i % 3]) for i in range(30)], "k int, p string")
+    landing.partitioned_landing(df, root, "t", ["p"])
+    path = landing.partitioned_landing(spark.createDataFrame([(100, "b")], "k int, p string"), root, "t", ["p"], reload=True)
+    assert rows(spark.read.parquet(path).select("k", "p")) == sorted([*((i, "abc"[i % 3]) for i in range(30) if i % 3 != 1), (100, "b")], key=repr)
+    with pytest.raises(ValueError):
+        landing.parquet_landing_write(df, root, "t", reload=True)
+
+
+def test_declared_lengths_and_not_null_are_enforced_on_load(spark):
+    from cartlake.sources import catalog as cat
+    name = "t_declared_lengths"
+    cat.drop_create_table(spark, name, [("k", "int"), ("s", "varchar(20)")], location=workspace(spark, "t-varchar"))
+    fits = spark.createDataFrame([("y" * 20, 1), (None, 2)], "s string, k int")
+    assert cat.load_table(fits, name, not_null=("k",)).count() == 2
+    for bad, need in ((spark.createDataFrame([("y" * 21, 3)], "s string, k int"), ()), (fits, ("s",))):
+        with pytest.raises(Exception):
+            cat.load_table(bad, name, not_null=need)
+    assert spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")
