@@ -44,6 +44,8 @@ from .common import grouped, materialize
 
 MAX_PER_CLASS = 1200
 CLEAN_STRINGS = 4000
+#: strings turned into triple counts at a time
+ITEMS = 512
 SPAN, DECAY, BITS = 7, 0.85, 18
 LANDMARKS = 192
 LOWEST = -3.0
@@ -217,7 +219,8 @@ def _matrix(items: list[str], columns: dict[int, int]) -> np.ndarray:
         column = lookup[feature]
         hit = valid & (column >= 0)
         np.add.at(out, (owner[hit], column[hit]), weight)
-    return out / np.sqrt(np.maximum(norm, 1e-9))[:, None].astype(np.float32)
+    out /= np.sqrt(np.maximum(norm, 1e-9))[:, None].astype(np.float32)
+    return out
 
 
 def _svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
@@ -257,9 +260,8 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
     n_words = [len(s) for s in sets]
     # first choice of toxic strings: 5-grams that are commoner in toxic texts
     seen = [Counter(), Counter()]
-    grams = [{("^" + w)[i:i + 5] for w in s for i in range(max(1, len(w) - 3))} for s in sets]
-    for g, label in zip(grams, y):
-        seen[label].update(g)
+    for s, label in zip(sets, y):
+        seen[label].update({("^" + w)[i:i + 5] for w in s for i in range(max(1, len(w) - 3))})
     n1, n0 = int((y == 1).sum()), int((y == 0).sum())
     odds = {g: np.log((c + 0.5) / (n1 + 1)) - np.log((seen[0][g] + 0.5) / (n0 + 1)) for g, c in seen[1].items()}
 
@@ -305,7 +307,8 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
             break
         spread = sorted(clean_use)[:: max(1, len(clean_use) // CLEAN_STRINGS)]
         bad = sorted(set(negative) | set(spread))
-        x = np.vstack([_matrix(part, columns) @ phi.T @ root for part in (positive, bad)])
+        named = positive + bad
+        x = np.vstack([_matrix(named[i:i + ITEMS], columns) @ phi.T @ root for i in range(0, len(named), ITEMS)])
         w, b = _svm(x, np.array([1.0] * len(positive) + [-1.0] * len(bad)))
         weights = np.zeros(1 << BITS)
         weights[np.fromiter(columns, np.int64, len(columns))] = phi.T @ (root @ w)
