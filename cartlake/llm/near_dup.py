@@ -7,17 +7,26 @@ probability of at most MISS (binomial quantile; k grows if a low t needs it), so
 enough to look at each sketch's k - needed + 1 rarest values (sets smaller than k: the exact counterpart): two similar sets
 meet in the inverted list of at least one.
 
+The lists are built twice.  Short sketches of all sets only tell which sets meet anything;
+``long_k`` values of those few sets make the lists that are paired.  A long sketch has to
+share a larger part (191 of 256 against 17 of 32 at 85 %), so unlike sets seldom meet in it, and a
+set with enough names of its own is in no list at all.
+
 Rounds over the lists find the components without pairing everything with everything:
 
 * equal sets are one class from the start, so copies never meet in a list;
-* first every list pairs its members with one leader;
-* a list whose members are all in one component is done; in the others every member
-  outside the list's largest component leads once, LEADERS of them a turn, and meets the
-  members that are then in other components.
+* a list whose members are all in one component is done;
+* in the others some members outside the component with most of the list's rows lead: about
+  LEADERS in the first turn, MORE times as many in each further one.  They meet the members
+  of like size that are then in other components, and leave the list.
+
+A pair goes on if the long sketch of the union estimates enough overlap, and is a link if the
+exact similarity of the full sets reaches the limit.  No list is cut.  Pairs of a list stay in
+proportion to its members while these fall into few components; members of like size that
+share a rare name but belong to as many components meet each other, a square of their number.
 
-A pair goes on if the sketch of the union estimates enough overlap, and is a link if the
-exact similarity of the full sets reaches the limit.  Pairs grow with the lists, not with
-their squares, and no list is cut.
+Two linked sets fail to meet or to be estimated with a probability of at most 3 * MISS in all (short
+lists, long lists, estimate).  A ``k`` above the size of the largest set makes every step exact.
 
 Defined results: words are split at [\\x20\\x09-\\x0D] after A-Z are lower-cased; a text
 with fewer than n words has its whole sequence as its one n-gram; a NULL, empty or blank
@@ -29,6 +38,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterable, Iterator
 
@@ -42,8 +52,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import grouped, materialize
 
 K = 32
+LONG_K = 256
 MISS = 1e-5
-LEADERS = 128
+LEADERS = 4
+MORE = 8
+DRAWS = 1 << 20
 BLOCK_BYTES = 1 << 18
 PIECE_BYTES = 1 << 22
 _LOWER = bytes(range(256)).lower()
@@ -251,53 +264,48 @@ def _merged(links: DataFrame, comp: DataFrame | None) -> DataFrame | None:
 
 
 def class_components(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, n: int, pct: int,
-                     k: int) -> DataFrame | None:
+                     k: int, long_k: int) -> DataFrame | None:
     """(node, comp) of the classes (by sig) that have links; None without any."""
-    lists = materialize(_rare_entries(classes, pct, k), "dup-lists")
-    wanted = classes.join(lists.select("sig").distinct(), "sig", "left_semi").select(
-        F.col("low").alias("doc_id"), "sig")
+    met = _rare_entries(classes, pct, k).select("sig").distinct()
+    wanted = materialize(classes.join(met, "sig", "left_semi").select(F.col("low").alias("doc_id"), "sig"), "dup-wanted")
     sets = materialize(_sets(docs, wanted, id_col, text_col, n), "dup-sets")
-    small = materialize(classes.select("sig", "n", "sketch").join(lists.select("sig").distinct(), "sig", "left_semi"),
-                        "dup-sketches")
-    leaders = lists.groupBy("value").agg(F.min_by("sig", F.struct("n", "sig")).alias("leader"))
-    pairs = (lists.join(leaders, "value").where(F.col("sig") != F.col("leader"))
-             .select(*_pairs(F.col("sig"), F.col("leader"))).distinct())
-    comp = done = plan = None
-    turn = 0
-    while True:
-        comp = _merged(_links(pairs, small, sets, pct, k, "dup"), comp)
-        done = pairs if done is None else done.unionByName(pairs)
-        if plan is None:
-            # in each list still open, who is not in its largest component leads in some turn
-            now = _label(lists, comp)
-            shares = now.groupBy("value", "comp").agg(F.count("*").alias("rows"))
-            major = shares.groupBy("value").agg(F.max_by("comp", F.struct("rows", "comp")).alias("major"),
-                                                (F.sum("rows") - F.max("rows")).alias("minors")).where("minors > 0")
-            turns = F.ceil(F.col("minors") / LEADERS).cast("int")
-            plan = materialize(now.join(major, "value").select(
-                "value", "sig", "n", turns.alias("turns"), F.when(F.col("comp") != F.col("major"), F.pmod(
-                    F.xxhash64("sig"), turns).cast("int")).alias("turn")), "dup-plan")
-            last = plan.agg(F.max("turns")).first()[0] or 0
-        if turn >= last:
+    long = sets.select("sig", F.size("names").cast("long").alias("n"), F.slice("names", 1, long_k).alias("sketch"))
+    lists = materialize(_rare_entries(long, pct, long_k), "dup-lists")
+    listed = lists.select("sig").distinct()
+    small = materialize(long.join(listed, "sig", "left_semi"), "dup-sketches")
+    sets = materialize(sets.join(listed, "sig", "left_semi"), "dup-sets")
+    rest, comp, done = lists, None, None
+    for turn in itertools.count():
+        # in each list still open, some of those outside the component with most of the rows left lead and then leave
+        now = _label(rest, comp)
+        shares = now.groupBy("value", "comp").agg(F.count("*").alias("rows"))
+        base = shares.groupBy("value").agg(F.max_by("comp", F.struct("rows", "comp")).alias("base"),
+                                           (F.sum("rows") - F.max("rows")).alias("others")).where("others > 0")
+        # drawn by sig, so that the same sets lead in many lists and their pairs coincide
+        drawn = F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(DRAWS)) * F.col("others") < DRAWS * LEADERS * MORE ** turn
+        now = materialize(now.join(base, "value").select(
+            "value", "sig", "n", "comp", ((F.col("comp") != F.col("base")) & drawn).alias("leads")), "dup-rest")
+        if now.isEmpty():
             return comp
-        now = _label(plan.where(F.col("turns") > turn), comp)
-        lead = now.where(F.col("turn") == turn).select(
+        lead = now.where("leads").select(
             "value", F.col("sig").alias("leader"), F.col("n").alias("lead_n"), F.col("comp").alias("lead_comp"))
         fits = F.least("n", "lead_n") * 100 >= F.greatest("n", "lead_n") * pct
         met = now.join(lead, "value").where((F.col("comp") != F.col("lead_comp")) & fits)
-        pairs = materialize(met.select(*_pairs(F.col("sig"), F.col("leader"))).distinct()
-                            .join(done, ["a", "b"], "left_anti"), "dup-pairs")
-        turn += 1
+        pairs = met.select(*_pairs(F.col("sig"), F.col("leader"))).distinct()
+        pairs = materialize(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "dup-pairs")
+        comp = _merged(_links(pairs, small, sets, pct, long_k, "dup"), comp)
+        done = pairs if done is None else done.unionByName(pairs)
+        rest = now.where("NOT leads").select("value", "sig", "n")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
-                    similarity_pct: int = 80, k: int = K) -> DataFrame:
+                    similarity_pct: int = 80, k: int = K, long_k: int = LONG_K) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row a document; ``similarity_pct`` of
     100 * intersection >= pct * union links two documents."""
     k = sketch_size(k, similarity_pct)
     marks = materialize(_sketches(docs, id_col, text_col, words, k), "dup-marks")
     classes = materialize(_classes(marks), "dup-classes")
-    comp = class_components(docs, classes, id_col, text_col, words, similarity_pct, k)
+    comp = class_components(docs, classes, id_col, text_col, words, similarity_pct, k, max(k, long_k))
     low = _label(classes.select("sig", "low"), comp)
     smallest = low.groupBy("comp").agg(F.min("low").alias("component_id"))
     of_class = low.join(smallest, "comp").select("sig", "component_id")
