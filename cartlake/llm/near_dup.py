@@ -15,6 +15,7 @@ set with enough names of its own is in no list at all.
 Rounds over the lists find the components without pairing everything with everything:
 
 * equal sets are one class from the start, so copies never meet in a list;
+* lists with the same members are one list;
 * a list whose members are all in one component is done;
 * in the others some members outside the component with most of the list's rows lead: about
   LEADERS in the first turn, MORE times as many in each further one.  They meet the members
@@ -217,18 +218,41 @@ def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, pct: int, k: i
     return materialize(full.select("a", "b"), f"{purpose}-links")
 
 
+def _need(n: Column, kept: Column, pct: int, k: int) -> Column:
+    """How many sketch values a similar set shares: by MISS, or exactly where the sketch is the whole set."""
+    return F.when(kept < k, F.ceil(n * pct / 100)).otherwise(F.lit(needed(k, pct)))
+
+
+def _common(entries: DataFrame) -> DataFrame:
+    """The entries whose value occurs more than once, with its count ``df``."""
+    return entries.join(entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "value")
+
+
+def _that_meet(classes: DataFrame, pct: int, k: int) -> DataFrame:
+    """The classes with enough values that occur elsewhere; the others are like no other set."""
+    hits = _common(classes.select("sig", F.explode("sketch").alias("value"))).groupBy("sig").agg(F.count("*").alias("hits"))
+    return classes.join(hits, "sig").where(F.col("hits") >= _need(F.col("n"), F.size("sketch"), pct, k))
+
+
 def _rare_entries(classes: DataFrame, pct: int, k: int) -> DataFrame:
     """(value, sig, n): the inverted lists of two or more classes, over each sketch's rarest values."""
-    entries = classes.select("sig", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
-    often = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    hits = entries.join(often, "value")
+    hits = _common(classes.select("sig", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("value")))
     # values in one list only come first in the order of rarity; they are not in ``hits``
-    need = F.when(F.col("kept") < k, F.ceil(F.col("n") * pct / 100)).otherwise(F.lit(needed(k, pct)))
     place = F.row_number().over(Window.partitionBy("sig").orderBy("df", "value"))
     alone = F.col("kept") - F.count("*").over(Window.partitionBy("sig"))
+    need = _need(F.col("n"), F.col("kept"), pct, k)
     return hits.withColumn("place", place + alone).where(F.col("place") <= F.col("kept") - need + 1).select("value", "sig", "n")
 
 
+def _distinct_lists(lists: DataFrame) -> DataFrame:
+    """Of lists with the same members one, of lists with one member none.  Members are told
+    by their number and two 64-bit sums of their names."""
+    members = lists.groupBy("value").agg(F.count("*").alias("rows"), *(
+        F.bit_xor(F.xxhash64("sig", F.lit(i))).alias(f"sum{i}") for i in range(2))).where("rows > 1")
+    return lists.join(members.groupBy("rows", "sum0", "sum1").agg(F.min("value").alias("value")), "value").select(
+        "value", "sig", "n")
+
+
 def _classes(marks: DataFrame) -> DataFrame:
     low = marks.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("low"))
     one = marks.where("n > 0").select("sig", "n", "sketch").dropDuplicates(["sig"])
@@ -266,11 +290,11 @@ def _merged(links: DataFrame, comp: DataFrame | None) -> DataFrame | None:
 def class_components(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, n: int, pct: int,
                      k: int, long_k: int) -> DataFrame | None:
     """(node, comp) of the classes (by sig) that have links; None without any."""
-    met = _rare_entries(classes, pct, k).select("sig").distinct()
-    wanted = materialize(classes.join(met, "sig", "left_semi").select(F.col("low").alias("doc_id"), "sig"), "dup-wanted")
+    wanted = materialize(_that_meet(classes, pct, k).select(F.col("low").alias("doc_id"), "sig"), "dup-wanted")
     sets = materialize(_sets(docs, wanted, id_col, text_col, n), "dup-sets")
     long = sets.select("sig", F.size("names").cast("long").alias("n"), F.slice("names", 1, long_k).alias("sketch"))
-    lists = materialize(_rare_entries(long, pct, long_k), "dup-lists")
+    lists = materialize(_rare_entries(long, pct, long_k), "dup-entries")
+    lists = materialize(_distinct_lists(lists), "dup-lists")
     listed = lists.select("sig").distinct()
     small = materialize(long.join(listed, "sig", "left_semi"), "dup-sketches")
     sets = materialize(sets.join(listed, "sig", "left_semi"), "dup-sets")
