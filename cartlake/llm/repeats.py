@@ -153,21 +153,24 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
 
     def sample(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = ((r, t.as_buffer().to_pybytes()) for r, t in zip(batch.column(0).to_pylist(), batch.column(1))
-                    if len(t.as_buffer()) >= length)
+            refs = batch.column(0).to_pylist()
+            first = dict(zip(reversed(refs), range(len(refs) - 1, -1, -1)))     # of equal texts of a batch one is sampled
+            rows = ((r, t.as_buffer().to_pybytes()) for i, (r, t) in enumerate(zip(refs, batch.column(1)))
+                    if first[r] == i and len(t.as_buffer()) >= length)
             for some in grouped(rows, lambda r: len(r[1]), BLOCK_BYTES):
                 owner, at, name = anchors([t for _, t in some], length, gram)
-                refs = np.array([r for r, _ in some], np.int64)
+                of = np.array([r for r, _ in some], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(name.view(np.int64)), pa.array(refs[owner]), pa.array(at.astype(np.int32))],
+                    [pa.array(name.view(np.int64)), pa.array(of[owner]), pa.array(at.astype(np.int32))],
                     names=["name", "ref", "at"])
 
     entries = source.select("ref", F.col("text").cast("binary").alias("text")).mapInArrow(
         sample, "name long, ref long, at int")
     entries = materialize(entries, "rep-anchors")
     place = F.struct("ref", "at")
-    again = (entries.groupBy("name").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-             .where("low != high").select("name"))
+    # written, so that the join reads both sides straight from its shuffle and AQE can split a name held by many texts
+    again = materialize(entries.groupBy("name").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+                        .where("low != high").select("name"), "rep-again")
     wanted = materialize(entries.join(again, "name").groupBy("ref").agg(
         F.sort_array(F.collect_set("at")).alias("anchors")), "rep-wanted")
     texts = source.join(wanted, "ref").select("ref", "sha", "text", "anchors").dropDuplicates(["ref", "sha"])
