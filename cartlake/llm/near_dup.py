@@ -9,7 +9,7 @@ meet in the inverted list of at least one.
 
 The lists are built twice.  Short sketches of all sets only tell which sets meet anything;
 ``long_k`` values of those few sets make the lists that are paired.  A long sketch has to
-share a larger part (191 of 256 against 17 of 32 at 85 %), so unlike sets seldom meet in it, and a
+share a larger part (90 of 128 against 17 of 32 at 85 %), so unlike sets seldom meet in it, and a
 set with enough names of its own is in no list at all.
 
 Rounds over the lists find the components without pairing everything with everything:
@@ -53,7 +53,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import grouped, materialize
 
 K = 32
-LONG_K = 256
+LONG_K = 128
 MISS = 1e-5
 LEADERS = 4
 MORE = 8
@@ -224,8 +224,9 @@ def _need(n: Column, kept: Column, pct: int, k: int) -> Column:
 
 
 def _common(entries: DataFrame) -> DataFrame:
-    """The entries whose value occurs more than once, with its count ``df``."""
-    return entries.join(entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "value")
+    """The entries whose value occurs more than once, with its count ``df`` and ``who``, a 64-bit sum of its holders."""
+    often = entries.groupBy("value").agg(F.count("*").alias("df"), F.bit_xor(F.xxhash64("sig")).alias("who"))
+    return entries.join(often.where("df > 1"), "value")
 
 
 def _that_meet(classes: DataFrame, pct: int, k: int) -> DataFrame:
@@ -235,13 +236,17 @@ def _that_meet(classes: DataFrame, pct: int, k: int) -> DataFrame:
 
 
 def _rare_entries(classes: DataFrame, pct: int, k: int) -> DataFrame:
-    """(value, sig, n): the inverted lists of two or more classes, over each sketch's rarest values."""
+    """(value, sig, n): the inverted lists over each sketch's rarest values.  Values with the same holders
+    (a shared passage) stand together in the order; only the first has a list, the others' lists are parts of it."""
     hits = _common(classes.select("sig", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("value")))
     # values in one list only come first in the order of rarity; they are not in ``hits``
-    place = F.row_number().over(Window.partitionBy("sig").orderBy("df", "value"))
+    order = Window.partitionBy("sig").orderBy("df", "who", "value")
+    place = F.row_number().over(order)
+    opens = F.coalesce((F.lag("df").over(order) != F.col("df")) | (F.lag("who").over(order) != F.col("who")), F.lit(True))
     alone = F.col("kept") - F.count("*").over(Window.partitionBy("sig"))
     need = _need(F.col("n"), F.col("kept"), pct, k)
-    return hits.withColumn("place", place + alone).where(F.col("place") <= F.col("kept") - need + 1).select("value", "sig", "n")
+    rare = hits.select("value", "sig", "n", "kept", (place + alone).alias("place"), opens.alias("opens"))
+    return rare.where(F.col("opens") & (F.col("place") <= F.col("kept") - need + 1)).select("value", "sig", "n")
 
 
 def _distinct_lists(lists: DataFrame) -> DataFrame:
