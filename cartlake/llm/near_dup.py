@@ -9,7 +9,7 @@ meet in the inverted list of at least one.
 
 The lists are built twice.  Short sketches of all sets only tell which sets meet anything;
 ``long_k`` values of those few sets make the lists that are paired.  A long sketch has to
-share a larger part (90 of 128 against 17 of 32 at 85 %), so unlike sets seldom meet in it, and a
+share a larger part (191 of 256 against 17 of 32 at 85 %), so unlike sets seldom meet in it, and a
 set with enough names of its own is in no list at all.
 
 Rounds over the lists find the components without pairing everything with everything:
@@ -53,7 +53,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import grouped, materialize
 
 K = 32
-LONG_K = 128
+LONG_K = 256
 MISS = 1e-5
 LEADERS = 4
 MORE = 8
