@@ -325,6 +325,17 @@ ORACLE_BODIES: dict[str, str] = {
                      count(*) - count(add_to_cart_order) AS add_to_cart_order,
                      count(*) - count(reordered) AS reordered FROM f_flags)
         UNPIVOT (n_nulls FOR c IN (order_id, product_id, add_to_cart_order, reordered))""",
+    "checked_full_load": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'not_null' AS \"check\", '{c}' AS column_name, count(*)::BIGINT AS n_rows, "
+        f"NULL::INTEGER AS max_length, NULL::INTEGER AS longest, (count(*) - count({c}))::BIGINT AS n_violations FROM {view}"
+        for t, view, cols in (("orders", "f_orders", ["user_id", "eval_set", "order_number", "order_dow", "order_hour_of_day"]),
+                              ("product_updates", "f_updates", ["product_name", "aisle_id", "department_id"]),
+                              ("order_products_raw", "f_flags", ["order_id", "product_id", "add_to_cart_order", "reordered"]),
+                              ("documents", "documents", ["text", "lang"])) for c in cols) + " UNION ALL " + " UNION ALL ".join(
+        f"SELECT '{t}', 'max_length', '{c}', count(*)::BIGINT, {n}, max(length({c}))::INTEGER, "
+        f"count(CASE WHEN length({c}) > {n} THEN 1 END)::BIGINT FROM {view}"
+        for t, view, c, n in (("orders", "f_orders", "eval_set", 20), ("product_updates", "f_updates", "product_name", 255),
+                              ("documents", "documents", "text", 2000), ("documents", "documents", "source", 8))),
     "check_max_length": """
         SELECT 'orders' AS table_name, 'eval_set' AS column_name, 20 AS max_length,
                max(length(eval_set))::INTEGER AS longest,

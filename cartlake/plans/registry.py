@@ -25,6 +25,7 @@ from cartlake.plans.feature_job import SILVER_TABLES, FeatureJob
 from cartlake.plans.oracle import TEST_EPOCH
 from cartlake.session import workspace
 from cartlake.sinks import landing
+from cartlake.sinks.checked import checked_landing_write, load_report
 from cartlake.sinks.versioned import VersionedTables, audit_log, create_or_replace_table
 from cartlake.sources import catalog as cat
 from cartlake.sources import files
@@ -261,6 +262,18 @@ def q_check_not_null(spark, sf):
     })
 
 
+def q_checked_full_load(spark, sf):
+    """Raw tables landed with their constraints counted by the write itself."""
+    root = workspace(spark, "checked")
+    loads = [checked_landing_write(df, root, name, not_null=NOT_NULL[declared], limits=MAX_LENGTH.get(declared, {}), max_records=1_000_000)
+             for name, declared, df in (("orders", "orders", fz.orders(spark, sf)),
+                                        ("product_updates", "products", fz.product_updates(spark, sf)),
+                                        ("order_products_raw", "order_products__prior", fz.flag_variants(spark, sf)))]
+    loads.append(checked_landing_write(fz.read(spark, sf, "documents"), root, "documents", max_records=1_000_000,
+                                       not_null=["text", "lang"], limits={"text": 2000, "source": 8}))
+    return load_report(spark, loads)
+
+
 def q_check_max_length(spark, sf):
     return qc.check_max_length({
         "orders": (fz.orders(spark, sf), MAX_LENGTH["orders"]),
@@ -530,6 +543,7 @@ QUERIES: dict[str, Query] = {
     "check_composite_key": q_check_composite_key,         # Q5
     "check_not_null": q_check_not_null,                   # Q2
     "check_max_length": q_check_max_length,               # Q3
+    "checked_full_load": q_checked_full_load,             # K8 with Q2, Q3
     "check_orphans": q_check_orphans,                     # Q4
     "apply_changes": q_apply_changes,                     # §2.11
     "apply_changes_stream": q_apply_changes_stream,       # §2.11

@@ -11,7 +11,7 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Fixed values of the source settings.
@@ -64,7 +64,7 @@ def parquet_landing_write(df: DataFrame, root: str, table: str, schema: str = "p
                           compression: str = LANDING_COMPRESSION, max_file_kb: int = LANDING_MAX_FILE_KB,
                           max_records: int | None = None, mode: str = "overwrite",
                           partition_by: list[str] | None = None, sort_by: list[str] | None = None,
-                          reload: bool = False) -> str:
+                          reload: bool = False, observe: tuple[Observation, list[Column]] | None = None) -> str:
     """Write ``df`` as Parquet under ``root/schema/table``.
 
     mode 'overwrite' replaces the target's contents on every full load (drop
@@ -75,7 +75,8 @@ def parquet_landing_write(df: DataFrame, root: str, table: str, schema: str = "p
     ``reload`` (with ``partition_by``) replaces only the partitions that ``df`` brings and
     keeps the others.  Without
     ``max_records`` the rows per file follow from measured widths (one aggregate
-    over ``df``: pass a written table if it is expensive).
+    over ``df``: pass a written table if it is expensive).  ``observe`` is an observation and
+    the aggregates it takes of the rows as they are written.
     """
     path = landing_path(root, schema, table)
     n = max_records or records_per_file(df, max_file_kb * 1024)
@@ -83,6 +84,8 @@ def parquet_landing_write(df: DataFrame, root: str, table: str, schema: str = "p
         raise ValueError("a reload of partitions needs partition_by")
     if sort_by:
         df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
+    if observe:
+        df = df.observe(observe[0], *observe[1])
     w = df.write.mode(mode).option("compression", compression).option("maxRecordsPerFile", n)
     if partition_by:
         w = w.partitionBy(*partition_by)
