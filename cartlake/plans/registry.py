@@ -49,6 +49,18 @@ def _raw_baskets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Da
             everything.filter(F.col("eval_set") == "train").select(*cols))
 
 
+BASKET_COLUMNS = ["order_id", "product_id", "add_to_cart_order", "reordered"]
+
+
+def _written_baskets(spark: SparkSession, sf: str, root: str, orders: DataFrame | None = None) -> Callable[[str], DataFrame]:
+    """Both basket tables, derived once into a scratch table under ``root``: eval_set -> raw order_products."""
+    scratch = f"{root}/_baskets"
+    (fz.order_products_all(spark, sf, orders)
+       .filter(F.col("eval_set").isin("prior", "train")).write.parquet(scratch))
+    baskets = spark.read.parquet(scratch)
+    return lambda eval_set: baskets.filter(F.col("eval_set") == eval_set).select(*BASKET_COLUMNS)
+
+
 def _order_products(spark: SparkSession, sf: str) -> DataFrame:
     _, prior, train = _raw_baskets(spark, sf)
     return fx.order_products_union(fx.normalize_bool_flag(prior), fx.normalize_bool_flag(train))
@@ -353,14 +365,10 @@ def _land_raw(spark, sf, root: str) -> str:
     with ThreadPoolExecutor(max_workers=len(small)) as pool:     # independent writes run together
         futures = {name: pool.submit(landing.parquet_landing_write, df, raw, name) for name, df in small}
         paths = {name: f.result() for name, f in futures.items()}
-    scratch = f"{root}/_baskets"
-    (fz.order_products_all(spark, sf, spark.read.parquet(paths["orders"]))
-       .filter(F.col("eval_set").isin("prior", "train")).write.parquet(scratch))
-    baskets = spark.read.parquet(scratch)
-    cols = ["order_id", "product_id", "add_to_cart_order", "reordered"]
+    baskets = _written_baskets(spark, sf, root, spark.read.parquet(paths["orders"]))
     with ThreadPoolExecutor(max_workers=2) as pool:
         for f in [pool.submit(landing.parquet_landing_write,
-                              baskets.filter(F.col("eval_set") == e).select(*cols), raw, f"order_products__{e}")
+                              baskets(e), raw, f"order_products__{e}")
                   for e in ("prior", "train")]:
             f.result()
     db = f"raw_{_uid()}"
@@ -370,7 +378,7 @@ def _land_raw(spark, sf, root: str) -> str:
 
 def q_external_parquet_table(spark, sf):
     root = workspace(spark, "ext")
-    path = landing.parquet_landing_write(fz.order_products(spark, sf, "prior"), f"{root}/raw",
+    path = landing.parquet_landing_write(_written_baskets(spark, sf, root)("prior"), f"{root}/raw",
                                          "order_products__prior")
     db = f"raw_{_uid()}"
     cat.create_database(spark, db, location=f"{root}/_db/{db}")
@@ -392,8 +400,9 @@ def q_landing_byte_cap(spark, sf):
 
 def q_drop_and_create_target(spark, sf):
     root = workspace(spark, "reload")
-    landing.drop_and_create_target(fz.order_products(spark, sf, "train"), root, "order_products")
-    path = landing.drop_and_create_target(fz.order_products(spark, sf, "prior"), root, "order_products")
+    baskets = _written_baskets(spark, sf, root)
+    landing.drop_and_create_target(baskets("train"), root, "order_products")
+    path = landing.drop_and_create_target(baskets("prior"), root, "order_products")
     return spark.read.parquet(path)
 
 
@@ -426,7 +435,7 @@ def q_drop_create_table(spark, sf):
 
 def q_dated_batch_export(spark, sf):
     root = workspace(spark, "export")
-    path = landing.dated_batch_export(fz.order_products(spark, sf, "prior"), root, "order_products__prior",
+    path = landing.dated_batch_export(_written_baskets(spark, sf, root)("prior"), root, "order_products__prior",
                                       run_date=_dt.date(2024, 1, 2))
     return spark.read.parquet(path)
 
