@@ -31,6 +31,7 @@ source and id are never inputs of a score; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
@@ -46,6 +47,8 @@ MAX_PER_CLASS = 1200
 CLEAN_STRINGS = 4000
 #: strings turned into triple counts at a time
 ITEMS = 512
+#: documents scored and sent back at a time
+ROWS = 256
 SPAN, DECAY, BITS = 7, 0.85, 18
 LANDMARKS = 192
 LOWEST = -3.0
@@ -381,41 +384,47 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     return _scored(docs, model, F.col(id_col), docs.schema[id_col].dataType.simpleString(), text_col, keep)
 
 
-def _scored(docs: DataFrame, model: Model | None, id_column: Column, id_type: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+def _scored(docs: DataFrame, model: Model | None, id_column: Column, id_type: str, text_col: str, keep: tuple[str, ...],
+            below: float = math.inf) -> DataFrame:
+    """``score``, without the rows that reach ``below``.  The text is sent once, also if it is kept, and comes
+    back in blocks of ROWS rows, so that a task holds one batch of texts and not four."""
     schema = ", ".join([f"doc_id {id_type}", "score double",
                         *(f"`k{i}` {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))])
+    as_sent = docs.select(text_col).schema[0].dataType.simpleString() == "string"
+    others = [c for c in keep if not (as_sent and c == text_col)]
+    places = [1 if as_sent and c == text_col else 2 + others.index(c) for c in keep]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margin_of: dict[str, float] = {}
-        for batch in batches:
-            values = np.zeros(batch.num_rows)
-            for lo in range(0, batch.num_rows, 256) if model else ():
-                texts = [t.as_py() or "" for t in batch.column(1)[lo:lo + 256]]
+        for part in (batch.slice(lo, ROWS) for batch in batches for lo in range(0, batch.num_rows, ROWS)):
+            values = np.zeros(part.num_rows)
+            if model:
+                texts = [t.as_py() or "" for t in part.column(1)]
                 sets = [strings(t) for t in texts]
                 new = list({w for s in sets for w in s if w not in margin_of})
                 if len(margin_of) > MAX_STRINGS:
                     margin_of.clear()
                     new = list({w for s in sets for w in s})
                 for i in range(0, len(new), 50_000):
-                    part = new[i:i + 50_000]
-                    margin_of.update(zip(part, model.scores(part).tolist()))
+                    some = new[i:i + 50_000]
+                    margin_of.update(zip(some, model.scores(some).tolist()))
                 for i, (s, (margin, _)) in enumerate(zip(sets, worst_windows(texts, model.weights))):
                     top = max(map(margin_of.__getitem__, s), default=-np.inf)
                     top = max(top, margin + model.window_offset)
-                    values[lo + i] = model.probability(LOWEST if top == -np.inf else top)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values), *batch.columns[2:]],
+                    values[i] = model.probability(LOWEST if top == -np.inf else top)
+            out = pa.RecordBatch.from_arrays([part.column(0), pa.array(values), *(part.column(at) for at in places)],
                                              names=["doc_id", "score", *(f"k{i}" for i in range(len(keep)))])
+            yield out if below == math.inf else out.filter(pa.array(values < below))
 
-    out = docs.select(id_column.alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                      *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep))).mapInArrow(run, schema)
-    return out
+    return docs.select(id_column.alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       *(F.col(c).alias(f"k{i}") for i, c in enumerate(others))).mapInArrow(run, schema)
 
 
 def reject(docs: DataFrame, model: Model | None, limit: float = LIMIT, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below ``limit``, with all their columns."""
     names = docs.columns
-    scored = _scored(docs, model, F.lit(0), "int", text_col, tuple(names))
-    return scored.where(F.col("score") < limit).select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(names)))
+    scored = _scored(docs, model, F.lit(0), "int", text_col, tuple(names), limit)
+    return scored.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(names)))
 
 
 def held_out(id_column):

@@ -1,0 +1,24 @@
+"""Scoring sends a kept text once, with the same rows."""
+
+import re
+
+import numpy as np
+
+from cartlake.llm import toxicity
+
+
+def test_reject_sends_the_text_once_and_keeps_all_columns(spark):
+    rows = [(i, "you are an idiot " * (i % 3) + f"word{i}", "en" if i % 2 else None) for i in range(900)]
+    rows += [(900, None, "de"), (901, "", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    weights = np.random.default_rng(1).normal(size=1 << toxicity.BITS)
+    model = toxicity.Model(weights, 0.0, 1.0, 0.0)
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert len(scores) == len(rows)
+    limit = sorted(scores.values())[450]
+    got = toxicity.reject(docs, model, limit)
+    assert sorted(map(tuple, got.collect())) == sorted(r for r in rows if scores[r[0]] < limit)
+    sent = re.search(r"run\(([^)]*)\)", got._jdf.queryExecution().analyzed().toString()).group(1)
+    assert len(sent.split(",")) == 4               # the id, the text, doc_id and lang; not the text again
+    assert got.schema == docs.schema
+    assert toxicity.reject(docs, None).count() == len(rows)
