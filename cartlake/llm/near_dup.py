@@ -1,33 +1,28 @@
-"""Near-duplicate documents: bottom-k sketches, inverted lists, union-sketch estimates, exact Jaccard.
-
-A document's set holds a 64-bit name of each of its distinct word n-grams.  One hash
-function orders all names; the k smallest of a set are its sketch.  Two sets with Jaccard
-similarity t share about t * k sketch values, and fewer than ``needed`` only with a
-probability of at most MISS (binomial quantile; k grows if a low t needs it), so it is
-enough to look at each sketch's k - needed + 1 rarest values (sets smaller than k: the exact counterpart): two similar sets
-meet in the inverted list of at least one.
-
-The lists are built twice.  Short sketches of all sets only tell which sets meet anything;
-``long_k`` values of those few sets make the lists that are paired.  A long sketch has to
-share a larger part (191 of 256 against 17 of 32 at 85 %), so unlike sets seldom meet in it, and a
-set with enough names of its own is in no list at all.
-
-Rounds over the lists find the components without pairing everything with everything:
-
-* equal sets are one class from the start, so copies never meet in a list;
-* lists with the same members are one list;
-* a list whose members are all in one component is done;
-* in the others some members outside the component with most of the list's rows lead: about
-  LEADERS in the first turn, MORE times as many in each further one.  They meet the members
-  of like size that are then in other components, and leave the list.
-
-A pair goes on if the long sketch of the union estimates enough overlap, and is a link if the
-exact similarity of the full sets reaches the limit.  No list is cut.  Pairs of a list stay in
-proportion to its members while these fall into few components; members of like size that
-share a rare name but belong to as many components meet each other, a square of their number.
-
-Two linked sets fail to meet or to be estimated with a probability of at most 3 * MISS in all (short
-lists, long lists, estimate).  A ``k`` above the size of the largest set makes every step exact.
+"""Near-duplicate documents: banded MinHash, stars around central sets, prefix filter over differences, exact Jaccard.
+
+A document's set holds a 64-bit name of each of its distinct word n-grams; equal sets are one
+class, so copies never meet.  Each of ``rows`` x ``bands`` hash functions takes the smallest of a
+set, the values of a band's functions are one value, and sets with an equal value stand in one
+list.  Two sets with Jaccard similarity t stand in a common list with a probability of
+1 - (1 - t^rows)^bands; there are as many bands as keep that of a miss at MISS for a pair just
+similar enough.  Unlike sets share a rare name or two, but seldom the smallest of several functions.
+
+The pairs of a list are not formed.  Its members meet its most central one, its pivot (most other
+members over all lists; for STARS turns, each turn those outside the components of the pivots
+before), and exact similarities of these pairs give components.  Of a link (x, y) of a list
+that they miss, one member, say x, is outside the pivot's component.  Then the differences of x
+and of y from the pivot c (names that one has and the other lacks) share a name: if they shared
+none, all that x and y have in common would be in c, and everything in x or c would be in x or y
+or c, so that x would be as much like c as like y.  So
+
+* the names in a list's differences are put in one order, rarest first;
+* a set stands in the inverted lists of its difference, as far as a similar set could be alike;
+* two sets meet if the places of the shared name, together, allow enough overlap: the first name
+  that both differences hold has only names before it that one of the two lacks.
+
+Copies edited at random share few rare differences, so they meet few others whatever their number.
+No list is cut, and every pair that meets is compared by its full sets.  Two linked sets fail to
+meet with a probability of at most MISS.
 
 Defined results: words are split at [\\x20\\x09-\\x0D] after A-Z are lower-cased; a text
 with fewer than n words has its whole sequence as its one n-gram; a NULL, empty or blank
@@ -39,7 +34,6 @@ other columns are ignored.
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterable, Iterator
 
@@ -52,12 +46,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import grouped, materialize
 
-K = 32
-LONG_K = 256
+#: bands at most, unless bands of one row need more
+BANDS = 40
 MISS = 1e-5
-LEADERS = 4
-MORE = 8
-DRAWS = 1 << 20
+STARS = 2
 BLOCK_BYTES = 1 << 18
 PIECE_BYTES = 1 << 22
 _LOWER = bytes(range(256)).lower()
@@ -83,6 +75,12 @@ def sketch_size(k: int, pct: int) -> int:
     return k
 
 
+def banding(pct: int, most: int = BANDS) -> tuple[int, int]:
+    """(rows, bands): the most rows of a band with which no more than ``most`` bands are needed."""
+    shapes = [(rows, sketch_size(1, pct ** rows / 100 ** (rows - 1))) for rows in range(1, 33)]
+    return max((x for x in shapes if x[1] <= most), default=shapes[0])
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> _U(33))) * _U(0xFF51AFD7ED558CCD)
     h = (h ^ (h >> _U(29))) * _U(0xC4CEB9FE1A85EC53)
@@ -146,19 +144,39 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
             yield [r[0] for r in some], [r[1] for r in some]
 
 
-def _sketches(docs: DataFrame, id_col: str, text_col: str, n: int, k: int) -> DataFrame:
-    """(doc_id, n, sig, sketch): sig names the whole set."""
+def band_values(sets: list[np.ndarray], rows: int, bands: int) -> list[np.ndarray]:
+    """Each set's band values; an empty set has none."""
+    out = [np.zeros(0, np.int64)] * len(sets)
+    some = [i for i, s in enumerate(sets) if len(s)]
+    if not some:
+        return out
+    names = np.concatenate([sets[i] for i in some]).view(_U)
+    opens = np.cumsum([0, *(len(sets[i]) for i in some[:-1])])
+    odd = _mixed(np.arange(1, rows * bands + 1).astype(_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
+    values = np.empty((len(some), bands), np.int64)
+    for band in range(bands):
+        h = np.full(len(some), band, _U)
+        for factor in odd[band * rows:(band + 1) * rows]:       # names are random, so their odd multiples order them anew
+            h = _mixed(h * _U(0x9E3779B97F4A7C15) + np.minimum.reduceat(names * factor, opens))
+        values[:, band] = h.view(np.int64)
+    for i, own in zip(some, values):
+        out[i] = own
+    return out
+
+
+def _signatures(docs: DataFrame, id_col: str, text_col: str, n: int, rows: int, bands: int) -> DataFrame:
+    """(doc_id, n, sig, bands): sig names the whole set."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _blocks(batches):
             sets = shingle_sets(texts, n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, id_type), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.array([s[:k] for s in sets], pa.list_(pa.int64()))], names=["doc_id", "n", "sig", "sketch"])
+                 pa.array(band_values(sets, rows, bands), pa.list_(pa.int64()))], names=["doc_id", "n", "sig", "bands"])
     id_type = to_arrow_type(docs.schema[id_col].dataType)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n long, sig binary, sketch array<long>")
+        run, f"doc_id {kind}, n long, sig binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
@@ -195,73 +213,34 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         label = new.select("node", "comp")
 
 
-def _shared(a: Column, b: Column) -> Column:
-    return F.size(F.array_intersect(a, b))
+def _with_names(pairs: DataFrame, sets: DataFrame, *sides: str) -> DataFrame:
+    """``pairs`` with the full sets of the classes in columns ``sides``, as <side>_names."""
+    for side in sides:
+        pairs = pairs.join(sets.select(F.col("sig").alias(side), F.col("names").alias(f"{side}_names")), side)
+    return pairs
 
 
-def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, pct: int, k: int, purpose: str) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    def side(df: DataFrame, to: str, *columns: str) -> DataFrame:
-        return df.select(F.col("sig").alias(to), *(F.col(c).alias(f"{to}_{c}") for c in columns))
-    near = pairs.join(side(classes, "a", "n", "sketch"), "a").join(side(classes, "b", "n", "sketch"), "b")
-    small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    # the union's k smallest names are among both sketches; those in both sketches are shared
-    union = F.slice(F.array_sort(F.array_union("a_sketch", "b_sketch")), 1, k)
-    overlap = F.size(F.array_intersect(union, F.array_intersect(F.col("a_sketch"), F.col("b_sketch"))))
-    enough = F.when(F.size(union) < k, overlap * 100 >= F.size(union) * pct).otherwise(overlap >= needed(k, pct))
-    near = near.where((small * 100 >= large * pct) & enough)
-    near = materialize(near.select("a", "b"), f"{purpose}-near")
-    full = near.join(side(sets, "b", "names"), "b").join(side(sets, "a", "names"), "a")
-    both = _shared(F.col("a_names"), F.col("b_names"))
-    full = full.withColumn("both", both).where(
-        F.col("both") * 100 >= (F.size("a_names") + F.size("b_names") - F.col("both")) * pct)
-    return materialize(full.select("a", "b"), f"{purpose}-links")
-
-
-def _need(n: Column, kept: Column, pct: int, k: int) -> Column:
-    """How many sketch values a similar set shares: by MISS, or exactly where the sketch is the whole set."""
-    return F.when(kept < k, F.ceil(n * pct / 100)).otherwise(F.lit(needed(k, pct)))
-
-
-def _common(entries: DataFrame) -> DataFrame:
-    """The entries whose value occurs more than once, with its count ``df`` and ``who``, a 64-bit sum of its holders."""
-    often = entries.groupBy("value").agg(F.count("*").alias("df"), F.bit_xor(F.xxhash64("sig")).alias("who"))
-    return entries.join(often.where("df > 1"), "value")
-
-
-def _that_meet(classes: DataFrame, pct: int, k: int) -> DataFrame:
-    """The classes with enough values that occur elsewhere; the others are like no other set."""
-    hits = _common(classes.select("sig", F.explode("sketch").alias("value"))).groupBy("sig").agg(F.count("*").alias("hits"))
-    return classes.join(hits, "sig").where(F.col("hits") >= _need(F.col("n"), F.size("sketch"), pct, k))
-
-
-def _rare_entries(classes: DataFrame, pct: int, k: int) -> DataFrame:
-    """(value, sig, n): the inverted lists over each sketch's rarest values.  Values with the same holders
-    (a shared passage) stand together in the order; only the first has a list, the others' lists are parts of it."""
-    hits = _common(classes.select("sig", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("value")))
-    # values in one list only come first in the order of rarity; they are not in ``hits``
-    order = Window.partitionBy("sig").orderBy("df", "who", "value")
-    place = F.row_number().over(order)
-    opens = F.coalesce((F.lag("df").over(order) != F.col("df")) | (F.lag("who").over(order) != F.col("who")), F.lit(True))
-    alone = F.col("kept") - F.count("*").over(Window.partitionBy("sig"))
-    need = _need(F.col("n"), F.col("kept"), pct, k)
-    rare = hits.select("value", "sig", "n", "kept", (place + alone).alias("place"), opens.alias("opens"))
-    return rare.where(F.col("opens") & (F.col("place") <= F.col("kept") - need + 1)).select("value", "sig", "n")
-
-
-def _distinct_lists(lists: DataFrame) -> DataFrame:
-    """Of lists with the same members one, of lists with one member none.  Members are told
-    by their number and two 64-bit sums of their names."""
-    members = lists.groupBy("value").agg(F.count("*").alias("rows"), *(
-        F.bit_xor(F.xxhash64("sig", F.lit(i))).alias(f"sum{i}") for i in range(2))).where("rows > 1")
-    return lists.join(members.groupBy("rows", "sum0", "sum1").agg(F.min("value").alias("value")), "value").select(
-        "value", "sig", "n")
+    full = _with_names(pairs, sets, "b", "a").withColumn("both", F.size(F.array_intersect("a_names", "b_names")))
+    full = full.where(F.col("both") * 100 >= (F.size("a_names") + F.size("b_names") - F.col("both")) * pct)
+    return materialize(full.select("a", "b"), "dup-links")
+
+
+def _alike(n: Column, other: Column, pct: int) -> Column:
+    return F.least(n, other) * 100 >= F.greatest(n, other) * pct
+
+
+def _lists(classes: DataFrame) -> DataFrame:
+    """(value, sig, rows): the lists of at least two classes, and their length."""
+    entries = classes.select("sig", F.explode("bands").alias("value"))
+    often = entries.groupBy("value").agg(F.count("*").alias("rows")).where("rows > 1")
+    return entries.join(often, "value")
 
 
 def _classes(marks: DataFrame) -> DataFrame:
-    low = marks.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("low"))
-    one = marks.where("n > 0").select("sig", "n", "sketch").dropDuplicates(["sig"])
-    return one.join(low, "sig")
+    return marks.where("n > 0").groupBy("sig").agg(
+        F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("bands").alias("bands"))
 
 
 def _label(lists: DataFrame, comp: DataFrame | None) -> DataFrame:
@@ -292,49 +271,67 @@ def _merged(links: DataFrame, comp: DataFrame | None) -> DataFrame | None:
     return materialize(moved.unionByName(joined.join(comp.select("node"), "node", "left_anti")), "dup-comp")
 
 
-def class_components(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, n: int, pct: int,
-                     k: int, long_k: int) -> DataFrame | None:
+def _outside(now: DataFrame) -> DataFrame:
+    """The rows of lists (value, pivot, comp, ...) with a member outside the component of the pivot, and
+    ``outside``, whether the row's is."""
+    own = now.where("sig = pivot").select("value", F.col("comp").alias("own"))
+    now = now.join(own, "value").withColumn("outside", F.col("comp") != F.col("own")).drop("own")
+    still = now.where("outside").select("value").distinct()
+    return now.join(still, "value", "left_semi")
+
+
+def _met(lists: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """(a, b): the pairs in ``lists`` (pivot, sig, n, comp, outside) that may be similar, not in one component,
+    and not both in the pivot's."""
+    of = lists.where("sig != pivot").select("pivot", "sig", "n", "comp", "outside").distinct()
+    names = _with_names(of, sets, "sig", "pivot")
+    differs = F.concat(F.array_except("sig_names", "pivot_names"), F.array_except("pivot_names", "sig_names"))
+    differs = materialize(names.select("pivot", "sig", "n", "comp", "outside", differs.alias("names")), "dup-differs")
+    entries = differs.select("pivot", "sig", "n", "comp", "outside", F.size("names").alias("size"), F.explode("names").alias("name"))
+    often = entries.groupBy("pivot", "name").agg(F.count("*").alias("df"), F.max("outside").alias("any")).where("df > 1 AND any")
+    # names that nobody outside shares come first; a similar set lacks them, as all names before the first shared one
+    order, mine = Window.partitionBy("pivot", "sig").orderBy("df", "name"), Window.partitionBy("pivot", "sig")
+    held = entries.join(often.drop("any"), ["pivot", "name"]).withColumn(
+        "place", F.row_number().over(order) - 1 + F.col("size") - F.count("*").over(mine))
+    held = materialize(held.where(F.col("place") * pct <= F.col("n") * (100 - pct)).select(
+        "pivot", "name", "sig", "n", "comp", "outside", "place"), "dup-held")
+    other = held.select("pivot", "name", *(F.col(c).alias(f"other_{c}") for c in ("sig", "n", "comp", "outside", "place")))
+    fits = ((F.col("place") + F.col("other_place")) * (100 + pct) <= (F.col("n") + F.col("other_n")) * (100 - pct))
+    once = ~F.col("other_outside") | (F.col("sig") < F.col("other_sig"))
+    met = held.where("outside").join(other, ["pivot", "name"]).where(
+        (F.col("comp") != F.col("other_comp")) & once & _alike(F.col("n"), F.col("other_n"), pct) & fits)
+    return met.select(*_pairs(F.col("sig"), F.col("other_sig"))).distinct()
+
+
+def class_components(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, n: int, pct: int) -> DataFrame | None:
     """(node, comp) of the classes (by sig) that have links; None without any."""
-    wanted = materialize(_that_meet(classes, pct, k).select(F.col("low").alias("doc_id"), "sig"), "dup-wanted")
-    sets = materialize(_sets(docs, wanted, id_col, text_col, n), "dup-sets")
-    long = sets.select("sig", F.size("names").cast("long").alias("n"), F.slice("names", 1, long_k).alias("sketch"))
-    lists = materialize(_rare_entries(long, pct, long_k), "dup-entries")
-    lists = materialize(_distinct_lists(lists), "dup-lists")
-    listed = lists.select("sig").distinct()
-    small = materialize(long.join(listed, "sig", "left_semi"), "dup-sketches")
-    sets = materialize(sets.join(listed, "sig", "left_semi"), "dup-sets")
-    rest, comp, done = lists, None, None
-    for turn in itertools.count():
-        # in each list still open, some of those outside the component with most of the rows left lead and then leave
-        now = _label(rest, comp)
-        shares = now.groupBy("value", "comp").agg(F.count("*").alias("rows"))
-        base = shares.groupBy("value").agg(F.max_by("comp", F.struct("rows", "comp")).alias("base"),
-                                           (F.sum("rows") - F.max("rows")).alias("others")).where("others > 0")
-        # drawn by sig, so that the same sets lead in many lists and their pairs coincide
-        drawn = F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(DRAWS)) * F.col("others") < DRAWS * LEADERS * MORE ** turn
-        now = materialize(now.join(base, "value").select(
-            "value", "sig", "n", "comp", ((F.col("comp") != F.col("base")) & drawn).alias("leads")), "dup-rest")
-        if now.isEmpty():
+    lists = materialize(_lists(classes), "dup-lists")
+    central = lists.groupBy("sig").agg(F.sum(F.col("rows") - 1).alias("others"))
+    members = materialize(classes.select("sig", "low", "n").join(central, "sig"), "dup-members")
+    sets = materialize(_sets(docs, members.select(F.col("low").alias("doc_id"), "sig"), id_col, text_col, n), "dup-sets")
+    lists = lists.drop("rows").join(members.drop("low"), "sig")
+    first = lists.groupBy("value").agg(F.max_by("sig", F.struct("others", "sig")).alias("pivot"))
+    rest = materialize(lists.join(first, "value"), "dup-stars")
+    comp, star = None, rest
+    for _ in range(STARS):
+        pairs = star.where("sig != pivot").select(*_pairs(F.col("sig"), F.col("pivot"))).distinct()
+        comp = _merged(_links(pairs, sets, pct), comp)
+        rest = materialize(_outside(_label(rest.drop("comp", "outside"), comp)), "dup-rest")
+        if rest.isEmpty():
             return comp
-        lead = now.where("leads").select(
-            "value", F.col("sig").alias("leader"), F.col("n").alias("lead_n"), F.col("comp").alias("lead_comp"))
-        fits = F.least("n", "lead_n") * 100 >= F.greatest("n", "lead_n") * pct
-        met = now.join(lead, "value").where((F.col("comp") != F.col("lead_comp")) & fits)
-        pairs = met.select(*_pairs(F.col("sig"), F.col("leader"))).distinct()
-        pairs = materialize(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "dup-pairs")
-        comp = _merged(_links(pairs, small, sets, pct, long_k, "dup"), comp)
-        done = pairs if done is None else done.unionByName(pairs)
-        rest = now.where("NOT leads").select("value", "sig", "n")
+        # those outside meet the most central one of them
+        away = rest.where("outside").drop("pivot")
+        star = away.join(away.groupBy("value").agg(F.max_by("sig", F.struct("others", "sig")).alias("pivot")), "value")
+    return _merged(_links(materialize(_met(rest, sets, pct), "dup-met"), sets, pct), comp)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
-                    similarity_pct: int = 80, k: int = K, long_k: int = LONG_K) -> DataFrame:
+                    similarity_pct: int = 80, bands: int = BANDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row a document; ``similarity_pct`` of
     100 * intersection >= pct * union links two documents."""
-    k = sketch_size(k, similarity_pct)
-    marks = materialize(_sketches(docs, id_col, text_col, words, k), "dup-marks")
+    marks = materialize(_signatures(docs, id_col, text_col, words, *banding(similarity_pct, bands)), "dup-marks")
     classes = materialize(_classes(marks), "dup-classes")
-    comp = class_components(docs, classes, id_col, text_col, words, similarity_pct, k, max(k, long_k))
+    comp = class_components(docs, classes, id_col, text_col, words, similarity_pct)
     low = _label(classes.select("sig", "low"), comp)
     smallest = low.groupBy("comp").agg(F.min("low").alias("component_id"))
     of_class = low.join(smallest, "comp").select("sig", "component_id")
