@@ -50,6 +50,8 @@ from .common import grouped, materialize
 BANDS = 40
 MISS = 1e-5
 STARS = 2
+#: of the marks that tell which wide rows a join needs: 2 MB
+BITS = 1 << 24
 BLOCK_BYTES = 1 << 18
 PIECE_BYTES = 1 << 22
 _LOWER = bytes(range(256)).lower()
@@ -179,6 +181,21 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, n: int, rows: int,
         run, f"doc_id {kind}, n long, sig binary, bands array<long>")
 
 
+def _may_hold(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``wanted``, and with all the others, so that a join that
+    follows shuffles few wide rows.  The keys' hashes are marked in BITS bits, sent to every task in parts of a few KB;
+    a row goes if its hash is not marked."""
+    def place(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(BITS)) + 1          # bitmap buckets are numbered from 1
+    marked = wanted.select(place(wanted_key).alias("at"))
+    marked = marked.groupBy(F.bitmap_bucket_number("at").alias("__part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("__marks"))
+    bit = F.bitmap_bit_position(place(key))
+    byte = F.conv(F.hex(F.expr("substring(__marks, CAST(__bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    near = rows.withColumns({"__part": F.bitmap_bucket_number(place(key)), "__bit": bit}).join(F.broadcast(marked), "__part")
+    return near.where(F.getbit(byte, F.pmod("__bit", F.lit(8)).cast("int")) == 1).select(*rows.columns)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(sig, names) of the classes in wanted (doc_id, sig): the texts are read again."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,8 +206,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int
             yield pa.RecordBatch.from_arrays(
                 [pa.array([sigs[i] for i in fits], pa.binary()),
                  pa.array([sets[i] for i in fits], pa.list_(pa.int64()))], names=["sig", "names"])
-    joined = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).join(
-        wanted, F.col("__id").eqNullSafe(F.col("doc_id")))
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
+    joined = _may_hold(texts, "__id", wanted, "doc_id").join(wanted, F.col("__id").eqNullSafe(F.col("doc_id")))
     return joined.select("sig", "__text").mapInArrow(run, "sig binary, names array<long>").dropDuplicates(["sig"])
 
 
@@ -215,8 +232,9 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
 
 def _with_names(pairs: DataFrame, sets: DataFrame, *sides: str) -> DataFrame:
     """``pairs`` with the full sets of the classes in columns ``sides``, as <side>_names."""
+    wanted = pairs
     for side in sides:
-        pairs = pairs.join(sets.select(F.col("sig").alias(side), F.col("names").alias(f"{side}_names")), side)
+        pairs = pairs.join(_may_hold(sets, "sig", wanted, side).select(F.col("sig").alias(side), F.col("names").alias(f"{side}_names")), side)
     return pairs
 
 
@@ -283,7 +301,7 @@ def _outside(now: DataFrame) -> DataFrame:
 def _met(lists: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     """(a, b): the pairs in ``lists`` (pivot, sig, n, comp, outside) that may be similar, not in one component,
     and not both in the pivot's."""
-    of = lists.where("sig != pivot").select("pivot", "sig", "n", "comp", "outside").distinct()
+    of = materialize(lists.where("sig != pivot").select("pivot", "sig", "n", "comp", "outside").distinct(), "dup-of")
     names = _with_names(of, sets, "sig", "pivot")
     differs = F.concat(F.array_except("sig_names", "pivot_names"), F.array_except("pivot_names", "sig_names"))
     differs = materialize(names.select("pivot", "sig", "n", "comp", "outside", differs.alias("names")), "dup-differs")
@@ -315,7 +333,7 @@ def class_components(docs: DataFrame, classes: DataFrame, id_col: str, text_col:
     comp, star = None, rest
     for _ in range(STARS):
         pairs = star.where("sig != pivot").select(*_pairs(F.col("sig"), F.col("pivot"))).distinct()
-        comp = _merged(_links(pairs, sets, pct), comp)
+        comp = _merged(_links(materialize(pairs, "dup-pairs"), sets, pct), comp)
         rest = materialize(_outside(_label(rest.drop("comp", "outside"), comp)), "dup-rest")
         if rest.isEmpty():
             return comp

@@ -317,3 +317,24 @@ def test_sketch_overlap_follows_the_similarity():
         assert 1 <= m <= k and sum(comb(k, i) * t ** i * (1 - t) ** (k - i) for i in range(m)) <= 1e-5
     assert near_dup.needed(32, 50) < 16 and near_dup.needed(32, 80) < 16
     assert near_dup.sketch_size(32, 80) == 32 and near_dup.needed(near_dup.sketch_size(32, 10), 10) >= 1
+
+
+def test_rows_that_a_join_needs_stay_and_most_others_go_before_it(spark):
+    rows = spark.range(20000).selectExpr("CAST(id AS STRING) AS key", "id").unionByName(
+        spark.createDataFrame([(None, -1), ("7", -2)], "key string, id long"))
+    wanted = spark.createDataFrame([(str(i),) for i in range(0, 20000, 1000)] + [(None,), ("7",), ("7",)], "which string")
+    got = near_dup._may_hold(rows, "key", wanted, "which")
+    assert got.columns == ["key", "id"]
+    ids = sorted(r.id for r in got.collect())
+    assert set(ids) >= {-2, -1, 7, *range(0, 20000, 1000)} and len(ids) == len(set(ids)) < 200
+    assert near_dup._may_hold(rows, "key", wanted.limit(0), "which").count() == 0
+
+
+def test_wide_rows_are_filtered_before_the_shuffle_of_their_join(spark, monkeypatch):
+    """Neither whole texts nor whole sets are dealt out for a join that needs a few of them."""
+    met = []
+    plain = near_dup._may_hold
+    monkeypatch.setattr(near_dup, "_may_hold", lambda *a: met.append(a[1]) or plain(*a))
+    docs = spark.createDataFrame([(i, f"w{i} a b c d e f g h i j k l m{i % 2}") for i in range(6)], "doc_id long, text string")
+    got = near_dup.near_duplicates(docs, words=1, similarity_pct=60).collect()
+    assert {r.component_id for r in got} == {0} and met[0] == "__id" and met.count("sig") >= 2
