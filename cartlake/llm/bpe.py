@@ -23,6 +23,7 @@ import base64
 import gc
 import hashlib
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -31,10 +32,18 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tokens import blocks
+
 ROOT = 0
 START = -1
 MAX_STATES = 200_000
-MAX_PIECES = 500_000
+#: pieces of one of the two generations that are kept
+MAX_PIECES = 250_000
+#: (states, pieces) where other stages have filled most of an executor's memory
+SMALL_TABLES = (40_000, 60_000)
+#: a move is a state and, below it, one more than the token that closes
+MOVE_BITS = 32
+CLOSING = (1 << MOVE_BITS) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -68,10 +77,10 @@ class Transducer:
         self._empty_tables()
 
     def _empty_tables(self) -> None:
-        start = (START << 32 | ROOT,)
-        self.members = [start]
+        start = array("q", [START << 32 | ROOT]).tobytes()
+        self.members = [start]                     # by state, 8 bytes a member
         self.state_of = {start: 0}
-        self.moves: dict[int, tuple[int, int]] = {}
+        self.moves: dict[int, int] = {}
 
     def _apart(self, left: bytes, right: bytes) -> bool:
         """Whether the merges (by rank, leftmost first) of ``left + right`` end in just these two."""
@@ -101,12 +110,12 @@ class Transducer:
         known = self.pairs[key] = self._apart(b"" if left == START else self.bytes_of[left], self.bytes_of[right])
         return known
 
-    def _move(self, state: int, b: int) -> tuple[int, int]:
-        """The next state and the token that closes with this byte."""
-        after = []
+    def _move(self, state: int, b: int) -> int:
+        """The next state and, in its low MOVE_BITS, one more than the token that closes with this byte."""
+        after = array("q")
         closing = -1
         child, token_at, pairs = self.child.get, self.token_at, self.pairs
-        for member in self.members[state]:
+        for member in array("q", self.members[state]):
             node = child((member & 0xFFFFFFFF) << 8 | b)
             if node is None:
                 continue
@@ -121,12 +130,12 @@ class Transducer:
                 if holds:
                     closing = token
         after.append(closing << 32 | ROOT)
-        members = tuple(after)
+        members = after.tobytes()
         to = self.state_of.get(members)
         if to is None:
             to = self.state_of[members] = len(self.members)
             self.members.append(members)
-        move = self.moves[state << 8 | b] = (to, closing)
+        move = self.moves[state << 8 | b] = to << MOVE_BITS | closing + 1
         return move
 
     def tokens(self, data: bytes) -> Iterator[int]:
@@ -135,12 +144,13 @@ class Transducer:
         state, known, length = 0, self.moves.get, self.length
         done, closers = 0, []                      # closers[i]: the token closing after byte done + i
         for at, b in enumerate(data, 1):
-            state, token = known(state << 8 | b) or self._move(state, b)
-            closers.append(token)
+            move = known(state << 8 | b) or self._move(state, b)
+            state = move >> MOVE_BITS
+            closers.append((move & CLOSING) - 1)
             if len(closers) < 2 * self.longest or at % self.longest:
                 continue
             chains = []
-            for member in self.members[state]:
+            for member in array("q", self.members[state]):
                 i, chain = at - self.depth[member & 0xFFFFFFFF] - done, []
                 while i > 0:
                     chain.append(i)
@@ -183,8 +193,9 @@ class Transducer:
             return list(self.tokens(data))
         state, known, closers = 0, self.moves.get, []
         for b in data:
-            state, token = known(state << 8 | b) or self._move(state, b)
-            closers.append(token)
+            move = known(state << 8 | b) or self._move(state, b)
+            state = move >> MOVE_BITS
+            closers.append((move & CLOSING) - 1)
         return self._back(closers)
 
 
@@ -244,16 +255,20 @@ def splitter(pattern: str):
 
 
 class _Pieces(dict):
-    """Pieces seen, as "id id id"; emptied at a bound."""
+    """Pieces seen, as "id id id".  At a bound they become the older generation and that one goes;
+    a piece met again comes back from it, so common pieces stay."""
 
     def __init__(self, machine: Transducer, limit: int):
         super().__init__()
-        self.machine, self.limit = machine, limit
+        self.machine, self.limit, self.older = machine, limit, {}
 
     def __missing__(self, piece: str) -> str:
-        ids = " ".join(map(str, self.machine.encode(piece.encode("utf-8"))))
+        ids = self.older.pop(piece, None)
+        if ids is None:
+            ids = " ".join(map(str, self.machine.encode(piece.encode("utf-8"))))
         if len(piece) <= 32:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -262,8 +277,8 @@ class _Pieces(dict):
 class Codec:
     """Texts to ids (as decimal text) and back."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = MAX_PIECES):
-        self.machine = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = MAX_PIECES, max_states: int = MAX_STATES):
+        self.machine = Transducer(ranks, max_states)
         self.split = splitter(pattern)
         self.pieces = _Pieces(self.machine, max_pieces)
         self.bytes_of = {str(i): b for b, i in ranks.items()}
@@ -280,8 +295,8 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def _codec(path: str, pattern: str) -> Codec:
-    codec = Codec(read_ranks(path), pattern)
+def _codec(path: str, pattern: str, max_states: int = MAX_STATES, max_pieces: int = MAX_PIECES) -> Codec:
+    codec = Codec(read_ranks(path), pattern, max_pieces, max_states)
     gc.freeze()                     # the tables hold no cycles; walking them again and again only costs time
     gc.set_threshold(200_000)
     return codec
@@ -289,7 +304,7 @@ def _codec(path: str, pattern: str) -> Codec:
 
 def _apply(docs: DataFrame, id_col: str, text_col: str, schema: str, work) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in blocks(batches, "text"):
             rows = work(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), *rows], names=[f.split()[0] for f in schema.split(", ")])
     kind = docs.schema[id_col].dataType.simpleString()
@@ -307,11 +322,12 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str,
     return _apply(docs, id_col, text_col, "doc_id, ids string, decoded string", work)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids), checked by decoding: a text that would not come back is an error."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           tables: tuple[int, int] = (MAX_STATES, MAX_PIECES)) -> DataFrame:
+    """(doc_id, n_tokens, ids), checked by decoding: a text that would not come back is an error.
+    ``tables`` bounds the states and the pieces kept; fewer take less memory and more time."""
     def work(texts):
-        codec = _codec(ranks_path, pattern)
+        codec = _codec(ranks_path, pattern, *tables)
         n, out = [], []
         for t in texts:
             text = t.as_py() or ""

@@ -338,3 +338,23 @@ def test_wide_rows_are_filtered_before_the_shuffle_of_their_join(spark, monkeypa
     docs = spark.createDataFrame([(i, f"w{i} a b c d e f g h i j k l m{i % 2}") for i in range(6)], "doc_id long, text string")
     got = near_dup.near_duplicates(docs, words=1, similarity_pct=60).collect()
     assert {r.component_id for r in got} == {0} and met[0] == "__id" and met.count("sig") >= 2
+
+
+def test_bounded_tables_and_blocks_give_the_same_tokens(spark, texts, monkeypatch):
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    codec = bpe.Codec(bpe.read_ranks(RANKS), public_tokenizers.PATTERN, max_pieces=20, max_states=30)
+    for t in texts * 2:
+        assert codec.encode(t) == " ".join(map(str, own.encode_ordinary(t)))
+        assert len(codec.pieces) <= 20 and len(codec.pieces.older) <= 20
+    assert len(codec.machine.pairs) <= 4 * 30
+    # a common piece outlives a generation: it is not encoded again
+    met = []
+    plain = codec.machine.encode
+    monkeypatch.setattr(codec.machine, "encode", lambda data: met.append(data) or plain(data))
+    for i in range(100):
+        codec.encode(f"qzx{i}")
+        codec.encode("qzxcommon")
+    assert met.count(b"qzxcommon") <= 1
+    docs = docs_of(spark, texts)
+    got = sorted((r.doc_id, r.n_tokens, r.ids) for r in bpe.encode(docs, RANKS, public_tokenizers.PATTERN, tables=(30, 20)).collect())
+    assert got == sorted((r.doc_id, len(i := own.encode_ordinary(r.text or "")), " ".join(map(str, i))) for r in docs.collect())
