@@ -44,14 +44,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import grouped, materialize
+from .common import grouped, materialize, may_hold as _may_hold, surely_not_held
 
 #: bands at most, unless bands of one row need more
 BANDS = 40
 MISS = 1e-5
 STARS = 2
-#: of the marks that tell which wide rows a join needs: 2 MB
-BITS = 1 << 24
 BLOCK_BYTES = 1 << 18
 PIECE_BYTES = 1 << 22
 _LOWER = bytes(range(256)).lower()
@@ -181,21 +179,6 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, n: int, rows: int,
         run, f"doc_id {kind}, n long, sig binary, bands array<long>")
 
 
-def _may_hold(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
-    """``rows`` without most of those whose ``key`` is not in ``wanted``, and with all the others, so that a join that
-    follows shuffles few wide rows.  The keys' hashes are marked in BITS bits, sent to every task in parts of a few KB;
-    a row goes if its hash is not marked."""
-    def place(c: str) -> Column:
-        return F.pmod(F.xxhash64(c), F.lit(BITS)) + 1          # bitmap buckets are numbered from 1
-    marked = wanted.select(place(wanted_key).alias("at"))
-    marked = marked.groupBy(F.bitmap_bucket_number("at").alias("__part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("__marks"))
-    bit = F.bitmap_bit_position(place(key))
-    byte = F.conv(F.hex(F.expr("substring(__marks, CAST(__bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
-    near = rows.withColumns({"__part": F.bitmap_bucket_number(place(key)), "__bit": bit}).join(F.broadcast(marked), "__part")
-    return near.where(F.getbit(byte, F.pmod("__bit", F.lit(8)).cast("int")) == 1).select(*rows.columns)
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(sig, names) of the classes in wanted (doc_id, sig): the texts are read again."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,11 +348,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     judged = near_duplicates(docs, id_col, text_col, **options)
     drop = (judged.where("NOT kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("gone"))
             .join(judged.where("kept").select("doc_id").distinct(), "doc_id", "left_anti"))
-    stay = docs.join(drop.select(F.col("doc_id").alias("__gone")), F.col(id_col) == F.col("__gone"), "left_anti")
+    drop = materialize(drop.select("doc_id"), "dup-dropped")
     again = judged.where("kept AND n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    again = materialize(again.select("doc_id"), "dup-again")
+    # only texts whose id is in one of the two meet them; all others go past the shuffle
+    some = drop.unionByName(again)
+    rest = surely_not_held(docs, id_col, some, "doc_id")
+    stay = _may_hold(docs, id_col, some, "doc_id").join(
+        drop.select(F.col("doc_id").alias("__gone")), F.col(id_col) == F.col("__gone"), "left_anti")
     if again.isEmpty():
-        return stay
+        return rest.unionByName(stay)
     # rows that repeat an id: one of each text stays
     stay = stay.join(again.select(F.col("doc_id").alias("__again")), F.col(id_col) == F.col("__again"), "left")
     twice = stay.where(F.col("__again").isNotNull()).drop("__again")
-    return stay.where(F.col("__again").isNull()).drop("__again").unionByName(twice.dropDuplicates([id_col, text_col]))
+    stay = stay.where(F.col("__again").isNull()).drop("__again").unionByName(twice.dropDuplicates([id_col, text_col]))
+    return rest.unionByName(stay)

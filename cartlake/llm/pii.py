@@ -35,7 +35,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import materialize, may_hold, surely_not_held, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 #: kind -> the pattern of its base spans
@@ -282,8 +282,13 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     added = _chosen(rows.select("uid", "base", "candidates"), max_train, precision)
     if added is None:
         return rows.select("doc_id", "base", F.col("base").alias("spans"), "row")
+    added = materialize(added, "pii-added")
+    rows = rows.select("uid", "doc_id", "base", "row")
     both = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "added")))
-    return rows.join(added, "uid", "left").select("doc_id", "base", both.alias("spans"), "row")
+    # only rows that may have an added span meet them; all others, with their texts, go past the shuffle
+    met = may_hold(rows, "uid", added, "uid").join(added, "uid", "left").select("doc_id", "base", both.alias("spans"), "row")
+    rest = surely_not_held(rows, "uid", added, "uid")
+    return rest.select("doc_id", "base", F.col("base").alias("spans"), "row").unionByName(met)
 
 
 def as_text(spans: Column) -> Column:
