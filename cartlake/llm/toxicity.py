@@ -34,6 +34,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +60,7 @@ INNER, SHORT, UNSPACED = (4, 6, 9, 14, JOINED), (2, 3), 0x2E80
 #: all but white space, punctuation and invisible marks
 TOKEN = re.compile(r"[^\s\x00-/:-@\[-`{-\xbf\u2000-\u206f\u3000-\u303f\ufe00-\ufe0f\ufeff\uff01-\uff0f\uff1a-\uff20]+")
 STEPS = tuple((a, b) for b in range(2, SPAN) for a in range(1, b))
-SPACED = re.compile(r"(?<!\w)(?:\w[^\w\n]){2,}\w(?!\w)")
+SPACED = re.compile(r"\b\w[^\w\n]\w[^\w\n]\w(?:[^\w\n]\w)*\b")
 MARKS = ".,;:!?\"'()[]{}<>*_-~`"
 
 
@@ -70,13 +71,30 @@ def pieces(string: str) -> list[str]:
     return [string[i:i + WINDOW] for i in range(0, len(string) - OVERLAP, WINDOW - OVERLAP)]
 
 
+def names(low: str) -> set[str]:
+    """Short names of the strings of a text in lower case: words as they stand, and after a line feed
+    runs of single letters and the pieces of words longer than WINDOW."""
+    out = set(low.split())
+    for run in SPACED.findall(low):
+        out.add("\n" + re.sub(r"\W", "", run))
+    if max(map(len, out), default=0) > WINDOW:
+        for name in [w for w in out if len(w) > WINDOW]:
+            out.remove(name)
+            out.update("\n" + p for p in pieces(_named(name)))
+    return out
+
+
+def _named(name: str) -> str:
+    return name[1:] if name[0] == "\n" else name.strip(MARKS)
+
+
+def _judged(w: str) -> bool:
+    return len(w) >= 3 or len(w) == 2 and ord(w[0]) >= UNSPACED
+
+
 def strings(text: str) -> set[str]:
     """The strings of a text that the kernel judges."""
-    low = text.lower()
-    out = {w.strip(MARKS) for w in low.split()}
-    for run in SPACED.findall(low):
-        out.add(re.sub(r"\W", "", run))
-    return {p for w in out if len(w) >= 3 or len(w) == 2 and ord(w[0]) >= UNSPACED for p in pieces(w)}
+    return set(filter(_judged, map(_named, names(text.lower()))))
 
 
 def _parts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,6 +105,11 @@ def _feature(x: np.ndarray, y: np.ndarray, z: np.ndarray) -> np.ndarray:
     """The names of triples, from the ``_parts`` of their characters."""
     h = x + y
     h += z
+    return _named_by(h)
+
+
+def _named_by(h: np.ndarray) -> np.ndarray:
+    """The names of triples, from the sums of their parts, which are overwritten."""
     h >>= np.uint64(29)
     h &= np.uint64((1 << BITS) - 1)
     return h.view(np.int64)
@@ -145,18 +168,33 @@ def _runs(text_ends: np.ndarray, begins: np.ndarray, ends: np.ndarray, codes: np
     return np.concatenate(lows), np.concatenate(highs)
 
 
+@cache
+def _token_codes() -> np.ndarray:
+    """Whether a character is TOKEN's, by its code point; those from 0xFFFF on are."""
+    return np.fromiter((TOKEN.match(chr(c)) is not None for c in range(1 << 16)), bool, 1 << 16)
+
+
 def _worst(texts: list[str], weights: np.ndarray) -> list[tuple[float, str]]:
     """(margin, window) of each text's window of the largest margin: what ``margins`` gives
     for the window as a string, from sums over the triples before each place."""
     none = (-np.inf, "")
-    tokens = [TOKEN.findall(t.lower()) for t in texts]
-    sizes = np.fromiter((len(w) for t in tokens for w in t), np.int64)
-    if not len(sizes):
+    lows = [t.lower() for t in texts]
+    codes = np.frombuffer("".join(lows).encode("utf-32-le", "surrogatepass"), np.uint32)
+    # the characters of tokens; a token opens after another character and where a text does
+    inside = _token_codes()[np.minimum(codes, 0xFFFF)]
+    at = np.flatnonzero(inside)
+    if not len(at):
         return [none] * len(texts)
-    joined = "".join(w for t in tokens for w in t)
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    owner = np.repeat(np.arange(len(texts)), [len(t) for t in tokens])
-    ends = np.cumsum(sizes)
+    lasts = np.cumsum(np.fromiter(map(len, lows), np.int64, len(lows)))
+    opens = inside.copy()
+    opens[1:] &= ~inside[:-1]
+    firsts = lasts[:-1][lasts[:-1] < len(codes)]
+    opens[firsts] = inside[firsts]
+    opens = np.flatnonzero(opens)
+    owner = np.searchsorted(lasts, opens, "right")
+    codes = codes[at].astype(np.uint64)
+    ends = np.append(np.searchsorted(at, opens[1:]), len(at))
+    sizes = np.diff(ends, prepend=0)
     last = np.searchsorted(owner, owner, "right") - 1
     low, high = _runs(ends[last], ends - sizes, ends, codes)
     fits = high - low >= 2
@@ -177,10 +215,11 @@ def _worst(texts: list[str], weights: np.ndarray) -> list[tuple[float, str]]:
     total = np.zeros(len(low))
     for b in range(2, SPAN):
         scale, inner, opening = DECAY ** (b - 2), np.zeros(n + 1), np.zeros(len(start))
+        ends_of, ends_opening = x[:max(n - b, 0)] + z[b:max(n, b)], mark + z[start + b - 1]
         for a in range(1, b):
             if n > b:
-                inner[1:n - b + 1] += weights[_feature(x[:n - b], y[a:n - b + a], z[b:n])]
-            opening += weights[_feature(mark, y[start + a - 1], z[start + b - 1])]
+                inner[1:n - b + 1] += weights.take(_named_by(ends_of + y[a:n - b + a]))
+            opening += weights.take(_named_by(ends_opening + y[start + a - 1]))
         first[:, b] = opening * scale
         inner = np.cumsum(inner) * scale
         total += inner[np.maximum(high - b, low)] - inner[low]
@@ -192,7 +231,7 @@ def _worst(texts: list[str], weights: np.ndarray) -> list[tuple[float, str]]:
     np.maximum.at(best, text, margin)
     out = [none] * len(texts)
     for i in np.flatnonzero(margin == best[text]).tolist():
-        out[text[i]] = (float(margin[i]), joined[low[i]:high[i]])
+        out[text[i]] = (float(margin[i]), codes[low[i]:high[i]].astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass"))
     return out
 
 
@@ -375,6 +414,17 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
     return fit([r["text"] for r in some], [r["label"] for r in some])
 
 
+def _judge(model: Model, new: set[str], margin_of: dict[str, float]) -> None:
+    """Adds the margins of the strings with the names ``new``; one too short to be judged has the least."""
+    named = {name: _named(name) for name in new}
+    items = sorted(set(filter(_judged, named.values())))
+    margin: dict[str, float] = {}
+    for i in range(0, len(items), 50_000):
+        part = items[i:i + 50_000]
+        margin.update(zip(part, model.scores(part).tolist()))
+    margin_of.update((name, margin.get(w, -np.inf)) for name, w in named.items())
+
+
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
           keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, score, k0, k1, ...: the columns in ``keep``), a row for each row of ``docs``."""
@@ -390,15 +440,11 @@ def _scored(docs: DataFrame, model: Model | None, id_column: Column, id_type: st
         for batch in batches:
             values = np.zeros(batch.num_rows)
             for lo in range(0, batch.num_rows, 256) if model else ():
-                texts = [t.as_py() or "" for t in batch.column(1)[lo:lo + 256]]
-                sets = [strings(t) for t in texts]
-                new = list({w for s in sets for w in s if w not in margin_of})
+                texts = [t or "" for t in batch.column(1)[lo:lo + 256].to_pylist()]
+                sets = [names(t.lower()) for t in texts]
                 if len(margin_of) > MAX_STRINGS:
                     margin_of.clear()
-                    new = list({w for s in sets for w in s})
-                for i in range(0, len(new), 50_000):
-                    part = new[i:i + 50_000]
-                    margin_of.update(zip(part, model.scores(part).tolist()))
+                _judge(model, set().union(*sets).difference(margin_of), margin_of)
                 for i, (s, (margin, _)) in enumerate(zip(sets, worst_windows(texts, model.weights))):
                     top = max(map(margin_of.__getitem__, s), default=-np.inf)
                     top = max(top, margin + model.window_offset)
